@@ -18,10 +18,10 @@ from voxlens.session import prepare
 from voxlens.sources.tables import Tables
 
 Builder = Callable[[SparkSession, str], DataFrame]
-REGISTRY: dict[str, tuple[Builder, str | None]] = {}
+REGISTRY: dict[str, tuple[Builder, object | None]] = {}
 
 
-def register(key: str, sql: str | None):
+def register(key: str, sql):
     def deco(fn: Builder) -> Builder:
         def run(spark: SparkSession, root: str) -> DataFrame:
             prepare(spark)
@@ -47,7 +47,7 @@ def queries() -> dict[str, Builder]:
 
 def oracle_sql() -> dict[str, str]:
     _load()
-    return {k: v[1] for k, v in REGISTRY.items() if v[1] is not None}
+    return {k: str(v[1]) for k, v in REGISTRY.items() if v[1] is not None}
 
 
 def _load() -> None:

@@ -45,7 +45,22 @@ def cte(name: str, body: str, *deps: str) -> None:
     CTES[name] = (body, deps)
 
 
-def build(final: str, *needs: str) -> str:
+class LazySQL:
+    """SQL text resolved on first use, so CTEs may be declared after the
+    queries that reference them."""
+
+    def __init__(self, final: str, needs: tuple[str, ...]):
+        self.final, self.needs = final, needs
+
+    def __str__(self) -> str:
+        return _resolve(self.final, *self.needs)
+
+
+def build(final: str, *needs: str) -> LazySQL:
+    return LazySQL(final, needs)
+
+
+def _resolve(final: str, *needs: str) -> str:
     order: list[str] = []
 
     def visit(n: str) -> None:
@@ -284,3 +299,168 @@ SELECT account_id, churn_probability, (1.0 - churn_probability) * 100 AS health_
   {churn_bucket_sql('churn_probability')} AS risk_category,
   {AS_OF} AS predicted_at, 'v1' AS model_version
 FROM acct_linear_user""", "acct_linear_user")
+
+
+# ----------------------------------------------------------------- learning
+def keyed_uniform(key: str, salt: str, start: int = 1) -> str:
+    return (f"((CAST('0x' || substr(md5('{salt}:' || CAST({key} AS VARCHAR)), {start}, 8) AS BIGINT) + 0.5)"
+            f" / CAST(4294967296 AS DOUBLE))")
+
+
+def keyed_normal(key: str, salt: str, sd: float) -> str:
+    u1, u2 = keyed_uniform(key, salt, 1), keyed_uniform(key, salt, 9)
+    return f"(CAST({sd!r} AS DOUBLE) * sqrt(-2.0 * ln({u1})) * cos({2.0 * 3.141592653589793!r} * {u2}))"
+
+
+cte("labels_user", f"""
+SELECT *, CAST((churn_prob + noise) > 0.5 AS INTEGER) AS churned
+FROM (SELECT *, 1.0 / (1.0 + exp(-5.0 * (churn_score - 0.5))) AS churn_prob,
+             {keyed_normal('account_id', 'label', 0.1)} AS noise
+      FROM (SELECT *, negative_ratio * 0.4 + critical_ratio * 0.3 + billing_issue_flag * 0.2
+                      + days_since_last_feedback / 90.0 * 0.1 AS churn_score
+            FROM acct_features_user) a) b""", "acct_features_user")
+cte("class_balance", """
+SELECT n, positives, n - positives AS negatives, least(positives, n - positives) AS minority,
+  CASE WHEN least(positives, n - positives) < 4 THEN CAST(0.2 AS DOUBLE) ELSE CAST(0.8 AS DOUBLE) END AS test_size
+FROM (SELECT COUNT(*) AS n, CAST(COALESCE(SUM(churned), 0) AS BIGINT) AS positives FROM labels_user) t""",
+    "labels_user")
+cte("split_user", f"""
+SELECT l.*, {keyed_uniform('l.account_id', 'split')} < cb.test_size AS is_test
+FROM labels_user l CROSS JOIN class_balance cb""", "labels_user", "class_balance")
+cte("test_preds", """
+SELECT s.account_id, s.churned, p.churn_probability
+FROM split_user s JOIN acct_linear_user p ON s.account_id = p.account_id
+WHERE s.is_test""", "split_user", "acct_linear_user")
+cte("auc", """
+SELECT CASE WHEN SUM(pos) > 0 AND SUM(neg) > 0
+            THEN SUM(pos * (neg_below + neg * 0.5)) / (SUM(pos) * SUM(neg)) END AS auc
+FROM (SELECT s, pos, neg,
+        COALESCE(SUM(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_below
+      FROM (SELECT churn_probability AS s, COUNT(*) FILTER (WHERE churned = 1) AS pos,
+                   COUNT(*) FILTER (WHERE churned = 0) AS neg
+            FROM test_preds GROUP BY churn_probability) g) c""", "test_preds")
+
+# ----------------------------------------------------------------- registry
+cte("latest_metrics", """
+SELECT model_version_id, dataset_type, metric_name, metric_value, created_at FROM (
+  SELECT *, row_number() OVER (PARTITION BY model_version_id, dataset_type, metric_name
+                               ORDER BY created_at DESC, metric_value DESC) AS rn
+  FROM model_metrics) t WHERE rn = 1""", "model_metrics")
+cte("ranked_versions", """
+SELECT *, row_number() OVER (PARTITION BY model_type ORDER BY created_at DESC, id DESC) AS rn
+FROM model_versions""", "model_versions")
+cte("active_versions", """
+SELECT v.id, d.model_type, v.version, v.status, v.created_at, v.hyperparameters
+FROM model_versions v JOIN model_deployments d ON v.id = d.active_version_id""",
+    "model_versions", "model_deployments")
+cte("type_domain", """
+SELECT DISTINCT model_type FROM (SELECT model_type FROM model_versions
+                                 UNION ALL SELECT model_type FROM model_deployments) u""",
+    "model_versions", "model_deployments")
+cte("pairs", """
+SELECT n.model_type, n.id AS new_version_id, d.active_version_id AS previous_version_id
+FROM (SELECT model_type, id FROM ranked_versions WHERE rn = 1) n
+LEFT JOIN model_deployments d ON n.model_type = d.model_type""", "ranked_versions", "model_deployments")
+cte("improvements", """
+SELECT j.model_type, p.previous_version_id, p.new_version_id, j.metric_name,
+  COALESCE(j.prev_value, 0.0) AS prev_value, COALESCE(j.new_value, 0.0) AS new_value,
+  CASE WHEN COALESCE(j.prev_value, 0.0) > 0
+       THEN (COALESCE(j.new_value, 0.0) - COALESCE(j.prev_value, 0.0)) / COALESCE(j.prev_value, 0.0)
+       ELSE COALESCE(j.new_value, 0.0) END AS improvement
+FROM (
+  SELECT COALESCE(a.model_type, b.model_type) AS model_type, COALESCE(a.metric_name, b.metric_name) AS metric_name,
+         a.prev_value, b.new_value
+  FROM (SELECT p.model_type, m.metric_name, m.metric_value AS prev_value
+        FROM pairs p JOIN latest_metrics m ON m.model_version_id = p.previous_version_id AND m.dataset_type = 'test'
+        WHERE p.previous_version_id IS NOT NULL) a
+  FULL OUTER JOIN
+       (SELECT p.model_type, m.metric_name, m.metric_value AS new_value
+        FROM pairs p JOIN latest_metrics m ON m.model_version_id = p.new_version_id AND m.dataset_type = 'test'
+        WHERE p.previous_version_id IS NOT NULL) b
+  ON a.model_type = b.model_type AND a.metric_name = b.metric_name) j
+JOIN pairs p ON j.model_type = p.model_type""", "pairs", "latest_metrics")
+cte("promotion", """
+SELECT p.model_type, p.previous_version_id, p.new_version_id,
+  CASE WHEN p.previous_version_id IS NULL THEN NULL ELSE COALESCE(i.avg_improvement, 0.0) END AS average_improvement,
+  COALESCE(i.n_metrics, 0) AS n_metrics,
+  (p.previous_version_id IS NULL OR COALESCE(i.avg_improvement, 0.0) > 0.01) AS promotion_recommended,
+  CASE WHEN p.previous_version_id IS NULL THEN 'first_deployment'
+       WHEN COALESCE(i.avg_improvement, 0.0) > 0.01 THEN 'improvement_above_threshold'
+       ELSE 'improvement_below_threshold' END AS promotion_reason,
+  CAST(0.01 AS DOUBLE) AS promotion_threshold
+FROM pairs p LEFT JOIN (SELECT model_type, AVG(improvement) AS avg_improvement, COUNT(*) AS n_metrics
+                        FROM improvements GROUP BY model_type) i ON p.model_type = i.model_type""",
+    "pairs", "improvements")
+cte("deployments_after", f"""
+SELECT d.model_type,
+  CASE WHEN pr.model_type IS NOT NULL THEN pr.new_version_id ELSE d.active_version_id END AS active_version_id,
+  CASE WHEN pr.model_type IS NOT NULL THEN d.active_version_id ELSE CAST(NULL AS BIGINT) END AS previous_version_id,
+  CASE WHEN pr.model_type IS NOT NULL THEN d.active_version_id IS NOT NULL ELSE FALSE END AS rollback_available,
+  CASE WHEN pr.model_type IS NOT NULL THEN {AS_OF} ELSE CAST(NULL AS TIMESTAMP) END AS deployed_at
+FROM model_deployments d
+LEFT JOIN (SELECT model_type, new_version_id FROM promotion WHERE promotion_recommended) pr
+  ON d.model_type = pr.model_type
+UNION ALL
+SELECT pr.model_type, pr.new_version_id, NULL, FALSE, {AS_OF}
+FROM promotion pr
+WHERE pr.promotion_recommended AND pr.model_type NOT IN (SELECT model_type FROM model_deployments)""",
+    "model_deployments", "promotion")
+
+# ----------------------------------------------------------------- monitoring
+cte("drift", """
+SELECT model_type, metric_name, n_values, recent, average_older,
+  CASE WHEN n_values >= 2 THEN chg END AS percent_change,
+  COALESCE(n_values >= 2 AND chg > 0.15, FALSE) AS drift_detected
+FROM (SELECT *, CASE WHEN average_older <> 0 THEN abs((recent - average_older) / average_older) END AS chg
+      FROM (SELECT version_model_type AS model_type, metric_name, COUNT(*) AS n_values,
+                   MAX(CASE WHEN mrn = 1 THEN metric_value END) AS recent,
+                   AVG(CASE WHEN mrn > 1 THEN metric_value END) AS average_older
+            FROM (SELECT *, row_number() OVER (PARTITION BY version_model_type, metric_name ORDER BY rn) AS mrn
+                  FROM (SELECT * FROM (
+                          SELECT h.id, h.metric_name, h.metric_value, h.scoring_date, v.model_type AS version_model_type,
+                                 row_number() OVER (PARTITION BY v.model_type ORDER BY h.scoring_date DESC, h.id DESC) AS rn
+                          FROM prediction_distribution_history h JOIN model_versions v ON h.model_version_id = v.id) x
+                        WHERE rn <= 20) y) z
+            GROUP BY version_model_type, metric_name) a) b""",
+    "prediction_distribution_history", "model_versions")
+cte("staleness", f"""
+SELECT dm.model_type, a.id AS active_version_id, {whole_days('a.created_at')} AS days_old,
+  COALESCE({whole_days('a.created_at')} > 7, FALSE) AS is_stale,
+  CASE WHEN a.id IS NULL THEN 'No active model found'
+       WHEN a.created_at IS NULL THEN 'Model creation date unknown'
+       WHEN {whole_days('a.created_at')} > 7
+         THEN 'Model ' || dm.model_type || ' is ' || CAST({whole_days('a.created_at')} AS VARCHAR) || ' days old (max: 7)'
+       ELSE 'Model is ' || CAST({whole_days('a.created_at')} AS VARCHAR) || ' days old (acceptable)' END AS message
+FROM type_domain dm LEFT JOIN active_versions a ON dm.model_type = a.model_type""",
+    "type_domain", "active_versions")
+cte("degradation", """
+SELECT dm.model_type, a.id AS active_version_id, 'accuracy' AS metric, m.metric_value AS value,
+  CAST(0.8 AS DOUBLE) AS threshold, COALESCE(m.metric_value < 0.8, FALSE) AS is_degraded,
+  CASE WHEN a.id IS NULL THEN 'no_active_version'
+       WHEN m.metric_value IS NULL THEN 'metric_accuracy_not_found' ELSE NULL END AS reason
+FROM type_domain dm LEFT JOIN active_versions a ON dm.model_type = a.model_type
+LEFT JOIN (SELECT model_version_id, metric_value FROM latest_metrics
+           WHERE dataset_type = 'test' AND metric_name = 'accuracy') m ON m.model_version_id = a.id""",
+    "type_domain", "active_versions", "latest_metrics")
+
+
+def percent_2dp_sql(x: str) -> str:
+    h = f"CAST(floor({x} * 10000 + 0.5) AS BIGINT)"
+    return (f"(CAST(CAST(floor({h} / 100) AS BIGINT) AS VARCHAR) || '.' || "
+            f"lpad(CAST({h} % 100 AS VARCHAR), 2, '0') || '%')")
+
+
+def fixed_1dp_sql(x: str) -> str:
+    t = f"CAST(floor({x} * 10 + 0.5) AS BIGINT)"
+    return f"(CAST(CAST(floor({t} / 10) AS BIGINT) AS VARCHAR) || '.' || CAST({t} % 10 AS VARCHAR))"
+
+
+cte("health", """
+SELECT s.model_type, s.is_stale, s.message AS staleness_message,
+  COALESCE(dr.d, FALSE) AS drift_detected,
+  g.is_degraded, g.value AS degradation_value, g.threshold AS degradation_threshold, g.metric AS degradation_metric,
+  CASE WHEN s.is_stale OR COALESCE(dr.d, FALSE) OR g.is_degraded THEN 'unhealthy' ELSE 'healthy' END AS overall_health
+FROM staleness s
+LEFT JOIN (SELECT model_type, bool_or(drift_detected) AS d FROM drift GROUP BY model_type) dr
+  ON s.model_type = dr.model_type
+JOIN degradation g ON s.model_type = g.model_type""", "staleness", "drift", "degradation")
