@@ -7,7 +7,7 @@ ordering carries the key columns last so ties are resolved deterministically.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxlens.config import (
@@ -43,10 +43,16 @@ def score_distribution(scored: DataFrame, column: str = "priority_score") -> Dat
 
 def category_distribution(scored: DataFrame, column: str = "risk_category") -> DataFrame:
     """Count per category and percent of *all* rows (NULL category rows
-    are excluded from the counts but included in the total)."""
-    total = scored.agg(F.count(F.lit(1)).alias("total"))
-    counts = scored.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("count"))
-    return (counts.crossJoin(F.broadcast(total))  # one-row side
+    are excluded from the counts but included in the total).
+
+    One pass: the total is the sum of the per-category counts (NULL group
+    included), taken by a window over the grouped rows -- at most one row per
+    category plus NULL, whatever the input size.
+    """
+    counts = scored.groupBy(column).agg(F.count(F.lit(1)).alias("count"))
+    total = F.sum("count").over(Window.partitionBy())
+    return (counts.select(column, "count", total.alias("total"))
+            .where(F.col(column).isNotNull())
             .select(column, "count",
                     (F.col("count") / F.col("total") * F.lit(100.0)).alias("percent"),
                     category_rank(column).alias("category_order")))
@@ -114,12 +120,14 @@ def feedback_profile(batch: DataFrame) -> DataFrame:
     grouped = batch.groupingSets(
         [["sentiment"], ["product_area"], ["priority"]], "sentiment", "product_area", "priority",
     ).agg(F.grouping_id().alias("gid"), F.count(F.lit(1)).alias("cnt"))
-    total = batch.agg(F.count(F.lit(1)).alias("total"))
+    # Total = the rows of one grouping set (sentiment, NULL group included);
+    # the grouped output is bounded by the three domains, so one pass suffices.
+    total = F.sum(F.when(F.col("gid") == 3, F.col("cnt"))).over(Window.partitionBy())
     dim = (F.when(F.col("gid") == 3, F.lit("sentiment"))
            .when(F.col("gid") == 5, F.lit("product_area")).otherwise(F.lit("priority")))
     val = (F.when(F.col("gid") == 3, F.col("sentiment"))
            .when(F.col("gid") == 5, F.col("product_area")).otherwise(F.col("priority").cast("string")))
-    return grouped.crossJoin(F.broadcast(total)).select(  # one-row side
+    return grouped.select("*", total.alias("total")).select(
         dim.alias("dimension"), val.alias("value"), F.col("cnt").alias("count"),
         (F.col("cnt") / F.col("total") * F.lit(100.0)).alias("percent"))
 

@@ -1,16 +1,17 @@
 """Scoring: area priority (X9-X11), account churn (M1, M5, X7, X8) and the two
 end-to-end scoring jobs (L1, L2).
 
-Global statistics (min/max, mean/std) are one-row aggregates computed with
+Account scaling statistics (mean/std) are one-row aggregates computed with
 partial aggregation and joined back with ``broadcast`` -- the broadcast side
-is provably a single row whatever the data size.
+is provably a single row whatever the data size. Area min/max runs as a window
+over the aggregated area table, whose size is bounded by its category domains.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from voxlens.config import (
@@ -24,6 +25,7 @@ from voxlens.config import (
 from voxlens.functions.scalars import area_bin, churn_bucket, logistic, min_max
 from voxlens.functions.time import as_of_lit
 from voxlens.operators.features import account_features, area_features, feature_matrix
+from voxlens.session import materialize
 
 NORMALISED = [c for _, c, _ in AREA_WEIGHTS if c != "enterprise_flag"]
 WEIGHT_NAMES = [name for name, _, _ in AREA_WEIGHTS]
@@ -50,13 +52,19 @@ def _weight_row(weights: DataFrame | None) -> DataFrame | None:
 
 
 def area_normalized(features: DataFrame) -> DataFrame:
-    """Min-max of the five volume columns over all rows; constant -> 0.5."""
-    stats = features.agg(*[F.min(c).alias(f"min_{c}") for c in NORMALISED],
-                         *[F.max(c).alias(f"max_{c}") for c in NORMALISED])
-    joined = features.crossJoin(F.broadcast(stats))  # one-row side
-    return joined.select(
+    """Min-max of the five volume columns over all rows; constant -> 0.5.
+
+    ``features`` is the aggregated (product_area, segment) table, whose size is
+    bounded by the two category domains (tens of rows) however large the fact
+    table is; an unpartitioned window over it costs one tiny exchange and,
+    unlike a separate min/max aggregate joined back, does not evaluate the
+    fact-table aggregation twice.
+    """
+    everything = Window.partitionBy()
+    return features.select(
         *features.columns,
-        *[min_max(c, f"min_{c}", f"max_{c}").alias(f"norm_{c}") for c in NORMALISED],
+        *[min_max(c, F.min(c).over(everything), F.max(c).over(everything)).alias(f"norm_{c}")
+          for c in NORMALISED],
     )
 
 
@@ -81,7 +89,9 @@ def standardize(matrix: DataFrame, feature_cols=ACCOUNT_FEATURE_COLS, keys=("acc
     """M1: ``(x - mean) / population std``; zero variance divides by 1.
 
     ``stats`` (a one-row frame of ``mean_c``/``std_c``) is the fitted scaler;
-    when absent it is fitted on ``matrix`` itself.
+    when absent it is fitted on ``matrix`` itself -- a second pass over
+    ``matrix``, so callers pass a materialised table (see
+    ``account_risk_scores``), never a plan that re-aggregates facts.
     """
     cols = [c for c in feature_cols if c in matrix.columns]
     if stats is None:
@@ -107,10 +117,10 @@ def linear_churn_logit(scaled: DataFrame, bias: float = LINEAR_CHURN_BIAS,
 
 
 def score_accounts_linear(scaled: DataFrame, bias: float = LINEAR_CHURN_BIAS,
-                          weights: dict = LINEAR_CHURN_WEIGHTS) -> DataFrame:
+                          weights: dict = LINEAR_CHURN_WEIGHTS, keys=("account_id",)) -> DataFrame:
     """M5: stored linear model, ``p = 1 / (1 + exp(-(b + sum w z)))``."""
     logit = linear_churn_logit(scaled, bias, weights)
-    return scaled.select("account_id", logit.alias("logit"), logistic(logit).alias("churn_probability"))
+    return scaled.select(*keys, logit.alias("logit"), logistic(logit).alias("churn_probability"))
 
 
 def with_health_and_bucket(probs: DataFrame) -> DataFrame:
@@ -130,11 +140,10 @@ def account_risk_scores(feedback: DataFrame, as_of: str | None = None, lookback_
     reference's tier grain is available as ``grain="tier"``; see
     ``one_row_per_account`` for its deterministic collapse).
     """
-    feats = account_features(feedback, as_of, lookback_days, grain)
-    scaled = standardize(feature_matrix(feats), stats=scaler)
-    probs = with_health_and_bucket(score_accounts_linear(scaled))
-    if grain == "tier":
-        probs = probs.join(feats.select("account_id", "region"), "account_id")
+    keys = ("account_id", "region") if grain == "tier" else ("account_id",)
+    feats = materialize(account_features(feedback, as_of, lookback_days, grain), "account_features")
+    scaled = standardize(feature_matrix(feats, keys=keys), keys=keys, stats=scaler)
+    probs = with_health_and_bucket(score_accounts_linear(scaled, keys=keys))
     return probs.select(
         "account_id",
         *(["region"] if grain == "tier" else []),

@@ -139,7 +139,7 @@ def _account_scores(t):
 def _labels(t):
     from voxlens.operators import learn
 
-    return learn.synthetic_labels(feat.account_features(t.feedback, grain="user"))
+    return learn.synthetic_labels(_user_features(t))
 
 
 def _split(t):
@@ -148,9 +148,18 @@ def _split(t):
     return learn.stratified_split(_labels(t))
 
 
+def _user_features(t):
+    """Per-user account features, materialised once per query build."""
+    from voxlens.session import materialize
+
+    if "_user_features" not in t.__dict__:
+        t.__dict__["_user_features"] = materialize(
+            feat.account_features(t.feedback, grain="user"), "account_features")
+    return t.__dict__["_user_features"]
+
+
 def _linear_probs(t):
-    feats = feat.account_features(t.feedback, grain="user")
-    return sc.score_accounts_linear(sc.standardize(feat.feature_matrix(feats)))
+    return sc.score_accounts_linear(sc.standardize(feat.feature_matrix(_user_features(t))))
 
 
 def _test_preds(t):
@@ -265,8 +274,7 @@ def effective_weights(t):
     "acct_scaled_user"))
 def scaled_features(t):
     """M1: population-std standardisation (zero variance divides by 1)."""
-    feats = feat.account_features(t.feedback, grain="user")
-    return round6(sc.standardize(feat.feature_matrix(feats)), *O.ACCOUNT_MATRIX_COLS)
+    return round6(sc.standardize(feat.feature_matrix(_user_features(t))), *O.ACCOUNT_MATRIX_COLS)
 
 
 @register("score_accounts_linear", O.build(
@@ -331,8 +339,8 @@ def prediction_distribution(t):
 def churn_fit_predict(t):
     """M4: fit logistic regression on the train split, predict every account
     (rows-only check; the optimiser is not the reference's)."""
-    split = _split(t)
-    feats = feat.account_features(t.feedback, grain="user")
+    feats = _user_features(t)
+    split = ln.stratified_split(ln.synthetic_labels(feats))
     scaled = sc.standardize(feat.feature_matrix(feats))
     data = scaled.join(split.select("account_id", "churned", "is_test"), "account_id")
     model = ln.fit_churn_classifier(data.where(~F.col("is_test")))

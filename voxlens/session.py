@@ -54,3 +54,17 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return prepare(spark)
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` once as parquet under the shared checkpoint folder and read
+    it back: cuts lineage (a lost executor does not recompute upstream
+    stages) and lets several consumers share one computation. One job, no
+    recomputation (unlike RDD checkpointing of an unpersisted plan)."""
+    import uuid
+
+    spark = df.sparkSession
+    base = checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/voxlens-materialized/{name}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)

@@ -32,23 +32,16 @@ METRIC_BY_LINE_MOD5 = ("accuracy", "precision", "recall", "f1", "auc")
 # ------------------------------------------------------------ END FIXED VALUES
 
 
-def _case_index(col, values):
-    """CASE col WHEN 0 THEN values[0] ... ELSE values[-1]."""
-    expr = F.when(col == 0, F.lit(values[0]))
-    for i, v in enumerate(values[1:-1], start=1):
-        expr = expr.when(col == i, F.lit(v))
-    return expr.otherwise(F.lit(values[-1]))
+def _case_index(expr: str, values) -> str:
+    """``CASE expr WHEN 0 THEN values[0] ... ELSE values[-1] END`` as SQL text."""
+    whens = " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values[:-1]))
+    return f"CASE {expr} {whens} ELSE '{values[-1]}' END"
 
 
-def _case_map(col, mapping, default):
-    expr = None
-    for k, v in mapping.items():
-        expr = F.when(col == k, F.lit(v)) if expr is None else expr.when(col == k, F.lit(v))
-    return expr.otherwise(default if hasattr(default, "alias") else F.lit(default))
-
-
-def _days(n):
-    return F.make_dt_interval(days=n)
+def _case_map(expr: str, mapping, default_sql: str) -> str:
+    whens = " ".join(f"WHEN {k!r} THEN '{v}'" if isinstance(k, str) else f"WHEN {k} THEN '{v}'"
+                     for k, v in mapping.items())
+    return f"CASE {expr} {whens} ELSE {default_sql} END"
 
 
 def customer_dimension(t) -> DataFrame:
@@ -66,59 +59,51 @@ def customer_dimension(t) -> DataFrame:
 
 
 def feedback_enriched(t) -> DataFrame:
-    """The feedback fact table (one row per feedback item)."""
-    e = t.events
-    k = F.regexp_extract("props", "[0-9]+", 0).cast("int")
-    fact = e.select(
-        "event_id", "ts", "user_id", "event_type", "value", "props",
-    ).join(customer_dimension(t), F.col("user_id") == F.col("c_custkey"), "left")
-    priority = F.when(F.col("value") < PRIORITY_VALUE_EDGES[0], 1)
-    for i, edge in enumerate(PRIORITY_VALUE_EDGES[1:], start=2):
-        priority = priority.when(F.col("value") < edge, i)
-    priority = priority.otherwise(len(PRIORITY_VALUE_EDGES) + 1)
-    return fact.select(
-        F.concat(F.lit("fb-"), F.col("event_id").cast("string")).alias("id"),
-        (F.col("ts") - _days((F.col("event_id") % SPREAD_DAYS_MOD).cast("int"))).alias("created_at"),
-        _case_index(F.col("event_id") % len(SOURCES_BY_MOD6), SOURCES_BY_MOD6).alias("source"),
-        _case_index(k % len(AREAS_BY_MOD8), AREAS_BY_MOD8).alias("product_area"),
-        _case_map(F.col("event_type"), SENTIMENT_BY_EVENT, SENTIMENT_DEFAULT).alias("sentiment"),
-        priority.alias("priority"),
-        F.concat(F.lit("t"), k.cast("string")).alias("topic"),
-        F.when(F.col("user_id") % NULL_REGION_MOD == NULL_REGION_REM, F.lit(None).cast("string"))
-        .otherwise(F.col("r_name")).alias("region"),
-        _case_map(F.col("c_mktsegment"), TIER_BY_SEGMENT, TIER_DEFAULT).alias("customer_tier"),
-        F.concat(F.col("event_type"), F.lit(" "), F.col("props")).alias("summary"),
-        F.col("user_id"),
+    """The feedback fact table (one row per feedback item).
+
+    Projections are SQL expression text: one parse on the JVM instead of a
+    remote call per expression node.
+    """
+    k = "CAST(regexp_extract(props, '[0-9]+', 0) AS INT)"
+    priority = " ".join(f"WHEN value < {edge} THEN {i}" for i, edge in enumerate(PRIORITY_VALUE_EDGES, start=1))
+    fact = t.events.select("event_id", "ts", "user_id", "event_type", "value", "props").join(
+        customer_dimension(t), F.col("user_id") == F.col("c_custkey"), "left")
+    return fact.selectExpr(
+        "'fb-' || CAST(event_id AS STRING) AS id",
+        f"ts - INTERVAL '1' DAY * (event_id % {SPREAD_DAYS_MOD}) AS created_at",
+        f"{_case_index(f'event_id % {len(SOURCES_BY_MOD6)}', SOURCES_BY_MOD6)} AS source",
+        f"{_case_index(f'{k} % {len(AREAS_BY_MOD8)}', AREAS_BY_MOD8)} AS product_area",
+        f"{_case_map('event_type', SENTIMENT_BY_EVENT, repr(SENTIMENT_DEFAULT))} AS sentiment",
+        f"CASE {priority} ELSE {len(PRIORITY_VALUE_EDGES) + 1} END AS priority",
+        f"'t' || CAST({k} AS STRING) AS topic",
+        f"CASE WHEN user_id % {NULL_REGION_MOD} = {NULL_REGION_REM} THEN CAST(NULL AS STRING) ELSE r_name END AS region",
+        f"{_case_map('c_mktsegment', TIER_BY_SEGMENT, repr(TIER_DEFAULT))} AS customer_tier",
+        "event_type || ' ' || props AS summary",
+        "user_id",
     )
 
 
 def model_versions(t) -> DataFrame:
-    o = t.orders
-    mt = F.col("o_custkey") % MODEL_TYPE_MOD
-    model_type = _case_map(mt, MODEL_TYPE_NAMES, F.concat(F.lit("m"), mt.cast("string")))
-    key = F.col("o_orderkey").cast("string")
-    version = F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("v"), key, F.lit(".1"))) \
-        .otherwise(F.concat(F.lit("v"), key))
-    hyper = F.concat(F.lit('{"lookback_days": "'), (30 + F.col("o_orderkey") % 61).cast("string"),
-                     F.lit('", "epochs": "50"}'))
-    return o.select(
-        F.col("o_orderkey").alias("id"),
-        model_type.alias("model_type"),
-        version.alias("version"),
-        F.lit("inactive").alias("status"),
-        (F.col("o_orderdate") + _days((VERSION_DAY_SHIFT - VERSION_DAY_STAGGER * mt).cast("int"))).alias("created_at"),
-        hyper.alias("hyperparameters"),
+    mt = f"(o_custkey % {MODEL_TYPE_MOD})"
+    return t.orders.selectExpr(
+        "o_orderkey AS id",
+        _case_map(mt, MODEL_TYPE_NAMES, "'m' || CAST(" + mt + " AS STRING)") + " AS model_type",
+        "CASE WHEN o_orderkey % 3 = 0 THEN 'v' || CAST(o_orderkey AS STRING) || '.1' "
+        "ELSE 'v' || CAST(o_orderkey AS STRING) END AS version",
+        "'inactive' AS status",
+        f"o_orderdate + INTERVAL '1' DAY * ({VERSION_DAY_SHIFT} - {VERSION_DAY_STAGGER} * {mt}) AS created_at",
+        "'{\"lookback_days\": \"' || CAST(30 + o_orderkey % 61 AS STRING) || '\", \"epochs\": \"50\"}' "
+        "AS hyperparameters",
     )
 
 
 def model_metrics(t) -> DataFrame:
-    li = t.lineitem
-    return li.select(
-        F.col("l_orderkey").alias("model_version_id"),
-        _case_index(F.col("l_linenumber") % 5, METRIC_BY_LINE_MOD5).alias("metric_name"),
-        (F.lit(0.5) + F.col("l_discount") * 4).alias("metric_value"),
-        F.when(F.col("l_returnflag") == "N", "validation").otherwise("test").alias("dataset_type"),
-        F.col("l_shipdate").alias("created_at"),
+    return t.lineitem.selectExpr(
+        "l_orderkey AS model_version_id",
+        f"{_case_index('l_linenumber % 5', METRIC_BY_LINE_MOD5)} AS metric_name",
+        "0.5 + l_discount * 4 AS metric_value",
+        "CASE l_returnflag WHEN 'N' THEN 'validation' ELSE 'test' END AS dataset_type",
+        "l_shipdate AS created_at",
     )
 
 

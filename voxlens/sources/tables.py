@@ -48,16 +48,27 @@ def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str |
     return reader.load()
 
 
+_READ_CACHE: dict[tuple[str, str, str], DataFrame] = {}
+
+
 class Tables:
-    """Lazy handle on the base tables of one dataset root."""
+    """Lazy handle on the base tables of one dataset root.
+
+    Resolved readers are shared per (session, root, table) so repeated
+    queries do not re-read parquet footers; ``refresh=True`` re-lists files.
+    """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, refresh: bool = False):
         self.spark = spark
         self.root = root
+        self.refresh = refresh
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in BASE_TABLES:
-            df = read_table(self.spark, self.root, name)
+            key = (self.spark.sparkContext.applicationId, self.root, name)
+            if self.refresh or key not in _READ_CACHE:
+                _READ_CACHE[key] = read_table(self.spark, self.root, name)
+            df = _READ_CACHE[key]
             setattr(self, name, df)
             return df
         raise AttributeError(name)
@@ -82,9 +93,12 @@ class Tables:
 
     @cached_property
     def model_deployments(self) -> DataFrame:
+        """One row per model type, read by most registry rules: materialised
+        once so the version scan behind it is not repeated per consumer."""
+        from voxlens.session import materialize
         from voxlens.sources.adapters import model_deployments
 
-        return model_deployments(self)
+        return materialize(model_deployments(self), "model_deployments")
 
     @cached_property
     def prediction_history(self) -> DataFrame:
