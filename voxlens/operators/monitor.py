@@ -12,7 +12,7 @@ the scan.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxlens.config import (
@@ -28,9 +28,8 @@ from voxlens.config import (
 )
 from voxlens.functions.scalars import abs_relative_change, fixed_1dp, percent_2dp
 from voxlens.functions.time import as_of_lit, whole_days
-from voxlens.operators.registry import active_versions, latest_version_metrics
-from voxlens.operators.registry import latest_versions as _latest_versions
-from pyspark.sql import Window
+from voxlens.operators.registry import active_versions, latest_version_metrics, metrics_of
+from voxlens.session import materialize
 
 
 def model_type_domain(versions: DataFrame, deployments: DataFrame | None = None) -> DataFrame:
@@ -77,7 +76,8 @@ def retrain_decisions(feedback: DataFrame, versions: DataFrame, as_of: str | Non
     """
     last = versions.groupBy("model_type").agg(F.max("created_at").alias("last_training_date"))
     domain = model_types if model_types is not None else versions.select("model_type").distinct()
-    last = domain.join(last, "model_type", "left")
+    # k rows (one per model type), read twice by freshness_facts: materialise.
+    last = materialize(domain.join(last, "model_type", "left"), "last_training")
     facts = freshness_facts(feedback, last)
     first = F.col("last_training_date").isNull()
     total, new = F.col("total_count"), F.col("new_records")
@@ -139,10 +139,12 @@ def drift_by_type(drift: DataFrame, domain: DataFrame) -> DataFrame:
 
 
 def model_staleness(versions: DataFrame, deployments: DataFrame, as_of: str | None = None,
-                    max_days: int = MAX_DAYS_WITHOUT_TRAINING) -> DataFrame:
+                    max_days: int = MAX_DAYS_WITHOUT_TRAINING, active: DataFrame | None = None,
+                    domain: DataFrame | None = None) -> DataFrame:
     """Whole days since the active version was created, stale when > 7."""
-    domain = model_type_domain(versions, deployments)
-    act = active_versions(versions, deployments).select(
+    domain = domain if domain is not None else model_type_domain(versions, deployments)
+    active = active if active is not None else active_versions(versions, deployments)
+    act = active.select(
         "model_type", F.col("id").alias("active_version_id"), F.col("created_at").alias("active_created_at"))
     j = domain.join(act, "model_type", "left")
     days = whole_days(F.col("active_created_at"), as_of_lit(as_of))
@@ -158,11 +160,17 @@ def model_staleness(versions: DataFrame, deployments: DataFrame, as_of: str | No
 
 def metric_degradation(versions: DataFrame, deployments: DataFrame, metrics: DataFrame,
                        metric_name: str = DEGRADATION_METRIC,
-                       threshold: float = DEGRADATION_THRESHOLD) -> DataFrame:
-    """Latest test value of ``metric_name`` of the active version < 0.80."""
-    domain = model_type_domain(versions, deployments)
-    act = active_versions(versions, deployments).select("model_type", F.col("id").alias("active_version_id"))
-    m = latest_version_metrics(metrics, "test").where(F.col("metric_name") == metric_name).select(
+                       threshold: float = DEGRADATION_THRESHOLD, active: DataFrame | None = None,
+                       domain: DataFrame | None = None) -> DataFrame:
+    """Latest test value of ``metric_name`` of the active version < 0.80.
+
+    The metrics log is cut to the active versions (semi join) and to the one
+    metric before the latest-value aggregation."""
+    domain = domain if domain is not None else model_type_domain(versions, deployments)
+    active = active if active is not None else active_versions(versions, deployments)
+    act = active.select("model_type", F.col("id").alias("active_version_id"))
+    relevant = metrics_of(metrics.where(F.col("metric_name") == metric_name), active.select("id"))
+    m = latest_version_metrics(relevant, "test").select(
         F.col("model_version_id").alias("active_version_id"), F.col("metric_value").alias("value"))
     j = domain.join(act, "model_type", "left").join(m, "active_version_id", "left")
     degraded = F.coalesce(F.col("value") < F.lit(threshold), F.lit(False))
@@ -175,12 +183,16 @@ def metric_degradation(versions: DataFrame, deployments: DataFrame, metrics: Dat
 
 def health_report(versions: DataFrame, deployments: DataFrame, metrics: DataFrame, history: DataFrame,
                   as_of: str | None = None) -> DataFrame:
-    """Staleness, drift and degradation per model type; unhealthy if any."""
-    domain = model_type_domain(versions, deployments)
-    st = model_staleness(versions, deployments, as_of).select(
+    """Staleness, drift and degradation per model type; unhealthy if any.
+
+    The model-type domain and the active versions (one row per type) are
+    materialised once and shared by the three checks."""
+    domain = materialize(model_type_domain(versions, deployments), "model_types")
+    active = materialize(active_versions(versions, deployments), "active_versions")
+    st = model_staleness(versions, deployments, as_of, active=active, domain=domain).select(
         "model_type", "is_stale", F.col("message").alias("staleness_message"))
     dr = drift_by_type(prediction_drift(history, versions), domain)
-    dg = metric_degradation(versions, deployments, metrics).select(
+    dg = metric_degradation(versions, deployments, metrics, active=active, domain=domain).select(
         "model_type", "is_degraded", F.col("value").alias("degradation_value"),
         F.col("threshold").alias("degradation_threshold"), F.col("metric").alias("degradation_metric"))
     j = st.join(dr, "model_type").join(dg, "model_type")

@@ -16,6 +16,7 @@ from voxlens.config import PROMOTION_THRESHOLD, VERSION_HISTORY_LIMIT, VERSION_N
 from voxlens.functions.scalars import relative_improvement, version_major
 from voxlens.functions.time import as_of_lit
 from voxlens.operators.sinks import upsert
+from voxlens.session import materialize
 
 VERSION_COLS = ("id", "model_type", "version", "status", "created_at", "hyperparameters")
 
@@ -92,9 +93,20 @@ def comparison_pairs(versions: DataFrame, deployments: DataFrame) -> DataFrame:
     return newest.join(active, "model_type", "left")
 
 
+def metrics_of(metrics: DataFrame, version_ids: DataFrame) -> DataFrame:
+    """Restrict the metrics log to the given version ids *before* any
+    aggregation (a semi join; the id list has at most two rows per model type
+    and is broadcast by the planner's size check when small)."""
+    ids = version_ids.select(F.col("id").alias("_vid")).where(F.col("_vid").isNotNull()).distinct()
+    return metrics.join(ids, F.col("model_version_id") == F.col("_vid"), "left_semi")
+
+
 def version_improvements(pairs: DataFrame, metrics: DataFrame) -> DataFrame:
     """J3 + X19: metrics of both versions aligned by name, a missing side = 0."""
-    latest = latest_version_metrics(metrics, "test").select("model_version_id", "metric_name", "metric_value")
+    ids = pairs.select(F.col("new_version_id").alias("id")).unionByName(
+        pairs.select(F.col("previous_version_id").alias("id")))
+    latest = latest_version_metrics(metrics_of(metrics, ids), "test").select(
+        "model_version_id", "metric_name", "metric_value")
     prev = pairs.where(F.col("previous_version_id").isNotNull()).join(
         latest.withColumnRenamed("model_version_id", "previous_version_id")
         .withColumnRenamed("metric_value", "prev_value"), "previous_version_id")
@@ -112,8 +124,13 @@ def version_improvements(pairs: DataFrame, metrics: DataFrame) -> DataFrame:
 def promotion_decisions(versions: DataFrame, deployments: DataFrame, metrics: DataFrame,
                         threshold: float = PROMOTION_THRESHOLD) -> DataFrame:
     """L7 + A19: promote when the mean improvement is strictly above the
-    threshold (no metrics: mean 0); with no active version, always promote."""
-    pairs = comparison_pairs(versions, deployments)
+    threshold (no metrics: mean 0); with no active version, always promote.
+
+    The (candidate, active) pairs -- one row per model type -- are
+    materialised once and reused by every branch instead of re-deriving them
+    from the version log in each.
+    """
+    pairs = materialize(comparison_pairs(versions, deployments), "comparison_pairs")
     imp = version_improvements(pairs, metrics).groupBy("model_type").agg(
         F.avg("improvement").alias("avg_improvement"), F.count(F.lit(1)).alias("n_metrics"),
         F.to_json(F.map_from_entries(F.sort_array(F.collect_list(F.struct("metric_name", "improvement")))))
