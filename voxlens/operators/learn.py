@@ -23,6 +23,7 @@ from voxlens.config import (
     LABEL_SQUASH_SLOPE,
     LABEL_THRESHOLD,
     LABEL_WEIGHTS,
+    MIN_TRAINING_ACCOUNTS,
     SMALL_MINORITY,
     SMALL_TEST_SIZE,
 )
@@ -162,3 +163,24 @@ def predict_churn(model, scaled: DataFrame, keep=("account_id",)) -> DataFrame:
     out = model.transform(scaled)
     return out.select(*[c for c in keep if c in scaled.columns],
                       vector_to_array("probability")[1].alias("churn_probability"))
+
+
+def training_run_record(split: DataFrame, label: str = "churned", min_accounts: int = MIN_TRAINING_ACCOUNTS) -> DataFrame:
+    """L4 + M6: the run record of a training job, one row: class balance,
+    split sizes and the status the minimum-sample guard implies (fewer than
+    ``min_accounts`` accounts, or none, fails the run with zero samples)."""
+    a = split.agg(
+        F.count(F.lit(1)).alias("n_accounts"),
+        F.coalesce(F.sum(label), F.lit(0)).cast("long").alias("positives"),
+        F.count_if(F.col("is_test")).alias("test_n"))
+    n = F.col("n_accounts")
+    failed = n < F.lit(min_accounts)
+    error = (F.when(n == 0, F.lit("No data available for training. Ensure feedback_enriched table has data."))
+             .when(failed, F.concat(F.lit("Insufficient data for training: "), n.cast("string"),
+                                    F.lit(f" accounts (minimum {min_accounts} required)"))))
+    return a.select(
+        "n_accounts", "positives", (n - F.col("positives")).alias("negatives"),
+        F.when(failed, F.lit("failed")).otherwise(F.lit("completed")).alias("status"),
+        F.when(failed, F.lit(0).cast("long")).otherwise(n - F.col("test_n")).alias("training_samples"),
+        F.when(failed, F.lit(0).cast("long")).otherwise(F.col("test_n")).alias("test_samples"),
+        error.alias("error_message"))

@@ -210,3 +210,10 @@ def health_alerts(report: DataFrame) -> DataFrame:
             F.lit("DEGRADATION: "), F.col("degradation_metric"), F.lit(" is "), percent_2dp("degradation_value"),
             F.lit(" (threshold: "), percent_2dp("degradation_threshold"), F.lit(")"))))
     return report.where(F.col("overall_health") == "unhealthy").select("model_type", text.alias("alert"))
+
+
+def data_freshness_log(decisions: DataFrame, as_of: str | None = None) -> DataFrame:
+    """S5 (L3's log): the rows a retrain check appends, every column filled."""
+    return decisions.where("logged").select(
+        "model_type", as_of_lit(as_of).alias("check_timestamp"), "last_training_date", "latest_feedback_date",
+        F.col("new_records").alias("new_feedback_count"), "percent_new_data", "decision_to_retrain", "reason")

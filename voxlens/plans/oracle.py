@@ -264,16 +264,18 @@ FROM area_scored""", "area_scored")
 
 
 # ----------------------------------------------------------------- account scoring
-def _standardize(src: str, cols=ACCOUNT_MATRIX_COLS) -> str:
+def _standardize(src: str, cols=ACCOUNT_MATRIX_COLS, keys=("account_id",)) -> str:
     stats = ", ".join(f"AVG({c}) AS mean_{c}, stddev_pop({c}) AS std_{c}" for c in cols)
     z = ",\n  ".join(
         f"(m.{c} - s.mean_{c}) / (CASE WHEN s.std_{c} IS NULL OR s.std_{c} < 1e-12 THEN 1.0 ELSE s.std_{c} END) AS {c}"
         for c in cols)
     mcols = ", ".join(f"COALESCE({c}, 0) AS {c}" for c in cols)
+    k = ", ".join(keys)
+    mk = ", ".join(f"m.{c}" for c in keys)
     return f"""
-SELECT m.account_id,
+SELECT {mk},
   {z}
-FROM (SELECT account_id, {mcols} FROM {src}) m
+FROM (SELECT {k}, {mcols} FROM {src}) m
 CROSS JOIN (SELECT {stats} FROM (SELECT {mcols} FROM {src}) x) s"""
 
 

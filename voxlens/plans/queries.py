@@ -652,7 +652,7 @@ def version_status(t):
 
 
 # ------------------------------------------------------------------ L3, L8-L11
-@register("retrain_decisions", O.build(f"""
+O.cte("retrain", f"""
 SELECT model_type, last_training_date, latest_feedback_date, total_count, new_records,
   CASE WHEN no_data THEN NULL ELSE pct END AS percent_new_data,
   CASE WHEN first THEN NULL ELSE days END AS days_since_training,
@@ -681,7 +681,10 @@ FROM (SELECT *, CAST(c_days AS INTEGER) + CAST(c_new AS INTEGER) + CAST(c_pct AS
                         FROM (SELECT model_type, MAX(created_at) AS last_training_date
                               FROM model_versions GROUP BY model_type) l
                         CROSS JOIN (SELECT COUNT(*) AS total_count, MAX(created_at) AS latest_feedback_date
-                                    FROM feedback_enriched) t) a) b) c) d""", "model_versions", "feedback_enriched"))
+                                    FROM feedback_enriched) t) a) b) c) d""", "model_versions", "feedback_enriched")
+
+
+@register("retrain_decisions", O.build("SELECT * FROM retrain", "retrain"))
 def retrain_decisions(t):
     """L3: retrain decision and reason for every model type, one fact scan."""
     return mon.retrain_decisions(t.feedback, t.model_versions)
@@ -816,3 +819,51 @@ def table_status(t):
         "model_deployments": t.model_deployments,
         "prediction_distribution_history": t.prediction_history,
     })
+
+
+# ------------------------------------------------------------------ L4/M6, S5, D1
+@register("training_run", O.build("""
+SELECT n_accounts, positives, n_accounts - positives AS negatives,
+  CASE WHEN n_accounts < 5 THEN 'failed' ELSE 'completed' END AS status,
+  CASE WHEN n_accounts < 5 THEN CAST(0 AS BIGINT) ELSE n_accounts - test_n END AS training_samples,
+  CASE WHEN n_accounts < 5 THEN CAST(0 AS BIGINT) ELSE test_n END AS test_samples,
+  CASE WHEN n_accounts = 0 THEN 'No data available for training. Ensure feedback_enriched table has data.'
+       WHEN n_accounts < 5 THEN 'Insufficient data for training: ' || CAST(n_accounts AS VARCHAR)
+                                || ' accounts (minimum 5 required)' END AS error_message
+FROM (SELECT COUNT(*) AS n_accounts, CAST(COALESCE(SUM(churned), 0) AS BIGINT) AS positives,
+             COUNT(*) FILTER (WHERE is_test) AS test_n FROM split_user) t""", "split_user"))
+def training_run(t):
+    """L4 + M6: training run record with the minimum-sample guard."""
+    return ln.training_run_record(_split(t))
+
+
+@register("data_freshness_log", O.build(f"""
+SELECT model_type, {O.AS_OF} AS check_timestamp, last_training_date, latest_feedback_date,
+  new_records AS new_feedback_count, percent_new_data, decision_to_retrain, reason
+FROM retrain WHERE logged""", "retrain"))
+def data_freshness_log(t):
+    """Freshness-log rows appended by the retrain check (all columns filled)."""
+    return mon.data_freshness_log(mon.retrain_decisions(t.feedback, t.model_versions))
+
+
+O.cte("acct_scaled_tier", O._standardize("acct_features_tier", keys=("account_id", "region")), "acct_features_tier")
+O.cte("acct_scores_tier", f"""
+SELECT account_id, region, churn_probability, (1.0 - churn_probability) * 100 AS health_score,
+  {O.churn_bucket_sql('churn_probability')} AS risk_category, {O.AS_OF} AS predicted_at, 'v1' AS model_version
+FROM (SELECT account_id, region, 1.0 / (1.0 + exp(-logit)) AS churn_probability
+      FROM (SELECT account_id, region, {O._logit_expr()} AS logit FROM acct_scaled_tier) a) b""",
+      "acct_scaled_tier")
+
+
+@register("account_risk_scores_tier", O.build(f"""
+SELECT account_id, region, {O.r6('churn_probability')} AS churn_probability, {O.r6('health_score')} AS health_score,
+  risk_category, predicted_at, model_version
+FROM (SELECT *, row_number() OVER (PARTITION BY account_id
+        ORDER BY churn_probability DESC, region IS NULL, region DESC) AS rn FROM acct_scores_tier) t
+WHERE rn = 1""", "acct_scores_tier"))
+def account_risk_scores_tier(t):
+    """L1 at the reference grain (tier, region), collapsed to one row per
+    account id deterministically (D1: highest probability, region desc, NULL last)."""
+    s = sc.one_row_per_account(sc.account_risk_scores(t.feedback, grain="tier"))
+    return round6(s.select("account_id", "region", "churn_probability", "health_score", "risk_category",
+                           "predicted_at", "model_version"), "churn_probability", "health_score")
