@@ -21,6 +21,7 @@ from voxlens.config import (
 )
 from voxlens.functions.scalars import indicator, smoothed_ratio, tier_code
 from voxlens.functions.time import as_of_lit, days_before, whole_days
+from voxlens.session import materialize
 
 GRAINS = {
     # account id = tier, one row per (tier, region): the reference's grain.
@@ -77,13 +78,21 @@ def region_codes(df: DataFrame, column: str = "region") -> DataFrame:
 
 
 def account_features(feedback: DataFrame, as_of: str | None = None, lookback_days: int = LOOKBACK_DAYS,
-                     grain: str = "tier", account_id: str | None = None) -> DataFrame:
+                     grain: str = "tier", account_id: str | None = None, materialize_base: bool = True) -> DataFrame:
     """A1 + X1-X5 + W7. ``account_id`` (P2) filters after the aggregate, as a
     group-key predicate that Catalyst pushes below the group-by; region codes
-    are then computed over the rows that remain (reference behaviour)."""
+    are then computed over the rows that remain (reference behaviour).
+
+    The region-code domain is derived from the aggregated table itself, so
+    the A1 aggregate has two consumers; it is written once
+    (``materialize_base``) so the fact scan, join and aggregation run once,
+    and every later pass (code table, scaler statistics) reads that file.
+    """
     base = account_base_features(feedback, as_of, lookback_days, grain)
     if account_id is not None:
         base = base.filter(F.col("account_id") == F.lit(account_id))
+    if materialize_base:
+        base = materialize(base, f"account_base_{grain}")
     derived = base.select(
         "*",
         smoothed_ratio("negative_feedback", "total_feedback").alias("negative_ratio"),

@@ -168,12 +168,18 @@ def deploy_versions(deployments: DataFrame, patch: DataFrame, as_of: str | None
 
 def version_status_after_deploy(versions: DataFrame, new_deployments: DataFrame) -> DataFrame:
     """The newly active versions become ``active``, the ones they replace
-    ``inactive``; other rows keep their status."""
+    ``inactive``; other rows keep their status.
+
+    The patch has at most two rows per model type, so it is applied with a
+    left join (the planner broadcasts it after its size check) rather than a
+    full outer upsert that would shuffle the whole version log.
+    """
     act = new_deployments.where(F.col("deployed_at").isNotNull())
     on = act.select(F.col("active_version_id").alias("id"), F.lit("active").alias("new_status"))
     off = act.where(F.col("previous_version_id").isNotNull()).select(
         F.col("previous_version_id").alias("id"), F.lit("inactive").alias("new_status"))
-    # A version both replaced and re-deployed stays active.
-    patch = on.unionByName(off).groupBy("id").agg(F.min("new_status").alias("status"))
-    return upsert(versions, versions.drop("status").join(patch, "id").select(*versions.columns),
-                  ["id"], ["status"])
+    # A version both replaced and re-deployed stays active ("active" < "inactive").
+    patch = on.unionByName(off).groupBy("id").agg(F.min("new_status").alias("new_status"))
+    return versions.join(patch, "id", "left").select(
+        *[F.coalesce("new_status", "status").alias("status") if c == "status" else F.col(c)
+          for c in versions.columns])

@@ -25,7 +25,6 @@ from voxlens.config import (
 from voxlens.functions.scalars import area_bin, churn_bucket, logistic, min_max
 from voxlens.functions.time import as_of_lit
 from voxlens.operators.features import account_features, area_features, feature_matrix
-from voxlens.session import materialize
 
 NORMALISED = [c for _, c, _ in AREA_WEIGHTS if c != "enterprise_flag"]
 WEIGHT_NAMES = [name for name, _, _ in AREA_WEIGHTS]
@@ -90,8 +89,8 @@ def standardize(matrix: DataFrame, feature_cols=ACCOUNT_FEATURE_COLS, keys=("acc
 
     ``stats`` (a one-row frame of ``mean_c``/``std_c``) is the fitted scaler;
     when absent it is fitted on ``matrix`` itself -- a second pass over
-    ``matrix``, so callers pass a materialised table (see
-    ``account_risk_scores``), never a plan that re-aggregates facts.
+    ``matrix``, so callers pass a plan over a materialised table (see
+    ``account_features``), never one that re-aggregates facts.
     """
     cols = [c for c in feature_cols if c in matrix.columns]
     if stats is None:
@@ -141,7 +140,8 @@ def account_risk_scores(feedback: DataFrame, as_of: str | None = None, lookback_
     ``one_row_per_account`` for its deterministic collapse).
     """
     keys = ("account_id", "region") if grain == "tier" else ("account_id",)
-    feats = materialize(account_features(feedback, as_of, lookback_days, grain), "account_features")
+    # account_features writes the A1 aggregate once; both scaler passes read it.
+    feats = account_features(feedback, as_of, lookback_days, grain)
     scaled = standardize(feature_matrix(feats, keys=keys), keys=keys, stats=scaler)
     probs = with_health_and_bucket(score_accounts_linear(scaled, keys=keys))
     return probs.select(

@@ -149,12 +149,9 @@ def _split(t):
 
 
 def _user_features(t):
-    """Per-user account features, materialised once per query build."""
-    from voxlens.session import materialize
-
+    """Per-user account features (A1 aggregate written once per query build)."""
     if "_user_features" not in t.__dict__:
-        t.__dict__["_user_features"] = materialize(
-            feat.account_features(t.feedback, grain="user"), "account_features")
+        t.__dict__["_user_features"] = feat.account_features(t.feedback, grain="user")
     return t.__dict__["_user_features"]
 
 

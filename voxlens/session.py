@@ -30,6 +30,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir is not set: name a shared folder (HDFS/S3/...) for "
+                         "materialised stages; a machine-local folder is not safe on a cluster")
     local = tempfile.mkdtemp(prefix="voxlens-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
@@ -57,14 +60,13 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 
 
 def materialize(df, name: str = "stage"):
-    """Write ``df`` once as parquet under the shared checkpoint folder and read
-    it back: cuts lineage (a lost executor does not recompute upstream
-    stages) and lets several consumers share one computation. One job, no
-    recomputation (unlike RDD checkpointing of an unpersisted plan)."""
-    import uuid
+    """Compute ``df`` once into the shared checkpoint folder
+    (``spark.checkpoint.dir``) and return a DataFrame over the saved data.
 
-    spark = df.sparkSession
-    base = checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/voxlens-materialized/{name}-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    A reliable, eager ``checkpoint``: one job writes the partitions, lineage is
+    cut (a lost executor re-reads the files instead of recomputing upstream
+    stages) and several consumers share one computation. ``name`` only labels
+    the call site.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
