@@ -20,22 +20,33 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # e.g. Spark Connect: no driver-side context handle
+        return None
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
     Only when the setting is absent (local tests) a scratch folder is created
     and registered; on a cluster the configured shared folder is always used.
     """
+    sc = _context(spark)
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        spark.sparkContext.setCheckpointDir(configured)
+        if sc is not None and sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(configured)
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not master.startswith("local"):
         raise ValueError("spark.checkpoint.dir is not set: name a shared folder (HDFS/S3/...) for "
                          "materialised stages; a machine-local folder is not safe on a cluster")
     local = tempfile.mkdtemp(prefix="voxlens-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
+    if sc is not None:
+        sc.setCheckpointDir(local)
     return local
 
 

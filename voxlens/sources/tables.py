@@ -51,6 +51,13 @@ def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str |
 _READ_CACHE: dict[tuple[str, str, str], DataFrame] = {}
 
 
+def _session_key(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # no driver-side context (Spark Connect)
+        return str(id(spark))
+
+
 class Tables:
     """Lazy handle on the base tables of one dataset root.
 
@@ -65,7 +72,7 @@ class Tables:
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in BASE_TABLES:
-            key = (self.spark.sparkContext.applicationId, self.root, name)
+            key = (_session_key(self.spark), self.root, name)
             if self.refresh or key not in _READ_CACHE:
                 _READ_CACHE[key] = read_table(self.spark, self.root, name)
             df = _READ_CACHE[key]
