@@ -286,3 +286,23 @@ def test_noise_free_labels(spark):
     assert r.churn_score == pytest.approx(1.0)
     assert r.churn_prob == pytest.approx(1 / (1 + math.exp(-2.5)))
     assert r.churned == 1
+
+
+@pytest.mark.parametrize("buckets,test_size", [(4, 0.8), (1, 0.3), (4096, 0.2), (7, 0.0), (7, 1.0)])
+def test_exact_split_matches_brute_force(spark, buckets, test_size):
+    import hashlib
+
+    rows = [(f"acct{i}", int(i % 3 == 0)) for i in range(120)]
+    df = spark.createDataFrame(rows, "account_id string, churned int")
+    got = {r.account_id: r.is_test for r in
+           learn.stratified_split_exact(df, test_size, buckets=buckets).collect()}
+
+    def u(k):
+        return (int(hashlib.md5(f"split:{k}".encode()).hexdigest()[:8], 16) + 0.5) / 2 ** 32
+
+    want = {}
+    for c in (0, 1):
+        members = sorted((u(k), k) for k, y in rows if y == c)
+        take = math.floor(test_size * len(members) + 0.5)
+        want.update({k: i < take for i, (_, k) in enumerate(members)})
+    assert got == want

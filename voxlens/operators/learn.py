@@ -71,6 +71,46 @@ def stratified_split(labels: DataFrame, test_size: float | None = None, key: str
     return with_ts.withColumn("is_test", uniform(F.col(key), salt) < F.col("test_size")).drop("test_size")
 
 
+SPLIT_BUCKETS = 4096
+
+
+def stratified_split_exact(labels: DataFrame, test_size: float | None = None, key: str = "account_id",
+                           label: str = "churned", salt: str = "split", buckets: int = SPLIT_BUCKETS) -> DataFrame:
+    """M3, exact per-class counts: in each class the ``round(test_size * n_c)``
+    rows with the smallest key hash ``u`` (ties by key) form the test set.
+
+    No per-class window over the data (a class can be half of all rows):
+    ``u`` is histogrammed into ``buckets`` ranges per class (a partial
+    aggregate, <= 2 x buckets rows), a running count over that small
+    histogram finds the boundary bucket of each class, rows below it are
+    test and above it train, and only the rows of the boundary bucket
+    (about n_c / buckets of them) are ranked.
+    """
+    u = uniform(F.col(key), salt)
+    data = labels.withColumn("_u", u).withColumn("_b", F.floor(F.col("_u") * buckets).cast("int"))
+    if test_size is None:
+        ts = class_balance(labels, label).select("test_size")
+    else:
+        ts = labels.sparkSession.range(1).select(F.lit(float(test_size)).alias("test_size"))
+    hist = data.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(label).orderBy("_b")  # <= `buckets` rows per class
+    cum = hist.select(label, "_b", "_n", F.sum("_n").over(w).alias("_upto"),
+                      F.sum("_n").over(Window.partitionBy(label)).alias("_nc"))
+    target = cum.crossJoin(F.broadcast(ts)).select(  # one-row side
+        label, "_b", "_n", (F.col("_upto") - F.col("_n")).alias("_before"),
+        F.floor(F.col("test_size") * F.col("_nc") + F.lit(0.5)).cast("long").alias("_t"))
+    # Boundary bucket: where the running count first reaches the class target.
+    boundary = (target.where((F.col("_before") < F.col("_t")) & (F.col("_before") + F.col("_n") >= F.col("_t")))
+                .select(label, F.col("_b").alias("_edge_b"), (F.col("_t") - F.col("_before")).alias("_take")))
+    tagged = data.join(F.broadcast(boundary), label, "left")  # <= 2 rows
+    in_edge = F.col("_b") == F.col("_edge_b")
+    rank = F.row_number().over(Window.partitionBy(label, "_b").orderBy("_u", key))
+    below = F.col("_edge_b").isNotNull() & (F.col("_b") < F.col("_edge_b"))
+    edge_rows = tagged.where(in_edge).withColumn("is_test", rank <= F.col("_take"))
+    rest = tagged.where(~in_edge | F.col("_edge_b").isNull()).withColumn("is_test", F.coalesce(below, F.lit(False)))
+    return edge_rows.unionByName(rest).drop("_u", "_b", "_edge_b", "_take")
+
+
 def prediction_distribution(preds: DataFrame, prob: str = "churn_probability") -> DataFrame:
     """A10: mean and *population* std of predictions, as metric rows."""
     a = preds.agg(F.avg(prob).alias("m"), F.stddev_pop(prob).alias("s"), F.count(F.lit(1)).alias("n"))

@@ -864,3 +864,17 @@ def account_risk_scores_tier(t):
     s = sc.one_row_per_account(sc.account_risk_scores(t.feedback, grain="tier"))
     return round6(s.select("account_id", "region", "churn_probability", "health_score", "risk_category",
                            "predicted_at", "model_version"), "churn_probability", "health_score")
+
+
+O.cte("split_exact_user", f"""
+SELECT l.*, row_number() OVER (PARTITION BY l.churned
+                               ORDER BY {O.keyed_uniform('l.account_id', 'split')}, l.account_id)
+         <= CAST(floor(cb.test_size * COUNT(*) OVER (PARTITION BY l.churned) + 0.5) AS BIGINT) AS is_test
+FROM labels_user l CROSS JOIN class_balance cb""", "labels_user", "class_balance")
+
+
+@register("stratified_split_exact", O.build(
+    "SELECT account_id, churned, is_test FROM split_exact_user", "split_exact_user"))
+def stratified_split_exact(t):
+    """M3 exact mode: per class, the round(test_size * n_c) smallest key hashes."""
+    return ln.stratified_split_exact(_labels(t)).select("account_id", "churned", "is_test")
