@@ -306,3 +306,56 @@ def test_exact_split_matches_brute_force(spark, buckets, test_size):
         take = math.floor(test_size * len(members) + 0.5)
         want.update({k: i < take for i, (_, k) in enumerate(members)})
     assert got == want
+
+
+# ------------------------------------------------------------------ reports
+def test_category_distribution_counts_null_in_total(spark):
+    from voxlens.operators import reports
+
+    df = spark.createDataFrame([("low",), ("low",), ("critical",), (None,)], "risk_category string")
+    got = {r.risk_category: (r["count"], r.percent, r.category_order)
+           for r in reports.category_distribution(df).collect()}
+    assert got == {"low": (2, 50.0, 0), "critical": (1, 25.0, 3)}
+
+
+def test_prediction_freshness_boundary(spark):
+    from voxlens.operators import reports
+
+    schema = "account_id string, predicted_at timestamp_ntz"
+    fresh = spark.createDataFrame([("a", TS(2024, 1, 29, 23, 0))], schema)   # exactly 25 h old: not stale
+    stale = spark.createDataFrame([("a", TS(2024, 1, 29, 22, 59))], schema)  # older than 25 h
+    empty = spark.createDataFrame([], schema)
+    assert not reports.prediction_freshness(fresh, "t").first().is_stale
+    assert reports.prediction_freshness(stale, "t").first().is_stale
+    e = reports.prediction_freshness(empty, "t").first()
+    assert e.total_predictions == 0 and e.latest_prediction is None and e.is_stale
+
+
+def test_ml_insights_without_areas(spark):
+    from voxlens.operators import reports
+
+    scores = spark.createDataFrame([("a", "high"), ("b", "low"), ("c", "critical")],
+                                   "account_id string, risk_category string")
+    areas = spark.createDataFrame([], "product_area string, segment string, priority_score double")
+    r = reports.ml_insights(scores, areas).collect()
+    assert len(r) == 1 and r[0].high_risk_accounts == 2 and r[0].top_priority_area is None
+
+
+def test_feedback_profile_percent_sums(spark):
+    from voxlens.operators import reports
+
+    rows = [("positive", "billing", 1), ("negative", "billing", 5), ("negative", "ui_ux", 5), (None, "ui_ux", 2)]
+    df = spark.createDataFrame(rows, "sentiment string, product_area string, priority int")
+    out = reports.feedback_profile(df).collect()
+    for dim in ("sentiment", "product_area", "priority"):
+        part = [r for r in out if r.dimension == dim]
+        assert sum(r["count"] for r in part) == 4
+        assert sum(r.percent for r in part) == pytest.approx(100.0)
+    assert {(r.value, r["count"]) for r in out if r.dimension == "priority"} == {("1", 1), ("5", 2), ("2", 1)}
+
+
+def test_top_n_ties_by_key(spark):
+    from voxlens.operators import reports
+
+    df = spark.createDataFrame([("b", 0.9), ("a", 0.9), ("c", 0.1)], "account_id string, churn_probability double")
+    assert [r.account_id for r in reports.top_risk_accounts(df, 2).collect()] == ["a", "b"]
