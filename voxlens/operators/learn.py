@@ -224,3 +224,16 @@ def training_run_record(split: DataFrame, label: str = "churned", min_accounts:
         F.when(failed, F.lit(0).cast("long")).otherwise(n - F.col("test_n")).alias("training_samples"),
         F.when(failed, F.lit(0).cast("long")).otherwise(F.col("test_n")).alias("test_samples"),
         error.alias("error_message"))
+
+
+def save_model(model, path: str) -> str:
+    """Persist a fitted pipeline (overwrites only its own directory)."""
+    model.write().overwrite().save(path)
+    return path
+
+
+def load_model(path: str):
+    """Load a pipeline saved by ``save_model``."""
+    from pyspark.ml import PipelineModel
+
+    return PipelineModel.load(path)
