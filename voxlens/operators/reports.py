@@ -64,6 +64,22 @@ def mean_by(scored: DataFrame, key: str, value: str = "priority_score") -> DataF
             .orderBy(F.col(f"avg_{value}").desc(), key))
 
 
+def mean_by_dimensions(scored: DataFrame, keys=("product_area", "segment"), value: str = "priority_score") -> DataFrame:
+    """A7, both reports in one pass: ``GROUPING SETS ((k1), (k2), ...)`` ->
+    ``(dimension, value, avg_<value>)``."""
+    keys = list(keys)
+    grouped = scored.groupingSets([[k] for k in keys], *keys).agg(
+        F.grouping_id().alias("gid"), F.avg(value).alias(f"avg_{value}"))
+    n = len(keys)
+    dim = val = None
+    for i, k in enumerate(keys):
+        gid = (1 << n) - 1 - (1 << (n - 1 - i))  # every key aggregated except k
+        cond = F.col("gid") == gid
+        dim = F.when(cond, F.lit(k)) if dim is None else dim.when(cond, F.lit(k))
+        val = F.when(cond, F.col(k).cast("string")) if val is None else val.when(cond, F.col(k).cast("string"))
+    return grouped.select(dim.alias("dimension"), val.alias("value"), f"avg_{value}")
+
+
 def area_summary(scored: DataFrame) -> DataFrame:
     """Totals of the area scoring run (one row)."""
     return scored.agg(

@@ -878,3 +878,13 @@ FROM labels_user l CROSS JOIN class_balance cb""", "labels_user", "class_balance
 def stratified_split_exact(t):
     """M3 exact mode: per class, the round(test_size * n_c) smallest key hashes."""
     return ln.stratified_split_exact(_labels(t)).select("account_id", "churned", "is_test")
+
+
+@register("priority_rollup", O.build(f"""
+SELECT CASE GROUPING_ID(product_area, segment) WHEN 1 THEN 'product_area' ELSE 'segment' END AS dimension,
+  CASE GROUPING_ID(product_area, segment) WHEN 1 THEN product_area ELSE segment END AS value,
+  {O.r6('AVG(priority_score)')} AS avg_priority_score
+FROM product_area_impact GROUP BY GROUPING SETS ((product_area), (segment))""", "product_area_impact"))
+def priority_rollup(t):
+    """Mean priority by area and by segment in one GROUPING SETS pass."""
+    return round6(rp.mean_by_dimensions(sc.product_area_impact(t.feedback)), "avg_priority_score")
