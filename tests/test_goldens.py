@@ -359,3 +359,20 @@ def test_top_n_ties_by_key(spark):
 
     df = spark.createDataFrame([("b", 0.9), ("a", 0.9), ("c", 0.1)], "account_id string, churn_probability double")
     assert [r.account_id for r in reports.top_risk_accounts(df, 2).collect()] == ["a", "b"]
+
+
+def test_standardize_zero_variance_divides_by_one(spark):
+    df = spark.createDataFrame([("a", 5, 1.0), ("b", 5, 3.0)], "account_id string, total_feedback long, avg_priority double")
+    out = {r.account_id: (r.total_feedback, r.avg_priority) for r in scoring.standardize(df).collect()}
+    assert out == {"a": (0.0, -1.0), "b": (0.0, 1.0)}  # population std of (1, 3) is 1
+
+
+def test_all_null_region_codes_minus_one(spark):
+    from voxlens.operators import features as feat
+
+    rows = [(1, TS(2024, 1, 20), "negative", 5, "billing", None, "pro"),
+            (2, TS(2024, 1, 25), "positive", 1, "ui_ux", None, "free")]
+    fb = spark.createDataFrame(rows, "user_id long, created_at timestamp_ntz, sentiment string, priority int, "
+                                     "product_area string, region string, customer_tier string")
+    out = feat.account_features(fb, grain="user").collect()
+    assert sorted((r.account_id, r.region_encoded, r.tier_encoded) for r in out) == [("1", -1, 1), ("2", -1, 0)]
