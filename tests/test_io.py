@@ -54,3 +54,16 @@ def test_feature_matrix_skips_missing_columns(spark):
     present = [c for c in ACCOUNT_FEATURE_COLS if c in ("total_feedback", "negative_ratio")]
     assert m.columns == ["account_id", *present]
     assert m.first().negative_ratio == 0.0
+
+
+def test_date_partitioned_facts_prune_and_match(spark):
+    t = Tables(spark, SMALL)
+    path = os.path.join(tempfile.mkdtemp(prefix="voxlens-facts-"), "feedback")
+    sinks.write_feedback(t.feedback, path)
+    stored = spark.read.parquet(path)
+    filtered = feat.lookback(stored)
+    plan = filtered._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(created_date" in plan and "created_date#" in plan
+    a = feat.area_features(stored).drop("created_date")
+    b = feat.area_features(t.feedback)
+    assert sorted(a.collect()) == sorted(b.select(*a.columns).collect())

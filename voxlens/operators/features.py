@@ -32,8 +32,16 @@ GRAINS = {
 
 
 def lookback(feedback: DataFrame, as_of: str | None = None, lookback_days: int = LOOKBACK_DAYS) -> DataFrame:
-    """``created_at >= as_of - lookback`` (inclusive); pushed into the scan."""
-    return feedback.filter(F.col("created_at") >= days_before(as_of, lookback_days))
+    """``created_at >= as_of - lookback`` (inclusive); pushed into the scan.
+
+    When the facts are stored partitioned by ``created_date``
+    (``sinks.write_feedback``), the implied ``created_date >= date(cutoff)``
+    is added so the scan prunes whole partitions outside the window.
+    """
+    cutoff = days_before(as_of, lookback_days)
+    if "created_date" in feedback.columns:
+        feedback = feedback.filter(F.col("created_date") >= F.to_date(cutoff))
+    return feedback.filter(F.col("created_at") >= cutoff)
 
 
 def _common_aggs(as_of, prefix_total: str):

@@ -130,6 +130,19 @@ def write_snapshot(df: DataFrame, base_path: str, table: str, snapshot_id: str,
     return path
 
 
+def write_feedback(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
+    """Store the feedback facts partitioned by ``created_date`` so lookback
+    filters prune partitions (see ``features.lookback``).
+
+    Rows are clustered by date with a ``REBALANCE`` hint rather than a plain
+    ``repartition``: each task writes few date directories, and AQE splits a
+    hot date (a third of the rows) across tasks instead of one writer."""
+    (df.withColumn("created_date", F.to_date("created_at"))
+     .hint("rebalance", "created_date")
+     .write.mode(mode).partitionBy("created_date").parquet(path))
+    return path
+
+
 def append_log(df: DataFrame, base_path: str, table: str, partition_by=None) -> str:
     """Append-only log table (registry logs) as partitioned parquet."""
     path = f"{base_path.rstrip('/')}/{table}"
