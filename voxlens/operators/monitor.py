@@ -217,3 +217,23 @@ def data_freshness_log(decisions: DataFrame, as_of: str | None = None) -> DataFr
     return decisions.where("logged").select(
         "model_type", as_of_lit(as_of).alias("check_timestamp"), "last_training_date", "latest_feedback_date",
         F.col("new_records").alias("new_feedback_count"), "percent_new_data", "decision_to_retrain", "reason")
+
+
+def training_plan(decisions: DataFrame, next_versions: DataFrame, as_of: str | None = None,
+                  models_dir: str = "models") -> DataFrame:
+    """L3 + L6 + S5: the version rows a scheduled run would create -- one per
+    model type whose retrain decision is positive, numbered by L6, with the
+    artifact paths stored on the row (D7) and ``status='training'``."""
+    todo = decisions.where("decision_to_retrain").select("model_type", "reason")
+    nv = next_versions.select("model_type", "next_version")
+    base = F.concat(F.lit(f"{models_dir.rstrip('/')}/"), F.col("model_type"), F.lit("_model_"), F.col("next_version"))
+    return todo.join(nv, "model_type", "left").select(
+        "model_type",
+        F.coalesce("next_version", F.lit("v1")).alias("version"),
+        F.lit("training").alias("status"),
+        as_of_lit(as_of).alias("created_at"),
+        F.coalesce(base, F.concat(F.lit(f"{models_dir.rstrip('/')}/"), F.col("model_type"), F.lit("_model_v1")))
+        .alias("model_path"),
+        F.concat(F.coalesce(base, F.concat(F.lit(f"{models_dir.rstrip('/')}/"), F.col("model_type"),
+                                             F.lit("_model_v1"))), F.lit("_scaler")).alias("scaler_path"),
+        F.col("reason").alias("description"))

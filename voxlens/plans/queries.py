@@ -888,3 +888,26 @@ FROM product_area_impact GROUP BY GROUPING SETS ((product_area), (segment))""",
 def priority_rollup(t):
     """Mean priority by area and by segment in one GROUPING SETS pass."""
     return round6(rp.mean_by_dimensions(sc.product_area_impact(t.feedback)), "avg_priority_score")
+
+
+O.cte("next_versions", """
+SELECT model_type, COALESCE(MAX(major), 0) AS max_major, 'v' || CAST(COALESCE(MAX(major), 0) + 1 AS VARCHAR)
+  AS next_version
+FROM (SELECT model_type,
+        CASE WHEN regexp_extract(version, '^v?([0-9]+)(\\.|$)', 1) <> ''
+             THEN CAST(regexp_extract(version, '^v?([0-9]+)(\\.|$)', 1) AS BIGINT) END AS major
+      FROM ranked_versions WHERE rn <= 100) t
+GROUP BY model_type""", "ranked_versions")
+
+
+@register("training_plan", O.build(f"""
+SELECT r.model_type, COALESCE(n.next_version, 'v1') AS version, 'training' AS status, {O.AS_OF} AS created_at,
+  'models/' || r.model_type || '_model_' || COALESCE(n.next_version, 'v1') AS model_path,
+  'models/' || r.model_type || '_model_' || COALESCE(n.next_version, 'v1') || '_scaler' AS scaler_path,
+  r.reason AS description
+FROM retrain r LEFT JOIN next_versions n ON r.model_type = n.model_type
+WHERE r.decision_to_retrain""", "retrain", "next_versions"))
+def training_plan(t):
+    """L3 + L6 + S5/D7: version rows a scheduled retrain would create."""
+    decisions = mon.retrain_decisions(t.feedback, t.model_versions)
+    return mon.training_plan(decisions, reg.next_versions(t.model_versions))
