@@ -187,8 +187,10 @@ def health_report(versions: DataFrame, deployments: DataFrame, metrics: DataFram
 
     The model-type domain and the active versions (one row per type) are
     materialised once and shared by the three checks."""
-    domain = materialize(model_type_domain(versions, deployments), "model_types")
-    active = materialize(active_versions(versions, deployments), "active_versions")
+    types = materialize(model_type_domain(versions, deployments).join(
+        active_versions(versions, deployments), "model_type", "left"), "model_types")  # one row per type
+    domain = types.select("model_type")
+    active = types.where(F.col("id").isNotNull())
     st = model_staleness(versions, deployments, as_of, active=active, domain=domain).select(
         "model_type", "is_stale", F.col("message").alias("staleness_message"))
     dr = drift_by_type(prediction_drift(history, versions), domain)
