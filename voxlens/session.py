@@ -79,6 +79,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         # Call-site capture for error messages costs several driver round
         # trips per Column operation; off for tests and benchmarks.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        # materialised stages are reliable checkpoints: delete them once unreferenced
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
