@@ -67,3 +67,15 @@ def test_date_partitioned_facts_prune_and_match(spark):
     a = feat.area_features(stored).drop("created_date")
     b = feat.area_features(t.feedback)
     assert sorted(a.collect()) == sorted(b.select(*a.columns).collect())
+
+
+def test_mlp_variant_fits_and_predicts(spark):
+    t = Tables(spark, SMALL)
+    feats = feat.account_features(t.feedback, grain="user")
+    scaled = scoring.standardize(feat.feature_matrix(feats))
+    labels = learn.synthetic_labels(feats).select("account_id", "churned")
+    data = scaled.join(labels, "account_id")
+    model = learn.fit_churn_classifier(data, kind="mlp")
+    preds = learn.predict_churn(model, data).collect()
+    assert len(preds) == data.count()
+    assert all(0.0 <= r.churn_probability <= 1.0 for r in preds)
