@@ -45,17 +45,24 @@ def _case_map(expr: str, mapping, default_sql: str) -> str:
 
 
 def customer_dimension(t) -> DataFrame:
-    """customer -> (c_custkey, customer_tier, region name).
+    """customer -> (c_custkey, c_mktsegment, r_name), one row per key.
 
     nation and region are fixed-size dimension tables (25 and 5 rows by the
-    TPC-H definition), so broadcasting them is bounded; customer itself grows
-    with the data and is joined by key without a hint.
+    TPC-H definition), so broadcasting them is bounded; customer grows with
+    the data and is joined to the facts by key without a hint.
+
+    The customer key is unique; grouping by it makes that visible to
+    Catalyst, which then removes the fact-side left join from every plan that
+    uses no customer column (id-only, time-only and count-only reads). The
+    grouping's hash partitioning on the key is reused by the join, so it adds
+    no exchange.
     """
     geo = t.nation.join(F.broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey"), "left")
     geo = geo.select("n_nationkey", "r_name")
     cust = t.customer.select("c_custkey", "c_nationkey", "c_mktsegment")
-    return (cust.join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"), "left")
-            .select("c_custkey", "c_mktsegment", "r_name"))
+    joined = cust.join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    return joined.groupBy("c_custkey").agg(F.max("c_mktsegment").alias("c_mktsegment"),
+                                           F.max("r_name").alias("r_name"))
 
 
 def feedback_enriched(t) -> DataFrame:
