@@ -5,10 +5,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from voxlens.plans import oracle as O
-from voxlens.plans.catalog import register, round6
 from voxlens.operators import features as feat
+from voxlens.operators import learn as ln
+from voxlens.operators import monitor as mon
+from voxlens.operators import registry as reg
+from voxlens.operators import reports as rp
 from voxlens.operators import scoring as sc
+from voxlens.operators import sinks as sk
+from voxlens.plans import oracle as O
+from voxlens.plans.catalog import register, round6
 
 FEEDBACK_COLS = ("id, created_at, source, product_area, sentiment, priority, topic, region, "
                  "customer_tier, summary, user_id")
@@ -137,15 +142,11 @@ def _account_scores(t):
 
 
 def _labels(t):
-    from voxlens.operators import learn
-
-    return learn.synthetic_labels(_user_features(t))
+    return ln.synthetic_labels(_user_features(t))
 
 
 def _split(t):
-    from voxlens.operators import learn
-
-    return learn.stratified_split(_labels(t))
+    return ln.stratified_split(_labels(t))
 
 
 def _user_features(t):
@@ -164,11 +165,6 @@ def _test_preds(t):
     return s.join(_linear_probs(t).select("account_id", "churn_probability"), "account_id")
 
 
-from voxlens.operators import learn as ln  # noqa: E402
-from voxlens.operators import monitor as mon  # noqa: E402
-from voxlens.operators import registry as reg  # noqa: E402
-from voxlens.operators import reports as rp  # noqa: E402
-from voxlens.operators import sinks as sk  # noqa: E402
 
 ACCT_SCORE_R6 = (f"account_id, {O.r6('churn_probability')} AS churn_probability, "
                  f"{O.r6('health_score')} AS health_score, risk_category")
@@ -207,9 +203,6 @@ def acct_feature_matrix(t):
     return feat.feature_matrix(feat.account_features(t.feedback, grain="user"))
 
 
-AREA_MATRIX = [c.strip() for c in AREA_BASE_COLS.split(",")][2:]
-
-
 @register("area_feature_matrix", O.build(
     "SELECT product_area, segment, " + ", ".join(
         f"COALESCE({c}, 0) AS {c}" for c in
