@@ -54,3 +54,12 @@ def test_tier_grain_collapse_is_deterministic(spark):
     best = {r.account_id: r.churn_probability for r in
             s.groupBy("account_id").agg(F.max("churn_probability").alias("churn_probability")).collect()}
     assert {r.account_id: r.churn_probability for r in one.collect()} == best
+
+
+def test_feedback_core_has_the_enriched_rows(spark):
+    t = Tables(spark, SMALL)
+    cols = t.feedback_core.columns
+    assert set(cols) == set(t.feedback.columns) - {"region", "customer_tier"}
+    assert sorted(t.feedback_core.collect()) == sorted(t.feedback.select(*cols).collect())
+    plan = t.feedback_core._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan

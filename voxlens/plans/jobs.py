@@ -52,7 +52,7 @@ def retrain_check(spark: SparkSession, root: str, out: str, as_of: str | None =
     freshness log; returns the decisions."""
     prepare(spark)
     t = Tables(spark, root)
-    decisions = monitor.retrain_decisions(t.feedback, t.model_versions, as_of)
+    decisions = monitor.retrain_decisions(t.feedback_core, t.model_versions, as_of)
     sinks.append_log(monitor.data_freshness_log(decisions, as_of), out, "data_freshness_log")
     return decisions
 
@@ -61,7 +61,7 @@ def status(spark: SparkSession, root: str, out: str, snapshot: str) -> DataFrame
     """Row counts of the facts and of one published snapshot."""
     prepare(spark)
     return sinks.table_status({
-        "feedback_enriched": Tables(spark, root).feedback,
+        "feedback_enriched": Tables(spark, root).feedback_core,
         "account_risk_scores": sinks.read_snapshot(spark, out, "account_risk_scores", snapshot),
         "product_area_impact": sinks.read_snapshot(spark, out, "product_area_impact", snapshot),
     })

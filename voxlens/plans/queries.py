@@ -417,7 +417,7 @@ FROM feedback_enriched GROUP BY CAST(created_at AS DATE) ORDER BY CAST(created_a
     "feedback_enriched"))
 def daily_feedback(t):
     """Feedback per day, newest 7 days."""
-    return rp.daily_counts(t.feedback)
+    return rp.daily_counts(t.feedback_core)
 
 
 def _freshness_sql(src: str, name: str) -> str:
@@ -458,7 +458,7 @@ SELECT CASE GROUPING_ID(sentiment, product_area, priority) WHEN 3 THEN 'sentimen
 FROM feedback_enriched GROUP BY GROUPING SETS ((sentiment), (product_area), (priority))""", "feedback_enriched"))
 def feedback_profile(t):
     """Feedback profile by sentiment, area and priority."""
-    return rp.feedback_profile(t.feedback)
+    return rp.feedback_profile(t.feedback_core)
 
 
 @register("ml_insights", O.build("""
@@ -677,7 +677,7 @@ FROM (SELECT *, CAST(c_days AS INTEGER) + CAST(c_new AS INTEGER) + CAST(c_pct AS
 @register("retrain_decisions", O.build("SELECT * FROM retrain", "retrain"))
 def retrain_decisions(t):
     """L3: retrain decision and reason for every model type, one fact scan."""
-    return mon.retrain_decisions(t.feedback, t.model_versions)
+    return mon.retrain_decisions(t.feedback_core, t.model_versions)
 
 
 @register("prediction_drift", O.build(
@@ -768,7 +768,7 @@ def insert_new_feedback(t):
     from voxlens.functions.time import days_before
 
     fb = t.feedback
-    existing = fb.where(F.col("created_at") < days_before(None, 30))
+    existing = t.feedback_core.where(F.col("created_at") < days_before(None, 30))  # ids only
     batch = fb.where(F.col("created_at") >= days_before(None, 60))
     return sk.insert_if_absent(existing, batch, "id", order_col="created_at")
 
@@ -801,7 +801,7 @@ UNION ALL SELECT 'prediction_distribution_history', COUNT(*) FROM prediction_dis
 def table_status(t):
     """Row counts of the pipeline tables."""
     return sk.table_status({
-        "feedback_enriched": t.feedback,
+        "feedback_enriched": t.feedback_core,  # same rows, no customer join needed to count
         "account_risk_scores": _account_scores(t),
         "product_area_impact": sc.product_area_impact(t.feedback),
         "model_versions": t.model_versions,
@@ -833,7 +833,7 @@ SELECT model_type, {O.AS_OF} AS check_timestamp, last_training_date, latest_feed
 FROM retrain WHERE logged""", "retrain"))
 def data_freshness_log(t):
     """Freshness-log rows appended by the retrain check (all columns filled)."""
-    return mon.data_freshness_log(mon.retrain_decisions(t.feedback, t.model_versions))
+    return mon.data_freshness_log(mon.retrain_decisions(t.feedback_core, t.model_versions))
 
 
 O.cte("acct_scaled_tier", O._standardize("acct_features_tier", keys=("account_id", "region")), "acct_features_tier")
@@ -902,5 +902,5 @@ FROM retrain r LEFT JOIN next_versions n ON r.model_type = n.model_type
 WHERE r.decision_to_retrain""", "retrain", "next_versions"))
 def training_plan(t):
     """L3 + L6 + S5/D7: version rows a scheduled retrain would create."""
-    decisions = mon.retrain_decisions(t.feedback, t.model_versions)
+    decisions = mon.retrain_decisions(t.feedback_core, t.model_versions)
     return mon.training_plan(decisions, reg.next_versions(t.model_versions))

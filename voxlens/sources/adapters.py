@@ -45,24 +45,44 @@ def _case_map(expr: str, mapping, default_sql: str) -> str:
 
 
 def customer_dimension(t) -> DataFrame:
-    """customer -> (c_custkey, c_mktsegment, r_name), one row per key.
+    """customer -> (c_custkey, c_mktsegment, r_name).
 
     nation and region are fixed-size dimension tables (25 and 5 rows by the
     TPC-H definition), so broadcasting them is bounded; customer grows with
-    the data and is joined to the facts by key without a hint.
-
-    The customer key is unique; grouping by it makes that visible to
-    Catalyst, which then removes the fact-side left join from every plan that
-    uses no customer column (id-only, time-only and count-only reads). The
-    grouping's hash partitioning on the key is reused by the join, so it adds
-    no exchange.
+    the data and is joined to the facts by key without a hint. The join is
+    left plain (no grouping or repartition in between) so that AQE can split
+    a hot ``user_id`` partition: its skew-join rule only applies when both
+    join inputs come straight from planner-inserted shuffles.
     """
     geo = t.nation.join(F.broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey"), "left")
     geo = geo.select("n_nationkey", "r_name")
     cust = t.customer.select("c_custkey", "c_nationkey", "c_mktsegment")
-    joined = cust.join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"), "left")
-    return joined.groupBy("c_custkey").agg(F.max("c_mktsegment").alias("c_mktsegment"),
-                                           F.max("r_name").alias("r_name"))
+    return (cust.join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+            .select("c_custkey", "c_mktsegment", "r_name"))
+
+
+_K = "CAST(regexp_extract(props, '[0-9]+', 0) AS INT)"
+
+
+def _core_exprs() -> list[str]:
+    priority = " ".join(f"WHEN value < {edge} THEN {i}" for i, edge in enumerate(PRIORITY_VALUE_EDGES, start=1))
+    return [
+        "'fb-' || CAST(event_id AS STRING) AS id",
+        f"ts - INTERVAL '1' DAY * (event_id % {SPREAD_DAYS_MOD}) AS created_at",
+        f"{_case_index(f'event_id % {len(SOURCES_BY_MOD6)}', SOURCES_BY_MOD6)} AS source",
+        f"{_case_index(f'{_K} % {len(AREAS_BY_MOD8)}', AREAS_BY_MOD8)} AS product_area",
+        f"{_case_map('event_type', SENTIMENT_BY_EVENT, repr(SENTIMENT_DEFAULT))} AS sentiment",
+        f"CASE {priority} ELSE {len(PRIORITY_VALUE_EDGES) + 1} END AS priority",
+        f"'t' || CAST({_K} AS STRING) AS topic",
+    ]
+
+
+def feedback_core(t) -> DataFrame:
+    """The feedback facts without the customer attributes (``region``,
+    ``customer_tier``): the same rows as ``feedback_enriched`` (a left join on
+    a unique key never changes them) for reads that need no customer column,
+    which then skip the fact-side join and its shuffle."""
+    return t.events.selectExpr(*_core_exprs(), "event_type || ' ' || props AS summary", "user_id")
 
 
 def feedback_enriched(t) -> DataFrame:
@@ -71,18 +91,10 @@ def feedback_enriched(t) -> DataFrame:
     Projections are SQL expression text: one parse on the JVM instead of a
     remote call per expression node.
     """
-    k = "CAST(regexp_extract(props, '[0-9]+', 0) AS INT)"
-    priority = " ".join(f"WHEN value < {edge} THEN {i}" for i, edge in enumerate(PRIORITY_VALUE_EDGES, start=1))
     fact = t.events.select("event_id", "ts", "user_id", "event_type", "value", "props").join(
         customer_dimension(t), F.col("user_id") == F.col("c_custkey"), "left")
     return fact.selectExpr(
-        "'fb-' || CAST(event_id AS STRING) AS id",
-        f"ts - INTERVAL '1' DAY * (event_id % {SPREAD_DAYS_MOD}) AS created_at",
-        f"{_case_index(f'event_id % {len(SOURCES_BY_MOD6)}', SOURCES_BY_MOD6)} AS source",
-        f"{_case_index(f'{k} % {len(AREAS_BY_MOD8)}', AREAS_BY_MOD8)} AS product_area",
-        f"{_case_map('event_type', SENTIMENT_BY_EVENT, repr(SENTIMENT_DEFAULT))} AS sentiment",
-        f"CASE {priority} ELSE {len(PRIORITY_VALUE_EDGES) + 1} END AS priority",
-        f"'t' || CAST({k} AS STRING) AS topic",
+        *_core_exprs(),
         f"CASE WHEN user_id % {NULL_REGION_MOD} = {NULL_REGION_REM} THEN CAST(NULL AS STRING) ELSE r_name END AS region",
         f"{_case_map('c_mktsegment', TIER_BY_SEGMENT, repr(TIER_DEFAULT))} AS customer_tier",
         "event_type || ' ' || props AS summary",

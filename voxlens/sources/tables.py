@@ -86,6 +86,13 @@ class Tables:
 
         return feedback_enriched(self)
 
+    @cached_property
+    def feedback_core(self) -> DataFrame:
+        """Feedback without customer attributes (no fact-side join)."""
+        from voxlens.sources.adapters import feedback_core
+
+        return feedback_core(self)
+
     @cached_property
     def model_versions(self) -> DataFrame:
         from voxlens.sources.adapters import model_versions
