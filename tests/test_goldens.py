@@ -376,3 +376,20 @@ def test_all_null_region_codes_minus_one(spark):
                                      "product_area string, region string, customer_tier string")
     out = feat.account_features(fb, grain="user").collect()
     assert sorted((r.account_id, r.region_encoded, r.tier_encoded) for r in out) == [("1", -1, 1), ("2", -1, 0)]
+
+
+def test_persisted_region_codes_survive_single_account_scoring(spark):
+    from conftest import SMALL
+    from voxlens.operators import features as feat
+    from voxlens.sources.tables import Tables
+
+    fb = Tables(spark, SMALL).feedback
+    full = feat.account_features(fb, grain="tier")
+    codes = feat.region_codes(full)
+    want = {(r.account_id, r.region): r.region_encoded for r in full.collect() if r.account_id == "pro"}
+    compat = {(r.account_id, r.region): r.region_encoded
+              for r in feat.account_features(fb, grain="tier", account_id="pro").collect()}
+    fixed = {(r.account_id, r.region): r.region_encoded
+             for r in feat.account_features(fb, grain="tier", account_id="pro", codes=codes).collect()}
+    assert fixed == want
+    assert set(compat) == set(want)  # same rows; compat codes are recomputed over the subset

@@ -86,7 +86,8 @@ def region_codes(df: DataFrame, column: str = "region") -> DataFrame:
 
 
 def account_features(feedback: DataFrame, as_of: str | None = None, lookback_days: int = LOOKBACK_DAYS,
-                     grain: str = "tier", account_id: str | None = None, materialize_base: bool = True) -> DataFrame:
+                     grain: str = "tier", account_id: str | None = None, materialize_base: bool = True,
+                     codes: DataFrame | None = None) -> DataFrame:
     """A1 + X1-X5 + W7. ``account_id`` (P2) filters after the aggregate, as a
     group-key predicate that Catalyst pushes below the group-by; region codes
     are then computed over the rows that remain (reference behaviour).
@@ -95,6 +96,11 @@ def account_features(feedback: DataFrame, as_of: str | None = None, lookback_day
     the A1 aggregate has two consumers; it is written once
     (``materialize_base``) so the fact scan, join and aggregation run once,
     and every later pass (code table, scaler statistics) reads that file.
+
+    ``codes`` (a ``region_codes`` table saved at fit time) fixes the region
+    encoding (D12): scoring one account or a new batch then uses the training
+    codes, unseen regions and NULL map to -1. Without it the codes are
+    recomputed over the rows at hand, as the reference does.
     """
     base = account_base_features(feedback, as_of, lookback_days, grain)
     if account_id is not None:
@@ -111,8 +117,9 @@ def account_features(feedback: DataFrame, as_of: str | None = None, lookback_day
         indicator(F.col("billing_issues") > 0).alias("billing_issue_flag"),
         tier_code("customer_tier").alias("tier_encoded"),
     )
-    codes = region_codes(derived)
-    return (derived.join(codes, "region", "left")
+    if codes is None:
+        codes = region_codes(derived)
+    return (derived.join(codes.select("region", "region_encoded"), "region", "left")
             .withColumn("region_encoded", F.coalesce("region_encoded", F.lit(-1))))
 
 
