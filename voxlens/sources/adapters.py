@@ -88,17 +88,18 @@ def feedback_core(t) -> DataFrame:
 def feedback_enriched(t) -> DataFrame:
     """The feedback fact table (one row per feedback item).
 
-    Projections are SQL expression text: one parse on the JVM instead of a
-    remote call per expression node.
+    The event-derived columns are computed *before* the customer join, so
+    the join's shuffle carries only the derived columns a query keeps after
+    pruning (not the raw ``props`` text). Projections are SQL expression text:
+    one parse on the JVM instead of a remote call per expression node.
     """
-    fact = t.events.select("event_id", "ts", "user_id", "event_type", "value", "props").join(
-        customer_dimension(t), F.col("user_id") == F.col("c_custkey"), "left")
+    core = feedback_core(t)
+    fact = core.join(customer_dimension(t), F.col("user_id") == F.col("c_custkey"), "left")
     return fact.selectExpr(
-        *_core_exprs(),
+        "id", "created_at", "source", "product_area", "sentiment", "priority", "topic",
         f"CASE WHEN user_id % {NULL_REGION_MOD} = {NULL_REGION_REM} THEN CAST(NULL AS STRING) ELSE r_name END AS region",
         f"{_case_map('c_mktsegment', TIER_BY_SEGMENT, repr(TIER_DEFAULT))} AS customer_tier",
-        "event_type || ' ' || props AS summary",
-        "user_id",
+        "summary", "user_id",
     )
 
 
