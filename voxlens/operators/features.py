@@ -2,8 +2,11 @@
 
 One ``groupBy().agg()`` per feature table: the filtered counts are
 ``count_if`` aggregates evaluated in the same pass, so each table costs one
-scan and one shuffle of partially aggregated rows (map-side combine means a
-hot account contributes one row per map task, not its raw rows).
+fact scan and one shuffle of partially aggregated rows (map-side combine
+means a hot account contributes one row per map task, not its raw rows). At
+the per-user grain the aggregate reuses the fact join's partitioning on
+``user_id`` (no second shuffle); a hot user there is split by AQE's skew
+join (see ``session.prepare``).
 """
 
 from __future__ import annotations
