@@ -101,3 +101,17 @@ def test_account_scores_match_pandas(spark):
         assert got[acct].churn_probability == pytest.approx(p[acct], abs=1e-9)
         assert got[acct].health_score == pytest.approx((1 - p[acct]) * 100, abs=1e-7)
         assert got[acct].risk_category == cat[list(p.index).index(acct)]
+
+
+@pytest.mark.parametrize("include_lowest", [True, False])
+def test_area_bins_match_pandas_cut(spark, include_lowest):
+    from voxlens.functions.scalars import area_bin
+
+    rng = np.random.default_rng(5)
+    values = list(rng.uniform(-10, 110, 400)) + [0.0, 30.0, 50.0, 70.0, 100.0, 100.00000000000001, -0.0,
+                                                  30.000000000000004, 1e-300, -0.0001, -0.05]
+    want = pd.cut(pd.Series(values), bins=[0, 30, 50, 70, 100], labels=["low", "medium", "high", "critical"],
+                  include_lowest=include_lowest).astype(object).where(lambda s: s.notna(), None).tolist()
+    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(values)], "i int, s double")
+    got = [r.c for r in df.select("i", area_bin("s", include_lowest).alias("c")).orderBy("i").collect()]
+    assert got == want
