@@ -393,3 +393,14 @@ def test_persisted_region_codes_survive_single_account_scoring(spark):
              for r in feat.account_features(fb, grain="tier", account_id="pro", codes=codes).collect()}
     assert fixed == want
     assert set(compat) == set(want)  # same rows; compat codes are recomputed over the subset
+
+
+def test_retrain_per_type_min_new_records(spark):
+    versions = spark.createDataFrame([(1, "churn", TS(2024, 1, 29)), (2, "area", TS(2024, 1, 29))],
+                                     "id long, model_type string, created_at timestamp_ntz")
+    fb = _feedback(spark, [TS(2024, 1, 30)] * 12 + [TS(2024, 1, 1)] * 88)  # 12 new rows = 12 %
+    out = {r.model_type: r for r in
+           monitor.retrain_decisions(fb, versions, min_new_records={"churn": 10, None: 100}).collect()}
+    assert out["churn"].decision_to_retrain and out["churn"].reason == (
+        "12 new records (min: 10) AND 12.0% new data (min: 5.0%)")
+    assert not out["area"].decision_to_retrain

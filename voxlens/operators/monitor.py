@@ -68,12 +68,21 @@ def retrain_decisions(feedback: DataFrame, versions: DataFrame, as_of: str | Non
                       model_types: DataFrame | None = None,
                       min_new_data_percent: float = MIN_NEW_DATA_PERCENT,
                       min_days_since_training: int = MIN_DAYS_SINCE_TRAINING,
-                      min_new_records: int = MIN_NEW_RECORDS) -> DataFrame:
+                      min_new_records: int | dict = MIN_NEW_RECORDS) -> DataFrame:
     """L3: retrain when at least 2 of {days >= 7, new >= 100, new% >= 5} hold.
 
     First training (no version): all rows are new, 100 %, infinite days.
     No feedback at all: no retrain, reason "No feedback data available".
+    ``min_new_records`` may be a ``{model_type: n}`` map (key ``None`` = the
+    default), e.g. the churn job's own threshold of 10.
     """
+    if isinstance(min_new_records, dict):
+        overrides = {k: v for k, v in min_new_records.items() if k is not None}
+        min_new = F.lit(int(min_new_records.get(None, MIN_NEW_RECORDS)))
+        for mt, n in overrides.items():
+            min_new = F.when(F.col("model_type") == mt, F.lit(int(n))).otherwise(min_new)
+    else:
+        min_new = F.lit(int(min_new_records))
     last = versions.groupBy("model_type").agg(F.max("created_at").alias("last_training_date"))
     domain = model_types if model_types is not None else versions.select("model_type").distinct()
     # k rows (one per model type), read twice by freshness_facts: materialise.
@@ -85,13 +94,14 @@ def retrain_decisions(feedback: DataFrame, versions: DataFrame, as_of: str | Non
     days = whole_days(F.col("last_training_date"), as_of_lit(as_of))
     days_txt = F.when(first, F.lit("inf")).otherwise(days.cast("string"))
     c_days = first | (days >= F.lit(min_days_since_training))
-    c_new = new >= F.lit(min_new_records)
+    c_new = new >= min_new
     c_pct = pct >= F.lit(min_new_data_percent)
     met = c_days.cast("int") + c_new.cast("int") + c_pct.cast("int")
     reasons = F.concat_ws(
         " AND ",
         F.when(c_days, F.concat(days_txt, F.lit(f" days since last training (min: {min_days_since_training})"))),
-        F.when(c_new, F.concat(new.cast("string"), F.lit(f" new records (min: {min_new_records})"))),
+        F.when(c_new, F.concat(new.cast("string"), F.lit(" new records (min: "), min_new.cast("string"),
+                               F.lit(")"))),
         F.when(c_pct, F.concat(fixed_1dp(pct), F.lit(f"% new data (min: {float(min_new_data_percent)}%)"))))
     no_data = F.col("latest_feedback_date").isNull() | (total == 0)
     decide = ~no_data & (met >= F.lit(MIN_RULES_MET))
