@@ -47,12 +47,17 @@ def score_accounts(spark: SparkSession, root: str, out: str, as_of: str | None =
                     as_of, previous)
 
 
-def retrain_check(spark: SparkSession, root: str, out: str, as_of: str | None = None) -> DataFrame:
+CHURN_JOB_MIN_NEW_RECORDS = {"churn": 10, None: 100}  # the churn job lowers the default of 100 to 10
+
+
+def retrain_check(spark: SparkSession, root: str, out: str, as_of: str | None = None,
+                  min_new_records: int | dict = CHURN_JOB_MIN_NEW_RECORDS) -> DataFrame:
     """L3 + S5: decide for every model type and append the decisions to the
     freshness log; returns the decisions."""
     prepare(spark)
     t = Tables(spark, root)
-    decisions = monitor.retrain_decisions(t.feedback_core, t.model_versions, as_of)
+    decisions = monitor.retrain_decisions(t.feedback_core, t.model_versions, as_of,
+                                          min_new_records=min_new_records)
     sinks.append_log(monitor.data_freshness_log(decisions, as_of), out, "data_freshness_log")
     return decisions
 
