@@ -404,3 +404,11 @@ def test_retrain_per_type_min_new_records(spark):
     assert out["churn"].decision_to_retrain and out["churn"].reason == (
         "12 new records (min: 10) AND 12.0% new data (min: 5.0%)")
     assert not out["area"].decision_to_retrain
+
+
+def test_fitted_scaler_is_applied_not_refitted(spark):
+    train = spark.createDataFrame([("a", 1.0), ("b", 3.0)], "account_id string, avg_priority double")
+    score = spark.createDataFrame([("c", 5.0)], "account_id string, avg_priority double")
+    stats = scoring.fit_scaler(train, ["avg_priority"])  # mean 2, population std 1
+    out = scoring.standardize(score, stats=stats).first()
+    assert out.avg_priority == 3.0  # (5 - 2) / 1, not refitted on the single scoring row
