@@ -8,8 +8,10 @@ cluster's configuration.
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -88,13 +90,42 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 
 
 def materialize(df, name: str = "stage"):
-    """Compute ``df`` once into the shared checkpoint folder
-    (``spark.checkpoint.dir``) and return a DataFrame over the saved data.
+    """Compute ``df`` once into a parquet folder under the shared folder
+    (``spark.checkpoint.dir``) and return a DataFrame that reads it.
 
-    A reliable, eager ``checkpoint``: one job writes the partitions, lineage is
-    cut (a lost executor re-reads the files instead of recomputing upstream
-    stages) and several consumers share one computation. ``name`` only labels
-    the call site.
+    Lineage is cut (a lost executor re-reads the files instead of recomputing
+    upstream stages), several consumers share one computation, and later
+    passes read only the columns they use. The application's folder is
+    removed when the driver process ends (or by ``release``).
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{stage_root(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+_STAGE_ROOTS: dict[str, str] = {}
+
+
+def stage_root(spark: SparkSession) -> str:
+    """This application's folder for materialised stages."""
+    sc = _context(spark)
+    app = sc.applicationId if sc is not None else spark.conf.get("spark.app.id")
+    root = f"{checkpoint_dir(spark).rstrip('/')}/voxlens-{app}"
+    if app not in _STAGE_ROOTS:
+        _STAGE_ROOTS[app] = root
+        if sc is not None:
+            atexit.register(release, spark)
+    return root
+
+
+def release(spark: SparkSession) -> None:
+    """Remove this application's materialised stages (also called at exit)."""
+    sc = _context(spark)
+    if sc is None or sc._jsc is None or sc._jsc.sc().isStopped():
+        return
+    root = _STAGE_ROOTS.pop(sc.applicationId, None)
+    if root is None:
+        return
+    path = sc._jvm.org.apache.hadoop.fs.Path(root)
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
