@@ -10,19 +10,34 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voxlens.llm import decontaminate
+from voxlens.llm import bpe_count, decontaminate, html_text, packing
 from voxlens.llm.common import ready, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    return bpe_count.report(table(spark, sf_dir, "documents"))
+
+
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    return html_text.report(table(spark, sf_dir, "pages"))
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready(spark)
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def queries() -> dict[str, Query]:
-    own = (op8_benchmark_decontamination,)
+    own = (op3_token_counts, op4_html_extraction, op6_best_fit_packing, op8_benchmark_decontamination)
     return {q.__name__: q for q in own}
 
 
