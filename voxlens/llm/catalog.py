@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voxlens.llm import bpe_count, decontaminate, html_text, packing
+from voxlens.llm import bpe_count, decontaminate, html_text, id_files, near_dup, packing
 from voxlens.llm.common import ready, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,11 @@ def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.report(table(spark, sf_dir, "pages"))
 
 
+def op5_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    return id_files.round_trip(table(spark, sf_dir, "documents"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready(spark)
     return packing.pack(table(spark, sf_dir, "documents"))
@@ -36,8 +41,14 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    return near_dup.report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    own = (op3_token_counts, op4_html_extraction, op6_best_fit_packing, op8_benchmark_decontamination)
+    own = (op3_token_counts, op4_html_extraction, op5_token_id_files, op6_best_fit_packing, op8_benchmark_decontamination,
+           op10_minhash_near_dup)
     return {q.__name__: q for q in own}
 
 

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 import voxlens
 from voxlens.session import materialize, prepare
 
-#: Rows of one Arrow batch: bounds a Python worker's memory when texts are long.
+#: Rows and bytes of one Arrow batch: bound a Python worker's memory when texts are long.
 BATCH_ROWS = 512
+BATCH_BYTES = 32 << 20
 
 _SHIPPED: set[str] = set()
 
@@ -24,6 +25,7 @@ def ready(spark: SparkSession) -> SparkSession:
     """Settings the operators assume, and this package's code on every executor."""
     prepare(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     sc = spark.sparkContext
     if sc.applicationId not in _SHIPPED:
         root = os.path.dirname(os.path.abspath(voxlens.__file__))
