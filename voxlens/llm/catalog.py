@@ -10,12 +10,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voxlens.llm import bpe_count, decontaminate, html_text, id_files, near_dup, packing
+from voxlens.llm import bpe_count, decontaminate, html_text, id_files, near_dup, packing, perplexity
 from voxlens.llm.common import ready, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    return perplexity.report(table(spark, sf_dir, "documents"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready(spark)
     return bpe_count.report(table(spark, sf_dir, "documents"))
@@ -47,7 +52,7 @@ def op10_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    own = (op3_token_counts, op4_html_extraction, op5_token_id_files, op6_best_fit_packing, op8_benchmark_decontamination,
+    own = (op2_quality_rules, op3_token_counts, op4_html_extraction, op5_token_id_files, op6_best_fit_packing, op8_benchmark_decontamination,
            op10_minhash_near_dup)
     return {q.__name__: q for q in own}
 
