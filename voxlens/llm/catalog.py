@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voxlens.llm import bpe_count, decontaminate, html_text, id_files, near_dup, packing, perplexity
+from voxlens.llm import bpe_count, decontaminate, html_text, id_files, near_dup, packing, perplexity, quality_net
 from voxlens.llm.common import ready, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,11 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    return quality_net.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready(spark)
     return near_dup.report(table(spark, sf_dir, "documents"))
@@ -53,7 +58,7 @@ def op10_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     own = (op2_quality_rules, op3_token_counts, op4_html_extraction, op5_token_id_files, op6_best_fit_packing, op8_benchmark_decontamination,
-           op10_minhash_near_dup)
+           op9_quality_classifier, op10_minhash_near_dup)
     return {q.__name__: q for q in own}
 
 
