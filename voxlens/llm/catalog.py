@@ -10,12 +10,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voxlens.llm import bpe_count, decontaminate, html_text, id_files, near_dup, packing, perplexity, quality_net
+from voxlens.llm import (bpe_count, decontaminate, html_text, id_files, language_id, near_dup, packing, perplexity,
+                         quality_net, sharding)
 from voxlens.llm.common import ready, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    return language_id.report(table(spark, sf_dir, "documents"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready(spark)
     return perplexity.report(table(spark, sf_dir, "documents"))
@@ -41,6 +47,11 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready(spark)
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -57,8 +68,9 @@ def op10_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    own = (op2_quality_rules, op3_token_counts, op4_html_extraction, op5_token_id_files, op6_best_fit_packing, op8_benchmark_decontamination,
-           op9_quality_classifier, op10_minhash_near_dup)
+    own = (op1_language_id, op2_quality_rules, op3_token_counts, op4_html_extraction, op5_token_id_files,
+           op6_best_fit_packing, op7_sharding, op8_benchmark_decontamination, op9_quality_classifier,
+           op10_minhash_near_dup)
     return {q.__name__: q for q in own}
 
 
