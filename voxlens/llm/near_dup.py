@@ -15,6 +15,11 @@ least ``MATCHES`` of the values except with a probability below 1e-6.
   their postings (linear in the postings), which joins copies of one text into
   components. The inverted join then pairs only nodes of different components,
   so a group of copies of any size never pairs with itself.
+* Sets: two sets of n and m members are alike only if they have at least
+  a = (n + m) * S / (1 + S) in common, so of any common order of members the first
+  n - a + 1 of the one and m - a + 1 of the other must meet. With the rarest first,
+  members that no other set has use up places; a node with no place left leaves, and
+  a pair is made under a common key only if its first members meet.
 * Count: candidate pairs keep those that share ``MATCHES`` coordinates, and links
   are confirmed on the full sets.
 
@@ -48,8 +53,6 @@ SHINGLE = 4
 SIMILARITY = 0.8
 COORDINATES = 64
 MATCHES = 36
-#: Postings of a node that are compared with representatives first.
-STARS = 6
 
 _A = (X._splitmix(COORDINATES, 1001) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _B = (X._splitmix(COORDINATES, 2003) >> np.uint64(32)).astype(np.uint32)
@@ -101,14 +104,40 @@ def signed(docs: DataFrame, text: str = "text", size: int = SHINGLE) -> DataFram
 
 
 def _sets(texts: DataFrame, size: int) -> DataFrame:
-    """(node, the set as bytes) of (node, text) rows."""
+    """(node, the members of its set, sorted as unsigned numbers) of (node, text) rows."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles(t, size).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["node", "members"])
+            sets = [shingles(t, size).view(np.int64) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))],
+                                             ["node", "members"])
 
-    return texts.select("node", "text").mapInArrow(make, "node long, members binary")
+    return texts.select("node", "text").mapInArrow(make, "node long, members array<long>")
+
+
+def _rarest(sets: DataFrame, similarity: float) -> DataFrame:
+    """(node, n, alone, first): size, members that no other set has, and the rarest of the
+    others as far as any partner's size lets them count; nodes without any leave."""
+    percent = round(100 * similarity)
+    members = sets.select("node", F.size("members").cast("long").alias("n"), F.explode("members").alias("member"))
+    often = members.groupBy("member").agg(F.count("*").alias("times")).where("times > 1")
+    by_rarity = Window.partitionBy("node").orderBy("times", "member")
+    shared = members.join(often, "member").withColumn("place", F.row_number().over(by_rarity)) \
+        .withColumn("alone", F.col("n") - F.count("*").over(Window.partitionBy("node")))
+    places = F.floor(F.col("n") * (100 - percent) / 100) + 1 - F.col("alone")  # the smallest partner asks least
+    return shared.where(F.col("place") <= places).groupBy("node").agg(
+        F.first("n").alias("n"), F.first("alone").alias("alone"),
+        F.transform(F.array_sort(F.collect_list(F.struct("place", "member"))), lambda x: x["member"]).alias("first"))
+
+
+def _may_be_alike(similarity: float) -> F.Column:
+    """Whether the first members of p and q meet, as far as their sizes ask."""
+    percent = round(100 * similarity)
+    both = F.ceil((F.col("p_n") + F.col("q_n")) * percent / (100 + percent))
+    cut = [F.slice(f"{x}_first", 1, F.greatest(F.lit(0), F.col(f"{x}_n") - both + 1 - F.col(f"{x}_alone")).cast("int"))
+           for x in ("p", "q")]
+    sizes = (100 * F.least("p_n", "q_n") >= percent * F.greatest("p_n", "q_n"))
+    return sizes & F.arrays_overlap(*cut)
 
 
 def _similar(similarity: float):
@@ -118,11 +147,7 @@ def _similar(similarity: float):
     def similar(left: pd.Series, right: pd.Series) -> pd.Series:
         out = []
         for a, b in zip(left, right):
-            x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-            if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
-                out.append(False)
-                continue
-            both = np.concatenate([x, y])
+            both = np.concatenate([a, b])
             both.sort()
             common = int((both[1:] == both[:-1]).sum())
             out.append(100 * common >= percent * (len(both) - common))
@@ -169,31 +194,39 @@ def near_duplicates(docs: DataFrame, text: str = "text", size: int = SHINGLE,
     texts = texts.join(best, F.col("doc_id").eqNullSafe(F.col("doc")) & (F.col("text_hash") == F.col("hash")))
     sets = materialize(_sets(texts, size).dropDuplicates(["node"]), "sets")
 
-    # a few postings of each node against two representatives of the posting
-    step = F.floor((F.col("rank") - 1) * STARS / F.col("shared"))
-    before = F.floor((F.col("rank") - 2) * STARS / F.col("shared"))
-    stars = shared.where((F.col("rank") == F.col("shared")) | (step != before)).select("node", "key")
-    hubs = stars.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    spokes = stars.join(hubs, "key").select("node", F.explode(F.array("low", "high")).alias("hub")).where("node <> hub")
-    pairs = spokes.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-    found = links(pairs, partners, sets, similarity)
+    # each posting's nodes against its node that shares most, which copies of one text have in common
+    central = F.col("shared") * F.lit(1 << 48) + F.shiftrightunsigned(F.xxhash64("node"), 16)
+    hubs = shared.groupBy("key").agg(F.max_by("node", central).alias("hub"))
+    spokes = shared.select("key", "node").join(hubs, "key").where("node <> hub")
+    star = spokes.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+    found = links(star, partners, sets, similarity)
     labels = components(found)
 
-    # postings of the prefix, by component; only different components are paired
+    # postings of the prefix; only nodes of different components that can be alike are paired
     prefix = shared.where(f"rank <= shared - {MATCHES} + 1").select("node", "key") \
-        .join(labels, "node", "left").select("node", "key", F.coalesce("label", "node").alias("part"))
-    prefix = materialize(prefix, "prefix")
-    parts = prefix.groupBy("key", "part").agg(F.count("*").alias("n"))
+        .join(_rarest(sets, similarity), "node").join(labels, "node", "left") \
+        .withColumn("part", F.coalesce("label", "node"))
+    prefix = materialize(prefix.drop("label"), "prefix")
+    parts = prefix.groupBy("key", "part").agg(F.count("*").alias("n_nodes"))
     mixed = parts.groupBy("key").agg(F.count("*").alias("n_parts")).where("n_parts > 1").select("key")
-    own = prefix.join(mixed, "key")
-    meet = own.select("key", "part").distinct()
-    meet = meet.select("key", F.col("part").alias("p")).join(
-        meet.select("key", F.col("part").alias("q")), "key").where("p < q")
-    left = own.select("key", F.col("part").alias("p"), F.col("node").alias("x"))
-    right = own.select("key", F.col("part").alias("q"), F.col("node").alias("y"))
-    across = meet.join(left, ["key", "p"]).join(right, ["key", "q"]) \
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    more = links(across, partners, sets, similarity)
+    parts = materialize(parts.join(mixed, "key"), "parts")
+    posted = prefix.join(parts, ["key", "part"])
+
+    def side(df: DataFrame, x: str) -> DataFrame:
+        return df.select("key", *[F.col(c).alias(f"{x}_{c}") for c in ("node", "part", "n", "alone", "first")])
+
+    # a component with one node under a key meets all others there; two larger ones meet by component
+    single, several = posted.where("n_nodes = 1"), posted.where("n_nodes > 1")
+    groups = parts.where("n_nodes > 1")
+    meet = groups.select("key", F.col("part").alias("p_part")).join(
+        groups.select("key", F.col("part").alias("q_part")), "key").where("p_part < q_part")
+    can = _may_be_alike(similarity)
+    across = [
+        side(single, "p").join(side(single, "q"), "key").where((F.col("p_node") < F.col("q_node")) & can),
+        side(single, "p").join(side(several, "q"), "key").where(can),
+        meet.join(side(several, "p"), ["key", "p_part"]).join(side(several, "q"), ["key", "q_part"]).where(can)]
+    pairs = [df.select(F.least("p_node", "q_node").alias("a"), F.greatest("p_node", "q_node").alias("b")) for df in across]
+    more = links(pairs[0].unionByName(pairs[1]).unionByName(pairs[2]).distinct(), partners, sets, similarity)
     final = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more))
 
     ordered = reps.select("node", "best").join(final, "node", "left").withColumn(

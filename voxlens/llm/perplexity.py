@@ -7,17 +7,24 @@ ORDER - 1 boundary marks). A character is its code point where that is below
 Tasks count keys in numpy and send each distinct key once; Spark sums them,
 takes the continuation counts of the lower orders from the distinct n-grams of
 the next higher order, the discounts from counts of counts, and joins the
-interpolated probabilities upwards. The result is one row per n-gram of the
-corpus, kept as two sorted arrays (key, log2 probability), searched with sorted
-queries. The arrays are broadcast while they have at most ``MAX_ENTRIES`` rows;
-beyond, the texts' n-grams are joined with the rows instead, to the same figures.
+interpolated probabilities upwards. The result is, per order, one row per n-gram
+(log2 probability, raw count) and per context (log2 of the mass left to shorter
+contexts), kept as sorted arrays and searched with sorted queries. The arrays are
+broadcast while they have at most ``MAX_ENTRIES`` rows; beyond, the texts' n-grams
+are joined with the rows instead, to the same figures.
+
+A text is scored without its own help: an n-gram that occurs nowhere else counts
+as unseen, and the next shorter one is taken with the left mass of the contexts
+passed over (one place in 2 ** 12 where even the character is the text's own).
 
 Bands: the cross-entropy (bits a character) of the distinct texts of a language
 that pass the base rules has a median; deviations from it times the root of the
 text's length have a scale (interquartile range / 1.349, at least ``MIN_SCALE``),
 since an average over n characters scatters as 1 / sqrt(n). A document is
-rejected below or above median ± max(``FLOOR``, ``WIDTH`` * scale / sqrt(n)).
-Distinct texts are taken so that a text copied many times does not set a band.
+rejected below or above the median by more than WIDTH * scale / sqrt(n), at least
+``FLOOR_LOW`` below and ``FLOOR_HIGH`` above. Model and bands take each distinct text
+once, so that a text copied many times neither teaches the model nor sets a band;
+the lower floor is the wider one since near copies teach it all the same.
 
 Scale: two passes over the texts; the model is what grows and it is summed with
 partial aggregates. Base rules and entropy are made in one pass per document.
@@ -44,10 +51,10 @@ from voxlens.llm.common import fresh, materialize
 #: Characters of an n-gram.
 ORDER = 5
 _BITS = 12
-#: Rows of a model that is broadcast (12 bytes each); larger ones are joined.
-MAX_ENTRIES = 16_000_000
-#: Half-width of a band: at least FLOOR bits, else WIDTH scales of at least MIN_SCALE bits a root character.
-FLOOR, WIDTH, MIN_SCALE = 0.08, 6.5, 1.2
+#: Rows of a model that is broadcast (24 bytes each); larger ones are joined.
+MAX_ENTRIES = 8_000_000
+#: A band's parts: at least FLOOR_LOW and FLOOR_HIGH bits, else WIDTH scales of at least MIN_SCALE bits a root character.
+FLOOR_LOW, FLOOR_HIGH, WIDTH, MIN_SCALE = 0.6, 0.08, 6.5, 1.2
 #: Base rules.
 MIN_WORDS, MAX_REPEATED_PERCENT, WINDOW = 10, 20, 5
 
@@ -77,7 +84,7 @@ def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
 
 
 def ngram_counts(texts: DataFrame, order: int = ORDER) -> DataFrame:
-    """(gram, n) over all texts of the single column of ``texts``."""
+    """(gram, n) over the texts of the single column of ``texts``."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts, held = [], [], 0
@@ -105,36 +112,48 @@ def ngram_counts(texts: DataFrame, order: int = ORDER) -> DataFrame:
     return texts.mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
-def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
-    """(gram, lp): log2 of the interpolated probability of each counted n-gram."""
-    orders = {order: materialize(counts, f"grams{order}")}
-    for k in range(order - 1, 0, -1):  # continuation counts: distinct characters before an n-gram
+def distinct_texts(docs: DataFrame, text: str) -> DataFrame:
+    """One row of each text (column ``text``). Only texts that occur twice or more
+    are looked up, by their hash; the first id stands for them."""
+    rows = docs.select(F.col("doc_id").cast("string").alias("id"), F.col(text).alias("text")) \
+        .where("text IS NOT NULL AND text <> ''").withColumn("h", F.xxhash64("text"))
+    again = rows.groupBy("h").agg(F.count("*").alias("n"), F.min("id").alias("first")).where("n > 1") \
+        .select("h", "first")
+    return rows.join(again, "h", "left").where("first IS NULL OR id IS NULL OR id = first").select("text")
+
+
+def kneser_ney(counts: DataFrame, order: int = ORDER) -> list[tuple[DataFrame, DataFrame]]:
+    """For each order from 1: (gram, lp, n) with log2 of the interpolated probability
+    and the raw count, and (context, left) with log2 of the mass left to the next lower order."""
+    orders = {order: materialize(counts.select("gram", "n", F.col("n").alias("c")), f"grams{order}")}
+    for k in range(order - 1, 0, -1):  # c: continuation counts, distinct characters before an n-gram
         mask = (1 << (_BITS * k)) - 1
         lower = orders[k + 1].groupBy(F.col("gram").bitwiseAND(F.lit(mask)).alias("gram")).agg(
-            F.count("*").alias("n"))
+            F.sum("n").alias("n"), F.count("*").alias("c"))
         orders[k] = materialize(lower, f"grams{k}")
-    below = None
+    out, below = [], None
     for k in range(1, order + 1):
         grams = orders[k]
-        row = grams.agg(*[F.sum((F.col("n") == j).cast("long")).alias(f"n{j}") for j in (1, 2, 3, 4)]).first()
+        row = grams.agg(*[F.sum((F.col("c") == j).cast("long")).alias(f"n{j}") for j in (1, 2, 3, 4)]).first()
         n1, n2, n3, n4 = (max(1, row[f"n{j}"] or 0) for j in (1, 2, 3, 4))
         y = n1 / (n1 + 2 * n2)
         d = [min(max(j - (j + 1) * y * b / a, 0.05), j - 0.05) for j, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
-        discount = F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
+        discount = F.when(F.col("c") == 1, d[0]).when(F.col("c") == 2, d[1]).otherwise(d[2])
         grams = grams.withColumn("context", F.shiftright("gram", _BITS)).withColumn("d", discount)
-        context = grams.groupBy("context").agg(F.sum("n").alias("total"), F.sum("d").alias("held"))
+        context = materialize(grams.groupBy("context").agg(F.sum("c").alias("total"), F.sum("d").alias("held")),
+                              f"contexts{k}")
+        left = F.col("held") / F.col("total")
+        own = (F.col("c") - F.col("d")) / F.col("total")
         joined = grams.join(context, "context")
-        own = (F.col("n") - F.col("d")) / F.col("total")
         if below is None:  # the last order leans on all characters being alike
-            probability = own + F.col("held") / F.col("total") / F.lit(float(1 << _BITS))
-            below = joined.select("gram", probability.alias("p"))
+            joined = joined.withColumn("q", F.lit(1.0 / (1 << _BITS)))
         else:
             mask = (1 << (_BITS * (k - 1))) - 1
-            shorter = below.select(F.col("gram").alias("suffix"), F.col("p").alias("q"))
-            joined = joined.withColumn("suffix", F.col("gram").bitwiseAND(F.lit(mask))).join(shorter, "suffix")
-            below = joined.select("gram", (own + F.col("held") / F.col("total") * F.col("q")).alias("p"))
-        below = materialize(below, f"model{k}")
-    return below.select("gram", F.log2("p").cast("float").alias("lp"))
+            joined = joined.withColumn("suffix", F.col("gram").bitwiseAND(F.lit(mask))).join(
+                below.select(F.col("gram").alias("suffix"), F.col("p").alias("q")), "suffix")
+        below = materialize(joined.select("gram", "n", (own + left * F.col("q")).alias("p")), f"model{k}")
+        out.append((below.select("gram", F.log2("p").alias("lp"), "n"), context.select("context", F.log2(left).alias("left"))))
+    return out
 
 
 def base_counts(text: str | None) -> tuple[int, int, int, int, int]:
@@ -173,18 +192,43 @@ STATS = T.StructType([T.StructField(c, T.LongType()) for c in (
 
 
 class Model:
-    """Sorted keys and log2 probabilities."""
+    """Sorted arrays of all orders."""
 
-    def __init__(self, keys: np.ndarray, lp: np.ndarray):
-        order = np.argsort(keys)
-        self.keys, self.lp = keys[order], lp[order].astype(np.float64)
+    def __init__(self, orders: list[tuple[DataFrame, DataFrame]]):
+        def arrays(df: DataFrame, names: str) -> list[np.ndarray]:
+            found = df.select(*names.split()).toArrow()
+            columns = [c.to_numpy() for c in found.columns]
+            order = np.argsort(columns[0])
+            return [c[order] for c in columns]
+
+        self.grams = [arrays(g, "gram lp n") for g, _ in orders]
+        self.contexts = [arrays(c, "context left") for _, c in orders]
+
+    @staticmethod
+    def _find(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
+        return at, table[at] == keys
 
     def bits(self, text: str) -> float:
-        """Cross-entropy in bits a character; an n-gram that the corpus never had counts as the rarest one."""
-        keys = np.sort(keys_of(text))
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        lp = np.where(self.keys[at] == keys, self.lp[at], self.lp.min())
-        return float(-lp.sum() / len(keys))
+        """Cross-entropy in bits a character."""
+        order = len(self.grams)
+        keys, n = np.unique(keys_of(text, order), return_counts=True)
+        passed, total, size = np.zeros(len(keys)), 0.0, int(n.sum())
+        for k in range(order, 0, -1):
+            table, lp, count = self.grams[k - 1]
+            at, known = self._find(table, keys)
+            seen = known & (count[at] > n)
+            total += float((passed + n * np.where(seen, lp[at], 0.0))[seen].sum())
+            keys, n, passed = keys[~seen], n[~seen], passed[~seen]
+            if not len(keys):
+                break
+            contexts, left = self.contexts[k - 1]
+            at, known = self._find(contexts, keys >> _BITS)
+            passed = passed + n * np.where(known, left[at], 0.0)
+            keys, own = np.unique(keys & ((1 << (_BITS * (k - 1))) - 1), return_inverse=True)
+            n, passed = np.bincount(own, n).astype(np.int64), np.bincount(own, passed)
+        total += float((passed - n * _BITS).sum())
+        return -total / size
 
 
 def stats_udf(model):
@@ -203,20 +247,34 @@ def stats_udf(model):
     return stats
 
 
-def _bits_by_join(docs: DataFrame, key: str, text: str, model: DataFrame) -> DataFrame:
+def _bits_by_join(docs: DataFrame, key: str, text: str, orders: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
     """(key, bits) where the model is too large to send: the texts' n-grams meet the model's rows."""
+    longest = len(orders)
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if t:
-                    grams, n = np.unique(keys_of(t), return_counts=True)
+                    grams, n = np.unique(keys_of(t, longest), return_counts=True)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(grams), row)), pa.array(grams), pa.array(n)], ["row", "gram", "n"])
-
-    grams = docs.select(key, text).mapInArrow(explode, "row long, gram long, n long")
-    return grams.join(model, "gram").groupBy(F.col("row").alias(key)).agg(
-        (-F.sum(F.col("n") * F.col("lp").cast("double")) / F.sum("n")).alias("bits"))
+                        [pa.array(np.full(len(grams), row)), pa.array(grams), pa.array(n)], ["row", "gram", "own"])
+
+    open_ = docs.select(key, text).mapInArrow(explode, "row long, gram long, own long").withColumn("passed", F.lit(0.0))
+    done = None
+    for k in range(len(orders), 0, -1):
+        grams, contexts = orders[k - 1]
+        met = materialize(open_.join(grams, "gram", "left"), f"met{k}")
+        seen = F.coalesce(F.col("n") > F.col("own"), F.lit(False))
+        part = met.where(seen).groupBy("row").agg(F.sum(F.col("passed") + F.col("own") * F.col("lp")).alias("lp"),
+                                                  F.sum("own").alias("n"))
+        done = part if done is None else done.unionByName(part)
+        mask = (1 << (_BITS * (k - 1))) - 1
+        left = met.where(~seen).withColumn("context", F.shiftright("gram", _BITS)).join(contexts, "context", "left")
+        open_ = left.groupBy("row", F.col("gram").bitwiseAND(F.lit(mask)).alias("gram")).agg(
+            F.sum(F.col("passed") + F.col("own") * F.coalesce("left", F.lit(0.0))).alias("passed"),
+            F.sum("own").alias("own"))
+    rest = open_.select("row", (F.col("passed") - F.col("own") * _BITS).alias("lp"), F.col("own").alias("n"))
+    return done.unionByName(rest).groupBy(F.col("row").alias(key)).agg((-F.sum("lp") / F.sum("n")).alias("bits"))
 
 
 def with_stats(docs: DataFrame, text: str = "text", name: str = "stats", max_entries: int = MAX_ENTRIES,
@@ -225,11 +283,10 @@ def with_stats(docs: DataFrame, text: str = "text", name: str = "stats", max_ent
     ``name`` of STATS, written once."""
     gone = [] if keep_text else [text]
     spark = docs.sparkSession
-    model = kneser_ney(ngram_counts(docs.select(text)))
-    entries = model.count()
+    model = kneser_ney(ngram_counts(distinct_texts(docs, text)))
+    entries = sum(df.count() for pair in model for df in pair)
     if entries <= max_entries:
-        arrays = model.toArrow()
-        held = Model(arrays.column(0).to_numpy(), arrays.column(1).to_numpy()) if entries else None
+        held = Model(model) if entries else None
         shared = spark.sparkContext.broadcast(held)
         return materialize(docs.select("*", stats_udf(shared)(F.col(text)).alias(name)).drop(*gone), "stats")
     key = fresh("row")
@@ -264,9 +321,11 @@ def judged(docs: DataFrame, text: str = "text", lang: str = "lang", name: str =
     scored = with_stats(docs.withColumn(hashed, F.xxhash64(text)), text, name, **options)
     limits = bands(scored, name, lang, hashed).toDF(of, middle, scale)
     joined = scored.join(limits, F.col(lang).eqNullSafe(F.col(of)), "left")
-    half = F.greatest(F.lit(FLOOR), WIDTH * F.col(scale) / F.sqrt(F.greatest(F.col(f"{name}.n_chars"), F.lit(1))))
-    inside = F.abs(F.col(f"{name}.bits") - F.col(middle)) <= half
-    out = F.col(name).withField("lower", F.col(middle) - half).withField("upper", F.col(middle) + half) \
+    half = WIDTH * F.col(scale) / F.sqrt(F.greatest(F.col(f"{name}.n_chars"), F.lit(1)))
+    lower = F.col(middle) - F.greatest(F.lit(FLOOR_LOW), half)
+    upper = F.col(middle) + F.greatest(F.lit(FLOOR_HIGH), half)
+    inside = F.col(f"{name}.bits").between(lower, upper)
+    out = F.col(name).withField("lower", lower).withField("upper", upper) \
         .withField("base_failed", base_failed(name)) \
         .withField("kept", ~base_failed(name) & F.coalesce(inside, F.lit(False)))
     return joined.withColumn(name, out).drop(hashed, middle, scale, of)
