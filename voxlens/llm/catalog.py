@@ -74,5 +74,45 @@ def queries() -> dict[str, Query]:
     return {q.__name__: q for q in own}
 
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+DECONTAMINATION_SQL = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+      FROM benchmark),
+iw AS (SELECT DISTINCT item_id, k, array_to_string(w[p + 1:p + k], ' ') AS win
+       FROM (SELECT item_id, w, least(10, len(w)) AS k, unnest(generate_series(0, len(w) - least(10, len(w)))) AS p
+             FROM i WHERE len(w) > 0) t),
+dw AS (SELECT doc_id, k, p, array_to_string(w[p + 1:p + k], ' ') AS win
+       FROM (SELECT doc_id, w, k, unnest(generate_series(0, len(w) - k)) AS p
+             FROM d CROSS JOIN (SELECT DISTINCT k FROM iw) ks WHERE len(w) >= k) t),
+hits AS (SELECT dw.doc_id, dw.p, dw.k, iw.item_id FROM dw JOIN iw ON dw.k = iw.k AND dw.win = iw.win),
+n AS (SELECT doc_id, COUNT(DISTINCT q) AS n_hit
+      FROM (SELECT doc_id, unnest(generate_series(p, p + k - 1)) AS q FROM (SELECT DISTINCT doc_id, p, k FROM hits) h) u
+      GROUP BY doc_id),
+m AS (SELECT doc_id, COUNT(DISTINCT item_id) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+      FROM (SELECT DISTINCT doc_id, item_id FROM hits) h GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(COALESCE(n.n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(COALESCE(m.n_items, 0) AS BIGINT) AS n_items, sha256(COALESCE(m.ids, '')) AS items_sha256,
+  COALESCE(n.n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN m ON d.doc_id = m.doc_id"""
+
+NEAR_DUP_SQL = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[p + 1:p + 4], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(generate_series(0, greatest(len(w) - 4, 0))) AS p FROM d WHERE len(w) > 0) t),
+n AS (SELECT doc_id, COUNT(*) AS n FROM s GROUP BY doc_id),
+links AS (SELECT c.a, c.b
+          FROM (SELECT x.doc_id AS a, y.doc_id AS b, COUNT(*) AS common
+                FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id) c
+          JOIN n na ON na.doc_id = c.a JOIN n nb ON nb.doc_id = c.b
+          WHERE 100 * c.common >= 80 * (na.n + nb.n - c.common)),
+reach(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT d.doc_id, CAST(COALESCE(n.n, 0) AS BIGINT) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM d LEFT JOIN n ON d.doc_id = n.doc_id
+JOIN (SELECT a, MIN(b) AS component_id FROM reach GROUP BY a) c ON d.doc_id = c.a"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """DuckDB SQL of the queries that SQL can express; the others are tested by brute force."""
+    return {"op8_benchmark_decontamination": DECONTAMINATION_SQL, "op10_minhash_near_dup": NEAR_DUP_SQL}

@@ -48,6 +48,8 @@ class WordIds:
         self.model = self.tokenizer.model if steps == ["NFC", "Replace", "Lowercase"] and [
             s["type"] for s in splits] == ["Split", "ByteLevel"] and splits[0]["pattern"].get("Regex") == SPLIT else None
         self.special = tuple(t["content"] for t in spec.get("added_tokens", ()))
+        if not all("<" in s for s in self.special):
+            self.model = None
         self.symbols = dict(enumerate(byte_symbols()))
         self.remembered = remembered
         self.known: dict[str, bytes] = {}
@@ -69,7 +71,8 @@ class WordIds:
     def _learn(self, words: list[str]) -> None:
         whole = []
         for word in words:
-            if self.model is not None and _SIMPLE.fullmatch(word) and not any(s in word for s in self.special):
+            if self.model is not None and _SIMPLE.fullmatch(word) and not (
+                    "<" in word and any(s in word for s in self.special)):
                 self.known[word] = self._simple(word)
             else:
                 whole.append(word)
