@@ -20,6 +20,8 @@ least ``MATCHES`` of the values except with a probability below 1e-6.
   n - a + 1 of the one and m - a + 1 of the other must meet. With the rarest first,
   members that no other set has use up places; a node with no place left leaves, and
   a pair is made under a common key only if its first members meet.
+* Once: a posting carries the node's rarer keys, and a pair is made only under the
+  first key that both have.
 * Count: candidate pairs keep those that share ``MATCHES`` coordinates, and links
   are confirmed on the full sets.
 
@@ -191,7 +193,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", size: int = SHINGLE,
     best = partners.select("node", F.col("best.doc_id").alias("doc"), F.col("best.text_hash").alias("hash"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"),
                         F.col(text).alias("text"))
-    texts = texts.join(best, F.col("doc_id").eqNullSafe(F.col("doc")) & (F.col("text_hash") == F.col("hash")))
+    texts = texts.join(best.hint("merge"), F.col("doc_id").eqNullSafe(F.col("doc")) & (F.col("text_hash") == F.col("hash")))
     sets = materialize(_sets(texts, size).dropDuplicates(["node"]), "sets")
 
     # each posting's nodes against its node that shares most, which copies of one text have in common
@@ -203,7 +205,9 @@ def near_duplicates(docs: DataFrame, text: str = "text", size: int = SHINGLE,
     labels = components(found)
 
     # postings of the prefix; only nodes of different components that can be alike are paired
-    prefix = shared.where(f"rank <= shared - {MATCHES} + 1").select("node", "key") \
+    rarer = Window.partitionBy("node").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
+    prefix = shared.where(f"rank <= shared - {MATCHES} + 1").select(
+        "node", "key", F.collect_list("key").over(rarer).alias("rarer")) \
         .join(_rarest(sets, similarity), "node").join(labels, "node", "left") \
         .withColumn("part", F.coalesce("label", "node"))
     prefix = materialize(prefix.drop("label"), "prefix")
@@ -213,14 +217,14 @@ def near_duplicates(docs: DataFrame, text: str = "text", size: int = SHINGLE,
     posted = prefix.join(parts, ["key", "part"])
 
     def side(df: DataFrame, x: str) -> DataFrame:
-        return df.select("key", *[F.col(c).alias(f"{x}_{c}") for c in ("node", "part", "n", "alone", "first")])
+        return df.select("key", *[F.col(c).alias(f"{x}_{c}") for c in ("node", "part", "rarer", "n", "alone", "first")])
 
     # a component with one node under a key meets all others there; two larger ones meet by component
     single, several = posted.where("n_nodes = 1"), posted.where("n_nodes > 1")
     groups = parts.where("n_nodes > 1")
     meet = groups.select("key", F.col("part").alias("p_part")).join(
         groups.select("key", F.col("part").alias("q_part")), "key").where("p_part < q_part")
-    can = _may_be_alike(similarity)
+    can = ~F.arrays_overlap("p_rarer", "q_rarer") & _may_be_alike(similarity)
     across = [
         side(single, "p").join(side(single, "q"), "key").where((F.col("p_node") < F.col("q_node")) & can),
         side(single, "p").join(side(several, "q"), "key").where(can),

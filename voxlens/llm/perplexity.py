@@ -119,7 +119,8 @@ def distinct_texts(docs: DataFrame, text: str) -> DataFrame:
         .where("text IS NOT NULL AND text <> ''").withColumn("h", F.xxhash64("text"))
     again = rows.groupBy("h").agg(F.count("*").alias("n"), F.min("id").alias("first")).where("n > 1") \
         .select("h", "first")
-    return rows.join(again, "h", "left").where("first IS NULL OR id IS NULL OR id = first").select("text")
+    # the same plan at every size: the planner would send a short list and deal a long one out
+    return rows.join(again.hint("merge"), "h", "left").where("first IS NULL OR id IS NULL OR id = first").select("text")
 
 
 def kneser_ney(counts: DataFrame, order: int = ORDER) -> list[tuple[DataFrame, DataFrame]]:
