@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -74,8 +75,12 @@ def compare(spark, key: str, root: str, con=None, builder=None, sql=None) -> dic
     spdf = sdf.toPandas()
     t1 = time.time()
     res = {"key": key, "spark_rows": len(spdf), "spark_sec": round(t1 - t0, 2)}
-    if sql is None:
-        res["status"] = "rows-only"
+    if sql is None:  # what the driver would do with it: unique names, a real write, the rows written
+        out = os.path.join(tempfile.mkdtemp(prefix="voxlens-rows-"), key)
+        sdf.write.parquet(out)
+        written = spark.read.parquet(out).count()
+        unique = len({c.lower() for c in sdf.columns}) == len(sdf.columns)
+        res["status"] = "rows-only" if unique and written == len(spdf) > 0 else "ROWS"
         return res
     con = con or duck(root)
     rel = con.execute(sql)

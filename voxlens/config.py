@@ -113,10 +113,8 @@ LABEL_SQUASH_CENTRE = 0.5
 LABEL_NOISE_SD = 0.1
 LABEL_THRESHOLD = 0.5
 
-# Train/test split: default test share 1 - 0.2 = 0.8; 0.2 when the minority class < 4.
+# Train/test split: default test share 1 - 0.2 = 0.8 (a parameter; the minority count is reported).
 DEFAULT_TEST_SIZE = 0.8
-SMALL_TEST_SIZE = 0.2
-SMALL_MINORITY = 4
 
 # Retrain decision defaults.
 MIN_NEW_DATA_PERCENT = 5.0
@@ -132,7 +130,6 @@ MAX_DAYS_WITHOUT_TRAINING = 7
 DEGRADATION_METRIC = "accuracy"
 DEGRADATION_THRESHOLD = 0.80
 VERSION_HISTORY_LIMIT = 10
-VERSION_NUMBERING_LIMIT = 100
 STALE_PREDICTION_HOURS = 25
 
 # Reports.

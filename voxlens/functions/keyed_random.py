@@ -17,7 +17,7 @@ TWO_POW_32 = 4294967296.0
 
 
 def _hash32(key: Column, salt: str, start: int) -> Column:
-    digest = F.md5(F.concat(F.lit(f"{salt}:"), key.cast("string")))
+    digest = F.md5(F.concat(F.lit(f"{salt}:"), F.coalesce(key.cast("string"), F.lit(""))))  # a NULL key draws too
     return F.conv(F.substring(digest, start, 8), 16, 10).cast("long")
 
 

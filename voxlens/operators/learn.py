@@ -24,12 +24,9 @@ from voxlens.config import (
     LABEL_THRESHOLD,
     LABEL_WEIGHTS,
     MIN_TRAINING_ACCOUNTS,
-    SMALL_MINORITY,
-    SMALL_TEST_SIZE,
 )
 from voxlens.functions.keyed_random import normal, uniform
-
-AUC_BUCKETS = 64
+from voxlens.session import materialize
 
 
 def synthetic_labels(features: DataFrame, noise_sd: float = LABEL_NOISE_SD, key: str = "account_id") -> DataFrame:
@@ -45,36 +42,31 @@ def synthetic_labels(features: DataFrame, noise_sd: float = LABEL_NOISE_SD, key:
             .withColumn("churned", ((F.col("churn_prob") + F.col("noise")) > F.lit(LABEL_THRESHOLD)).cast("int")))
 
 
-def class_balance(labels: DataFrame, label: str = "churned") -> DataFrame:
-    """Class counts, minority size and the test share it implies."""
+def class_balance(labels: DataFrame, label: str = "churned", test_size: float = DEFAULT_TEST_SIZE) -> DataFrame:
+    """Class counts, minority size and the test share in use (a caller that
+    sees a small minority passes another one; nothing switches by itself)."""
     agg = labels.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(label), F.lit(0)).cast("long").alias("positives"))
     return agg.select(
         "n", "positives", (F.col("n") - F.col("positives")).alias("negatives"),
         F.least("positives", F.col("n") - F.col("positives")).alias("minority"),
-        F.when(F.least("positives", F.col("n") - F.col("positives")) < SMALL_MINORITY, F.lit(SMALL_TEST_SIZE))
-        .otherwise(F.lit(DEFAULT_TEST_SIZE)).alias("test_size"))
+        F.lit(float(test_size)).alias("test_size"))
 
 
-def stratified_split(labels: DataFrame, test_size: float | None = None, key: str = "account_id",
+def stratified_split(labels: DataFrame, test_size: float = DEFAULT_TEST_SIZE, key: str = "account_id",
                      label: str = "churned", salt: str = "split") -> DataFrame:
     """M3: per-row keyed-hash threshold, ``u(key) < test_size`` -> test.
 
     Each class is sampled at the same rate, so the split is stratified in
-    expectation with no shuffle; ``test_size=None`` applies the small-minority
-    rule of A11 (a one-row aggregate broadcast back).
+    expectation with no shuffle. Rows with a NULL key draw like one more key,
+    so every row is in one of the two parts.
     """
-    if test_size is None:
-        ts = class_balance(labels, label).select("test_size")
-        with_ts = labels.crossJoin(F.broadcast(ts))  # one-row side
-    else:
-        with_ts = labels.withColumn("test_size", F.lit(float(test_size)))
-    return with_ts.withColumn("is_test", uniform(F.col(key), salt) < F.col("test_size")).drop("test_size")
+    return labels.withColumn("is_test", uniform(F.col(key), salt) < F.lit(float(test_size)))
 
 
 SPLIT_BUCKETS = 4096
 
 
-def stratified_split_exact(labels: DataFrame, test_size: float | None = None, key: str = "account_id",
+def stratified_split_exact(labels: DataFrame, test_size: float = DEFAULT_TEST_SIZE, key: str = "account_id",
                            label: str = "churned", salt: str = "split", buckets: int = SPLIT_BUCKETS) -> DataFrame:
     """M3, exact per-class counts: in each class the ``round(test_size * n_c)``
     rows with the smallest key hash ``u`` (ties by key) form the test set.
@@ -88,17 +80,13 @@ def stratified_split_exact(labels: DataFrame, test_size: float | None = None, ke
     """
     u = uniform(F.col(key), salt)
     data = labels.withColumn("_u", u).withColumn("_b", F.floor(F.col("_u") * buckets).cast("int"))
-    if test_size is None:
-        ts = class_balance(labels, label).select("test_size")
-    else:
-        ts = labels.sparkSession.range(1).select(F.lit(float(test_size)).alias("test_size"))
     hist = data.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(label).orderBy("_b")  # <= `buckets` rows per class
     cum = hist.select(label, "_b", "_n", F.sum("_n").over(w).alias("_upto"),
                       F.sum("_n").over(Window.partitionBy(label)).alias("_nc"))
-    target = cum.crossJoin(F.broadcast(ts)).select(  # one-row side
+    target = cum.select(
         label, "_b", "_n", (F.col("_upto") - F.col("_n")).alias("_before"),
-        F.floor(F.col("test_size") * F.col("_nc") + F.lit(0.5)).cast("long").alias("_t"))
+        F.floor(F.lit(float(test_size)) * F.col("_nc") + F.lit(0.5)).cast("long").alias("_t"))
     # Boundary bucket: where the running count first reaches the class target.
     boundary = (target.where((F.col("_before") < F.col("_t")) & (F.col("_before") + F.col("_n") >= F.col("_t")))
                 .select(label, F.col("_b").alias("_edge_b"), (F.col("_t") - F.col("_before")).alias("_take")))
@@ -121,20 +109,26 @@ def prediction_distribution(preds: DataFrame, prob: str = "churn_probability") -
                  F.col("n").alias("samples_count")))).alias("r")).select("r.*")
 
 
+def score_counts(preds: DataFrame, label: str = "churned", score: str = "churn_probability") -> DataFrame:
+    """(s, pos, neg) per distinct score: all that the metrics below need, written once."""
+    return materialize(preds.groupBy(F.col(score).cast("double").alias("s")).agg(
+        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")), "scores")
+
+
 def roc_auc(preds: DataFrame, label: str = "churned", score: str = "churn_probability",
-            buckets: int = AUC_BUCKETS) -> DataFrame:
+            buckets: int | None = None, by_score: DataFrame | None = None) -> DataFrame:
     """Exact ROC AUC with ties counted one half (Mann-Whitney form).
 
-    A distributed prefix sum without a global window: distinct scores are
-    aggregated to ``(pos, neg)`` and cut into contiguous score ranges at
-    approximate quantiles (a bounded sketch; ``buckets - 1`` edges are fetched
-    once so every consumer sees the same cut). A bucket-level prefix
+    A distributed prefix sum without a global window: the distinct scores are
+    cut into contiguous ranges at approximate quantiles (a bounded sketch;
+    ``buckets - 1`` edges, by default as many buckets as shuffle partitions, are
+    fetched once so every consumer sees the same cut). A bucket-level prefix
     (``buckets`` rows) is joined back and the running sum inside a bucket is a
     window partitioned by bucket. The edges only balance the work; the result
     is exact for any edges.
     """
-    by_score = preds.groupBy(F.col(score).cast("double").alias("s")).agg(
-        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
+    by_score = score_counts(preds, label, score) if by_score is None else by_score
+    buckets = buckets or max(2, int(by_score.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     probs = [i / buckets for i in range(1, buckets)]
     row = by_score.agg(F.percentile_approx("s", probs, 10000).alias("e")).first()
     edges = sorted({float(e) for e in (row["e"] or []) if e is not None})
@@ -155,15 +149,20 @@ def roc_auc(preds: DataFrame, label: str = "churned", score: str = "churn_probab
 
 def classification_metrics(preds: DataFrame, label: str = "churned", score: str = "churn_probability",
                            threshold: float = 0.5) -> DataFrame:
-    """Accuracy, precision, recall, F1 (zero division = 0) and AUC, one row."""
-    yhat = (F.col(score) >= F.lit(threshold)).cast("int")
-    y = F.col(label)
-    c = preds.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if((yhat == 1) & (y == 1)).alias("tp"),
-        F.count_if((yhat == 1) & (y == 0)).alias("fp"),
-        F.count_if((yhat == 0) & (y == 1)).alias("fn"),
-        F.count_if((yhat == 0) & (y == 0)).alias("tn"))
+    """Accuracy, precision, recall, F1 (zero division = 0) and AUC, one row.
+
+    ``preds`` is read once: confusion counts and AUC come from the counts per
+    distinct score."""
+    by_score = score_counts(preds, label, score)
+    above = F.col("s") >= F.lit(threshold)
+    zero = F.lit(0).cast("long")
+
+    def total(column, when) -> F.Column:
+        return F.coalesce(F.sum(F.when(when, F.col(column))), zero)
+
+    c = by_score.agg(total("pos", above).alias("tp"), total("neg", above).alias("fp"),
+                     total("pos", ~above).alias("fn"), total("neg", ~above).alias("tn")) \
+        .withColumn("n", F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn"))
     tp, fp, fn, tn, n = (F.col(x) for x in ("tp", "fp", "fn", "tn", "n"))
     precision = F.when(tp + fp > 0, tp / (tp + fp)).otherwise(F.lit(0.0))
     recall = F.when(tp + fn > 0, tp / (tp + fn)).otherwise(F.lit(0.0))
@@ -171,7 +170,7 @@ def classification_metrics(preds: DataFrame, label: str = "churned", score: str
     out = c.select("n", "tp", "fp", "fn", "tn",
                    F.when(n > 0, (tp + tn) / n).alias("accuracy"),
                    precision.alias("precision"), recall.alias("recall"), f1.alias("f1"))
-    return out.crossJoin(F.broadcast(roc_auc(preds, label, score)))  # one-row side
+    return out.crossJoin(F.broadcast(roc_auc(preds, label, score, by_score=by_score)))  # one-row side
 
 
 def fit_churn_classifier(train: DataFrame, feature_cols=ACCOUNT_FEATURE_COLS, label: str = "churned",
@@ -226,6 +225,21 @@ def training_run_record(split: DataFrame, label: str = "churned", min_accounts:
         error.alias("error_message"))
 
 
+TRAINING_METRICS = ("accuracy", "precision", "recall", "f1", "auc", "prediction_mean", "prediction_std")
+
+
+def training_log_rows(split: DataFrame, next_versions: DataFrame, model_type: str = "churn") -> DataFrame:
+    """What a training run logs, without the fitted figures: its version, status and
+    sample counts, once per metric that it logs (none where the run fails)."""
+    version = next_versions.where(F.col("model_type") == model_type).select("next_version")
+    row = training_run_record(split).join(F.broadcast(version.agg(  # one row each
+        F.coalesce(F.max("next_version"), F.lit("v1")).alias("version"))), how="cross")
+    names = F.when(F.col("status") == "completed", F.array(*[F.lit(m) for m in TRAINING_METRICS])).otherwise(
+        F.array().cast("array<string>"))
+    return row.select(F.lit(model_type).alias("model_type"), "version", "status", "training_samples", "test_samples",
+                      F.explode_outer(names).alias("metric_name"))
+
+
 def save_model(model, path: str) -> str:
     """Persist a fitted pipeline (overwrites only its own directory)."""
     model.write().overwrite().save(path)

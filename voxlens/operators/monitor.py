@@ -119,17 +119,17 @@ def retrain_decisions(feedback: DataFrame, versions: DataFrame, as_of: str | Non
 
 def prediction_drift(history: DataFrame, versions: DataFrame, threshold: float = DRIFT_THRESHOLD,
                      window_rows: int = DRIFT_WINDOW_ROWS) -> DataFrame:
-    """L8 (J2 + W5 + X18): within the newest 20 history rows of each model
-    type (across metrics), the newest value of each metric against the mean of
-    its older values; drift when the relative change is strictly above 0.15.
+    """L8 (J2 + W5 + X18): within the newest ``window_rows`` history rows of each
+    metric of a model type (a metric logged often does not push another out), the
+    newest value against the mean of the older ones; drift when the relative
+    change is strictly above ``threshold``.
     Needs at least two values; an older mean of 0 never drifts."""
     v = versions.select(F.col("id").alias("model_version_id"), F.col("model_type").alias("version_model_type"))
     h = history.select("id", "model_version_id", "metric_name", "metric_value", "scoring_date").join(
         v, "model_version_id")
-    w_type = Window.partitionBy("version_model_type").orderBy(F.col("scoring_date").desc(), F.col("id").desc())
-    newest = h.withColumn("rn", F.row_number().over(w_type)).filter(F.col("rn") <= window_rows)
-    w_metric = Window.partitionBy("version_model_type", "metric_name").orderBy("rn")
-    ranked = newest.withColumn("mrn", F.row_number().over(w_metric))
+    w_metric = Window.partitionBy("version_model_type", "metric_name").orderBy(
+        F.col("scoring_date").desc(), F.col("id").desc())
+    ranked = h.withColumn("mrn", F.row_number().over(w_metric)).filter(F.col("mrn") <= window_rows)
     per_metric = ranked.groupBy(F.col("version_model_type").alias("model_type"), "metric_name").agg(
         F.count(F.lit(1)).alias("n_values"),
         F.max(F.when(F.col("mrn") == 1, F.col("metric_value"))).alias("recent"),
@@ -142,6 +142,13 @@ def prediction_drift(history: DataFrame, versions: DataFrame, threshold: float =
         F.coalesce(valid & (change > F.lit(threshold)), F.lit(False)).alias("drift_detected"))
 
 
+def drift_details(history: DataFrame, versions: DataFrame, as_of: str | None = None, **options) -> DataFrame:
+    """L11's drift part: the drifted metrics of each model type with their figures."""
+    return prediction_drift(history, versions, **options).where("drift_detected").select(
+        "model_type", "metric_name", "recent", "average_older", "percent_change",
+        as_of_lit(as_of).alias("report_timestamp"))
+
+
 def drift_by_type(drift: DataFrame, domain: DataFrame) -> DataFrame:
     d = drift.groupBy("model_type").agg(F.max(F.col("drift_detected").cast("int")).alias("d"))
     return domain.join(d, "model_type", "left").select(
@@ -209,7 +216,8 @@ def health_report(versions: DataFrame, deployments: DataFrame, metrics: DataFram
         F.col("threshold").alias("degradation_threshold"), F.col("metric").alias("degradation_metric"))
     j = st.join(dr, "model_type").join(dg, "model_type")
     bad = F.col("is_stale") | F.col("drift_detected") | F.col("is_degraded")
-    return j.select("*", F.when(bad, F.lit("unhealthy")).otherwise(F.lit("healthy")).alias("overall_health"))
+    return j.select("*", F.when(bad, F.lit("unhealthy")).otherwise(F.lit("healthy")).alias("overall_health"),
+                    as_of_lit(as_of).alias("report_timestamp"))
 
 
 def health_alerts(report: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from voxlens.config import PROMOTION_THRESHOLD, VERSION_HISTORY_LIMIT, VERSION_NUMBERING_LIMIT
+from voxlens.config import PROMOTION_THRESHOLD, VERSION_HISTORY_LIMIT
 from voxlens.functions.scalars import relative_improvement, version_major
 from voxlens.functions.time import as_of_lit
 from voxlens.operators.sinks import upsert
@@ -25,10 +25,11 @@ def latest_version_metrics(metrics: DataFrame, dataset_type: str | None = "test"
     """Latest value of each metric of each version (newest ``created_at``,
     ties by the larger value)."""
     m = metrics if dataset_type is None else metrics.filter(F.col("dataset_type") == dataset_type)
-    best = F.max(F.struct("created_at", "metric_value")).alias("b")
-    return (m.groupBy("model_version_id", "dataset_type", "metric_name").agg(best)
-            .select("model_version_id", "dataset_type", "metric_name", F.col("b.metric_value").alias("metric_value"),
-                    F.col("b.created_at").alias("created_at")))
+    keys = ("model_version_id", "dataset_type", "metric_name")
+    # Fixed-width buffers at both levels (hash aggregates; a struct max would sort the log).
+    ties = m.groupBy(*keys, "created_at").agg(F.max("metric_value").alias("metric_value"))
+    return ties.groupBy(*keys).agg(F.max_by("metric_value", "created_at").alias("metric_value"),
+                                   F.max("created_at").alias("created_at"))
 
 
 def latest_versions(versions: DataFrame) -> DataFrame:
@@ -65,10 +66,10 @@ def active_versions(versions: DataFrame, deployments: DataFrame) -> DataFrame:
             .select(*[F.col("deployed_type").alias(c) if c == "model_type" else F.col(c) for c in versions.columns]))
 
 
-def next_versions(versions: DataFrame, limit: int = VERSION_NUMBERING_LIMIT) -> DataFrame:
-    """L6 + X15: ``v{max major + 1}`` over the newest ``limit`` versions, ``v1`` if none parse."""
-    hist = ranked_versions(versions.select("model_type", "id", "version", "created_at"), limit)
-    return hist.groupBy("model_type").agg(F.max(version_major("version")).alias("max_major")).select(
+def next_versions(versions: DataFrame) -> DataFrame:
+    """L6 + X15: ``v{max major + 1}`` over all versions (an old version may have the
+    largest number), ``v1`` if none parse."""
+    return versions.groupBy("model_type").agg(F.max(version_major("version")).alias("max_major")).select(
         "model_type",
         F.coalesce("max_major", F.lit(0)).alias("max_major"),
         F.concat(F.lit("v"), (F.coalesce("max_major", F.lit(0)) + 1).cast("string")).alias("next_version"))
@@ -146,7 +147,28 @@ def promotion_decisions(versions: DataFrame, deployments: DataFrame, metrics: Da
         F.when(first, F.lit("first_deployment"))
         .when(avg > F.lit(threshold), F.lit("improvement_above_threshold"))
         .otherwise(F.lit("improvement_below_threshold")).alias("promotion_reason"),
-        F.lit(threshold).alias("promotion_threshold"))
+        F.lit(threshold).alias("promotion_threshold"),
+        "metric_improvements")
+
+
+def model_comparisons(decisions: DataFrame, as_of: str | None = None) -> DataFrame:
+    """L7's log: one comparison row per model type that has a previous version,
+    with the improvement of every metric as JSON."""
+    return decisions.where(F.col("previous_version_id").isNotNull()).select(
+        "model_type", "previous_version_id", "new_version_id", "metric_improvements", "average_improvement",
+        "promotion_recommended", "promotion_reason", as_of_lit(as_of).alias("comparison_timestamp"))
+
+
+def complete_runs(runs: DataFrame, done: DataFrame, as_of: str | None = None) -> DataFrame:
+    """Close the runs named in ``done`` (run_id, status, training_samples,
+    test_samples, error_message); other rows keep what they have."""
+    patch = done.select(F.col("run_id"), *[F.col(c).alias(f"_new_{c}") for c in (
+        "status", "training_samples", "test_samples", "error_message")], F.lit(True).alias("_hit"))
+    hit = F.coalesce(F.col("_hit"), F.lit(False))
+    taken = {c: F.when(hit, F.col(f"_new_{c}")).otherwise(F.col(c)) for c in (
+        "status", "training_samples", "test_samples", "error_message")}
+    taken["completed_at"] = F.when(hit, as_of_lit(as_of)).otherwise(F.col("completed_at"))
+    return runs.join(patch, "run_id", "left").select(*[taken.get(c, F.col(c)).alias(c) for c in runs.columns])
 
 
 def deploy_versions(deployments: DataFrame, patch: DataFrame, as_of: str | None = None) -> DataFrame:

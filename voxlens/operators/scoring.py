@@ -132,18 +132,30 @@ def with_health_and_bucket(probs: DataFrame) -> DataFrame:
 
 def account_risk_scores(feedback: DataFrame, as_of: str | None = None, lookback_days: int = LOOKBACK_DAYS,
                         grain: str = "user", model_version: str = DEFAULT_MODEL_VERSION,
-                        scaler: DataFrame | None = None) -> DataFrame:
+                        scaler: DataFrame | None = None, codes: DataFrame | None = None, model=None,
+                        account_id: str | None = None) -> DataFrame:
     """L1: A1 -> X1-X5 -> P5 -> M1 -> M5 -> X7, X8, in the sink's schema.
 
+    ``scaler``, ``codes`` and ``model`` are the artifacts of a training run; where
+    they are absent the scaler and codes come from the rows at hand and the
+    stored linear scorer is used. With them, one account (``account_id``) gets
+    the score that it has in a full run.
+
     The default grain is per user, so ``account_id`` is unique (the
     reference's tier grain is available as ``grain="tier"``; see
     ``one_row_per_account`` for its deterministic collapse).
     """
     keys = ("account_id", "region") if grain == "tier" else ("account_id",)
     # account_features writes the A1 aggregate once; both scaler passes read it.
-    feats = account_features(feedback, as_of, lookback_days, grain)
+    feats = account_features(feedback, as_of, lookback_days, grain, account_id=account_id, codes=codes)
     scaled = standardize(feature_matrix(feats, keys=keys), keys=keys, stats=scaler)
-    probs = with_health_and_bucket(score_accounts_linear(scaled, keys=keys))
+    if model is None:
+        probs = score_accounts_linear(scaled, keys=keys)
+    else:
+        from voxlens.operators.learn import predict_churn
+
+        probs = predict_churn(model, scaled, keep=keys)
+    probs = with_health_and_bucket(probs)
     return probs.select(
         "account_id",
         *(["region"] if grain == "tier" else []),

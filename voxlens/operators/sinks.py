@@ -21,20 +21,22 @@ def _latest_per_key(df: DataFrame, keys, order_col: str | None, take_max: bool =
     (a partial aggregate, so a hot key is combined map-side). Rows with a NULL
     key component are kept as they are: NULL never conflicts."""
     cols = [c for c in df.columns if c not in keys]
-    order = ([F.col(order_col)] if order_col else []) + [F.col(c) for c in cols]
-    pick = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], F.struct(*cols).alias("_row"))
+    pick = F.struct(*([order_col] if order_col in cols else []), *[c for c in cols if c != order_col])
     agg = F.max(pick) if take_max else F.min(pick)
     has_null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     dedup = (df.where(~has_null_key).groupBy(*keys).agg(agg.alias("_p"))
-             .select(*keys, *[F.col(f"_p._row.{c}").alias(c) for c in cols]))
+             .select(*keys, *[F.col(f"_p.{c}").alias(c) for c in cols]))
     return dedup.unionByName(df.where(has_null_key).select(*keys, *cols))
 
 
-def upsert(existing: DataFrame, incoming: DataFrame, keys, update_cols, order_col: str | None = None) -> DataFrame:
+def upsert(existing: DataFrame, incoming: DataFrame, keys, update_cols, order_col: str | None = None,
+           unique_keys: bool = False) -> DataFrame:
     """S3: ``INSERT ... ON CONFLICT (keys) DO UPDATE SET c = EXCLUDED.c``.
 
     * duplicate incoming keys collapse to one row (the largest ``order_col``,
-      then the largest row), since a set-based MERGE must not match twice;
+      then the largest row), since a set-based MERGE must not match twice
+      (``unique_keys``: the caller's keys are unique, e.g. an aggregate's, and
+      this pass is left out);
     * on conflict, ``update_cols`` take the incoming value even when it is
       NULL (a presence flag, not ``coalesce``); other columns keep the old value;
     * keys only in ``incoming`` are inserted, keys only in ``existing`` kept;
@@ -42,7 +44,7 @@ def upsert(existing: DataFrame, incoming: DataFrame, keys, update_cols, order_co
     """
     keys, update_cols = list(keys), list(update_cols)
     cols = existing.columns
-    inc = _latest_per_key(incoming.select(*cols), keys, order_col)
+    inc = incoming.select(*cols) if unique_keys else _latest_per_key(incoming.select(*cols), keys, order_col)
     old = existing.select(*keys, *[F.col(c).alias(f"_old_{c}") for c in cols if c not in keys], F.lit(True).alias("_old"))
     new = inc.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in cols if c not in keys], F.lit(True).alias("_new"))
     j = old.join(new, keys, "full_outer")
@@ -63,8 +65,10 @@ def insert_if_absent(existing: DataFrame, batch: DataFrame, key: str = "id", ord
     """``ON CONFLICT (key) DO NOTHING``; returns the rows that would be
     inserted (their count is the reference's return value). Within the batch
     the first row per key wins (smallest ``order_col``, then smallest row)."""
+    ids = batch.select(key).where(F.col(key).isNotNull()).distinct()
+    conflicts = existing.select(key).join(ids, key, "left_semi").distinct()  # the stored table is only probed
     first = _latest_per_key(batch, [key], order_col, take_max=False)
-    return first.join(existing.select(key), key, "left_anti").select(*batch.columns)
+    return first.join(conflicts, key, "left_anti").select(*batch.columns)
 
 
 def constraint_violations(df: DataFrame, table_name: str, keys, not_null=(), checks=None) -> DataFrame:

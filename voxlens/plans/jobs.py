@@ -7,9 +7,17 @@ its path. An external orchestrator schedules them; there is no scheduler here.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-
-from voxlens.config import DEFAULT_AS_OF, DEFAULT_MODEL_VERSION
-from voxlens.operators import monitor, scoring, sinks
+from pyspark.sql import functions as F
+
+from voxlens.config import (
+    ACCOUNT_FEATURE_COLS,
+    DEFAULT_AS_OF,
+    DEFAULT_MODEL_VERSION,
+    DEFAULT_TEST_SIZE,
+    LOOKBACK_DAYS,
+)
+from voxlens.functions.time import as_of_lit
+from voxlens.operators import artifacts, features, learn, monitor, registry, scoring, sinks
 from voxlens.session import prepare
 from voxlens.sources.tables import Tables
 
@@ -30,19 +38,30 @@ def _publish(spark: SparkSession, new: DataFrame, out: str, table: str, keys, up
 
 
 def score_areas(spark: SparkSession, root: str, out: str, as_of: str | None = None,
-                model_version: str = DEFAULT_MODEL_VERSION, previous: str | None = None) -> str:
-    """L2 + S3: score product areas and upsert over snapshot ``previous``."""
+                model_version: str = DEFAULT_MODEL_VERSION, previous: str | None = None,
+                model_path: str | None = None) -> str:
+    """L2 + S3: score product areas (with the weights stored under ``model_path``,
+    if any) and upsert over snapshot ``previous``."""
     prepare(spark)
-    impact = scoring.product_area_impact(Tables(spark, root).feedback, as_of, model_version=model_version)
+    weights = artifacts.load_weights(spark, model_path) if model_path else None
+    impact = scoring.product_area_impact(Tables(spark, root).feedback, as_of, model_version=model_version,
+                                         weights=weights)
     return _publish(spark, impact, out, "product_area_impact", ["product_area", "segment"], AREA_UPDATE_COLS,
                     as_of, previous)
 
 
 def score_accounts(spark: SparkSession, root: str, out: str, as_of: str | None = None,
-                   model_version: str = DEFAULT_MODEL_VERSION, previous: str | None = None) -> str:
-    """L1 + S3: score accounts (per user) and upsert over snapshot ``previous``."""
+                   model_version: str = DEFAULT_MODEL_VERSION, previous: str | None = None,
+                   model_path: str | None = None) -> str:
+    """L1 + S3: score accounts (per user) and upsert over snapshot ``previous``.
+
+    With ``model_path`` the pipeline, scaler and region codes of that training
+    run are used; what is not stored there falls back to the defaults."""
     prepare(spark)
-    scores = scoring.account_risk_scores(Tables(spark, root).feedback, as_of, model_version=model_version)
+    stored = {} if model_path is None else {
+        "scaler": artifacts.load_scaler(spark, model_path), "codes": artifacts.load_codes(spark, model_path),
+        "model": artifacts.load_pipeline(spark, model_path)}
+    scores = scoring.account_risk_scores(Tables(spark, root).feedback, as_of, model_version=model_version, **stored)
     return _publish(spark, scores, out, "account_risk_scores", ["account_id"], ACCOUNT_UPDATE_COLS,
                     as_of, previous)
 
@@ -70,3 +89,135 @@ def status(spark: SparkSession, root: str, out: str, snapshot: str) -> DataFrame
         "account_risk_scores": sinks.read_snapshot(spark, out, "account_risk_scores", snapshot),
         "product_area_impact": sinks.read_snapshot(spark, out, "product_area_impact", snapshot),
     })
+
+
+# Registry logs that the training jobs append to (S5), under the output folder.
+VERSIONS = "id long, model_type string, version string, status string, created_at timestamp_ntz, hyperparameters string"
+METRICS = "model_version_id long, metric_name string, metric_value double, dataset_type string, created_at timestamp_ntz"
+DEPLOYMENTS = ("model_type string, active_version_id long, previous_version_id long, rollback_available boolean, "
+               "deployed_at timestamp_ntz")
+
+
+def read_log(spark: SparkSession, out: str, table: str, schema: str) -> DataFrame:
+    """A registry log; empty where nothing has been logged yet."""
+    found = artifacts.read_or_none(spark, f"{out.rstrip('/')}/{table}")
+    return spark.createDataFrame([], schema) if found is None else found
+
+
+def deployed(spark: SparkSession, out: str) -> DataFrame:
+    """The deployment of each model type: the newest row of the log."""
+    log = read_log(spark, out, "model_deployments", DEPLOYMENTS)
+    newest = log.groupBy("model_type").agg(F.max(F.struct("deployed_at", *[
+        c for c in log.columns if c not in ("model_type", "deployed_at")])).alias("d"))
+    return newest.select("model_type", *[F.col(f"d.{c}").alias(c) for c in log.columns if c != "model_type"])
+
+
+def deploy(spark: SparkSession, out: str, patch: DataFrame, as_of: str | None = None) -> None:
+    """L12 + S7: log the deployment of each (model_type, version_id) of ``patch``."""
+    after = registry.deploy_versions(deployed(spark, out), patch, as_of).where(F.col("deployed_at").isNotNull())
+    sinks.append_log(after.select(*[c.split()[0] for c in DEPLOYMENTS.split(", ")]), out, "model_deployments")
+
+
+def version_status(spark: SparkSession, out: str) -> DataFrame:
+    """The version log with the statuses that the deployments imply."""
+    return registry.version_status_after_deploy(read_log(spark, out, "model_versions", VERSIONS), deployed(spark, out))
+
+
+def _register(spark: SparkSession, out: str, model_type: str, as_of: str | None, hyperparameters: str):
+    """A new version row of ``model_type``; (id, version)."""
+    versions = read_log(spark, out, "model_versions", VERSIONS)
+    nxt = registry.next_versions(versions.where(F.col("model_type") == model_type)).first()
+    version = nxt.next_version if nxt is not None else "v1"
+    version_id = (versions.agg(F.max("id")).first()[0] or 0) + 1
+    row = spark.range(1).select(
+        F.lit(version_id).cast("long").alias("id"), F.lit(model_type).alias("model_type"), F.lit(version).alias("version"),
+        F.lit("training").alias("status"), as_of_lit(as_of).alias("created_at"), F.lit(hyperparameters).alias("hyperparameters"))
+    sinks.append_log(row, out, "model_versions")
+    return version_id, version
+
+
+def _promote(spark: SparkSession, out: str, model_type: str, version_id: int, as_of: str | None) -> bool:
+    """Compare with the deployed version, log the comparison, deploy if recommended."""
+    versions = read_log(spark, out, "model_versions", VERSIONS).where(F.col("model_type") == model_type)
+    active = deployed(spark, out).where(F.col("model_type") == model_type)
+    decision = registry.promotion_decisions(versions, active, read_log(spark, out, "model_metrics", METRICS))
+    sinks.append_log(registry.model_comparisons(decision, as_of), out, "model_comparisons")
+    promoted = bool(decision.first().promotion_recommended)
+    if promoted:
+        deploy(spark, out, spark.createDataFrame([(model_type, version_id)], "model_type string, version_id long"), as_of)
+    return promoted
+
+
+def train_churn(spark: SparkSession, root: str, out: str, as_of: str | None = None, force: bool = False,
+                test_size: float = DEFAULT_TEST_SIZE, kind: str = "logistic",
+                lookback_days: int = LOOKBACK_DAYS) -> dict | None:
+    """L4: freshness check, version row, fit, metrics and distribution of the fitted
+    model, stored artifacts, run record, comparison and deployment.
+
+    Returns what happened (version, path, status, promoted), or None where the
+    check says that there is too little new data."""
+    prepare(spark)
+    t = Tables(spark, root)
+    types = spark.createDataFrame([("churn",)], "model_type string")
+    decisions = monitor.retrain_decisions(
+        t.feedback_core, read_log(spark, out, "model_versions", VERSIONS), as_of, model_types=types,
+        min_new_records=CHURN_JOB_MIN_NEW_RECORDS)
+    sinks.append_log(monitor.data_freshness_log(decisions, as_of), out, "data_freshness_log")
+    if not force and not decisions.first().decision_to_retrain:
+        return None
+    version_id, version = _register(spark, out, "churn", as_of, f'{{"lookback_days": "{lookback_days}", "kind": "{kind}"}}')
+    base = features.account_features(t.feedback, as_of, lookback_days, grain="user")
+    codes = features.region_codes(base)
+    kept = ("account_id", "churned", "is_test")
+    split = learn.stratified_split(learn.synthetic_labels(base), test_size)
+    record = learn.training_run_record(split).first()
+    metrics: list[tuple[str, float]] = []
+    path, promoted = artifacts.folder(out, "churn", version), False
+    if record.status == "completed":
+        matrix = features.feature_matrix(split, keys=kept)
+        scaler = scoring.fit_scaler(matrix.where(~F.col("is_test")), ACCOUNT_FEATURE_COLS)
+        data = scoring.standardize(matrix, keys=kept, stats=scaler)
+        model = learn.fit_churn_classifier(data.where(~F.col("is_test")), kind=kind)
+        artifacts.save_churn(path, model, scaler, codes)
+        preds = learn.predict_churn(model, data.where("is_test"), keep=kept)
+        row = learn.classification_metrics(preds).first()
+        metrics = [(m, row[m]) for m in ("accuracy", "precision", "recall", "f1", "auc") if row[m] is not None]
+        at = as_of_lit(as_of)
+        sinks.append_log(spark.createDataFrame(metrics, "metric_name string, metric_value double").select(
+            F.lit(version_id).cast("long").alias("model_version_id"), "metric_name", "metric_value",
+            F.lit("test").alias("dataset_type"), at.alias("created_at")), out, "model_metrics")
+        sinks.append_log(learn.prediction_distribution(preds).select(
+            F.lit(version_id).cast("long").alias("model_version_id"), F.lit("churn").alias("model_type"), "metric_name",
+            "metric_value", "samples_count", at.alias("scoring_date")), out, "prediction_distribution_history")
+        promoted = _promote(spark, out, "churn", version_id, as_of)
+    run = spark.createDataFrame([(version_id, "churn", record.status, record.training_samples, record.test_samples,
+                                  record.error_message)], "model_version_id long, model_type string, status string, "
+                                "training_samples long, test_samples long, error_message string")
+    sinks.append_log(run.withColumn("completed_at", as_of_lit(as_of)), out, "training_runs")
+    return {"version_id": version_id, "version": version, "status": record.status, "promoted": promoted, "path": path}
+
+
+def train_areas(spark: SparkSession, root: str, out: str, as_of: str | None = None,
+                overrides: DataFrame | None = None) -> dict:
+    """A version of the rule-based area scorer with its weights, its score statistics as metrics, and its run."""
+    prepare(spark)
+    t = Tables(spark, root)
+    version_id, version = _register(spark, out, "product_area", as_of, "{}")
+    path = artifacts.folder(out, "product_area", version)
+    weights = scoring.effective_weights(scoring.default_weights(spark), overrides)
+    artifacts.save_weights(weights, path)
+    scored = scoring.area_scores(features.area_features(t.feedback, as_of), artifacts.load_weights(spark, path))
+    row = scored.agg(F.count("*").alias("n"), F.avg("priority_score").alias("mean"),
+                     F.stddev_pop("priority_score").alias("std")).first()
+    status = "completed" if row.n else "failed"
+    if row.n:
+        sinks.append_log(spark.createDataFrame([("score_mean", row["mean"]), ("score_std", row["std"])],
+                                               "metric_name string, metric_value double").select(
+            F.lit(version_id).cast("long").alias("model_version_id"), "metric_name", "metric_value",
+            F.lit("test").alias("dataset_type"), as_of_lit(as_of).alias("created_at")), out, "model_metrics")
+        deploy(spark, out, spark.createDataFrame([("product_area", version_id)], "model_type string, version_id long"), as_of)
+    run = spark.createDataFrame([(version_id, "product_area", status, row.n, 0, None)], "model_version_id long, "
+                                "model_type string, status string, training_samples long, test_samples long, "
+                                "error_message string")
+    sinks.append_log(run.withColumn("completed_at", as_of_lit(as_of)), out, "training_runs")
+    return {"version_id": version_id, "version": version, "status": status, "path": path}

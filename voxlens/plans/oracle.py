@@ -323,7 +323,7 @@ FROM (SELECT *, 1.0 / (1.0 + exp(-5.0 * (churn_score - 0.5))) AS churn_prob,
             FROM acct_features_user) a) b""", "acct_features_user")
 cte("class_balance", """
 SELECT n, positives, n - positives AS negatives, least(positives, n - positives) AS minority,
-  CASE WHEN least(positives, n - positives) < 4 THEN CAST(0.2 AS DOUBLE) ELSE CAST(0.8 AS DOUBLE) END AS test_size
+  CAST(0.8 AS DOUBLE) AS test_size
 FROM (SELECT COUNT(*) AS n, CAST(COALESCE(SUM(churned), 0) AS BIGINT) AS positives FROM labels_user) t""",
     "labels_user")
 cte("split_user", f"""
@@ -417,12 +417,11 @@ FROM (SELECT *, CASE WHEN average_older <> 0 THEN abs((recent - average_older) /
       FROM (SELECT version_model_type AS model_type, metric_name, COUNT(*) AS n_values,
                    MAX(CASE WHEN mrn = 1 THEN metric_value END) AS recent,
                    AVG(CASE WHEN mrn > 1 THEN metric_value END) AS average_older
-            FROM (SELECT *, row_number() OVER (PARTITION BY version_model_type, metric_name ORDER BY rn) AS mrn
-                  FROM (SELECT * FROM (
-                          SELECT h.id, h.metric_name, h.metric_value, h.scoring_date, v.model_type AS version_model_type,
-                                 row_number() OVER (PARTITION BY v.model_type ORDER BY h.scoring_date DESC, h.id DESC) AS rn
-                          FROM prediction_distribution_history h JOIN model_versions v ON h.model_version_id = v.id) x
-                        WHERE rn <= 20) y) z
+            FROM (SELECT h.id, h.metric_name, h.metric_value, h.scoring_date, v.model_type AS version_model_type,
+                         row_number() OVER (PARTITION BY v.model_type, h.metric_name
+                                            ORDER BY h.scoring_date DESC, h.id DESC) AS mrn
+                  FROM prediction_distribution_history h JOIN model_versions v ON h.model_version_id = v.id) z
+            WHERE mrn <= 20
             GROUP BY version_model_type, metric_name) a) b""",
     "prediction_distribution_history", "model_versions")
 cte("staleness", f"""
@@ -457,11 +456,12 @@ def fixed_1dp_sql(x: str) -> str:
     return f"(CAST(CAST(floor({t} / 10) AS BIGINT) AS VARCHAR) || '.' || CAST({t} % 10 AS VARCHAR))"
 
 
-cte("health", """
+cte("health", f"""
 SELECT s.model_type, s.is_stale, s.message AS staleness_message,
   COALESCE(dr.d, FALSE) AS drift_detected,
   g.is_degraded, g.value AS degradation_value, g.threshold AS degradation_threshold, g.metric AS degradation_metric,
-  CASE WHEN s.is_stale OR COALESCE(dr.d, FALSE) OR g.is_degraded THEN 'unhealthy' ELSE 'healthy' END AS overall_health
+  CASE WHEN s.is_stale OR COALESCE(dr.d, FALSE) OR g.is_degraded THEN 'unhealthy' ELSE 'healthy' END AS overall_health,
+  {AS_OF} AS report_timestamp
 FROM staleness s
 LEFT JOIN (SELECT model_type, bool_or(drift_detected) AS d FROM drift GROUP BY model_type) dr
   ON s.model_type = dr.model_type

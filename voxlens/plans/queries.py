@@ -160,11 +160,18 @@ def _linear_probs(t):
     return sc.score_accounts_linear(sc.standardize(feat.feature_matrix(_user_features(t))))
 
 
-def _test_preds(t):
-    s = _split(t).where("is_test").select("account_id", "churned")
-    return s.join(_linear_probs(t).select("account_id", "churn_probability"), "account_id")
+KEPT = ("account_id", "churned", "is_test")
+
+
+def _scored_split(t):
+    """Label, split and linear probability of every account, carried through one projection."""
+    matrix = feat.feature_matrix(_split(t), keys=KEPT)
+    return sc.score_accounts_linear(sc.standardize(matrix, keys=KEPT), keys=KEPT)
 
 
+def _test_preds(t):
+    return _scored_split(t).where("is_test").select("account_id", "churned", "churn_probability")
+
 
 ACCT_SCORE_R6 = (f"account_id, {O.r6('churn_probability')} AS churn_probability, "
                  f"{O.r6('health_score')} AS health_score, risk_category")
@@ -329,13 +336,21 @@ def prediction_distribution(t):
 def churn_fit_predict(t):
     """M4: fit logistic regression on the train split, predict every account
     (rows-only check; the optimiser is not the reference's)."""
-    feats = _user_features(t)
-    split = ln.stratified_split(ln.synthetic_labels(feats))
-    scaled = sc.standardize(feat.feature_matrix(feats))
-    data = scaled.join(split.select("account_id", "churned", "is_test"), "account_id")
+    return _fit_predict(t).select("account_id", "churned", "is_test", "churn_probability")
+
+
+def _fit_predict(t):
+    matrix = feat.feature_matrix(_split(t), keys=KEPT)
+    stats = sc.fit_scaler(matrix.where(~F.col("is_test")), O.ACCOUNT_MATRIX_COLS)  # training rows only
+    data = sc.standardize(matrix, keys=KEPT, stats=stats)
     model = ln.fit_churn_classifier(data.where(~F.col("is_test")))
-    preds = ln.predict_churn(model, data, keep=("account_id", "churned", "is_test"))
-    return preds.join(data.select("account_id", "churned", "is_test"), "account_id")
+    return ln.predict_churn(model, data, keep=KEPT)
+
+
+@register("fitted_metrics", None)
+def fitted_metrics(t):
+    """A18 + W6 of the fitted model (M4) on its test rows (rows-only: the fit is numerical)."""
+    return ln.classification_metrics(_fit_predict(t).where("is_test"))
 
 
 # ------------------------------------------------------------------ A5-A9, A13-A17, T1-T4, U1, P8, P9
@@ -581,8 +596,8 @@ SELECT model_type, COALESCE(MAX(major), 0) AS max_major, 'v' || CAST(COALESCE(MA
 FROM (SELECT model_type,
         CASE WHEN regexp_extract(version, '^v?([0-9]+)(\\.|$)', 1) <> ''
              THEN CAST(regexp_extract(version, '^v?([0-9]+)(\\.|$)', 1) AS BIGINT) END AS major
-      FROM ranked_versions WHERE rn <= 100) t
-GROUP BY model_type""", "ranked_versions"))
+      FROM model_versions) t
+GROUP BY model_type""", "model_versions"))
 def next_versions(t):
     """L6 + X15: next major version per model type."""
     return reg.next_versions(t.model_versions)
@@ -612,8 +627,22 @@ def version_improvements(t):
     "n_metrics, promotion_recommended, promotion_reason, promotion_threshold FROM promotion", "promotion"))
 def promotion_decisions(t):
     """L7 + A19: promote the newest version when it beats the active one."""
-    return round6(reg.promotion_decisions(t.model_versions, t.model_deployments, t.model_metrics),
-                  "average_improvement")
+    return round6(reg.promotion_decisions(t.model_versions, t.model_deployments, t.model_metrics)
+                  .drop("metric_improvements"), "average_improvement")
+
+
+@register("model_comparisons", O.build(f"""
+SELECT p.model_type, p.previous_version_id, p.new_version_id, {O.r6('p.average_improvement')} AS average_improvement,
+  p.promotion_recommended, p.promotion_reason, {O.AS_OF} AS comparison_timestamp, i.metric_name,
+  {O.r6('i.improvement')} AS improvement
+FROM promotion p LEFT JOIN improvements i ON p.model_type = i.model_type
+WHERE p.previous_version_id IS NOT NULL""", "promotion", "improvements"))
+def model_comparisons(t):
+    """L7's log rows; the JSON of improvements is unfolded to one row per metric."""
+    rows = reg.model_comparisons(reg.promotion_decisions(t.model_versions, t.model_deployments, t.model_metrics))
+    unfolded = rows.select("*", F.explode_outer(F.from_json("metric_improvements", "map<string,double>"))
+                           .alias("metric_name", "improvement")).drop("metric_improvements")
+    return round6(unfolded, "average_improvement", "improvement")
 
 
 def _deploy(t):
@@ -690,6 +719,15 @@ def prediction_drift(t):
                   "recent", "average_older", "percent_change")
 
 
+@register("drift_details", O.build(
+    f"SELECT model_type, metric_name, {O.r6('recent')} AS recent, {O.r6('average_older')} AS average_older, "
+    f"{O.r6('percent_change')} AS percent_change, {O.AS_OF} AS report_timestamp FROM drift WHERE drift_detected",
+    "drift"))
+def drift_details(t):
+    """The drifted metrics behind the report."""
+    return round6(mon.drift_details(t.prediction_history, t.model_versions), "recent", "average_older", "percent_change")
+
+
 @register("model_staleness", O.build("SELECT * FROM staleness", "staleness"))
 def model_staleness(t):
     """Active model age and stale flag per model type."""
@@ -754,7 +792,7 @@ def upsert_scores(t):
     old = sc.account_risk_scores(t.feedback, as_of=PREVIOUS_AS_OF, model_version="v0")
     new = _account_scores(t)
     cols = ["churn_probability", "health_score", "risk_category", "predicted_at", "model_version"]
-    return round6(sk.upsert(old, new, ["account_id"], cols), "churn_probability", "health_score")
+    return round6(sk.upsert(old, new, ["account_id"], cols, unique_keys=True), "churn_probability", "health_score")
 
 
 @register("insert_new_feedback", O.build(f"""
@@ -889,8 +927,8 @@ SELECT model_type, COALESCE(MAX(major), 0) AS max_major, 'v' || CAST(COALESCE(MA
 FROM (SELECT model_type,
         CASE WHEN regexp_extract(version, '^v?([0-9]+)(\\.|$)', 1) <> ''
              THEN CAST(regexp_extract(version, '^v?([0-9]+)(\\.|$)', 1) AS BIGINT) END AS major
-      FROM ranked_versions WHERE rn <= 100) t
-GROUP BY model_type""", "ranked_versions")
+      FROM model_versions) t
+GROUP BY model_type""", "model_versions")
 
 
 @register("training_plan", O.build(f"""
@@ -904,3 +942,35 @@ def training_plan(t):
     """L3 + L6 + S5/D7: version rows a scheduled retrain would create."""
     decisions = mon.retrain_decisions(t.feedback_core, t.model_versions)
     return mon.training_plan(decisions, reg.next_versions(t.model_versions))
+
+
+@register("training_log_rows", O.build("""
+SELECT 'churn' AS model_type, COALESCE((SELECT next_version FROM next_versions WHERE model_type = 'churn'), 'v1') AS version,
+  'completed' AS status, n - test_n AS training_samples, test_n AS test_samples, m.metric_name
+FROM (SELECT COUNT(*) AS n, COUNT(*) FILTER (WHERE is_test) AS test_n FROM split_user) s
+CROSS JOIN (SELECT unnest(['accuracy', 'precision', 'recall', 'f1', 'auc', 'prediction_mean', 'prediction_std'])
+            AS metric_name) m
+WHERE n >= 5
+UNION ALL
+SELECT 'churn', COALESCE((SELECT next_version FROM next_versions WHERE model_type = 'churn'), 'v1'), 'failed', 0, 0, NULL
+FROM (SELECT COUNT(*) AS n FROM split_user) s WHERE n < 5""", "split_user", "next_versions"))
+def training_log_rows(t):
+    """The rows a training run logs, without the fitted figures."""
+    return ln.training_log_rows(_split(t), reg.next_versions(t.model_versions))
+
+
+O.cte("acct_scaled_stored", O._standardize("acct_features_user").replace(
+    "FROM acct_features_user) x) s", "FROM acct_features_prev) x) s"), "acct_features_user", "acct_features_prev")
+O.cte("acct_linear_stored", O.CTES["acct_linear_user"][0].replace("acct_scaled_user", "acct_scaled_stored"),
+      "acct_scaled_stored")
+
+
+@register("score_with_stored_scaler", O.build(
+    f"SELECT account_id, {O.r6('logit')} AS logit, {O.r6('churn_probability')} AS churn_probability "
+    "FROM acct_linear_stored", "acct_linear_stored"))
+def score_with_stored_scaler(t):
+    """M1 + M5 with a scaler fitted a month earlier and stored."""
+    earlier = feat.feature_matrix(feat.account_features(t.feedback, PREVIOUS_AS_OF, grain="user"))
+    scaler = sc.fit_scaler(earlier, O.ACCOUNT_MATRIX_COLS)
+    scaled = sc.standardize(feat.feature_matrix(_user_features(t)), stats=scaler)
+    return round6(sc.score_accounts_linear(scaled), "logit", "churn_probability")

@@ -48,34 +48,20 @@ def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str |
     return reader.load()
 
 
-_READ_CACHE: dict[tuple[str, str, str], DataFrame] = {}
-
-
-def _session_key(spark: SparkSession) -> str:
-    try:
-        return spark.sparkContext.applicationId
-    except Exception:  # no driver-side context (Spark Connect)
-        return str(id(spark))
-
-
 class Tables:
     """Lazy handle on the base tables of one dataset root.
 
-    Resolved readers are shared per (session, root, table) so repeated
-    queries do not re-read parquet footers; ``refresh=True`` re-lists files.
+    A table is resolved once per handle; a new handle lists the files anew, so
+    a long-lived session sees what has been appended meanwhile.
     """
 
-    def __init__(self, spark: SparkSession, root: str, refresh: bool = False):
+    def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root
-        self.refresh = refresh
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in BASE_TABLES:
-            key = (_session_key(self.spark), self.root, name)
-            if self.refresh or key not in _READ_CACHE:
-                _READ_CACHE[key] = read_table(self.spark, self.root, name)
-            df = _READ_CACHE[key]
+            df = read_table(self.spark, self.root, name)
             setattr(self, name, df)
             return df
         raise AttributeError(name)

@@ -5,10 +5,10 @@ the stored feedback table with ``ON CONFLICT (id) DO NOTHING`` semantics
 (``voxlens.operators.sinks.insert_if_absent``).
 
 Cost per micro-batch: the stored table is only *probed*. The batch's
-distinct ids -- bounded by the trigger size (``maxFilesPerTrigger``) -- are
-broadcast, the stored table is semi-joined against them (a scan with a hash
-probe, no shuffle of the large side), and the batch is anti-joined with the
-small conflict set that results.
+distinct ids (bounded by the trigger size, ``maxFilesPerTrigger``) meet the
+stored ids in a semi join, which the planner broadcasts after its size check (a
+scan with a hash probe, no shuffle of the large side), and the batch is anti-
+joined with the small conflict set that results.
 
 Exactly-once: every micro-batch writes only its own ``batch_id=<n>``
 directory, in overwrite mode, and compares against the table *without* that
@@ -19,6 +19,7 @@ shared folder) records which batches committed.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -34,8 +35,7 @@ DEFAULT_MAX_FILES_PER_TRIGGER = 64
 
 def feedback_stream(spark: SparkSession, source_dir: str, schema: str = FEEDBACK_SCHEMA,
                     max_files_per_trigger: int = DEFAULT_MAX_FILES_PER_TRIGGER) -> DataFrame:
-    """File stream of feedback drops; the per-trigger file cap bounds the
-    micro-batch, which is what makes broadcasting its ids safe."""
+    """File stream of feedback drops; the per-trigger file cap bounds the micro-batch."""
     return (spark.readStream.schema(schema)
             .option("maxFilesPerTrigger", max_files_per_trigger)
             .parquet(source_dir))
@@ -44,8 +44,10 @@ def feedback_stream(spark: SparkSession, source_dir: str, schema: str = FEEDBACK
 def _existing(spark: SparkSession, table_path: str, schema: str, exclude_batch: int) -> DataFrame:
     try:
         stored = spark.read.schema(f"{schema}, batch_id long").parquet(table_path)
-    except Exception:  # first batch: the table does not exist yet
-        return spark.createDataFrame([], schema)
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)  # first batch: the table does not exist yet
     return stored.where(F.col("batch_id") != exclude_batch).drop("batch_id")
 
 
@@ -56,7 +58,7 @@ def insert_batch(batch: DataFrame, batch_id: int, table_path: str, schema: str =
     try:
         ids = batch.select("id").where(F.col("id").isNotNull()).distinct()
         conflicts = (_existing(spark, table_path, schema, batch_id).select("id")
-                     .join(F.broadcast(ids), "id", "left_semi"))  # ids of this bounded micro-batch
+                     .join(ids, "id", "left_semi"))  # the planner broadcasts the ids where they are few
         new_rows = insert_if_absent(conflicts, batch, "id", order_col="created_at")
         new_rows.write.mode("overwrite").parquet(f"{table_path.rstrip('/')}/batch_id={batch_id}")
     finally:
