@@ -16,7 +16,8 @@ the class's count asks for) fits the network. A fifth of it sets the temperature
 
 Scale: two passes over the texts (corpus vectors, scores) and one over the sample.
 A task sends one partial table of BUCKETS x DIM sums in ``CHUNKS`` pieces, which
-are summed in two levels; driver and broadcast hold the table (bounded by the
+are summed in two levels; there are TASKS_PER_CORE tasks a core, so their number
+follows the cluster and not the data; driver and broadcast hold the table (bounded by the
 parameters) and the sample's features (bounded by MAX_PER_CLASS).
 
 Defined cases: NULL and empty texts have the features of no word and still get
@@ -39,12 +40,14 @@ from pyspark.sql import types as T
 from voxlens.llm import textops as X
 from voxlens.llm.common import crc_mod, fresh
 
-BUCKETS, DIM, ONES, REACH = 1 << 14, 64, 4, 2
+BUCKETS, DIM, ONES, REACH = 1 << 13, 64, 4, 2
 MARKER_DIM = 32
 #: Training rows of a class, about.
 MAX_PER_CLASS = 4000
 #: Pieces of the table that are summed separately, and tasks whose pieces are summed first.
 CHUNKS, FIRST_LEVEL = 64, 64
+#: Tasks a core that make partial tables; each reads the input partitions that lie together.
+TASKS_PER_CORE = 4
 HIDDEN, ROUNDS, RATE, DECAY, SEED = 32, 400, 0.01, 1e-3, 7
 
 _SHAPES = 6  # lower, capitalised, upper, mixed, digits, other characters
@@ -79,7 +82,7 @@ def tokens(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(hashes, kind="stable")
     again = np.zeros(len(hashes), bool)
     again[order[1:]] = hashes[order][1:] == hashes[order][:-1]
-    return (hashes >> np.uint64(50)).astype(np.int64), shape * 4 + again * 2 + before
+    return (hashes >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int64), shape * 4 + again * 2 + before
 
 
 def context_sums(texts: DataFrame) -> np.ndarray:
@@ -114,7 +117,8 @@ def context_sums(texts: DataFrame) -> np.ndarray:
                              "sums": [total.astype("<f4").tobytes()]})
 
     schema = "chunk int, level int, sums binary"
-    summed = texts.mapInArrow(partial, schema).groupBy("chunk", "level").applyInPandas(add, schema) \
+    tasks = TASKS_PER_CORE * texts.sparkSession.sparkContext.defaultParallelism
+    summed = texts.coalesce(tasks).mapInArrow(partial, schema).groupBy("chunk", "level").applyInPandas(add, schema) \
         .groupBy("chunk").applyInPandas(add, schema)
     out = np.zeros((CHUNKS, BUCKETS * DIM // CHUNKS))
     for r in summed.collect():  # CHUNKS rows
