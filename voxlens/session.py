@@ -8,7 +8,6 @@ cluster's configuration.
 
 from __future__ import annotations
 
-import atexit
 import os
 import tempfile
 import uuid
@@ -96,7 +95,7 @@ def materialize(df, name: str = "stage"):
     Lineage is cut (a lost executor re-reads the files instead of recomputing
     upstream stages), several consumers share one computation, and later
     passes read only the columns they use. The application's folder is
-    removed when the driver process ends (or by ``release``).
+    removed when the driver ends (or by ``release``).
     """
     spark = df.sparkSession
     path = f"{stage_root(spark)}/{name}-{uuid.uuid4().hex}"
@@ -107,25 +106,31 @@ def materialize(df, name: str = "stage"):
 _STAGE_ROOTS: dict[str, str] = {}
 
 
+def _folder(spark: SparkSession, root: str):
+    """The folder's file system and path on the JVM."""
+    sc = _context(spark)
+    path = sc._jvm.org.apache.hadoop.fs.Path(root)
+    return path.getFileSystem(sc._jsc.hadoopConfiguration()), path
+
+
 def stage_root(spark: SparkSession) -> str:
-    """This application's folder for materialised stages."""
+    """This application's folder for materialised stages; its file system
+    deletes it when the driver's JVM ends."""
     sc = _context(spark)
     app = sc.applicationId if sc is not None else spark.conf.get("spark.app.id")
-    root = f"{checkpoint_dir(spark).rstrip('/')}/voxlens-{app}"
     if app not in _STAGE_ROOTS:
-        _STAGE_ROOTS[app] = root
+        root = f"{checkpoint_dir(spark).rstrip('/')}/voxlens-{app}"
         if sc is not None:
-            atexit.register(release, spark)
-    return root
+            fs, path = _folder(spark, root)
+            fs.mkdirs(path)
+            fs.deleteOnExit(path)
+        _STAGE_ROOTS[app] = root
+    return _STAGE_ROOTS[app]
 
 
 def release(spark: SparkSession) -> None:
-    """Remove this application's materialised stages (also called at exit)."""
-    sc = _context(spark)
-    if sc is None or sc._jsc is None or sc._jsc.sc().isStopped():
-        return
-    root = _STAGE_ROOTS.pop(sc.applicationId, None)
-    if root is None:
-        return
-    path = sc._jvm.org.apache.hadoop.fs.Path(root)
-    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+    """Remove this application's materialised stages now."""
+    root = _STAGE_ROOTS.pop(_context(spark).applicationId, None)
+    if root is not None:
+        fs, path = _folder(spark, root)
+        fs.delete(path, True)
