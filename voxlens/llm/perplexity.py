@@ -54,7 +54,7 @@ _BITS = 12
 #: Rows of a model that is broadcast (24 bytes each); larger ones are joined.
 MAX_ENTRIES = 8_000_000
 #: A band's parts: at least FLOOR_LOW and FLOOR_HIGH bits, else WIDTH scales of at least MIN_SCALE bits a root character.
-FLOOR_LOW, FLOOR_HIGH, WIDTH, MIN_SCALE = 0.6, 0.08, 6.5, 1.2
+FLOOR_LOW, FLOOR_HIGH, WIDTH, MIN_SCALE = 0.6, 0.08, 9.0, 1.2
 #: Base rules.
 MIN_WORDS, MAX_REPEATED_PERCENT, WINDOW = 10, 20, 5
 
