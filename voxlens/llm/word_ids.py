@@ -2,7 +2,7 @@
 
 The vocabulary's splitting never lets a token cross white space, and its
 normalisation acts within words, so the ids of a text are the ids of its words
-in order. The library encodes each word that a worker has not met; met words
+in order. The library encodes each word that a task has not met; met words
 come from a bounded memory. Words of printable ASCII and Latin letters, whose
 normalisation is lower-casing alone, go straight to the library's merges after
 the vocabulary's own splitting, which costs a fifth of a whole call; all others
@@ -18,8 +18,8 @@ from array import array
 
 from voxlens.llm.bpe_count import byte_symbols
 
-#: Words whose ids one worker remembers.
-REMEMBERED = 800_000
+#: Words whose ids one task remembers; later ones are encoded again in each batch.
+REMEMBERED = 400_000
 #: The id appended to each document.
 END = 1
 
@@ -68,22 +68,29 @@ class WordIds:
             ids += [t.id for t in self.model.tokenize(piece)]
         return array("H", ids).tobytes()
 
-    def _learn(self, words: list[str]) -> None:
+    def _learn(self, words: list[str]) -> dict[str, bytes]:
+        """The ids of new words, remembered while there is room."""
+        found: dict[str, bytes] = {}
         whole = []
         for word in words:
             if self.model is not None and _SIMPLE.fullmatch(word) and not (
                     "<" in word and any(s in word for s in self.special)):
-                self.known[word] = self._simple(word)
+                found[word] = self._simple(word)
             else:
                 whole.append(word)
         for at in range(0, len(whole), 4096):
             part = whole[at:at + 4096]
-            self.known.update(zip(part, self._ids(part)))
+            found.update(zip(part, self._ids(part)))
+        if len(self.known) + len(found) <= self.remembered:
+            self.known.update(found)
+        return found
+
+    def forget(self) -> None:
+        """Give the memory back, at the end of a task: the worker goes on to other work."""
+        self.known = {}
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text."""
-        if len(self.known) > self.remembered:
-            self.known.clear()
         known = self.known.get
         out: list[bytes] = []
         partial: list[tuple[int, list[str], list[bytes | None]]] = []  # texts with words not met before
@@ -100,9 +107,9 @@ class WordIds:
                     out.append(b"")
                 else:
                     out.append(b"".join(ids))
-        self._learn(list({w for _, words, ids in partial for w, x in zip(words, ids) if x is None}))
+        found = self._learn(list({w for _, words, ids in partial for w, x in zip(words, ids) if x is None}))
         for i, words, ids in partial:
-            out[i] = b"".join([known(w) if x is None else x for w, x in zip(words, ids)])
+            out[i] = b"".join([found[w] if x is None else x for w, x in zip(words, ids)])
         return out
 
 
