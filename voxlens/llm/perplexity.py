@@ -279,9 +279,9 @@ def _bits_by_join(docs: DataFrame, key: str, text: str, orders: list[tuple[DataF
 
 
 def with_stats(docs: DataFrame, text: str = "text", name: str = "stats", max_entries: int = MAX_ENTRIES,
-               keep_text: bool = True) -> DataFrame:
+               keep_text: bool = True, lazy: bool = False) -> DataFrame:
     """All columns of ``docs`` (but the text if it isn't to be kept) and a struct
-    ``name`` of STATS, written once."""
+    ``name`` of STATS, written once; ``lazy``: not written, if the model is sent."""
     gone = [] if keep_text else [text]
     spark = docs.sparkSession
     model = kneser_ney(ngram_counts(distinct_texts(docs, text)))
@@ -289,7 +289,8 @@ def with_stats(docs: DataFrame, text: str = "text", name: str = "stats", max_ent
     if entries <= max_entries:
         held = Model(model) if entries else None
         shared = spark.sparkContext.broadcast(held)
-        return materialize(docs.select("*", stats_udf(shared)(F.col(text)).alias(name)).drop(*gone), "stats")
+        scored = docs.select("*", stats_udf(shared)(F.col(text)).alias(name))
+        return scored if lazy else materialize(scored.drop(*gone), "stats")
     key = fresh("row")
     kept = materialize(docs.select("*", F.monotonically_increasing_id().alias(key),
                                    stats_udf(None)(F.col(text)).alias(name)), "stats")
@@ -320,7 +321,10 @@ def judged(docs: DataFrame, text: str = "text", lang: str = "lang", name: str =
     """All columns of ``docs``, the struct ``name`` with STATS, lower, upper, base_failed and kept."""
     hashed, middle, scale, of = fresh("hash"), fresh("middle"), fresh("scale"), fresh("lang")
     scored = with_stats(docs.withColumn(hashed, F.xxhash64(text)), text, name, **options)
-    limits = bands(scored, name, lang, hashed).toDF(of, middle, scale)
+    small = scored
+    if options.get("lazy"):  # the texts are scored again rather than written a second time
+        small = materialize(scored.select(F.col(lang), hashed, name), "stats")
+    limits = bands(small, name, lang, hashed).toDF(of, middle, scale)
     joined = scored.join(limits, F.col(lang).eqNullSafe(F.col(of)), "left")
     half = WIDTH * F.col(scale) / F.sqrt(F.greatest(F.col(f"{name}.n_chars"), F.lit(1)))
     lower = F.col(middle) - F.greatest(F.lit(FLOOR_LOW), half)
@@ -343,4 +347,4 @@ def report(docs: DataFrame) -> DataFrame:
 def filter_documents(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """The documents that the rules keep, all columns kept."""
     name = fresh("stats")
-    return judged(docs, text, lang, name).where(F.col(f"{name}.kept")).drop(name)
+    return judged(docs, text, lang, name, lazy=True).where(F.col(f"{name}.kept")).drop(name)
