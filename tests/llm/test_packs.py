@@ -192,6 +192,24 @@ def test_sharding_splits_a_group_that_no_shard_holds(sp):
     assert len(hot) < 16 or max(hot.values()) > 2 * min(hot.values())
 
 
+def whole_share(out, text) -> float:
+    """Share of the groups of equal texts that lie in one shard."""
+    place: dict[str, list[int]] = {}
+    for r in out:
+        place.setdefault(text[r.doc_id], []).append(r.shard)
+    groups = [own for own in place.values() if len(own) > 1]
+    return sum(len(set(own)) == 1 for own in groups) / len(groups)
+
+
+@pytest.mark.parametrize("copies, linked", [(2, 2400), (20, 2160)])
+def test_sharding_of_copies_mostly(sp, copies, linked):
+    rows = [(i, words(i // copies if i < linked else i, 40)) for i in range(2400)]
+    out = sharding.shard(documents(sp, rows)).collect()
+    sizes = [sum(r.size for r in own) for own in shard_rows(out).values()]
+    assert len(sizes) == 16 and max(sizes) - min(sizes) < 0.05 * sum(sizes) / 16
+    assert whole_share(out, dict(rows)) > 0.9
+
+
 def test_sharding_cases(sp):
     out = sharding.shard(cases(sp)).collect()
     shard_rows(out)

@@ -1,20 +1,23 @@
 """Operator 7, sharding by balanced label propagation.
 
 Documents with equal texts are linked. Every document starts in a shard by its
-hash, which is balanced but cuts nearly all links. In each round a group's
-label is the shard that holds most of it; members elsewhere ask to move there,
-and a shard admits, in the order of the groups' hashes, what its quota (an equal
-share of all bytes) still holds. The group at the edge of a quota is admitted in
-part, by its members' hashes, so a group larger than a shard fills it and stays
-cut there. After the rounds, documents without a link, and what a shard has
-beyond its quota, are laid along the shards' free room by running sums, which
-leaves the shards equal to within a document.
-
-Law: ``bytes``. Scale: rows without texts; a round is one aggregate by (group,
-shard), one histogram of SHARDS x ``STEPS`` rows to the driver and one join by group
-(skew-splittable, since a group's row on the other side is one). Running sums
-and slots are made in hash buckets of about ``BUCKET_ROWS`` rows, whose totals are
-summed on the driver (rows / BUCKET_ROWS numbers). DataFrame operations only.
+hash, which is balanced but cuts nearly all links. A group's label is the shard
+that holds most of it. Groups move as a whole and all at once, so what leaves a
+shard counts as room there: a shard admits groups, in the order of their hashes,
+while the groups it has admitted stay below ``FILL`` of its quota (an equal share
+of all bytes). Rounds go on until a shard refuses nothing or all refuse. Groups
+above 1 / ``LARGE`` of a quota are placed before, largest first, on the shard that
+holds most among those with room; one that no shard can hold fills the shard with
+most room. Documents without a link, and what no shard admitted, are laid along
+the shards' free room by running sums, which leaves the shards equal to within a
+document.
+
+Law: ``bytes``. Scale: rows without texts; one aggregate makes a row per group, a
+round is a narrow pass over the groups still open with one histogram of SHARDS x
+``STEPS`` rows to the driver; at most SHARDS * LARGE groups are collected, and joined by
+broadcast. Running sums and slots are made in hash buckets of about ``BUCKET_ROWS``
+rows, whose totals are summed on the driver (rows / BUCKET_ROWS numbers).
+DataFrame operations only.
 
 Defined cases: NULL text has size 1, crc32 0 and the group of empty texts; NULL or
 repeated ids are documents like others; an empty table gives no rows; other
@@ -23,16 +26,20 @@ columns are not looked at.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxlens.llm.common import materialize
 
-SHARDS, ROUNDS = 16, 4
-#: Share of a shard's quota that linked documents may fill.
+SHARDS = 16
+#: Share of a shard's quota that groups of the rounds may fill.
 FILL = 0.98
-#: Steps of the order in which groups are admitted, and of a group's members.
-STEPS, MEMBER_STEPS = 1024, 1 << 20
+#: Steps of the order in which groups are admitted.
+STEPS = 1024
+#: A group larger than this part of a quota is placed by itself (at most SHARDS * LARGE of them).
+LARGE = 64
 BUCKET_ROWS = 50_000
 
 
@@ -54,80 +61,106 @@ def _running(rows: DataFrame, group: list[str], order: Column, value: Column, n_
         at += r["s"]
     fields = "".join(f"{g} {keyed.schema[g].dataType.simpleString()}, " for g in group)
     starts = rows.sparkSession.createDataFrame(before, f"{fields}_b bigint, _before bigint")
-    inside = Window.partitionBy(*group, "_b").orderBy("_o").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*group, "_b").orderBy("_o", "row").rowsBetween(Window.unboundedPreceding, -1)
     summed = keyed.withColumn("_w", F.coalesce(F.sum("_v").over(inside), F.lit(0)))
     return summed.join(starts, [*group, "_b"]).withColumn(name, F.col("_before") + F.col("_w")) \
         .drop("_v", "_o", "_b", "_w", "_before")
 
 
-def _loads(rows: DataFrame, shards: int) -> list[int]:
-    out = [0] * shards
-    for r in rows.groupBy("shard").agg(F.sum("size").alias("s")).collect():
-        out[r.shard] = r.s
-    return out
-
-
-def propagate(linked: DataFrame, shards: int, quota: float, rounds: int) -> DataFrame:
-    """The shards of linked rows (gid, h, size, shard) after the rounds."""
-    spark = linked.sparkSession
-    for k in range(rounds):
-        held = linked.groupBy("gid", "shard").agg(F.count("*").alias("n"), F.sum("size").alias("s"))
-        first = Window.partitionBy("gid").orderBy(F.desc("n"), F.xxhash64("gid", "shard"))
-        asks = held.withColumn("target", F.first("shard").over(first)).where("shard <> target") \
-            .groupBy("gid", "target").agg(F.sum("s").alias("s"))
-        asks = materialize(asks.withColumn("step", _step("gid", STEPS, 100 + k)), "asks")
-        loads = _loads(linked, shards)
-        room = [max(0.0, quota * FILL - x) for x in loads]
-        admitted: list[tuple[int, int, int]] = []  # (target, first step not fully admitted, part of its members)
-        moved = False
-        at = {}
+def _large(groups: list, shards: int, quota: float) -> tuple[list[float], dict[int, list[tuple[int, float]]]]:
+    """The shards' loads, and for each of the large groups (gid, s, held) the shards
+    that take it in turn and the running bytes up to which each does."""
+    load, out = [0.0] * shards, {}
+    for g in sorted(groups, key=lambda g: (-g.s, g.gid)):
+        at, parts = 0.0, []
+        while at < g.s:
+            whole = [t for t in range(shards) if g.s - at <= quota - load[t]]
+            if whole:
+                t = max(whole, key=lambda t: (g.held[t], -load[t], -t))
+            else:
+                t = max(range(shards), key=lambda t: (quota - load[t], g.held[t], -t))
+            part = g.s - at if whole else max(0.0, quota - load[t])
+            if not part:
+                break
+            load[t] += part
+            at += part
+            parts.append((t, at))
+            break  # ONE
+        out[g.gid] = parts
+    return load, out
+
+
+def propagate(groups: DataFrame, shards: int, load: list[float], limit: float) -> list[DataFrame]:
+    """Parts of (gid, shard): the labels of the groups (gid, s, held) that the shards
+    admit, whole, up to ``limit`` bytes; ``load`` is kept up to date."""
+    spark, out, k = groups.sparkSession, [], 0
+    open_ = [t for t in range(shards) if load[t] < limit]
+    while open_:
+        best = F.array_max(F.array(*[F.struct(F.col("held")[t].alias("n"), F.xxhash64("gid", F.lit(t)).alias("o"),
+                                              F.lit(t).alias("t")) for t in open_]))
+        asks = materialize(groups.select("gid", "s", "held", best["t"].alias("target"),
+                                         _step("gid", STEPS, 100 + k).alias("step")), "asks")
+        edges = {}  # first step that a shard doesn't hold
+        admitted = False
         for r in asks.groupBy("target", "step").agg(F.sum("s").alias("s")).orderBy("target", "step").collect():
-            if r.target in at:
+            if r.target in edges:
                 continue
-            if r.s <= room[r.target]:
-                room[r.target] -= r.s
-                moved = True
+            if load[r.target] + r.s <= limit:
+                load[r.target] += r.s
+                admitted = True
             else:
-                part = int(MEMBER_STEPS * room[r.target] / r.s)
-                at[r.target] = (r.step, part)
-                moved = moved or part > 0
-        for t in range(shards):
-            admitted.append((t, *at.get(t, (STEPS, 0))))
-        if not moved:
+                edges[r.target] = r.step
+        cuts = spark.createDataFrame([(t, edges.get(t, STEPS)) for t in open_], "target int, edge int")
+        answered = asks.join(F.broadcast(cuts), "target")
+        out.append(answered.where("step < edge").select("gid", F.col("target").alias("shard")))
+        if not admitted or not edges:
             break
-        cuts = spark.createDataFrame(admitted, "target int, edge int, part int")
-        moves = asks.select("gid", "target", "step").join(F.broadcast(cuts), "target")
-        goes = (F.col("step") < F.col("edge")) | (
-            (F.col("step") == F.col("edge")) & (_step("h", MEMBER_STEPS, 7) < F.col("part")))
-        linked = materialize(linked.join(moves, "gid", "left").select(
-            "row", "gid", "h", "size", F.when(goes, F.col("target")).otherwise(F.col("shard")).alias("shard")), "linked")
-    return linked
+        groups = answered.where("step >= edge").select("gid", "s", "held")
+        k += 1
+    return out
 
 
-def shard(docs: DataFrame, text: str = "text", shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
+def shard(docs: DataFrame, text: str = "text", shards: int = SHARDS) -> DataFrame:
     """One row per document: doc_id, size, text_crc32, law, shard, slot, grown_shard."""
+    spark = docs.sparkSession
     filled = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(
         "doc_id", (F.octet_length(filled) + 1).cast("long").alias("size"), F.crc32(filled.cast("binary")).alias("crc"),
-        F.xxhash64(filled).alias("gid"), F.xxhash64("doc_id", filled, F.lit(1)).alias("h"),
-        F.monotonically_increasing_id().alias("row"))
+        F.xxhash64(filled).alias("gid"), F.monotonically_increasing_id().alias("row"))
     rows = materialize(rows, "rows")
     totals = rows.agg(F.count("*").alias("n"), F.sum("size").alias("s")).first()
     n_rows, quota = totals.n, (totals.s or 0) / shards
-    groups = rows.groupBy("gid").agg(F.count("*").alias("n_same")).where("n_same > 1").select("gid")
-    linked = rows.join(groups, "gid").select("row", "gid", "h", "size", _step("row", shards, 5).cast("int").alias("shard"))
-    linked = propagate(materialize(linked, "linked"), shards, quota, rounds)
-
-    # what a shard holds beyond its quota joins the documents without a link
-    loads = _loads(linked, shards)
-    stays = docs.sparkSession.createDataFrame(
-        [(s, int(MEMBER_STEPS * min(1.0, quota / x)) if x else MEMBER_STEPS) for s, x in enumerate(loads)],
-        "shard int, part int")
-    placed = materialize(linked.join(F.broadcast(stays), "shard").where(
-        _step("h", MEMBER_STEPS, 9) < F.col("part")).select("row", "shard", "size"), "placed")
-    free = [max(0.0, quota - x) for x in _loads(placed, shards)]
+    again = rows.groupBy("gid").agg(F.count("*").alias("n_same")).where("n_same > 1").select("gid")
+    linked = materialize(rows.join(again, "gid").select("row", "gid", "size"), "linked")
+    start = _step("row", shards, 5)
+    groups = materialize(linked.groupBy("gid").agg(
+        F.sum("size").alias("s"), F.array(*[F.count_if(start == t) for t in range(shards)]).alias("held")), "groups")
+
+    large = F.col("s") > quota / LARGE
+    big = groups.where(large).collect()
+    load, taken = _large(big, shards, quota)
+    parts = spark.createDataFrame(
+        [(g.gid, [t for t, _ in taken[g.gid]], [float(at) for _, at in taken[g.gid]],
+          [at for _, at in taken[g.gid]] == [g.s]) for g in big],
+        "gid bigint, shards array<int>, upto array<double>, whole boolean")
+    of_large = linked.join(F.broadcast(parts), "gid")
+    whole = of_large.where("whole")
+    cut = _running(of_large.where("NOT whole"), ["gid"], F.xxhash64("row", F.lit(7)), F.col("size"), n_rows,
+                   "before")
+    passed = F.size(F.filter("upto", lambda x: x <= F.col("before") + F.col("size") / 2))
+    cut = cut.withColumn("shard", F.get("shards", passed))
+    placed = whole.select("row", F.col("shards")[0].alias("shard"), "size").unionByName(
+        cut.where("shard IS NOT NULL").select("row", "shard", "size"))
+    labels = propagate(groups.where(~large), shards, load, quota * FILL)
+    if labels:
+        placed = placed.unionByName(linked.join(reduce(DataFrame.unionByName, labels), "gid").select("row", "shard", "size"))
+    placed = materialize(placed, "placed")
+
+    # documents without a link, and groups that no shard had room for, one group after another
+    loads = {r.shard: r.s for r in placed.groupBy("shard").agg(F.sum("size").alias("s")).collect()}
+    free = [max(0.0, quota - loads.get(t, 0)) for t in range(shards)]
     pool = rows.join(placed.select("row"), "row", "left_anti")
-    pool = _running(pool, [], F.xxhash64("row", F.lit(11)), F.col("size"), n_rows, "before")
+    pool = _running(pool, [], F.xxhash64("gid", F.lit(11)), F.col("size"), n_rows, "before")
     scale = sum(free)
     edges, at = [], 0.0
     for s in range(shards):
@@ -143,7 +176,7 @@ def shard(docs: DataFrame, text: str = "text", shards: int = SHARDS, rounds: int
             choice = F.when(middle * stretch < edge, s).otherwise(choice)
     chosen = pool.select("row", choice.cast("int").alias("shard"))
     both = rows.join(placed.select("row", "shard").unionByName(chosen), "row")
-    slotted = _running(materialize(both.drop("gid", "h"), "sharded"), ["shard"], F.xxhash64("row", F.lit(13)),
+    slotted = _running(materialize(both.drop("gid"), "sharded"), ["shard"], F.xxhash64("row", F.lit(13)),
                        F.lit(1).cast("long"), n_rows // shards, "slot")
     return slotted.select("doc_id", "size", F.col("crc").alias("text_crc32"), F.lit("bytes").alias("law"), "shard",
                           "slot", F.lit(None).cast("int").alias("grown_shard"))
