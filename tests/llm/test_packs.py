@@ -210,6 +210,26 @@ def test_sharding_of_copies_mostly(sp, copies, linked):
     assert whole_share(out, dict(rows)) > 0.9
 
 
+def test_sharding_fills_shard_after_shard(sp):
+    rows = [(i, words(-1 if i % 3 == 0 else i // 6 if i < 1200 else i, 40)) for i in range(2400)]
+    out = sharding.shard(documents(sp, rows)).collect()
+    hot = {r.shard for r in out if r.doc_id % 3 == 0}
+    quota = sum(r.size for r in out) / 16
+    assert len(hot) <= -(-sum(r.size for r in out if r.doc_id % 3 == 0) // quota) + 1
+    text = dict(rows)
+    assert whole_share([r for r in out if r.doc_id % 3], text) > 0.95
+
+
+def test_sharding_asks_elsewhere_when_a_shard_is_full(sp):
+    held = [[9] + [0] * 15] * 64  # all groups ask for the first shard
+    groups = sp.createDataFrame([(i, 10, h) for i, h in enumerate(held)], "gid long, s long, held array<long>")
+    load = [0.0] * 16
+    parts = sharding.propagate(groups, 16, load, 50.0)
+    got = Counter(r.shard for part in parts for r in part.collect())
+    assert sum(got.values()) == 64 and max(got.values()) <= 5
+    assert load == [10.0 * got[t] for t in range(16)]
+
+
 def test_sharding_cases(sp):
     out = sharding.shard(cases(sp)).collect()
     shard_rows(out)

@@ -5,11 +5,14 @@ hash, which is balanced but cuts nearly all links. A group's label is the shard
 that holds most of it. Groups move as a whole and all at once, so what leaves a
 shard counts as room there: a shard admits groups, in the order of their hashes,
 while the groups it has admitted stay below ``FILL`` of its quota (an equal share
-of all bytes). Rounds go on until a shard refuses nothing or all refuse. Groups
+of all bytes). A shard that refuses is full; who was refused asks
+in the next round for the one of the others that holds most of it, until nobody is
+refused or all shards are full (at most SHARDS rounds). Groups
 above 1 / ``LARGE`` of a quota are placed before, largest first, on the shard that
 holds most among those with room; one that no shard can hold fills the shard with
-most room. Documents without a link, and what no shard admitted, are laid along
-the shards' free room by running sums, which leaves the shards equal to within a
+most room, then the next, and its rest is placed like a group. Documents without a
+link, and what no shard admitted, one group after another, are laid along the
+shards' free room by running sums, which leaves the shards equal to within a
 document.
 
 Law: ``bytes``. Scale: rows without texts; one aggregate makes a row per group, a
@@ -85,7 +88,6 @@ def _large(groups: list, shards: int, quota: float) -> tuple[list[float], dict[i
             load[t] += part
             at += part
             parts.append((t, at))
-            break  # ONE
         out[g.gid] = parts
     return load, out
 
@@ -101,20 +103,17 @@ def propagate(groups: DataFrame, shards: int, load: list[float], limit: float) -
         asks = materialize(groups.select("gid", "s", "held", best["t"].alias("target"),
                                          _step("gid", STEPS, 100 + k).alias("step")), "asks")
         edges = {}  # first step that a shard doesn't hold
-        admitted = False
         for r in asks.groupBy("target", "step").agg(F.sum("s").alias("s")).orderBy("target", "step").collect():
             if r.target in edges:
                 continue
             if load[r.target] + r.s <= limit:
                 load[r.target] += r.s
-                admitted = True
             else:
                 edges[r.target] = r.step
         cuts = spark.createDataFrame([(t, edges.get(t, STEPS)) for t in open_], "target int, edge int")
         answered = asks.join(F.broadcast(cuts), "target")
         out.append(answered.where("step < edge").select("gid", F.col("target").alias("shard")))
-        if not admitted or not edges:
-            break
+        open_ = [t for t in open_ if t not in edges] if edges else []  # who is refused asks elsewhere
         groups = answered.where("step >= edge").select("gid", "s", "held")
         k += 1
     return out
