@@ -152,6 +152,18 @@ def test_bands_reject_on_both_sides(sp):
     assert out[1002].base_failed and not out[1002].kept and out[1003].base_failed and out[1004].kept
 
 
+def test_near_copies_neither_teach_the_model_nor_widen_a_band(sp):
+    body = words(7000, 150).split()
+    rows = [(i, words(i, 150)) for i in range(200)] + [
+        (300 + i, " ".join(body[:i] + [words(8000 + i, 1)] + body[i + 1:])) for i in range(100)] + [
+        (500 + i, words(500 + i, 900)) for i in range(20)]
+    out = {r.doc_id: r for r in perplexity.report(documents(sp, rows)).collect()}
+    assert all(r.kept for r in out.values())
+    alone = np.median([out[i].bits_per_char for i in range(200)])
+    assert abs(np.median([out[i].bits_per_char for i in range(300, 400)]) - alone) < 0.15
+    assert all(out[i].upper - out[i].lower < 0.5 for i in range(500, 520))
+
+
 def test_quality_rule_cases(sp):
     docs = cases(sp)
     out = perplexity.report(docs).collect()

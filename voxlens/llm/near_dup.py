@@ -79,13 +79,13 @@ def node_of(own: np.ndarray) -> int:
     return int(total.view(np.int64)[0])
 
 
-def signature(own: np.ndarray) -> np.ndarray:
-    """The smallest value of each of the COORDINATES hash functions over a set."""
+def signature(own: np.ndarray, coordinates: int = COORDINATES) -> np.ndarray:
+    """The smallest value of each of the first ``coordinates`` hash functions over a set."""
     h = (own >> np.uint64(32)).astype(np.uint32)
-    best = np.full(COORDINATES, 0xFFFFFFFF, np.uint32)
+    best = np.full(coordinates, 0xFFFFFFFF, np.uint32)
     with np.errstate(over="ignore"):
         for at in range(0, len(h), 1024):
-            np.minimum(best, (h[at:at + 1024, None] * _A + _B).min(axis=0), out=best)
+            np.minimum(best, (h[at:at + 1024, None] * _A[:coordinates] + _B[:coordinates]).min(axis=0), out=best)
     return best.view(np.int32)
 
 

@@ -19,14 +19,18 @@ passed over (one place in 2 ** 12 where even the character is the text's own).
 
 Bands: the cross-entropy (bits a character) of the distinct texts of a language
 that pass the base rules has a median; deviations from it times the root of the
-text's length have a scale (interquartile range / 1.349, at least ``MIN_SCALE``),
-since an average over n characters scatters as 1 / sqrt(n). A document is
-rejected below or above the median by more than WIDTH * scale / sqrt(n), at least
-``FLOOR_LOW`` below and ``FLOOR_HIGH`` above. Model and bands take each distinct text
-once, so that a text copied many times neither teaches the model nor sets a band;
-the lower floor is the wider one since near copies teach it all the same.
-
-Scale: two passes over the texts; the model is what grows and it is summed with
+text's length have a scale on each side (quartile / 0.6745, at least
+``MIN_SCALE``), since an average over n characters scatters as 1 / sqrt(n). A document is
+rejected above its language's median by more than HIGH_WIDTH * scale / sqrt(n) +
+ODD_BITS / n (numbers and keys in a good text cost a number of bits, whatever its
+length), or below it by more than LOW_WIDTH * scale / sqrt(n), at least ``FLOOR`` each;
+below, the bands of all languages with a hundredth of the texts spare it, since
+the label may be wrong. Model and bands take each distinct text once, and the model
+one of the near copies only (texts of 4-word shingles with a common key of
+MinHash values); the others are scored without their help likewise, as its count of
+an n-gram is then the text's own.
+
+Scale: three passes over the texts; the model is what grows and it is summed with
 partial aggregates. Base rules and entropy are made in one pass per document.
 
 Defined cases: NULL and empty texts have no word, fail the base rules and have
@@ -45,6 +49,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from voxlens.llm import near_dup
 from voxlens.llm import textops as X
 from voxlens.llm.common import fresh, materialize
 
@@ -53,8 +58,10 @@ ORDER = 5
 _BITS = 12
 #: Rows of a model that is broadcast (24 bytes each); larger ones are joined.
 MAX_ENTRIES = 8_000_000
-#: A band's parts: at least FLOOR_LOW and FLOOR_HIGH bits, else WIDTH scales of at least MIN_SCALE bits a root character.
-FLOOR_LOW, FLOOR_HIGH, WIDTH, MIN_SCALE = 0.6, 0.08, 9.0, 1.2
+#: A band's parts: scales of at least MIN_SCALE bits a root character, bits of odd strings, least bits a character.
+LOW_WIDTH, HIGH_WIDTH, MIN_SCALE, ODD_BITS, FLOOR = 4.0, 4.0, 1.2, 200.0, 0.1
+#: MinHash keys by which near copies are known, and values of a key.
+KEYS, KEY_VALUES = 6, 2
 #: Base rules.
 MIN_WORDS, MAX_REPEATED_PERCENT, WINDOW = 10, 20, 5
 
@@ -113,14 +120,28 @@ def ngram_counts(texts: DataFrame, order: int = ORDER) -> DataFrame:
 
 
 def distinct_texts(docs: DataFrame, text: str) -> DataFrame:
-    """One row of each text (column ``text``). Only texts that occur twice or more
-    are looked up, by their hash; the first id stands for them."""
+    """One row of each text (column ``text``), and of texts that share a key of
+    ``KEY_VALUES`` MinHash values (near copies) only the one of the smallest hash."""
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [near_dup.shingles(t) for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(
+                [near_dup.signature(s, KEYS * KEY_VALUES) if len(s) else None for s in sets], pa.list_(pa.int32()))],
+                ["id", "h", "sig"])
+
     rows = docs.select(F.col("doc_id").cast("string").alias("id"), F.col(text).alias("text")) \
         .where("text IS NOT NULL AND text <> ''").withColumn("h", F.xxhash64("text"))
-    again = rows.groupBy("h").agg(F.count("*").alias("n"), F.min("id").alias("first")).where("n > 1") \
-        .select("h", "first")
+    known = materialize(rows.select("id", "h", "text").mapInArrow(sketch, "id string, h long, sig array<int>").groupBy("h").agg(
+        F.count("*").alias("n"), F.min("id").alias("first"), F.first("sig").alias("sig")), "sketches")
+    keys = [F.xxhash64(F.lit(k), F.slice("sig", 1 + k * KEY_VALUES, KEY_VALUES)) for k in range(KEYS)]
+    keyed = known.where("sig IS NOT NULL").select("h", F.explode(F.array(*keys)).alias("key"))
+    firsts = keyed.groupBy("key").agg(F.min("h").alias("top"), F.count("*").alias("n")).where("n > 1").select("key", "top")
+    copies = keyed.join(firsts, "key").where("h <> top").select("h").distinct().withColumn("copy", F.lit(True))
+    again = known.select("h", "n", "first").join(copies, "h", "left").where("n > 1 OR copy").select("h", "first", "copy")
     # the same plan at every size: the planner would send a short list and deal a long one out
-    return rows.join(again.hint("merge"), "h", "left").where("first IS NULL OR id IS NULL OR id = first").select("text")
+    return rows.join(again.hint("merge"), "h", "left").where(
+        "copy IS NULL AND (first IS NULL OR id IS NULL OR id = first)").select("text")
 
 
 def kneser_ney(counts: DataFrame, order: int = ORDER) -> list[tuple[DataFrame, DataFrame]]:
@@ -305,35 +326,45 @@ def base_failed(name: str) -> F.Column:
 
 
 def bands(scored: DataFrame, name: str, lang: str, text_hash: str) -> DataFrame:
-    """(band_lang, middle, scale): median of bits a character, and the scale of
-    deviations from it times the root of the length."""
+    """(band_lang, middle, low, high, n): median of bits a character, the scales of deviations
+    below and above it times the root of the length, and the texts they are taken from."""
     distinct = scored.where(~base_failed(name)).groupBy(F.col(lang).alias("l"), F.col(text_hash).alias("h")).agg(
         F.min(f"{name}.bits").alias("bits"), F.min(f"{name}.n_chars").alias("n"))
     middle = distinct.groupBy(F.col("l").alias("band_lang")).agg(
         F.percentile_approx("bits", 0.5, 10000).alias("middle"))
     off = (F.col("bits") - F.col("middle")) * F.sqrt("n")
     return distinct.join(middle, F.col("l").eqNullSafe(F.col("band_lang"))).groupBy("band_lang").agg(
-        F.first("middle").alias("middle"), F.percentile_approx(off, [0.25, 0.75], 10000).alias("q")).select(
-        "band_lang", "middle", F.greatest(F.lit(MIN_SCALE), (F.col("q")[1] - F.col("q")[0]) / 1.349).alias("scale"))
+        F.first("middle").alias("middle"), F.percentile_approx(off, [0.25, 0.75], 10000).alias("q"),
+        F.count("*").alias("n")).select(
+        "band_lang", "middle", F.greatest(F.lit(MIN_SCALE), -F.col("q")[0] / 0.6745).alias("low"),
+        F.greatest(F.lit(MIN_SCALE), F.col("q")[1] / 0.6745).alias("high"), "n")
 
 
 def judged(docs: DataFrame, text: str = "text", lang: str = "lang", name: str = "stats", **options) -> DataFrame:
     """All columns of ``docs``, the struct ``name`` with STATS, lower, upper, base_failed and kept."""
-    hashed, middle, scale, of = fresh("hash"), fresh("middle"), fresh("scale"), fresh("lang")
+    hashed, of, middle, low, high, n = (fresh(x) for x in ("hash", "lang", "middle", "low", "high", "n"))
     scored = with_stats(docs.withColumn(hashed, F.xxhash64(text)), text, name, **options)
     small = scored
     if options.get("lazy"):  # the texts are scored again rather than written a second time
         small = materialize(scored.select(F.col(lang), hashed, name), "stats")
-    limits = bands(small, name, lang, hashed).toDF(of, middle, scale)
-    joined = scored.join(limits, F.col(lang).eqNullSafe(F.col(of)), "left")
-    half = WIDTH * F.col(scale) / F.sqrt(F.greatest(F.col(f"{name}.n_chars"), F.lit(1)))
-    lower = F.col(middle) - F.greatest(F.lit(FLOOR_LOW), half)
-    upper = F.col(middle) + F.greatest(F.lit(FLOOR_HIGH), half)
+    limits = materialize(bands(small, name, lang, hashed).toDF(of, middle, low, high, n), "bands")
+    total = limits.agg(F.sum(n)).first()[0] or 0
+    common = limits.where(F.col(n) * 100 >= total).collect()  # at most a hundred
+    joined = scored.join(limits.drop(n), F.col(lang).eqNullSafe(F.col(of)), "left")
+    size = F.greatest(F.col(f"{name}.n_chars"), F.lit(1))
+
+    def below(median, scale):
+        return median - F.greatest(F.lit(FLOOR), LOW_WIDTH * scale / F.sqrt(size))
+
+    lowest = [below(F.lit(r[middle]), F.lit(r[low])) for r in common]
+    own = below(F.col(middle), F.col(low))
+    lower = F.when(F.col(middle).isNotNull(), F.least(own, *lowest) if lowest else own)
+    upper = F.col(middle) + F.greatest(F.lit(FLOOR), HIGH_WIDTH * F.col(high) / F.sqrt(size) + ODD_BITS / size)
     inside = F.col(f"{name}.bits").between(lower, upper)
     out = F.col(name).withField("lower", lower).withField("upper", upper) \
         .withField("base_failed", base_failed(name)) \
         .withField("kept", ~base_failed(name) & F.coalesce(inside, F.lit(False)))
-    return joined.withColumn(name, out).drop(hashed, middle, scale, of)
+    return joined.withColumn(name, out).drop(hashed, of, middle, low, high)
 
 
 def report(docs: DataFrame) -> DataFrame:
