@@ -87,6 +87,25 @@ def test_main_text(wrap):
     assert html_text.main_text(PAGE % (wrap % BODY)) == WANT
 
 
+@pytest.mark.parametrize("wrap", [
+    '<div class="layout has-sidebar">%s</div>', '<div class="content no-sidebar">%s</div>',
+    '<article class="post comments-closed">%s</article>', '<div class="page-with-sidebar"><article>%s</article></div>',
+    '<div class="social"><article>%s</article></div>', '<div id="widget-area">%s</div>'])
+def test_main_text_in_a_wrapper_of_barred_words(wrap):
+    assert html_text.main_text(PAGE % (wrap % BODY)) == WANT
+
+
+def test_main_text_takes_all_parts_of_the_article():
+    long = "This is a long paragraph that makes a cluster of its own here. " * 5
+    assert html_text.main_text(f"<main><p>Own.</p><article><p>{long}</p></article><article><p>b</p></article></main>") \
+        == f"Own. {long}b"
+    assert html_text.main_text(f"<p>Short one.</p><div>x</div><div>y</div><p>{long}</p><div>x</div><div>y</div><p>End.</p>"
+                               ).startswith("Short one. ")
+    held = f'<div class="comments"><p>{long}</p></div><article><p>Short article.</p></article>'
+    assert html_text.main_text(held) == "Short article."
+    assert html_text.main_text(f'<div class="sidebar-right"><p>side</p></div><p>{long}</p>') == long.strip()
+
+
 def test_main_text_cases(sp):
     assert [html_text.main_text(h) for h in (None, "", "plain", "<p>a", "<article><p>x &am", "<article>x</art", "<nav>x</nav>")] \
         == ["", "", "plain", "a", "x &am", "x", ""]

@@ -9,11 +9,14 @@ in which article container, if any. The ratio of text to tags per line, nought
 for barred lines, is smoothed with a Gaussian; lines above the threshold (the
 standard deviation, at most the mean) form clusters.
 
-Where a page marks its article (``article``, then ``main``, then named content
-containers), the containers that a cluster touches give their lines (all of
-them if no cluster touches any); else the lines from the first to the last
-clustered line do, with headings directly before. No unbarred line inside a
-selected region is dropped.
+Words that only tell a state (has-sidebar, comments-closed) bar nothing, and a
+container that is barred by a word though it holds most of the page's text is
+lifted, if no article or main lies outside.
+
+Where a page marks its article (``article`` and the rest of ``main``, then named
+content containers), all containers of the best kind give their lines; else the
+lines from the first to the last clustered line do, with headings directly before
+and paragraphs anywhere. No unbarred line inside a selected region is dropped.
 
 Scale: one pass over the pages where they lie, no shuffle; a task holds one
 Arrow batch. Defined cases: NULL or empty html gives the empty text; a page cut
@@ -61,6 +64,10 @@ _BARRED_WORDS = re.compile(
 _ASIDE_WORDS = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertis\w+|sponsor\w*|promo\w*|comments?|commentlist|repl(?:y|ies)|related|"
     r"recommend\w*|widgets?|teaser)(?=$|[\s_-])", re.I)
+# words that say of a container what it has or lacks, or in which state a part of it is
+_STATE_WORDS = re.compile(
+    r"(?:(?<!\S)|(?<=[_-]))(?:has|no|with|without)[_-]\S*|(?<!\S)\S+[_-](?:open|opened|closed|collapsed|expanded|"
+    r"enabled|disabled)(?!\S)", re.I)
 _CONTENT_WORDS = re.compile(r"(?:^|[\s_-])(?:article|post|entry|story|content|main|articlebody)(?=$|[\s_-])", re.I)
 _HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
@@ -68,9 +75,15 @@ _HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 class Lines(HTMLParser):
     """Lines of one page: (text, tags, barred, kind and number of the content container, heading)."""
 
-    def __init__(self):
+    def __init__(self, lifted: frozenset[int] = frozenset()):
         super().__init__(convert_charrefs=True)
-        self.rows: list[tuple[str, int, bool, tuple[int, int] | None, bool]] = []
+        self.lifted = lifted  # containers that are not barred by their words
+        self.rows: list[tuple[str, int, bool, tuple[int, int] | None, bool, bool]] = []
+        self.names: list[tuple[int, ...] | None] = [()]  # per open element the containers barred by words; None: by element
+        self.named = 0
+        self.held: dict[int, int] = {}  # characters of text in each of them
+        self.total = 0
+        self.paragraph = False
         self.open: list[tuple[str, bool, tuple[int, int] | None]] = []
         self.parts: list[str] = []
         self.tags = 0
@@ -85,38 +98,48 @@ class Lines(HTMLParser):
             barred = barred or self.leaf_barred
             if barred == "header" and self.heading:
                 barred = False  # an article's own heading
-            self.rows.append((text, self.tags, bool(barred), inside, self.heading is not None))
+            self.rows.append((text, self.tags, bool(barred), inside, self.heading is not None, self.paragraph))
         self.parts, self.tags = [], 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCK:
             self.end_line()
             self.leaf_barred = self.leaf_barred and tag == "br"
+            self.paragraph = tag == "p" or self.paragraph and tag == "br"
         self.tags += 1
         if tag in HEADINGS:
             self.heading = tag
         if tag in LEAVES and attrs:
             of = {k: v or "" for k, v in attrs}
-            self.leaf_barred = bool("hidden" in of or _BARRED_WORDS.search(f"{of.get('class', '')} {of.get('id', '')}"))
+            names = _STATE_WORDS.sub(" ", f"{of.get('class', '')} {of.get('id', '')}")
+            self.leaf_barred = bool("hidden" in of or _BARRED_WORDS.search(names))
         if tag in NESTING:
             barred, inside = (self.open[-1][1], self.open[-1][2]) if self.open else (False, None)
             of = {k: v or "" for k, v in attrs}
             names = f"{of.get('class', '')} {of.get('id', '')} {of.get('role', '')} {of.get('itemprop', '')}"
+            named = _STATE_WORDS.sub(" ", names)
             rank = 1 if tag == "article" else 2 if tag == "main" or of.get("role") == "main" else \
                 3 if tag in ("div", "section", "td") and _CONTENT_WORDS.search(names) else 0
+            names_in = self.names[-1]
             if tag in BARRED or "hidden" in of or of.get("aria-hidden") == "true" \
                     or _HIDDEN_STYLE.search(of.get("style", "")):
-                barred = True
+                barred, names_in = True, None
             elif tag not in ("html", "body", "main") and (word := (
-                    _ASIDE_WORDS if tag == "article" else _BARRED_WORDS).search(names)):
+                    _ASIDE_WORDS if tag == "article" else _BARRED_WORDS).search(named)):
                 own = word.group().strip(" _-").lower() == "header" and inside is not None
-                barred = barred or ("header" if own else rank != 2)
+                self.named += 1
+                if self.named not in self.lifted:
+                    barred = barred or ("header" if own else rank != 2)
+                    if names_in is not None and barred is True:
+                        names_in = (*names_in, self.named)
             elif tag == "header":
                 barred = barred or ("header" if inside is not None else True)
+                names_in = names_in if barred == "header" else None
             if rank and not barred and (inside is None or rank < inside[0]):
                 self.containers += 1
                 inside = (rank, self.containers)
             self.open.append((tag, barred, inside))
+            self.names.append(names_in)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)  # <div/> opens an element in HTML
@@ -125,18 +148,23 @@ class Lines(HTMLParser):
         self.tags += 1
         if tag in BLOCK:
             self.end_line()
-            self.leaf_barred = False
+            self.leaf_barred = self.paragraph = False
         if tag in HEADINGS:
             self.heading = None
         if tag in NESTING:
             for i in range(len(self.open) - 1, -1, -1):
                 if self.open[i][0] == tag:
-                    del self.open[i:]
+                    del self.open[i:], self.names[i + 1:]
                     break
 
     def handle_data(self, data: str) -> None:
         if not self.open or self.open[-1][1] is not True:
             self.parts.append(data)
+        if self.names[-1] is not None:
+            size = len(data.strip())
+            self.total += size
+            for k in self.names[-1]:
+                self.held[k] = self.held.get(k, 0) + size
 
 
 def smoothed(ratio: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -154,30 +182,35 @@ def main_text(html: str | None, sigma: float = SIGMA) -> str:
     cut = html.rfind("<")
     if cut > html.rfind(">") and re.match(r"[a-zA-Z/!?]|$", html[cut + 1:cut + 2]):
         html = html[:cut]  # cut off inside a tag
-    parser = Lines()
-    parser.feed(html)
-    parser.close()
-    parser.end_line()
-    rows = parser.rows
-    keep = [bool(text) and not barred for text, _, barred, _, _ in rows]
+    lifted: frozenset[int] = frozenset()
+    while True:
+        parser = Lines(lifted)
+        parser.feed(html)
+        parser.close()
+        parser.end_line()
+        rows = parser.rows
+        keep = [bool(row[0]) and not row[2] for row in rows]
+        most = [k for k, size in parser.held.items() if 2 * size > parser.total]
+        if not most or any(ok and row[3] and row[3][0] < 3 for row, ok in zip(rows, keep)):
+            break
+        lifted |= set(most)
     if not any(keep):
         return ""
-    ratio = np.array([len(text) / max(1, tags) if ok else 0.0 for (text, tags, _, _, _), ok in zip(rows, keep)])
+    ratio = np.array([len(text) / max(1, tags) if ok else 0.0 for (text, tags, *_), ok in zip(rows, keep)])
     smooth = smoothed(ratio, sigma)
     threshold = min(smooth.std(), smooth.mean())
     chosen = [bool(ok) and s >= threshold for ok, s in zip(keep, smooth)]
     ranks = [row[3][0] for row, ok in zip(rows, keep) if ok and row[3]]
     if ranks:
         best = min(ranks)
-        inside = [ok and row[3] is not None and row[3][0] == best for row, ok in zip(rows, keep)]
-        touched = {row[3][1] for row, ok, c in zip(rows, inside, chosen) if ok and c}
-        picked = [ok and (not touched or row[3][1] in touched) for row, ok in zip(rows, inside)]
+        last = 2 if best == 1 else best  # what main holds besides its articles is text of the page
+        picked = [ok and row[3] is not None and row[3][0] <= last for row, ok in zip(rows, keep)]
     else:
         at = [i for i, c in enumerate(chosen) if c] or [i for i, ok in enumerate(keep) if ok]
         first, last = at[0], at[-1]
         while first and keep[first - 1] and rows[first - 1][4]:
             first -= 1
-        picked = [ok and first <= i <= last for i, ok in enumerate(keep)]
+        picked = [ok and (first <= i <= last or rows[i][5]) for i, ok in enumerate(keep)]
     return " ".join(row[0] for row, ok in zip(rows, picked) if ok)
 
 
