@@ -253,6 +253,11 @@ def near_rows():
     return rows
 
 
+def test_a_link_is_missed_below_a_millionth():
+    n, s = near_dup.COORDINATES, near_dup.SIMILARITY
+    assert sum(math.comb(n, k) * s ** k * (1 - s) ** (n - k) for k in range(near_dup.MATCHES)) < 1e-6
+
+
 def test_near_duplicates_against_brute_force(sp):
     rows = near_rows() + [(i, t) for i, t in CASES if i != 10] + [(None, words(7, 120) + "\nline two\nline two\n")]
     out = near_dup.report(documents(sp, rows, extra=True).repartition(6)).collect()

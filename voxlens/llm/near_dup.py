@@ -54,7 +54,7 @@ SHINGLE = 4
 #: Links need 100 * intersection >= 100 * SIMILARITY * union.
 SIMILARITY = 0.8
 COORDINATES = 64
-MATCHES = 36
+MATCHES = 34
 
 _A = (X._splitmix(COORDINATES, 1001) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _B = (X._splitmix(COORDINATES, 2003) >> np.uint64(32)).astype(np.uint32)
