@@ -301,6 +301,41 @@ def test_pipeline_stages(sp):
         "quality_classifier", "quality_rules", "near_deduplication", "benchmark_decontamination", "best_fit_packing"]
 
 
+def test_pipeline_stages_against_brute_force(sp):
+    docs = corpus_pipeline.materialize(table(sp, SMALL, "documents").unionByName(
+        documents(sp, [(900_000 + i, t) for i, t in near_rows()])), "documents")
+    stages = dict(corpus_pipeline.STAGES)
+
+    def ids(df):
+        return Counter(r.doc_id for r in df.select("doc_id").collect())
+
+    labels = table(sp, SMALL, "labels")
+    scored = quality_net.report(docs, labels)
+    assert ids(stages["quality_classifier"](sp, docs, SMALL)) == ids(scored.where("score >= 0.5"))
+    assert ids(stages["quality_rules"](sp, docs, SMALL)) == ids(perplexity.report(docs).where("kept"))
+
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    kept = ids(stages["near_deduplication"](sp, docs, SMALL))
+    groups = defaultdict(set)
+    for doc, _, component in brute_components(rows):
+        groups[component].add(doc)
+    assert len(groups) < len(rows) and sum(kept.values()) == len(groups)
+    assert all(sum(kept[d] for d in own) == 1 for own in groups.values())
+
+    def windows(text, size):
+        w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate({k: k + 32 for k in range(65, 91)}))
+        return {tuple(w[k:k + size]) for k in range(len(w) - size + 1)}, len(w)
+
+    bench = set()
+    for r in table(sp, SMALL, "benchmark").collect():
+        size = min(10, windows(r.text, 1)[1])
+        bench |= windows(r.text, size)[0] if size else set()
+    sizes = {len(w) for w in bench}
+    clean = Counter(d for d, t in rows if not any(bench & windows(t, k)[0] for k in sizes))
+    assert 0 < sum(clean.values()) < len(rows)
+    assert ids(stages["benchmark_decontamination"](sp, docs, SMALL)) == clean
+
+
 @pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
 def test_pipeline_stage_cases(sp, name):
     stage = dict(corpus_pipeline.STAGES)[name]
