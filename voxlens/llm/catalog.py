@@ -10,8 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voxlens.llm import (bpe_count, decontaminate, html_text, id_files, language_id, near_dup, packing, perplexity,
-                         quality_net, sharding)
+from voxlens.llm import (bpe_count, decontaminate, divergence, html_text, id_files, language_id, lexical_search, near_dup,
+                         packing, perplexity, quality_net, sharding, vector_tree)
 from voxlens.llm.common import ready, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,10 +67,26 @@ def op10_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.report(table(spark, sf_dir, "documents"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_vector_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    vectors = table(spark, sf_dir, "embeddings")
+    return vector_tree.search(vectors, vectors["vec_id"] % 20 == 0)
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     own = (op1_language_id, op2_quality_rules, op3_token_counts, op4_html_extraction, op5_token_id_files,
            op6_best_fit_packing, op7_sharding, op8_benchmark_decontamination, op9_quality_classifier,
-           op10_minhash_near_dup)
+           op10_minhash_near_dup, op11_lexical_search, op12_vector_tree, op13_source_divergence)
     return {q.__name__: q for q in own}
 
 
@@ -113,6 +129,57 @@ FROM d LEFT JOIN n ON d.doc_id = n.doc_id
 JOIN (SELECT a, MIN(b) AS component_id FROM reach GROUP BY a) c ON d.doc_id = c.a"""
 
 
+LEXICAL_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id,
+             regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (SELECT row_number() OVER () AS item, item_id,
+        list_distinct(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+z AS (SELECT COUNT(*) AS n, CAST(SUM(len(w)) AS BIGINT) AS l FROM d WHERE len(w) > 0),
+q AS (SELECT item, item_id, unnest(w) AS t FROM i),
+p AS (SELECT row, doc_id, len, t, COUNT(*) AS tf FROM (SELECT row, doc_id, len(w) AS len, unnest(w) AS t FROM d) u
+      WHERE t IN (SELECT t FROM q) GROUP BY row, doc_id, len, t),
+f AS (SELECT t, COUNT(*) AS df FROM p GROUP BY t),
+s AS (SELECT q.item, q.item_id, p.row, p.doc_id,
+        CAST(SUM(CAST(floor(1000 * ln((2 * z.n + 2) / CAST(2 * f.df + 1 AS DOUBLE))) AS BIGINT)
+          * ((1000000000 * p.tf) // (1000 * p.tf + 8 * (100 - 90 + (90 * p.len * z.n) // z.l)))) AS BIGINT) AS score
+      FROM q JOIN p ON q.t = p.t JOIN f ON f.t = p.t CROSS JOIN z GROUP BY q.item, q.item_id, p.row, p.doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id ASC NULLS LAST) AS rank FROM s
+      WHERE score > 0) r
+WHERE rank <= 10"""
+
+
+DIVERGENCE_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS row, COALESCE(lang, '') AS lang, COALESCE(source, '') AS source,
+             regexp_extract_all({_LOWER}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+u AS (SELECT row, lang, source, unnest(w) AS t FROM d),
+k AS (SELECT lang, t FROM u GROUP BY lang, t HAVING COUNT(DISTINCT row) >= 10),
+v AS (SELECT lang, COUNT(*) AS v FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT u.lang, u.source, u.t, COUNT(*) AS c FROM u JOIN k ON u.lang = k.lang AND u.t = k.t GROUP BY u.lang, u.source, u.t),
+n AS (SELECT lang, source, SUM(c) AS n FROM c GROUP BY lang, source),
+p AS (SELECT g.lang, g.source, k.t, COALESCE(c.c, 0) AS c,
+        1 + CAST(1000000000 AS HUGEINT) * (COALESCE(c.c, 0) + 2) // (COALESCE(n.n, 0) + 2 * v.v) AS p
+      FROM g JOIN k ON g.lang = k.lang JOIN v ON v.lang = g.lang
+      LEFT JOIN n ON n.lang = g.lang AND n.source = g.source
+      LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.t = k.t),
+q AS (SELECT x.lang, x.t, 1 + CAST(1000000000 AS HUGEINT) * (SUM(x.c) + 2) // (ANY_VALUE(y.n) + 2 * ANY_VALUE(v.v)) AS q
+      FROM c x JOIN v ON v.lang = x.lang JOIN (SELECT lang, SUM(n) AS n FROM n GROUP BY lang) y ON y.lang = x.lang
+      GROUP BY x.lang, x.t),
+f AS (SELECT a.lang, a.source, b.source AS item, SUM((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.t = b.t AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, COALESCE(f.value, 0) AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+      LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+      UNION ALL
+      SELECT p.lang, p.source, 'term', p.t, (p.p - q.q) * (p.p - q.q) // (p.p + q.q)
+      FROM p JOIN q ON p.lang = q.lang AND p.t = q.t WHERE p.c > 0 AND p.p > q.q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM r) o
+WHERE part = 'pair' OR rank <= 10"""
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express; the others are tested by brute force."""
-    return {"op8_benchmark_decontamination": DECONTAMINATION_SQL, "op10_minhash_near_dup": NEAR_DUP_SQL}
+    return {"op8_benchmark_decontamination": DECONTAMINATION_SQL, "op10_minhash_near_dup": NEAR_DUP_SQL,
+            "op11_lexical_search": LEXICAL_SQL, "op13_source_divergence": DIVERGENCE_SQL}

@@ -70,6 +70,13 @@ def lower_ascii(cp: np.ndarray) -> np.ndarray:
     return cp + ((cp - 65 < 26).astype(np.uint32) << 5)  # unsigned: below 'A' wraps past 26
 
 
+def byte_table(keep: bytes) -> bytes:
+    """For ``bytes.translate`` on UTF-8: A-Z to a-z; ``keep`` and all of non-ASCII stay, the rest
+    become blanks, so that ``split()`` gives the maximal runs."""
+    low = bytes(range(256)).lower()
+    return bytes(b if b in keep or b > 127 else 32 for b in low)
+
+
 def spaced_mask(cp: np.ndarray) -> np.ndarray:
     """Characters of words ``[^\\x20\\x09-\\x0D]+``."""
     return (cp != 32) & (cp - 9 > 4)
