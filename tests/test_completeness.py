@@ -7,7 +7,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from voxlens.operators import learn, monitor, registry, sinks
+from voxlens.operators import id_index, learn, monitor, registry, sinks
 from voxlens.sources.tables import Tables
 from voxlens.streaming import ingest
 
@@ -31,20 +31,16 @@ def test_rows_with_a_null_key_stay_in_the_split(spark):
 
 
 def test_the_ingest_raises_what_is_not_a_missing_table(spark, monkeypatch):
-    assert ingest._existing(spark, tempfile.mkdtemp() + "/none", ingest.FEEDBACK_SCHEMA, 0).count() == 0
-    broken = tempfile.mkdtemp(prefix="voxlens-broken-") + "/bad:0//x"
-    with pytest.raises(Exception):
-        class Reader:
-            def schema(self, _):
-                return self
+    ids = spark.createDataFrame([("a",)], "id string")
+    missing = tempfile.mkdtemp() + "/none"
+    assert id_index.candidate_files(ids, missing) == [] and id_index.conflicts(ids, missing).count() == 0
 
-            def parquet(self, _):
-                raise OSError("listing failed")
+    def failing(*_):
+        raise OSError("listing failed")
 
-        class Session:
-            read = Reader()
-
-        ingest._existing(Session(), broken, ingest.FEEDBACK_SCHEMA, 0)
+    monkeypatch.setattr(id_index, "_file_system", failing)
+    with pytest.raises(OSError, match="listing failed"):
+        ingest.insert_batch(spark.createDataFrame([], ingest.FEEDBACK_SCHEMA), 0, missing)
 
 
 def test_next_version_counts_old_versions_too(spark):

@@ -161,13 +161,15 @@ def model_comparisons(decisions: DataFrame, as_of: str | None = None) -> DataFra
 
 def complete_runs(runs: DataFrame, done: DataFrame, as_of: str | None = None) -> DataFrame:
     """Close the runs named in ``done`` (run_id, status, training_samples,
-    test_samples, error_message); other rows keep what they have."""
-    patch = done.select(F.col("run_id"), *[F.col(c).alias(f"_new_{c}") for c in (
+    test_samples, error_message and, if it has one, completed_at; ``as_of``
+    else); other rows keep what they have."""
+    at = F.col("completed_at") if "completed_at" in done.columns else as_of_lit(as_of)
+    patch = done.select(at.alias("_new_completed_at"), F.col("run_id"), *[F.col(c).alias(f"_new_{c}") for c in (
         "status", "training_samples", "test_samples", "error_message")], F.lit(True).alias("_hit"))
     hit = F.coalesce(F.col("_hit"), F.lit(False))
     taken = {c: F.when(hit, F.col(f"_new_{c}")).otherwise(F.col(c)) for c in (
         "status", "training_samples", "test_samples", "error_message")}
-    taken["completed_at"] = F.when(hit, as_of_lit(as_of)).otherwise(F.col("completed_at"))
+    taken["completed_at"] = F.when(hit, F.col("_new_completed_at")).otherwise(F.col("completed_at"))
     return runs.join(patch, "run_id", "left").select(*[taken.get(c, F.col(c)).alias(c) for c in runs.columns])
 
 
@@ -188,6 +190,60 @@ def deploy_versions(deployments: DataFrame, patch: DataFrame, as_of: str | None
                   ["active_version_id", "previous_version_id", "rollback_available", "deployed_at"])
 
 
+DEPLOYMENT_COLS = ("active_version_id", "previous_version_id", "rollback_available", "deployed_at")
+
+
+def deployment_intervals(log: DataFrame, sequence: str = "entry") -> DataFrame:
+    """L12's history: each deployment of a (model_type, active_version_id, deployed_at,
+    ``sequence``) log with the time it held, [valid_from, valid_to), the version it
+    replaced, and whether it went back to a version deployed before (``is_rollback``).
+
+    Deployments of one instant follow each other by ``sequence``: all but the last hold
+    for no time. The window runs over a model type's deployments, not over versions.
+    """
+    per_type = Window.partitionBy("model_type")
+    order = per_type.orderBy("deployed_at", sequence)
+    before = Window.partitionBy("model_type", "active_version_id").orderBy("deployed_at", sequence)
+    return log.select(
+        "model_type", "active_version_id", F.lag("active_version_id").over(order).alias("previous_version_id"),
+        F.col("deployed_at").alias("valid_from"), F.lead("deployed_at").over(order).alias("valid_to"),
+        F.col(sequence).alias("sequence"), F.row_number().over(order).alias("deployment_no"),
+        (F.row_number().over(before) > 1).alias("is_rollback"))
+
+
+def deployments_as_of(log: DataFrame, as_of: str | None = None, sequence: str = "entry") -> DataFrame:
+    """The deployment that held at ``as_of`` for each model type: the last one up to then,
+    of one instant the one of the largest ``sequence``. One partial aggregate, no window."""
+    cols = [c for c in DEPLOYMENT_COLS if c in log.columns]
+    held = log.where(F.col("deployed_at") <= as_of_lit(as_of))
+    last = held.groupBy("model_type").agg(
+        F.max(F.struct("deployed_at", sequence, *[c for c in cols if c != "deployed_at"])).alias("d"))
+    return last.select("model_type", *[F.col(f"d.{c}").alias(c) for c in cols])
+
+
+def version_status_from_log(versions: DataFrame, log: DataFrame, as_of: str | None = None,
+                            sequence: str = "entry") -> DataFrame:
+    """Of the versions ever deployed up to ``as_of`` those that hold then are ``active``,
+    the others ``inactive``; versions never deployed keep their status."""
+    active = deployments_as_of(log, as_of, sequence).select(
+        F.col("active_version_id").alias("id"), F.lit("active").alias("new_status"))
+    once = log.where(F.col("deployed_at") <= as_of_lit(as_of)).select(F.col("active_version_id").alias("id")).distinct()
+    patch = once.join(active, "id", "left").select("id", F.coalesce("new_status", F.lit("inactive")).alias("new_status"))
+    return versions.join(patch, "id", "left").select(
+        *[F.coalesce("new_status", "status").alias("status") if c == "status" else F.col(c) for c in versions.columns])
+
+
+def run_summary(runs: DataFrame) -> DataFrame:
+    """L4 + S7: runs of each model type by status, their samples, and the newest error."""
+    failed = F.col("status") == "failed"
+    newest = F.max(F.when(failed, F.struct("completed_at", "run_id", "error_message"))).alias("e")
+    return runs.groupBy("model_type").agg(
+        F.count("*").alias("n_runs"), F.count_if(F.col("status") == "running").alias("n_running"),
+        F.count_if(F.col("status") == "completed").alias("n_completed"), F.count_if(failed).alias("n_failed"),
+        F.sum("training_samples").alias("training_samples"), F.max("completed_at").alias("last_completed_at"),
+        newest).select("*", F.col("e.run_id").alias("last_failed_run"), F.col("e.error_message").alias("last_error")).drop("e")
+
+
 def version_status_after_deploy(versions: DataFrame, new_deployments: DataFrame) -> DataFrame:
     """The newly active versions become ``active``, the ones they replace
     ``inactive``; other rows keep their status.

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxlens.config import RISK_CATEGORIES
+from voxlens.operators import logs
 
 
 def _latest_per_key(df: DataFrame, keys, order_col: str | None, take_max: bool = True) -> DataFrame:
@@ -148,13 +149,9 @@ def write_feedback(df: DataFrame, path: str, mode: str = "errorifexists") -> str
 
 
 def append_log(df: DataFrame, base_path: str, table: str, partition_by=None) -> str:
-    """Append-only log table (registry logs) as partitioned parquet."""
-    path = f"{base_path.rstrip('/')}/{table}"
-    writer = df.write.mode("append")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return path
+    """One entry of an append-only log (see ``operators.logs``); the log's folder."""
+    logs.append(df, base_path, table, partition_by)
+    return f"{base_path.rstrip('/')}/{table}"
 
 
 def read_snapshot(spark: SparkSession, base_path: str, table: str, snapshot_id: str) -> DataFrame:

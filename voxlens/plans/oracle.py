@@ -9,6 +9,7 @@ the Spark plans share one set of fixed values.
 
 from __future__ import annotations
 
+from voxlens.sources import adapters
 from voxlens.config import (
     AREA_WEIGHTS,
     DEFAULT_AS_OF,
@@ -466,3 +467,16 @@ FROM staleness s
 LEFT JOIN (SELECT model_type, bool_or(drift_detected) AS d FROM drift GROUP BY model_type) dr
   ON s.model_type = dr.model_type
 JOIN degradation g ON s.model_type = g.model_type""", "staleness", "drift", "degradation")
+
+
+# ------------------------------------------------- logs of deployments and runs
+cte("deployment_log", adapters.DEPLOYMENT_LOG_SQL, "model_versions")
+cte("run_starts", adapters.RUN_STARTS_SQL, "model_versions")
+cte("run_ends", adapters.RUN_ENDS_SQL, "model_versions")
+
+
+def deployed_as_of(at: str) -> str:
+    """The deployment that held at ``at``, by model type."""
+    return f"""SELECT model_type, active_version_id, deployed_at FROM (
+  SELECT *, row_number() OVER (PARTITION BY model_type ORDER BY deployed_at DESC, entry DESC) AS rn
+  FROM deployment_log WHERE deployed_at <= TIMESTAMP '{at}') h WHERE rn = 1"""

@@ -5,15 +5,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from voxlens.operators import buckets as bk
 from voxlens.operators import features as feat
+from voxlens.operators import id_index as idx
 from voxlens.operators import learn as ln
 from voxlens.operators import monitor as mon
 from voxlens.operators import registry as reg
 from voxlens.operators import reports as rp
 from voxlens.operators import scoring as sc
 from voxlens.operators import sinks as sk
+from voxlens.plans import jobs
 from voxlens.plans import oracle as O
-from voxlens.plans.catalog import register, round6
+from voxlens.plans.catalog import REGISTRY, register, round6
 
 FEEDBACK_COLS = ("id, created_at, source, product_area, sentiment, priority, topic, region, "
                  "customer_tier, summary, user_id")
@@ -974,3 +977,110 @@ def score_with_stored_scaler(t):
     scaler = sc.fit_scaler(earlier, O.ACCOUNT_MATRIX_COLS)
     scaled = sc.standardize(feat.feature_matrix(_user_features(t)), stats=scaler)
     return round6(sc.score_accounts_linear(scaled), "logit", "churn_probability")
+
+
+# ------------------------------------------------------------------ L12, S7, L4 over time
+PAST_DATES = ("2023-10-01 00:00:00", "2023-12-01 00:00:00", "2024-01-31 00:00:00")
+
+
+@register("deployment_intervals", O.build("""
+SELECT model_type, active_version_id, lag(active_version_id) OVER w AS previous_version_id, deployed_at AS valid_from,
+  lead(deployed_at) OVER w AS valid_to, entry AS sequence, CAST(row_number() OVER w AS INTEGER) AS deployment_no,
+  row_number() OVER (PARTITION BY model_type, active_version_id ORDER BY deployed_at, entry) > 1 AS is_rollback
+FROM deployment_log WINDOW w AS (PARTITION BY model_type ORDER BY deployed_at, entry)""", "deployment_log"))
+def deployment_intervals(t):
+    """The deployment log as intervals in which each version was active."""
+    return reg.deployment_intervals(t.deployment_log)
+
+
+@register("active_versions_as_of", O.build(" UNION ALL ".join(
+    f"SELECT TIMESTAMP '{at}' AS as_of, d.model_type, d.active_version_id, d.deployed_at, v.version, v.created_at "
+    f"FROM ({O.deployed_as_of(at)}) d JOIN model_versions v ON v.id = d.active_version_id" for at in PAST_DATES),
+    "deployment_log", "model_versions"))
+def active_versions_as_of(t):
+    """J1 + L12: the version of each model type that was active at three dates, rollbacks included."""
+    from functools import reduce
+
+    from voxlens.functions.time import as_of_lit
+
+    held = reduce(lambda a, b: a.unionByName(b), [
+        reg.deployments_as_of(t.deployment_log, at).select(as_of_lit(at).alias("as_of"), "*") for at in PAST_DATES])
+    rows = t.model_versions.select(F.col("id").alias("active_version_id"), "version", "created_at")
+    return held.join(rows, "active_version_id").select("as_of", "model_type", "active_version_id", "deployed_at",
+                                                       "version", "created_at")
+
+
+O.cte("staleness_past", O.CTES["staleness"][0].replace(O.AS_OF, f"TIMESTAMP '{PAST_DATES[1]}'").replace(
+    "LEFT JOIN active_versions a ON", f"""LEFT JOIN (SELECT d.model_type, v.id, v.created_at FROM ({O.deployed_as_of(PAST_DATES[1])}) d
+  JOIN model_versions v ON v.id = d.active_version_id) a ON"""), "type_domain", "deployment_log", "model_versions")
+
+
+@register("model_staleness_as_of", O.build("SELECT * FROM staleness_past", "staleness_past"))
+def model_staleness_as_of(t):
+    """L9 asked for a past date: age of the versions that were active then."""
+    held = reg.deployments_as_of(t.deployment_log, PAST_DATES[1])
+    return mon.model_staleness(t.model_versions, held, PAST_DATES[1])
+
+
+O.cte("runs_after", """
+SELECT s.run_id, s.model_version_id, s.model_type, s.triggered_by, s.started_at, COALESCE(e.status, 'running') AS status,
+  e.training_samples, e.test_samples, e.error_message, e.completed_at
+FROM run_starts s LEFT JOIN run_ends e ON s.run_id = e.run_id""", "run_starts", "run_ends")
+
+
+def _runs(t):
+    started = t.run_starts.select(
+        "*", F.lit("running").alias("status"), F.lit(None).cast("long").alias("training_samples"),
+        F.lit(None).cast("long").alias("test_samples"), F.lit(None).cast("string").alias("error_message"),
+        F.lit(None).cast("timestamp_ntz").alias("completed_at"))
+    return reg.complete_runs(started, t.run_ends)
+
+
+@register("training_run_states", O.build("SELECT * FROM runs_after", "runs_after"))
+def training_run_states(t):
+    """Started runs closed by the rows of those that have ended."""
+    return _runs(t)
+
+
+@register("training_run_summary", O.build("""
+SELECT model_type, COUNT(*) AS n_runs, COUNT(*) FILTER (WHERE status = 'running') AS n_running,
+  COUNT(*) FILTER (WHERE status = 'completed') AS n_completed, COUNT(*) FILTER (WHERE status = 'failed') AS n_failed,
+  CAST(SUM(training_samples) AS BIGINT) AS training_samples, MAX(completed_at) AS last_completed_at,
+  MAX(CASE WHEN status = 'failed' AND rn = 1 THEN run_id END) AS last_failed_run,
+  MAX(CASE WHEN status = 'failed' AND rn = 1 THEN error_message END) AS last_error
+FROM (SELECT *, row_number() OVER (PARTITION BY model_type, status ORDER BY completed_at DESC, run_id DESC) AS rn
+      FROM runs_after) r GROUP BY model_type""", "runs_after"))
+def training_run_summary(t):
+    """L4: runs of each model type by status, with the newest error."""
+    return reg.run_summary(_runs(t))
+
+
+# ------------------------------------------------------------------ S3, S4 at the cost of the patch
+@register("upsert_scores_bucketed", O.build(str(REGISTRY["upsert_scores"][1])))
+def upsert_scores_bucketed(t):
+    """S3 on stored files: a month-old snapshot in hash buckets, today's scores upserted into the
+    buckets that they touch, and the new snapshot read through its manifest."""
+    import uuid
+
+    from voxlens.session import stage_root
+
+    base, cols = f"{stage_root(t.spark)}/scores-{uuid.uuid4().hex}", list(jobs.ACCOUNT_UPDATE_COLS)
+    old = sc.account_risk_scores(t.feedback, as_of=PREVIOUS_AS_OF, model_version="v0")
+    bk.write(old, base, "account_risk_scores", "old", ["account_id"])
+    bk.upsert(_account_scores(t), base, "account_risk_scores", "old", "new", cols, unique_keys=True)
+    return round6(bk.read(t.spark, base, "account_risk_scores", "new"), "churn_probability", "health_score")
+
+
+@register("insert_new_feedback_indexed", O.build(str(REGISTRY["insert_new_feedback"][1])))
+def insert_new_feedback_indexed(t):
+    """S4 on stored files: the table as of 30 days ago with its id index, the feedback of the last 60
+    days inserted through the index; returns the rows that the insert stored."""
+    import uuid
+
+    from voxlens.functions.time import days_before
+    from voxlens.session import stage_root
+
+    path = f"{stage_root(t.spark)}/feedback-{uuid.uuid4().hex}"
+    idx.store(t.feedback.where(F.col("created_at") < days_before(None, 30)), path, 0)
+    idx.insert(t.feedback.where(F.col("created_at") >= days_before(None, 60)), path, 1, "id", order_col="created_at")
+    return t.spark.read.parquet(f"{path}/batch_id=1").select(*_cols(FEEDBACK_COLS))

@@ -150,3 +150,37 @@ def prediction_distribution_history(t) -> DataFrame:
         F.col("value").alias("metric_value"),
         F.col("ts").alias("scoring_date"),
     )
+
+
+# Stand-ins for the job logs (SQL text that both engines read): every version is deployed a day
+# after it was made, each fifth again nine days later; a run per version, of which each seventh
+# has not ended and each eleventh of the others has failed.
+DEPLOYMENT_LOG_SQL = """
+SELECT model_type, id AS active_version_id, created_at + INTERVAL '1' DAY AS deployed_at, id AS entry FROM model_versions
+UNION ALL
+SELECT model_type, id, created_at + INTERVAL '10' DAY, 1000000000000 + id FROM model_versions WHERE id % 5 = 0"""
+RUN_STARTS_SQL = """
+SELECT id AS run_id, id AS model_version_id, model_type, CASE WHEN id % 2 = 0 THEN 'scheduled' ELSE 'manual' END
+  AS triggered_by, created_at AS started_at FROM model_versions"""
+RUN_ENDS_SQL = """
+SELECT id AS run_id, CASE WHEN id % 11 = 0 THEN 'failed' ELSE 'completed' END AS status,
+  CASE WHEN id % 11 = 0 THEN 0 ELSE 10 + id % 90 END AS training_samples,
+  CASE WHEN id % 11 = 0 THEN 0 ELSE 5 + id % 7 END AS test_samples,
+  CASE WHEN id % 11 = 0 THEN 'RuntimeError: run ' || CAST(id AS STRING) END AS error_message,
+  created_at + INTERVAL '1' HOUR AS completed_at FROM model_versions WHERE id % 7 <> 0"""
+
+
+def _over_versions(t, sql: str) -> DataFrame:
+    return t.spark.sql(sql.replace("FROM model_versions", "FROM {versions}"), versions=t.model_versions)
+
+
+def deployment_log(t) -> DataFrame:
+    return _over_versions(t, DEPLOYMENT_LOG_SQL)
+
+
+def run_starts(t) -> DataFrame:
+    return _over_versions(t, RUN_STARTS_SQL)
+
+
+def run_ends(t) -> DataFrame:
+    return _over_versions(t, RUN_ENDS_SQL)

@@ -105,3 +105,21 @@ class Tables:
         from voxlens.sources.adapters import prediction_distribution_history
 
         return prediction_distribution_history(self)
+
+    @cached_property
+    def deployment_log(self) -> DataFrame:
+        from voxlens.sources.adapters import deployment_log
+
+        return deployment_log(self)
+
+    @cached_property
+    def run_starts(self) -> DataFrame:
+        from voxlens.sources.adapters import run_starts
+
+        return run_starts(self)
+
+    @cached_property
+    def run_ends(self) -> DataFrame:
+        from voxlens.sources.adapters import run_ends
+
+        return run_ends(self)

@@ -4,14 +4,13 @@ New feedback files land in a source folder; each micro-batch is inserted into
 the stored feedback table with ``ON CONFLICT (id) DO NOTHING`` semantics
 (``voxlens.operators.sinks.insert_if_absent``).
 
-Cost per micro-batch: the stored table is only *probed*. The batch's
-distinct ids (bounded by the trigger size, ``maxFilesPerTrigger``) meet the
-stored ids in a semi join, which the planner broadcasts after its size check (a
-scan with a hash probe, no shuffle of the large side), and the batch is anti-
-joined with the small conflict set that results.
+Cost per micro-batch: the stored ids are not read. Their index
+(``voxlens.operators.id_index``: 8 bytes an id, of the buckets that the batch's ids
+fall into) names the data files that may hold one of the batch's ids; only those are
+opened and compared in full.
 
-Exactly-once: every micro-batch writes only its own ``batch_id=<n>``
-directory, in overwrite mode, and compares against the table *without* that
+Exactly-once: every micro-batch writes only its own ``batch_id=<n>`` directory and the
+index of it, in overwrite mode, and compares against the table *without* that
 directory. A batch replayed after a failure therefore recomputes the same
 rows and replaces its own partial output; the streaming checkpoint (in the
 shared folder) records which batches committed.
@@ -19,12 +18,10 @@ shared folder) records which batches committed.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from voxlens.operators.sinks import insert_if_absent
+from voxlens.operators import id_index
 
 FEEDBACK_SCHEMA = ("id string, created_at timestamp_ntz, source string, product_area string, sentiment string, "
                    "priority int, topic string, region string, customer_tier string, summary string, user_id bigint")
@@ -41,36 +38,21 @@ def feedback_stream(spark: SparkSession, source_dir: str, schema: str = FEEDBACK
             .parquet(source_dir))
 
 
-def _existing(spark: SparkSession, table_path: str, schema: str, exclude_batch: int) -> DataFrame:
-    try:
-        stored = spark.read.schema(f"{schema}, batch_id long").parquet(table_path)
-    except AnalysisException as exc:
-        if exc.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)  # first batch: the table does not exist yet
-    return stored.where(F.col("batch_id") != exclude_batch).drop("batch_id")
-
-
-def insert_batch(batch: DataFrame, batch_id: int, table_path: str, schema: str = FEEDBACK_SCHEMA) -> None:
+def insert_batch(batch: DataFrame, batch_id: int, table_path: str) -> None:
     """foreachBatch body: insert-if-absent into ``table_path/batch_id=<n>``."""
-    spark = batch.sparkSession
     batch = batch.persist()  # read twice (ids, rows); bounded by the trigger size
     try:
-        ids = batch.select("id").where(F.col("id").isNotNull()).distinct()
-        conflicts = (_existing(spark, table_path, schema, batch_id).select("id")
-                     .join(ids, "id", "left_semi"))  # the planner broadcasts the ids where they are few
-        new_rows = insert_if_absent(conflicts, batch, "id", order_col="created_at")
-        new_rows.write.mode("overwrite").parquet(f"{table_path.rstrip('/')}/batch_id={batch_id}")
+        id_index.insert(batch, table_path, batch_id, "id", order_col="created_at")
     finally:
         batch.unpersist()
 
 
 def start_feedback_ingest(stream: DataFrame, table_path: str, checkpoint_location: str,
-                          trigger: dict | None = None, schema: str = FEEDBACK_SCHEMA) -> StreamingQuery:
+                          trigger: dict | None = None) -> StreamingQuery:
     """Start the ingest query. ``checkpoint_location`` must be a shared,
     durable folder (e.g. under ``spark.checkpoint.dir``)."""
     writer = (stream.writeStream
-              .foreachBatch(lambda df, bid: insert_batch(df, bid, table_path, schema))
+              .foreachBatch(lambda df, bid: insert_batch(df, bid, table_path))
               .option("checkpointLocation", checkpoint_location))
     writer = writer.trigger(**(trigger or {"availableNow": True}))
     return writer.start()
