@@ -128,33 +128,41 @@ def account_features(feedback: DataFrame, as_of: str | None = None, lookback_day
 
 
 def area_base_features(feedback: DataFrame, as_of: str | None = None, lookback_days: int = LOOKBACK_DAYS,
-                       product_area: str | None = None) -> DataFrame:
-    """A2: 12 aggregates per (product_area, segment).
-
-    The facts are summed once by (area, tier, region, topic); the totals and the
-    two distinct counts are then taken from those rows, so no fact row is
-    expanded and every level is a hash aggregate over fixed-width values.
+                       product_area: str | None = None, topic_parts: int = 1) -> DataFrame:
+    """A2: 12 aggregates per (product_area, segment) in one aggregate over one shuffle.
+
+    The two distinct counts are the sizes of sets that ride in it, so no fact row is
+    expanded; a map task ships a group's distinct topics and regions once. For a consumer
+    that selects neither, Catalyst prunes both sets. Where a group may have more topics than a
+    task should hold, ``topic_parts`` deals them by hash into as many partial groups, whose sums
+    and disjoint sets a second, small aggregate adds up.
     """
     f = lookback(feedback, as_of, lookback_days)
     if product_area is not None:  # P3: before the group-by
         f = f.filter(F.col("product_area") == F.lit(product_area))
     counts = ["feedback_count", "feedback_last_30d", "feedback_last_7d", "negative_count", "positive_count",
               "neutral_count", "critical_count", "p5_count"]
-    by_topic = f.groupBy("product_area", F.col("customer_tier").alias("segment"), "region", "topic").agg(
-        *_common_aggs(as_of, "feedback_count"),
+    aggs = _common_aggs(as_of, "feedback_count") + [
         F.count_if(F.col("sentiment") == "negative").alias("negative_count"),
         F.count_if(F.col("sentiment") == "positive").alias("positive_count"),
         F.count_if(F.col("sentiment") == "neutral").alias("neutral_count"),
         F.count_if(F.col("priority") >= 4).alias("critical_count"),
-        F.count_if(F.col("priority") == 5).alias("p5_count"),
-        F.sum("priority").alias("priority_sum"), F.count("priority").alias("priority_n"),
-        F.max("created_at").alias("last_feedback_date"))
-    out = by_topic.groupBy("product_area", "segment").agg(
-        *[F.sum(c).alias(c) for c in counts],
-        (F.sum("priority_sum") / F.sum("priority_n")).alias("avg_priority"),
-        F.max("last_feedback_date").alias("last_feedback_date"),
-        F.count_distinct("topic").alias("unique_topics"), F.count_distinct("region").alias("regions_affected"))
-    return out
+        F.count_if(F.col("priority") == 5).alias("p5_count")]
+    f = f.withColumn("segment", F.col("customer_tier"))
+    if topic_parts == 1:
+        return f.groupBy("product_area", "segment").agg(
+            *aggs, F.avg("priority").alias("avg_priority"), F.max("created_at").alias("last_feedback_date"),
+            F.size(F.collect_set("topic")).cast("long").alias("unique_topics"),
+            F.size(F.collect_set("region")).cast("long").alias("regions_affected"))
+    part = F.coalesce(F.pmod(F.xxhash64("topic"), F.lit(topic_parts)), F.lit(0)).alias("_part")
+    parts = f.groupBy("product_area", "segment", part).agg(
+        *aggs, F.sum("priority").alias("_sum"), F.count("priority").alias("_n"),
+        F.max("created_at").alias("last_feedback_date"), F.size(F.collect_set("topic")).cast("long").alias("_topics"),
+        F.collect_set("region").alias("_regions"))
+    return parts.groupBy("product_area", "segment").agg(
+        *[F.sum(c).alias(c) for c in counts], (F.sum("_sum") / F.sum("_n")).alias("avg_priority"),
+        F.max("last_feedback_date").alias("last_feedback_date"), F.sum("_topics").alias("unique_topics"),
+        F.size(F.array_distinct(F.flatten(F.collect_set("_regions")))).cast("long").alias("regions_affected"))
 
 
 def area_features(feedback: DataFrame, as_of: str | None = None, lookback_days: int = LOOKBACK_DAYS,

@@ -191,10 +191,29 @@ def fit_churn_classifier(train: DataFrame, feature_cols=ACCOUNT_FEATURE_COLS, la
         clf = MultilayerPerceptronClassifier(layers=[len(cols), 64, 32, 16, 2], seed=seed, maxIter=50,
                                              labelCol=label, featuresCol="features")
     else:
-        clf = LogisticRegression(labelCol=label, featuresCol="features", maxIter=100, regParam=0.01)
+        clf = LogisticRegression(labelCol=label, featuresCol="features", maxIter=100, regParam=REG_PARAM)
     return Pipeline(stages=[assembler, clf]).fit(train.withColumn(label, F.col(label).cast("double")))
 
 
+REG_PARAM = 0.01
+
+
+def optimality(model, train: DataFrame, label: str = "churned", reg: float = REG_PARAM) -> DataFrame:
+    """M4: the largest absolute component of the objective's gradient at a fitted logistic
+    solution (0 at the optimum), one row. The objective is the mean log loss plus
+    reg / 2 * |b * s|**2 with each feature's sample deviation s, as the fit minimises it."""
+    from pyspark.ml.functions import vector_to_array
+
+    weights = model.stages[-1].coefficients.toArray().tolist()
+    rows = model.transform(train).select(
+        (vector_to_array("probability")[1] - F.col(label)).alias("e"), vector_to_array("features").alias("x"))
+    parts = [F.avg("e").alias("g")] + [F.avg(F.col("e") * F.col("x")[j]).alias(f"g{j}") for j in range(len(weights))] \
+        + [F.var_samp(F.col("x")[j]).alias(f"s{j}") for j in range(len(weights))]
+    sums = rows.agg(F.count("*").alias("n"), *parts)
+    size = [F.abs("g")] + [F.abs(F.col(f"g{j}") + reg * w * F.coalesce(f"s{j}", F.lit(0.0))) for j, w in enumerate(weights)]
+    return sums.select("n", F.greatest(*size).alias("max_abs_gradient"))
+
+
 def predict_churn(model, scaled: DataFrame, keep=("account_id",)) -> DataFrame:
     """M5 with a fitted model: probability of the positive class."""
     from pyspark.ml.functions import vector_to_array

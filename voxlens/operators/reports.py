@@ -20,25 +20,80 @@ from voxlens.config import (
     TOP_PRIORITIES,
 )
 from voxlens.functions.scalars import category_rank
+from voxlens.session import materialize
 from voxlens.functions.time import MICROS_PER_HOUR, as_of_lit, micros_between
 
 
-def score_distribution(scored: DataFrame, column: str = "priority_score") -> DataFrame:
-    """A5: min, Q1, median, Q3, max, mean, sample std (one row).
+#: Rows that are put in order at once to find a quantile; relative accuracy of the sketches before.
+QUANTILE_ROWS = 10_000
+SKETCH = 10_000
 
-    ``percentile`` interpolates linearly between order statistics, like
-    pandas ``quantile`` and DuckDB ``quantile_cont``.
+
+def order_statistics(df: DataFrame, column: str, ranks: list[int], n: int, rows: int = QUANTILE_ROWS,
+                     accuracy: int = SKETCH) -> dict[int, float]:
+    """The values at 0-based ``ranks`` of the ``n`` non-NULL values of ``column``, exactly.
+
+    A sketch gives a range around each rank and one aggregate counts what lies below and
+    in it; the range shrinks by the sketch's accuracy in each round, until it is one value or
+    has ``rows`` values, which alone are put in order. No task holds more than that.
     """
-    q = F.percentile(F.col(column), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return scored.agg(
-        F.min(column).alias("min_score"),
-        q.alias("q"),
-        F.max(column).alias("max_score"),
-        F.avg(column).alias("mean_score"),
-        F.stddev_samp(column).alias("std_score"),
-        F.count(F.lit(1)).alias("n"),
-    ).select("n", "min_score", F.col("q")[0].alias("q1_score"), F.col("q")[1].alias("median_score"),
-             F.col("q")[2].alias("q3_score"), "max_score", "mean_score", "std_score")
+    x = F.col(column)
+    found: dict[int, float] = {}
+    spans = {r: (None, None, 0, n) for r in sorted(set(ranks))}  # least, largest, values below, values in it
+
+    def inside(span):
+        return F.lit(True) if span[0] is None else (x >= F.lit(span[0])) & (x <= F.lit(span[1]))
+
+    while spans:
+        few = {r: s for r, s in spans.items() if s[3] <= rows}
+        if few:
+            row = df.agg(*[F.array_sort(F.collect_list(F.when(inside(s), x))).alias(f"v{r}") for r, s in few.items()]).first()
+            found |= {r: row[f"v{r}"][r - s[2]] for r, s in few.items()}
+        spans = {r: s for r, s in spans.items() if r not in few}
+        if not spans:
+            break
+        asked = []
+        for r, s in spans.items():
+            at, slack = (r - s[2] + 0.5) / s[3], 2 / accuracy
+            ends = [F.lit(max(0.0, at - slack)), F.lit(min(1.0, at + slack))]
+            asked.append(F.percentile_approx(F.when(inside(s), x), F.array(*ends), accuracy).alias(f"e{r}"))
+        edges = df.agg(*asked).first()
+        lo, hi = ({r: edges[f"e{r}"][k] for r in spans} for k in (0, 1))
+        counts = df.agg(*[c for r in spans for c in (
+            F.count_if(x < F.lit(lo[r])).alias(f"b{r}"), F.count_if((x >= F.lit(lo[r])) & (x <= F.lit(hi[r]))).alias(f"n{r}"))]).first()
+        for r in list(spans):
+            below, own, last = counts[f"b{r}"], counts[f"n{r}"], spans[r]
+            if below <= r < below + own and lo[r] == hi[r]:
+                found[r] = lo[r]
+                del spans[r]
+            elif below <= r < below + own and own < last[3]:
+                spans[r] = (lo[r], hi[r], below, own)
+            elif r < below:  # the sketch was off: the rank lies on the other side of an edge
+                spans[r] = (last[0] if last[0] is not None else df.agg(F.min(x)).first()[0], lo[r], last[2], below - last[2] + own)
+            elif r >= below + own:
+                rest = last[3] - (below - last[2])
+                spans[r] = (lo[r], last[1] if last[1] is not None else df.agg(F.max(x)).first()[0], below, rest)
+            else:
+                accuracy *= 10  # no progress: a finer sketch
+    return found
+
+
+def score_distribution(scored: DataFrame, column: str = "priority_score", rows: int = QUANTILE_ROWS) -> DataFrame:
+    """A5: min, Q1, median, Q3, max, mean, sample std (one row), at any number of rows.
+
+    Quantiles interpolate linearly between order statistics, like pandas ``quantile`` and
+    DuckDB ``quantile_cont``; these are selected exactly without a task that holds all values
+    (``order_statistics``). ``n`` counts all rows, the quantiles are of the non-NULL values.
+    """
+    one = materialize(scored.select(F.col(column).cast("double").alias("x")), "score_values")
+    whole = one.agg(F.count(F.lit(1)).alias("n"), F.count("x").alias("m"), F.min("x").alias("lo"), F.max("x").alias("hi"),
+                    F.avg("x").alias("mean"), F.stddev_samp("x").alias("std")).first()
+    places = {q: (whole.m - 1) * q for q in (0.25, 0.5, 0.75)} if whole.m else {}
+    values = order_statistics(one, "x", [r for h in places.values() for r in (int(h), min(int(h) + 1, whole.m - 1))], whole.m, rows)
+    q = {k: values[int(h)] + (h - int(h)) * (values[min(int(h) + 1, whole.m - 1)] - values[int(h)]) for k, h in places.items()}
+    row = (whole.n, whole.lo, q.get(0.25), q.get(0.5), q.get(0.75), whole.hi, whole["mean"], whole["std"])
+    return scored.sparkSession.createDataFrame([row], "n long, min_score double, q1_score double, median_score double, "
+                                               "q3_score double, max_score double, mean_score double, std_score double")
 
 
 def category_distribution(scored: DataFrame, column: str = "risk_category") -> DataFrame:

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from voxlens.operators import buckets as bk
+from voxlens.operators import daily
 from voxlens.operators import features as feat
 from voxlens.operators import id_index as idx
 from voxlens.operators import learn as ln
@@ -1084,3 +1085,64 @@ def insert_new_feedback_indexed(t):
     idx.store(t.feedback.where(F.col("created_at") < days_before(None, 30)), path, 0)
     idx.insert(t.feedback.where(F.col("created_at") >= days_before(None, 60)), path, 1, "id", order_col="created_at")
     return t.spark.read.parquet(f"{path}/batch_id=1").select(*_cols(FEEDBACK_COLS))
+
+
+# ------------------------------------------------------------------ P1, A1, A5, M4 at scale
+def _stored_path(t, name: str) -> str:
+    import uuid
+
+    from voxlens.session import stage_root
+
+    return f"{stage_root(t.spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@register("area_features_stored", O.build(str(REGISTRY["area_features"][1])))
+def area_features_stored(t):
+    """P1 + A2 over facts stored by date: the lookback prunes the partitions outside its window."""
+    stored = t.spark.read.parquet(sk.write_feedback(t.feedback, _stored_path(t, "facts")))
+    return feat.area_features(stored).select(*_cols(AREA_BASE_COLS), *_cols(AREA_DERIVED_COLS))
+
+
+@register("acct_base_features_daily", O.build(str(REGISTRY["acct_base_features_user"][1])))
+def acct_base_features_daily(t):
+    """A1 per user from stored per-day partials; facts are read for the days that a window cuts."""
+    facts = t.spark.read.parquet(sk.write_feedback(t.feedback, _stored_path(t, "facts")))
+    stored = t.spark.read.parquet(daily.add_days(facts, _stored_path(t, "daily")))
+    return daily.account_base_features(stored, facts).select("user_id", *_cols(ACCT_BASE_COLS))
+
+
+@register("score_distribution_accounts", O.build(f"""
+SELECT COUNT(*) AS n, {O.r6('MIN(churn_probability)')} AS min_score,
+  {O.r6('quantile_cont(churn_probability, 0.25)')} AS q1_score, {O.r6('quantile_cont(churn_probability, 0.5)')} AS median_score,
+  {O.r6('quantile_cont(churn_probability, 0.75)')} AS q3_score, {O.r6('MAX(churn_probability)')} AS max_score,
+  {O.r6('AVG(churn_probability)')} AS mean_score, {O.r6('stddev_samp(churn_probability)')} AS std_score
+FROM account_risk_scores""", "account_risk_scores"))
+def score_distribution_accounts(t):
+    """A5 at the account grain, by exact selection."""
+    out = rp.score_distribution(_account_scores(t), "churn_probability", rows=100)
+    return round6(out, *[c for c in out.columns if c != "n"])
+
+
+@register("fit_quality", O.build("""
+SELECT k.kind, COUNT(*) AS n_accounts, CASE WHEN k.kind = 'logistic' THEN CAST(0 AS DOUBLE) END AS max_abs_gradient,
+  TRUE AS auc_above_half
+FROM labels_user CROSS JOIN (SELECT unnest(['logistic', 'mlp']) AS kind) k GROUP BY k.kind""", "labels_user"))
+def fit_quality(t):
+    """M4 checked on all accounts: the gradient at the logistic solution (0 to 2 places), and whether each
+    kind of classifier ranks the rows that it was fitted on better than chance."""
+    from functools import reduce
+
+    from voxlens.session import materialize
+
+    matrix = feat.feature_matrix(_labels(t), keys=("account_id", "churned"))
+    data, out = materialize(sc.standardize(matrix, keys=("account_id", "churned")), "fit_rows"), []
+    for kind in ("logistic", "mlp"):
+        model = ln.fit_churn_classifier(data, kind=kind)
+        preds = ln.predict_churn(model, data, keep=("account_id", "churned"))
+        auc = ln.roc_auc(preds).select((F.col("auc") > 0.5).alias("auc_above_half"))
+        n = data.agg(F.count("*").alias("n_accounts"))
+        gradient = t.spark.range(1).select(F.lit(None).cast("double").alias("max_abs_gradient"))
+        if kind == "logistic":
+            gradient = ln.optimality(model, data).select(F.round("max_abs_gradient", 2).alias("max_abs_gradient"))
+        out.append(n.crossJoin(gradient).crossJoin(auc).select(F.lit(kind).alias("kind"), "*"))  # one row each
+    return reduce(lambda a, b: a.unionByName(b), out)
