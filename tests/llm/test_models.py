@@ -254,8 +254,34 @@ def near_rows():
 
 
 def test_a_link_is_missed_below_a_millionth():
-    n, s = near_dup.COORDINATES, near_dup.SIMILARITY
-    assert sum(math.comb(n, k) * s ** k * (1 - s) ** (n - k) for k in range(near_dup.MATCHES)) < 1e-6
+    def short(n, s, m):
+        return sum(math.comb(n, k) * s ** k * (1 - s) ** (n - k) for k in range(m))
+
+    for s in (0.5, 0.6, 0.75, 0.8, 0.9, 0.95):
+        own = near_dup.Limits(s)
+        missed = short(near_dup.COORDINATES, s, own.matches) + short(near_dup.FINE, s, own.fine)
+        assert own.matches > 0 and missed + (1 - s ** own.run) ** (near_dup.COORDINATES // own.run) < near_dup.MISS
+    assert (near_dup.Limits(0.8).matches, near_dup.Limits(0.8).run) == (34, 3)
+    for s in (0, 0.1, 1.2):
+        with pytest.raises(ValueError):
+            near_dup.Limits(s)
+
+
+def test_links_of_a_lower_similarity_are_kept(sp):
+    """Pairs alike by about 0.53, found where 0.5 is asked for and left alone at 0.8."""
+    rows = []
+    for k in range(100):
+        own = words(5000 + k, 120).split()
+        rows += [(2 * k, " ".join(own)), (2 * k + 1, " ".join(own[:83] + words(9000 + k, 37).split()))]
+    found = near_dup.near_duplicates(documents(sp, rows), similarity=0.5)
+    want = sum(_jaccard(rows[2 * k][1], rows[2 * k + 1][1]) >= 0.5 for k in range(100))
+    assert want > 90 and found.where("first").count() == 200 - want
+    assert near_dup.near_duplicates(documents(sp, rows)).where("first").count() == 200
+
+
+def _jaccard(a, b):
+    x, y = set(near_dup.shingles(a).tolist()), set(near_dup.shingles(b).tolist())
+    return len(x & y) / len(x | y)
 
 
 def test_near_duplicates_against_brute_force(sp):
@@ -342,3 +368,11 @@ def test_pipeline_stage_cases(sp, name):
     docs = cases(sp)
     assert stage(sp, docs, SMALL).count() >= 0
     assert stage(sp, docs.limit(0), SMALL).count() == 0
+
+
+def test_texts_that_share_a_footer_all_teach_the_model(sp):
+    footer = words(1, 60)
+    rows = [(k, words(100 + k, 90) + " " + footer) for k in range(300)]
+    copies = [(1000 + k, rows[k][1] + " more") for k in range(20)] + [(2000, rows[0][1])]
+    kept = perplexity.distinct_texts(documents(sp, rows + copies), "text")
+    assert kept.count() == 300

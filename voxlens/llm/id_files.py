@@ -82,7 +82,6 @@ def id_blocks(docs: DataFrame, vocabulary: str = VOCABULARY, block_ids: int = BL
                     block, place, size, doc_ids, lengths, held = block + 1, place + size, 0, [], [], []
         if size:
             yield _batch([(part, block, place, size, doc_ids, lengths, b"".join(held))], _RAW)
-        encoder.forget()
 
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text") \
         .withColumn("tie", F.xxhash64("text"))

@@ -3,40 +3,43 @@
 A–Z is lower-cased, words are ``[^\\x20\\x09-\\x0D]+``, a document's set is its
 distinct 4-word shingles (fewer words: the whole sequence as one). Equal sets
 make one node. A node has ``COORDINATES`` MinHash values; it is posted under each
-(coordinate, value). Two nodes whose sets are alike by ``SIMILARITY`` share at
-least ``MATCHES`` of the values except with a probability below 1e-6.
-
-* Skip: a value that one node alone has can't be shared; a node with fewer than
-  ``MATCHES`` shared values has no partner and leaves.
-* Prefix: two nodes with ``MATCHES`` common values meet within the
-  COORDINATES - MATCHES + 1 rarest of either; its unshared values use up places
-  of that prefix, so only the rarest (shared - MATCHES + 1) are posted.
-* Large groups: nodes are first compared with two representatives of a few of
-  their postings (linear in the postings), which joins copies of one text into
-  components. The inverted join then pairs only nodes of different components,
-  so a group of copies of any size never pairs with itself.
+(coordinate, value). All thresholds follow from the similarity that links (``Limits``),
+so that together they miss a link of just that similarity with a probability below ``MISS``.
+
+* Skip: a node that shares no run of ``run`` coordinates with another has no partner and
+  is not posted; nor has one with fewer than ``matches`` values that another node has.
+* Prefix: two nodes with ``matches`` common values meet within the
+  COORDINATES - matches + 1 rarest of either; its unshared values use up places
+  of that prefix, so only the rarest (shared - matches + 1) are posted.
+* Large groups: each posting's nodes are first compared with the one that shares most
+  (linear in the postings), which joins copies of one text into components. The inverted join
+  pairs only nodes of different components, so a group of copies of any size never pairs with itself.
+* Once: a posting carries the node's rarer keys, and a pair is made only under the
+  first key that both have.
 * Sets: two sets of n and m members are alike only if they have at least
   a = (n + m) * S / (1 + S) in common, so of any common order of members the first
   n - a + 1 of the one and m - a + 1 of the other must meet. With the rarest first,
   members that no other set has use up places; a node with no place left leaves, and
   a pair is made under a common key only if its first members meet.
-* Once: a posting carries the node's rarer keys, and a pair is made only under the
-  first key that both have.
-* Count: candidate pairs keep those that share ``MATCHES`` coordinates, and links
-  are confirmed on the full sets.
+* Match threshold: of the pairs with a posting's central node only those go on that agree in enough
+  of ``FINE`` more coordinates, a byte each (equal values have equal bytes); the others' first members have met.
+* Links are confirmed on the full sets.
 
-Scale: four shuffles of postings of 16 bytes, one of the texts that have any
-partner candidate; hot values are counted by partial aggregates and joined by
-skew-splittable sort-merge joins; links and components stay in Spark.
+Scale: the texts are read once where they lie, and shuffled once for the nodes that have any
+partner candidate. Shuffled are the runs (8 bytes each), the values of nodes that share a run, and, of postings that
+lie in several components, a few hundred bytes each; sets of shingles travel for pairs that agree only. Hot values are counted by partial aggregates and
+joined by skew-splittable sort-merge joins; links and components stay in Spark.
 
 Defined cases: NULL, empty or blank texts have no shingle and link with
 nothing; repeated rows are equal sets; a NULL doc_id counts as larger than any
 id and its component is NULL only if no member has an id; other columns of the
-input are neither looked at nor clash.
+input are neither looked at nor clash; a similarity for which the coordinates do not
+suffice is refused.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,10 +57,36 @@ SHINGLE = 4
 #: Links need 100 * intersection >= 100 * SIMILARITY * union.
 SIMILARITY = 0.8
 COORDINATES = 64
-MATCHES = 34
+#: Coordinates of the finer test, a byte each.
+FINE = 128
+#: The chance to miss a link of just the similarity asked for, all tests together.
+MISS = 1e-6
+
+_A = (X._splitmix(COORDINATES + FINE, 1001) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+_B = (X._splitmix(COORDINATES + FINE, 2003) >> np.uint64(32)).astype(np.uint32)
+
 
-_A = (X._splitmix(COORDINATES, 1001) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
-_B = (X._splitmix(COORDINATES, 2003) >> np.uint64(32)).astype(np.uint32)
+def _least_matches(n: int, similarity: float, miss: float) -> int:
+    """The largest m such that fewer than m of n coordinates agree with a chance of ``miss`` at most."""
+    tail, m = 0.0, 0
+    while m <= n:
+        tail += math.comb(n, m) * similarity ** m * (1 - similarity) ** (n - m)
+        if tail > miss:
+            break
+        m += 1
+    return min(m, n)
+
+
+class Limits:
+    """The thresholds for one similarity."""
+
+    def __init__(self, similarity: float):
+        self.similarity = similarity
+        self.matches = _least_matches(COORDINATES, similarity, 0.4 * MISS)
+        self.fine = _least_matches(FINE, similarity, 0.2 * MISS)
+        if not 0 < similarity <= 1 or not self.matches:
+            raise ValueError(f"{COORDINATES} coordinates do not find links of similarity {similarity}")
+        self.run = max(r for r in range(1, 9) if r == 1 or (1 - similarity ** r) ** (COORDINATES // r) <= 0.4 * MISS)
 
 SIGNED = "doc_id long, text_hash long, n_shingles long, node long, sig array<int>"
 
@@ -79,16 +108,26 @@ def node_of(own: np.ndarray) -> int:
     return int(total.view(np.int64)[0])
 
 
-def signature(own: np.ndarray, coordinates: int = COORDINATES) -> np.ndarray:
-    """The smallest value of each of the first ``coordinates`` hash functions over a set."""
+def signature(own: np.ndarray, first: int = 0, last: int = COORDINATES) -> np.ndarray:
+    """The smallest value over a set of each of the hash functions ``first`` to ``last``."""
     h = (own >> np.uint64(32)).astype(np.uint32)
-    best = np.full(coordinates, 0xFFFFFFFF, np.uint32)
+    best = np.full(last - first, 0xFFFFFFFF, np.uint32)
     with np.errstate(over="ignore"):
         for at in range(0, len(h), 1024):
-            np.minimum(best, (h[at:at + 1024, None] * _A[:coordinates] + _B[:coordinates]).min(axis=0), out=best)
+            np.minimum(best, (h[at:at + 1024, None] * _A[first:last] + _B[first:last]).min(axis=0), out=best)
     return best.view(np.int32)
 
 
+def as_bytes(sig: np.ndarray) -> np.ndarray:
+    """A byte of each value of a signature, eight to a number; equal values have equal bytes."""
+    return (sig.view(np.uint32) * np.uint32(0x9E3779B1) >> np.uint32(24)).astype(np.uint8).view(np.int64)
+
+
+def fine(own: np.ndarray) -> np.ndarray:
+    """The ``FINE`` further coordinates as bytes."""
+    return as_bytes(signature(own, COORDINATES, COORDINATES + FINE))
+
+
 def signed(docs: DataFrame, text: str = "text", size: int = SHINGLE) -> DataFrame:
     """doc_id, a hash of the text, the set's size, its node (NULL if empty) and signature."""
 
@@ -106,40 +145,27 @@ def signed(docs: DataFrame, text: str = "text", size: int = SHINGLE) -> DataFram
 
 
 def _sets(texts: DataFrame, size: int) -> DataFrame:
-    """(node, the members of its set, sorted as unsigned numbers) of (node, text) rows."""
+    """(node, the members of its set, sorted as unsigned numbers, its fine coordinates) of (node, text) rows."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles(t, size).view(np.int64) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))],
-                                             ["node", "members"])
+            sets = [shingles(t, size) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                 pa.array([fine(s) for s in sets], pa.list_(pa.int64()))], ["node", "members", "fine"])
 
-    return texts.select("node", "text").mapInArrow(make, "node long, members array<long>")
+    return texts.select("node", "text").mapInArrow(make, "node long, members array<long>, fine array<long>")
 
 
-def _rarest(sets: DataFrame, similarity: float) -> DataFrame:
-    """(node, n, alone, first): size, members that no other set has, and the rarest of the
-    others as far as any partner's size lets them count; nodes without any leave."""
-    percent = round(100 * similarity)
-    members = sets.select("node", F.size("members").cast("long").alias("n"), F.explode("members").alias("member"))
-    often = members.groupBy("member").agg(F.count("*").alias("times")).where("times > 1")
-    by_rarity = Window.partitionBy("node").orderBy("times", "member")
-    shared = members.join(often, "member").withColumn("place", F.row_number().over(by_rarity)) \
-        .withColumn("alone", F.col("n") - F.count("*").over(Window.partitionBy("node")))
-    places = F.floor(F.col("n") * (100 - percent) / 100) + 1 - F.col("alone")  # the smallest partner asks least
-    return shared.where(F.col("place") <= places).groupBy("node").agg(
-        F.first("n").alias("n"), F.first("alone").alias("alone"),
-        F.transform(F.array_sort(F.collect_list(F.struct("place", "member"))), lambda x: x["member"]).alias("first"))
-
-
-def _may_be_alike(similarity: float) -> F.Column:
-    """Whether the first members of p and q meet, as far as their sizes ask."""
-    percent = round(100 * similarity)
-    both = F.ceil((F.col("p_n") + F.col("q_n")) * percent / (100 + percent))
-    cut = [F.slice(f"{x}_first", 1, F.greatest(F.lit(0), F.col(f"{x}_n") - both + 1 - F.col(f"{x}_alone")).cast("int"))
-           for x in ("p", "q")]
-    sizes = (100 * F.least("p_n", "q_n") >= percent * F.greatest("p_n", "q_n"))
-    return sizes & F.arrays_overlap(*cut)
+def agree(p: str, q: str, coordinates: int, least: int) -> F.Column:
+    """Whether two signatures as bytes have at least ``least`` equal ones of ``coordinates``."""
+    differ = F.lit(0)
+    for k in range(coordinates // 8):
+        x = F.col(p)[k].bitwiseXOR(F.col(q)[k])
+        for shift, mask in ((4, 0x0F0F0F0F0F0F0F0F), (2, 0x0303030303030303), (1, 0x0101010101010101)):
+            x = x.bitwiseOR(F.shiftrightunsigned(x, shift)).bitwiseAND(F.lit(mask))
+        differ = differ + F.bit_count(x)  # a bit for each byte that differs
+    return differ <= coordinates - least
 
 
 def _similar(similarity: float):
@@ -158,63 +184,95 @@ def _similar(similarity: float):
     return similar
 
 
-def links(pairs: DataFrame, reps: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) that share MATCHES coordinates and whose full sets are alike."""
-    sig_a = reps.select(F.col("node").alias("a"), F.col("sig").alias("sig_a"))
-    sig_b = reps.select(F.col("node").alias("b"), F.col("sig").alias("sig_b"))
-    common = F.aggregate(F.zip_with("sig_a", "sig_b", lambda x, y: F.when(x == y, 1).otherwise(0)), F.lit(0),
-                         lambda acc, x: acc + x)
-    near = pairs.join(sig_a, "a").join(sig_b, "b").where(common >= MATCHES).select("a", "b")
+def _sizes_allow(p: str, q: str, limits: Limits) -> F.Column:
+    percent = round(100 * limits.similarity)
+    return 100 * F.least(p, q) >= percent * F.greatest(p, q)
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, limits: Limits) -> DataFrame:
+    """The pairs (a, b) whose full sets are alike."""
     set_a = sets.select(F.col("node").alias("a"), F.col("members").alias("set_a"))
     set_b = sets.select(F.col("node").alias("b"), F.col("members").alias("set_b"))
-    full = near.join(set_a, "a").join(set_b, "b")
-    return materialize(full.where(_similar(similarity)("set_a", "set_b")).select("a", "b"), "links")
+    full = pairs.join(set_a, "a").join(set_b, "b")
+    return materialize(full.where(_similar(limits.similarity)("set_a", "set_b")).select("a", "b"), "links")
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", size: int = SHINGLE,
-                    similarity: float = SIMILARITY) -> DataFrame:
-    """One row per row of ``docs``: doc_id, text_hash, n_shingles, component_id
-    (the smallest doc_id reachable), first (this row's doc_id and text stand for
-    its component)."""
-    rows = materialize(signed(docs, text, size), "signed")
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
-    reps = materialize(rows.where("node IS NOT NULL").groupBy("node").agg(
-        F.min(order).alias("best"), F.first("sig").alias("sig")), "nodes")
+def links(pairs: DataFrame, sets: DataFrame, limits: Limits) -> DataFrame:
+    """The pairs (a, b) that agree in their fine coordinates and whose full sets are alike."""
+    n = F.size("members")
+    fine_a = sets.select(F.col("node").alias("a"), F.col("fine").alias("fine_a"), n.alias("n_a"))
+    fine_b = sets.select(F.col("node").alias("b"), F.col("fine").alias("fine_b"), n.alias("n_b"))
+    near = pairs.join(fine_a, "a").join(fine_b, "b").where(
+        _sizes_allow("n_a", "n_b", limits) & agree("fine_a", "fine_b", FINE, limits.fine)).select("a", "b")
+    return _confirmed(near, sets, limits)
 
-    postings = reps.select("node", F.posexplode("sig").alias("c", "v")).select(
+
+def _sharing(reps: DataFrame, limits: Limits) -> DataFrame:
+    """The (node, sig) rows that share a run of coordinates with another node."""
+    runs = F.transform(F.sequence(F.lit(0), F.lit(COORDINATES // limits.run - 1)),
+                       lambda k: F.xxhash64(k, F.slice("sig", k * limits.run + 1, F.lit(limits.run))))
+    posted = reps.select("node", F.explode(runs).alias("run"))
+    often = posted.groupBy("run").agg(F.count("*").alias("n")).where("n > 1").select("run")
+    return reps.join(posted.join(often, "run").select("node").distinct(), "node").select("node", "sig")
+
+
+def _postings(reps: DataFrame, limits: Limits) -> DataFrame:
+    """(node, key, n, rank, shared): the shared values of nodes that have ``matches`` of them, rarest first."""
+    postings = _sharing(reps, limits).select("node", F.posexplode("sig").alias("c", "v")).select(
         "node", (F.shiftleft(F.col("c").cast("long"), 32) + F.col("v").cast("long")).alias("key"))
     often = postings.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     by_rarity = Window.partitionBy("node").orderBy("n", "key")
     shared = postings.join(often, "key").withColumn("rank", F.row_number().over(by_rarity)) \
-        .withColumn("shared", F.count("*").over(Window.partitionBy("node"))).where(f"shared >= {MATCHES}")
-    shared = materialize(shared, "postings")
-    partners = reps.join(shared.where("rank = 1").select("node"), "node", "left_semi")
-    partners = materialize(partners, "partners")
-    best = partners.select("node", F.col("best.doc_id").alias("doc"), F.col("best.text_hash").alias("hash"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"),
-                        F.col(text).alias("text"))
-    texts = texts.join(best.hint("merge"), F.col("doc_id").eqNullSafe(F.col("doc")) & (F.col("text_hash") == F.col("hash")))
-    sets = materialize(_sets(texts, size).dropDuplicates(["node"]), "sets")
+        .withColumn("shared", F.count("*").over(Window.partitionBy("node"))).where(f"shared >= {limits.matches}")
+    return materialize(shared, "postings")
+
 
-    # each posting's nodes against its node that shares most, which copies of one text have in common
+def _grouped(shared: DataFrame, sets: DataFrame, limits: Limits) -> DataFrame:
+    """(node, label) of the nodes that a star has linked: each posting's nodes against the one that
+    shares most, which copies of one text have in common."""
     central = F.col("shared") * F.lit(1 << 48) + F.shiftrightunsigned(F.xxhash64("node"), 16)
     hubs = shared.groupBy("key").agg(F.max_by("node", central).alias("hub"))
     spokes = shared.select("key", "node").join(hubs, "key").where("node <> hub")
     star = spokes.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-    found = links(star, partners, sets, similarity)
-    labels = components(found)
+    return components(links(star, sets, limits))
+
+
+def _rarest(sets: DataFrame, limits: Limits) -> DataFrame:
+    """(node, n, alone, first): size, members that no other set has, and the rarest of the
+    others as far as any partner's size lets them count; nodes without any leave."""
+    percent = round(100 * limits.similarity)
+    members = sets.select("node", F.size("members").cast("long").alias("n"), F.explode("members").alias("member"))
+    often = members.groupBy("member").agg(F.count("*").alias("times")).where("times > 1")
+    by_rarity = Window.partitionBy("node").orderBy("times", "member")
+    shared = members.join(often, "member").withColumn("place", F.row_number().over(by_rarity)) \
+        .withColumn("alone", F.col("n") - F.count("*").over(Window.partitionBy("node")))
+    places = F.floor(F.col("n") * (100 - percent) / 100) + 1 - F.col("alone")  # the smallest partner asks least
+    return shared.where(F.col("place") <= places).groupBy("node").agg(
+        F.first("n").alias("n"), F.first("alone").alias("alone"),
+        F.transform(F.array_sort(F.collect_list(F.struct("place", "member"))), lambda x: x["member"]).alias("first"))
+
 
-    # postings of the prefix; only nodes of different components that can be alike are paired
+def _may_be_alike(limits: Limits) -> F.Column:
+    """Whether the first members of p and q meet, as far as their sizes ask."""
+    percent = round(100 * limits.similarity)
+    both = F.ceil((F.col("p_n") + F.col("q_n")) * percent / (100 + percent))
+    cut = [F.slice(f"{x}_first", 1, F.greatest(F.lit(0), F.col(f"{x}_n") - both + 1 - F.col(f"{x}_alone")).cast("int"))
+           for x in ("p", "q")]
+    return F.arrays_overlap(*cut)
+
+
+def _across(shared: DataFrame, labels: DataFrame, sets: DataFrame, limits: Limits) -> DataFrame:
+    """Links between nodes of different components, by the inverted join over the prefixes."""
     rarer = Window.partitionBy("node").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
-    prefix = shared.where(f"rank <= shared - {MATCHES} + 1").select(
+    prefix = shared.where(f"rank <= shared - {limits.matches} + 1").select(
         "node", "key", F.collect_list("key").over(rarer).alias("rarer")) \
-        .join(_rarest(sets, similarity), "node").join(labels, "node", "left") \
-        .withColumn("part", F.coalesce("label", "node"))
-    prefix = materialize(prefix.drop("label"), "prefix")
+        .join(labels, "node", "left").withColumn("part", F.coalesce("label", "node")).drop("label")
+    prefix = materialize(prefix, "prefix")
     parts = prefix.groupBy("key", "part").agg(F.count("*").alias("n_nodes"))
     mixed = parts.groupBy("key").agg(F.count("*").alias("n_parts")).where("n_parts > 1").select("key")
     parts = materialize(parts.join(mixed, "key"), "parts")
     posted = prefix.join(parts, ["key", "part"])
+    posted = materialize(posted.join(_rarest(sets, limits), "node"), "posted")
 
     def side(df: DataFrame, x: str) -> DataFrame:
         return df.select("key", *[F.col(c).alias(f"{x}_{c}") for c in ("node", "part", "rarer", "n", "alone", "first")])
@@ -224,13 +282,35 @@ def near_duplicates(docs: DataFrame, text: str = "text", size: int = SHINGLE,
     groups = parts.where("n_nodes > 1")
     meet = groups.select("key", F.col("part").alias("p_part")).join(
         groups.select("key", F.col("part").alias("q_part")), "key").where("p_part < q_part")
-    can = ~F.arrays_overlap("p_rarer", "q_rarer") & _may_be_alike(similarity)
+    # in this order: a pair's first members are compared once, under its first key
+    can = _sizes_allow("p_n", "q_n", limits) & ~F.arrays_overlap("p_rarer", "q_rarer") & _may_be_alike(limits)
     across = [
         side(single, "p").join(side(single, "q"), "key").where((F.col("p_node") < F.col("q_node")) & can),
         side(single, "p").join(side(several, "q"), "key").where(can),
         meet.join(side(several, "p"), ["key", "p_part"]).join(side(several, "q"), ["key", "q_part"]).where(can)]
     pairs = [df.select(F.least("p_node", "q_node").alias("a"), F.greatest("p_node", "q_node").alias("b")) for df in across]
-    more = links(pairs[0].unionByName(pairs[1]).unionByName(pairs[2]).distinct(), partners, sets, similarity)
+    return _confirmed(pairs[0].unionByName(pairs[1]).unionByName(pairs[2]).distinct(), sets, limits)
+
+
+def near_duplicates(docs: DataFrame, text: str = "text", size: int = SHINGLE,
+                    similarity: float = SIMILARITY) -> DataFrame:
+    """One row per row of ``docs``: doc_id, text_hash, n_shingles, component_id
+    (the smallest doc_id reachable), first (this row's doc_id and text stand for
+    its component)."""
+    limits = Limits(similarity)
+    rows = materialize(signed(docs, text, size), "signed")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    reps = materialize(rows.where("node IS NOT NULL").groupBy("node").agg(
+        F.min(order).alias("best"), F.first("sig").alias("sig")), "nodes")
+    shared = _postings(reps, limits)
+    best = reps.select("node", "best").join(shared.where("rank = 1").select("node"), "node", "left_semi").select(
+        "node", F.col("best.doc_id").alias("doc"), F.col("best.text_hash").alias("hash"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"),
+                        F.col(text).alias("text"))
+    texts = texts.join(best.hint("merge"), F.col("doc_id").eqNullSafe(F.col("doc")) & (F.col("text_hash") == F.col("hash")))
+    sets = materialize(_sets(texts, size).dropDuplicates(["node"]), "sets")
+    labels = _grouped(shared, sets, limits)
+    more = _across(shared, labels, sets, limits)
     final = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more))
 
     ordered = reps.select("node", "best").join(final, "node", "left").withColumn(

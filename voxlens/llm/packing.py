@@ -66,7 +66,6 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = VOCABULA
                 types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
                 names = [x.split()[0] for x in PIECE.split(", ")]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
-        encoder.forget()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, PIECE)
 

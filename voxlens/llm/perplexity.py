@@ -60,8 +60,8 @@ _BITS = 12
 MAX_ENTRIES = 8_000_000
 #: A band's parts: scales of at least MIN_SCALE bits a root character, bits of odd strings, least bits a character.
 LOW_WIDTH, HIGH_WIDTH, MIN_SCALE, ODD_BITS, FLOOR = 4.0, 4.0, 1.2, 200.0, 0.1
-#: MinHash keys by which near copies are known, and values of a key.
-KEYS, KEY_VALUES = 6, 2
+#: MinHash keys by which near copies are found, values of a key, and values in which a copy agrees.
+KEYS, KEY_VALUES, COPY = 6, 2, 30
 #: Base rules.
 MIN_WORDS, MAX_REPEATED_PERCENT, WINDOW = 10, 20, 5
 
@@ -120,24 +120,33 @@ def ngram_counts(texts: DataFrame, order: int = ORDER) -> DataFrame:
 
 
 def distinct_texts(docs: DataFrame, text: str) -> DataFrame:
-    """One row of each text (column ``text``), and of texts that share a key of
-    ``KEY_VALUES`` MinHash values (near copies) only the one of the smallest hash."""
+    """One row of each text (column ``text``), and of texts that have about half of their shingles in common
+    only one: they would teach each other. A text leaves if it agrees with the text of smallest hash under one of
+    its ``KEYS`` keys in ``COPY`` of ``near_dup.COORDINATES`` MinHash values; texts alike by a quarter (a common
+    footer, say) do so once in 100,000 times."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [near_dup.shingles(t) for t in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(
-                [near_dup.signature(s, KEYS * KEY_VALUES) if len(s) else None for s in sets], pa.list_(pa.int32()))],
-                ["id", "h", "sig"])
+            sigs = [near_dup.signature(s) if len(s) else None for s in map(near_dup.shingles, batch.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0), batch.column(1),
+                pa.array([None if s is None else s[:KEYS * KEY_VALUES] for s in sigs], pa.list_(pa.int32())),
+                pa.array([None if s is None else near_dup.as_bytes(s) for s in sigs], pa.list_(pa.int64()))],
+                ["id", "h", "first_values", "sig"])
 
     rows = docs.select(F.col("doc_id").cast("string").alias("id"), F.col(text).alias("text")) \
         .where("text IS NOT NULL AND text <> ''").withColumn("h", F.xxhash64("text"))
-    known = materialize(rows.select("id", "h", "text").mapInArrow(sketch, "id string, h long, sig array<int>").groupBy("h").agg(
-        F.count("*").alias("n"), F.min("id").alias("first"), F.first("sig").alias("sig")), "sketches")
-    keys = [F.xxhash64(F.lit(k), F.slice("sig", 1 + k * KEY_VALUES, KEY_VALUES)) for k in range(KEYS)]
+    sketched = rows.select("id", "h", "text").mapInArrow(sketch, "id string, h long, first_values array<int>, sig array<long>")
+    known = materialize(sketched.groupBy("h").agg(
+        F.count("*").alias("n"), F.min("id").alias("first"), F.first("first_values").alias("first_values"),
+        F.first("sig").alias("sig")), "sketches")
+    keys = [F.xxhash64(F.lit(k), F.slice("first_values", 1 + k * KEY_VALUES, KEY_VALUES)) for k in range(KEYS)]
     keyed = known.where("sig IS NOT NULL").select("h", F.explode(F.array(*keys)).alias("key"))
     firsts = keyed.groupBy("key").agg(F.min("h").alias("top"), F.count("*").alias("n")).where("n > 1").select("key", "top")
-    copies = keyed.join(firsts, "key").where("h <> top").select("h").distinct().withColumn("copy", F.lit(True))
+    pairs = keyed.join(firsts, "key").where("h <> top").select("h", "top").distinct()
+    tops = known.select(F.col("h").alias("top"), F.col("sig").alias("top_sig"))
+    copies = pairs.join(known.select("h", "sig"), "h").join(tops, "top") \
+        .where(near_dup.agree("sig", "top_sig", near_dup.COORDINATES, COPY)).select("h").distinct().withColumn("copy", F.lit(True))
     again = known.select("h", "n", "first").join(copies, "h", "left").where("n > 1 OR copy").select("h", "first", "copy")
     # the same plan at every size: the planner would send a short list and deal a long one out
     return rows.join(again.hint("merge"), "h", "left").where(

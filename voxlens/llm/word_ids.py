@@ -2,8 +2,8 @@
 
 The vocabulary's splitting never lets a token cross white space, and its
 normalisation acts within words, so the ids of a text are the ids of its words
-in order. The library encodes each word that a task has not met; met words
-come from a bounded memory. Words of printable ASCII and Latin letters, whose
+in order. The library encodes each word that a worker has not met; met words
+come from a bounded memory that outlives the task. Words of printable ASCII and Latin letters, whose
 normalisation is lower-casing alone, go straight to the library's merges after
 the vocabulary's own splitting, which costs a fifth of a whole call; all others
 take the whole call. Texts with the four control characters that Python takes for
@@ -18,8 +18,9 @@ from array import array
 
 from voxlens.llm.bpe_count import byte_symbols
 
-#: Words whose ids one task remembers; later ones are encoded again in each batch.
-REMEMBERED = 400_000
+#: Words whose ids a worker remembers (about 200 bytes each), over all its tasks; later ones
+#: are encoded again in each batch. The first met are mostly the frequent ones.
+REMEMBERED = 300_000
 #: The id appended to each document.
 END = 1
 
@@ -85,10 +86,6 @@ class WordIds:
             self.known.update(found)
         return found
 
-    def forget(self) -> None:
-        """Give the memory back, at the end of a task: the worker goes on to other work."""
-        self.known = {}
-
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text."""
         known = self.known.get
