@@ -61,7 +61,7 @@ MAX_ENTRIES = 8_000_000
 #: A band's parts: scales of at least MIN_SCALE bits a root character, bits of odd strings, least bits a character.
 LOW_WIDTH, HIGH_WIDTH, MIN_SCALE, ODD_BITS, FLOOR = 4.0, 4.0, 1.2, 200.0, 0.1
 #: MinHash keys by which near copies are found, values of a key, and values in which a copy agrees.
-KEYS, KEY_VALUES, COPY = 6, 2, 30
+KEYS, KEY_VALUES, COPY = 6, 2, 34
 #: Base rules.
 MIN_WORDS, MAX_REPEATED_PERCENT, WINDOW = 10, 20, 5
 
@@ -122,8 +122,8 @@ def ngram_counts(texts: DataFrame, order: int = ORDER) -> DataFrame:
 def distinct_texts(docs: DataFrame, text: str) -> DataFrame:
     """One row of each text (column ``text``), and of texts that have about half of their shingles in common
     only one: they would teach each other. A text leaves if it agrees with the text of smallest hash under one of
-    its ``KEYS`` keys in ``COPY`` of ``near_dup.COORDINATES`` MinHash values; texts alike by a quarter (a common
-    footer, say) do so once in 100,000 times."""
+    its ``KEYS`` keys in ``COPY`` of ``near_dup.COORDINATES`` MinHash values; of texts alike by a quarter (a common
+    footer, say) fewer than one in a million does, on average over footers."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
