@@ -106,6 +106,72 @@ def test_main_text_takes_all_parts_of_the_article():
     assert html_text.main_text(f'<div class="sidebar-right"><p>side</p></div><p>{long}</p>') == long.strip()
 
 
+LONG = "This is a long paragraph that makes a cluster of its own here. " * 5
+
+
+def test_main_text_names_inside_the_article_are_its_own():
+    page = f'<article><p>{LONG}</p><p class="notice-period">One month.</p><section id="navigation-history"><p>Sails.</p>' \
+        '</section><p class="advert">Buy.</p><div class="cookie-notice">Crumbs.</div></article>'
+    assert html_text.main_text(page) == f"{LONG}One month. Sails."
+    assert html_text.main_text(page.replace("article>", "main>")) == f"{LONG}One month. Sails."
+
+
+def test_main_text_clusters_outvote_names():
+    # an element's name is evidence: a stub of an article doesn't hide the text of the page
+    assert html_text.main_text(f"<article>Stub.</article><section>{LONG}</section><section>{LONG}</section>") == \
+        f"{LONG}{LONG}".strip()
+    assert html_text.main_text(f"<article><p>{LONG}</p></article><div>Some other words of the page.</div>") == LONG.strip()
+    assert html_text.main_text(f'<div class="content">Stub.</div><div>{LONG}</div><div>{LONG}</div>') == \
+        f"{LONG}{LONG}".strip()
+
+
+def test_main_text_needs_its_smoothing():
+    odds = "<div>x</div>" * 6  # short lines far from any cluster, in no named element
+    page = f"{odds}<div>By one who was there.</div><div>{LONG}</div><div>So it was.</div><div>{LONG}</div><div>The end.</div>{odds}"
+    want = f"By one who was there. {LONG}So it was. {LONG}The end."
+    assert html_text.main_text(page) == want
+    assert html_text.main_text(page, sigma=1e-3) != want
+    ratio = np.array([0, 0, 9.0, 0, 0])
+    assert html_text.smoothed(ratio, 1e-3).tolist() == ratio.tolist()
+    smooth = html_text.smoothed(ratio, 1.0)
+    assert smooth[2] > smooth[1] > smooth[0] > 0 and smooth[2] < 9
+
+
+def brute_smoothed(ratio, sigma):
+    reach = max(1, round(3 * sigma))
+    out = []
+    for i in range(len(ratio)):
+        near = [j for j in range(len(ratio)) if abs(i - j) <= reach]
+        weight = [np.exp(-(i - j) ** 2 / (2 * sigma ** 2)) for j in near]
+        out.append(sum(w * ratio[j] for w, j in zip(weight, near)) / sum(weight))
+    return out
+
+
+def test_main_text_of_unmarked_pages_against_a_plain_reference():
+    # pages without article, main or named containers: menus and footers by element, the article in plain divs
+    rng = random.Random(9)
+    for _ in range(60):
+        junk = [words(rng.random(), rng.randrange(1, 3)) for _ in range(rng.randrange(2, 6))]
+        body = [words(rng.random(), rng.randrange(30, 60)) for _ in range(rng.randrange(2, 9))]
+        head = words(rng.random(), 3)
+        tag = rng.choice(["div", "section", "blockquote", "p"])
+        page = "<body><nav>" + "".join(f"<li><a href=x>{j}</a></li>" for j in junk) + f"</nav><div><h1>{head}</h1>" \
+            + "".join(f"<{tag}>{b}</{tag}>" for b in body) + "</div><footer>" + " ".join(junk) + "</footer></body>"
+        assert html_text.main_text(page) == " ".join([head, *body])
+    for _ in range(30):
+        ratio = [rng.choice([0, 1, 5.5, 40]) for _ in range(rng.randrange(1, 30))]
+        sigma = rng.choice([0.4, 1.0, 2.5])
+        assert np.allclose(html_text.smoothed(np.array(ratio, float), sigma), brute_smoothed(ratio, sigma))
+
+
+def test_main_text_of_long_and_deep_pages():
+    long = "".join(f"<p>{LONG}</p>" for _ in range(5000))
+    assert html_text.main_text(f"<article>{long}</article>") == (LONG * 5000).strip()
+    deep = "<div>a " * 5000
+    assert html_text.main_text(deep + "</div>" * 5000) == ("a " * 5000).strip()
+    assert html_text.main_text(f"<article>{deep}</section></article>b") == ("a " * 5000).strip()
+
+
 def test_main_text_cases(sp):
     assert [html_text.main_text(h) for h in (None, "", "plain", "<p>a", "<article><p>x &am", "<article>x</art", "<nav>x</nav>")] \
         == ["", "", "plain", "a", "x &am", "x", ""]
@@ -114,6 +180,8 @@ def test_main_text_cases(sp):
     out = html_text.report(df).collect()
     assert sorted((r.text, r.n_chars) for r in out) == [("", 0), ("", 0), (WANT, len(WANT))]
     assert html_text.report(df.limit(0)).count() == 0
+    clash = df.withColumnRenamed("text", "n_chars").withColumn("value", df.html)
+    assert sorted(r.text for r in html_text.with_text(clash).collect()) == ["", "", WANT]
 
 
 def brute_hits(text, items, size=10):

@@ -9,15 +9,19 @@ in which article container, if any. The ratio of text to tags per line, nought
 for barred lines, is smoothed with a Gaussian; lines above the threshold (the
 standard deviation, at most the mean) form clusters.
 
-Words that only tell a state (has-sidebar, comments-closed) bar nothing, and a
+Element names and words are evidence: the ratio of a line counts more in an article,
+in main and in a container named as content. The clusters then decide. They vote
+with their smoothed ratios for where the text lies: in what the page marks
+(``article`` and the rest of ``main``), in named containers, or in neither. Of marked
+text all containers are regions, of named text those with a cluster. Text in neither has
+the region from the first to the last clustered line, with headings directly before and
+paragraphs anywhere. No unbarred line inside a region is dropped.
+
+Words that only tell a state (has-sidebar, comments-closed) bar nothing, nor do words
+inside an article that are part of a name of their own (notice-period), and a
 container that is barred by a word though it holds most of the page's text is
 lifted, if no article or main lies outside.
 
-Where a page marks its article (``article`` and the rest of ``main``, then named
-content containers), all containers of the best kind give their lines; else the
-lines from the first to the last clustered line do, with headings directly before
-and paragraphs anywhere. No unbarred line inside a selected region is dropped.
-
 Scale: one pass over the pages where they lie, no shuffle; a task holds one
 Arrow batch. Defined cases: NULL or empty html gives the empty text; a page cut
 off inside a tag loses that tag only; unclosed elements end with their
@@ -37,6 +41,8 @@ from pyspark.sql import functions as F
 
 #: Standard deviation of the smoothing, in lines.
 SIGMA = 1.0
+#: How much a line's ratio counts in neither, in an article, in main, in a container named as content.
+EVIDENCE = (1.0, 8.0, 4.0, 2.0)
 
 # fixed values: element names of HTML by their role here
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -68,37 +74,56 @@ _ASIDE_WORDS = re.compile(
 _STATE_WORDS = re.compile(
     r"(?:(?<!\S)|(?<=[_-]))(?:has|no|with|without)[_-]\S*|(?<!\S)\S+[_-](?:open|opened|closed|collapsed|expanded|"
     r"enabled|disabled)(?!\S)", re.I)
+# parts of names that say how a container is laid out, not what it holds
+_LAYOUT = re.compile(
+    r"\d*|box|block|wrap|wrapper|container|area|section|inner|outer|bar|slot|unit|list|item|items|row|col|column|"
+    r"left|right|top|bottom|center|form|link|links|button|buttons|text|body|title|label|panel|group|card|site|page|post|"
+    r"user|main|global|inline|small|large", re.I)
 _CONTENT_WORDS = re.compile(r"(?:^|[\s_-])(?:article|post|entry|story|content|main|articlebody)(?=$|[\s_-])", re.I)
 _HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
+def barring_word(names: str, inside: bool, words: re.Pattern = _BARRED_WORDS) -> str | None:
+    """The word of class, id and role that bars a container. Inside an article a name
+    bars only if all its parts do, or tell the layout."""
+    for name in _STATE_WORDS.sub(" ", names).split():
+        found = words.search(name)
+        if found and (not inside or all(words.fullmatch(part) or _LAYOUT.fullmatch(part)
+                                        for part in re.split(r"[_-]+", words.sub("-", name)))):
+            return found.group().strip(" _-").lower()
+    return None
+
+
 class Lines(HTMLParser):
-    """Lines of one page: (text, tags, barred, kind and number of the content container, heading)."""
+    """Lines of one page: (text, tags, barred, container, heading, paragraph), and the tree
+    of its containers as lists by number, parents first (0: the page)."""
 
     def __init__(self, lifted: frozenset[int] = frozenset()):
         super().__init__(convert_charrefs=True)
         self.lifted = lifted  # containers that are not barred by their words
-        self.rows: list[tuple[str, int, bool, tuple[int, int] | None, bool, bool]] = []
-        self.names: list[tuple[int, ...] | None] = [()]  # per open element the containers barred by words; None: by element
-        self.named = 0
-        self.held: dict[int, int] = {}  # characters of text in each of them
-        self.total = 0
-        self.paragraph = False
-        self.open: list[tuple[str, bool, tuple[int, int] | None]] = []
+        self.rows: list[tuple[str, int, bool, int, bool, bool]] = []
+        self.parent: list[int] = [-1]
+        self.bar: list[bool | str] = [False]
+        self.by_element: list[bool] = [False]  # in an element that is barred whatever its words
+        self.by_word: list[bool] = [False]
+        self.kind: list[int] = [0]  # place in EVIDENCE
+        self.size: list[int] = [0]  # characters of text outside its inner containers
+        self.open: list[tuple[str, int]] = [("", 0)]
+        self.opened: dict[str, int] = {}
         self.parts: list[str] = []
         self.tags = 0
         self.heading = None
+        self.paragraph = False
         self.leaf_barred = False  # inside a paragraph or item that is barred by its own class
-        self.containers = 0
 
     def end_line(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text or self.tags:
-            barred, inside = (self.open[-1][1], self.open[-1][2]) if self.open else (False, None)
-            barred = barred or self.leaf_barred
+            at = self.open[-1][1]
+            barred = self.bar[at] or self.leaf_barred
             if barred == "header" and self.heading:
                 barred = False  # an article's own heading
-            self.rows.append((text, self.tags, bool(barred), inside, self.heading is not None, self.paragraph))
+            self.rows.append((text, self.tags, bool(barred), at, self.heading is not None, self.paragraph))
         self.parts, self.tags = [], 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -109,37 +134,38 @@ class Lines(HTMLParser):
         self.tags += 1
         if tag in HEADINGS:
             self.heading = tag
+        of = {k: v or "" for k, v in attrs}
+        inside = self.kind[self.open[-1][1]]
         if tag in LEAVES and attrs:
-            of = {k: v or "" for k, v in attrs}
-            names = _STATE_WORDS.sub(" ", f"{of.get('class', '')} {of.get('id', '')}")
-            self.leaf_barred = bool("hidden" in of or _BARRED_WORDS.search(names))
+            names = f"{of.get('class', '')} {of.get('id', '')}"
+            self.leaf_barred = "hidden" in of or barring_word(names, inside > 0) is not None
         if tag in NESTING:
-            barred, inside = (self.open[-1][1], self.open[-1][2]) if self.open else (False, None)
-            of = {k: v or "" for k, v in attrs}
-            names = f"{of.get('class', '')} {of.get('id', '')} {of.get('role', '')} {of.get('itemprop', '')}"
-            named = _STATE_WORDS.sub(" ", names)
-            rank = 1 if tag == "article" else 2 if tag == "main" or of.get("role") == "main" else \
-                3 if tag in ("div", "section", "td") and _CONTENT_WORDS.search(names) else 0
-            names_in = self.names[-1]
-            if tag in BARRED or "hidden" in of or of.get("aria-hidden") == "true" \
-                    or _HIDDEN_STYLE.search(of.get("style", "")):
-                barred, names_in = True, None
-            elif tag not in ("html", "body", "main") and (word := (
-                    _ASIDE_WORDS if tag == "article" else _BARRED_WORDS).search(named)):
-                own = word.group().strip(" _-").lower() == "header" and inside is not None
-                self.named += 1
-                if self.named not in self.lifted:
-                    barred = barred or ("header" if own else rank != 2)
-                    if names_in is not None and barred is True:
-                        names_in = (*names_in, self.named)
-            elif tag == "header":
-                barred = barred or ("header" if inside is not None else True)
-                names_in = names_in if barred == "header" else None
-            if rank and not barred and (inside is None or rank < inside[0]):
-                self.containers += 1
-                inside = (rank, self.containers)
-            self.open.append((tag, barred, inside))
-            self.names.append(names_in)
+            self.enter(tag, of)
+
+    def enter(self, tag: str, of: dict[str, str]) -> None:
+        above, number = self.open[-1][1], len(self.parent)
+        barred, by_element, kind, by_word = self.bar[above], self.by_element[above], self.kind[above], False
+        names = f"{of.get('class', '')} {of.get('id', '')} {of.get('role', '')} {of.get('itemprop', '')}"
+        own = 1 if tag == "article" else 2 if tag == "main" or of.get("role") == "main" else \
+            3 if tag in ("div", "section", "td") and _CONTENT_WORDS.search(names) else 0
+        words = _ASIDE_WORDS if tag == "article" else _BARRED_WORDS
+        if tag in BARRED or "hidden" in of or of.get("aria-hidden") == "true" \
+                or _HIDDEN_STYLE.search(of.get("style", "")):
+            barred = by_element = True
+        elif tag not in ("html", "body", "main") and (word := barring_word(names, kind in (1, 2), words)):
+            if number not in self.lifted:
+                barred = barred or ("header" if word == "header" and kind else own != 2)
+                by_word = barred is True
+        elif tag == "header":
+            barred = barred or ("header" if kind else True)
+            by_element = by_element or barred is True
+        if own and not barred and (not kind or own < kind):
+            kind = own
+        for values, value in ((self.parent, above), (self.bar, barred), (self.by_element, by_element),
+                              (self.by_word, by_word), (self.kind, kind), (self.size, 0)):
+            values.append(value)
+        self.open.append((tag, number))
+        self.opened[tag] = self.opened.get(tag, 0) + 1
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)  # <div/> opens an element in HTML
@@ -151,20 +177,24 @@ class Lines(HTMLParser):
             self.leaf_barred = self.paragraph = False
         if tag in HEADINGS:
             self.heading = None
-        if tag in NESTING:
-            for i in range(len(self.open) - 1, -1, -1):
-                if self.open[i][0] == tag:
-                    del self.open[i:], self.names[i + 1:]
-                    break
+        while self.opened.get(tag):  # what is still open inside ends with it
+            last = self.open.pop()[0]
+            self.opened[last] -= 1
+            if last == tag:
+                break
 
     def handle_data(self, data: str) -> None:
-        if not self.open or self.open[-1][1] is not True:
+        at = self.open[-1][1]
+        if self.bar[at] is not True:
             self.parts.append(data)
-        if self.names[-1] is not None:
-            size = len(data.strip())
-            self.total += size
-            for k in self.names[-1]:
-                self.held[k] = self.held.get(k, 0) + size
+        self.size[at] += len(data.strip())
+
+    def to_lift(self) -> list[int]:
+        """Containers barred by a word that hold most of the text outside barred elements."""
+        held = [0 if silent else n for silent, n in zip(self.by_element, self.size)]
+        for number in range(len(held) - 1, 0, -1):
+            held[self.parent[number]] += held[number]
+        return [c for c, worded in enumerate(self.by_word) if worded and not self.by_element[c] and 2 * held[c] > held[0]]
 
 
 def smoothed(ratio: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -175,6 +205,43 @@ def smoothed(ratio: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     return np.convolve(ratio, kernel)[middle] / np.convolve(np.ones(len(ratio)), kernel)[middle]
 
 
+def content(page: Lines, sigma: float = SIGMA) -> list[bool]:
+    """For each line whether it lies in a content region."""
+    rows = page.rows
+    keep = [bool(text) and not barred for text, _, barred, *_ in rows]
+    if not any(keep):
+        return keep
+    kinds = [page.kind[row[3]] for row in rows]
+    ratio = np.array([EVIDENCE[kind] * len(row[0]) / max(1, row[1]) if ok else 0.0
+                      for row, kind, ok in zip(rows, kinds, keep)])
+    smooth = smoothed(ratio, sigma)
+    threshold = min(smooth.std(), smooth.mean())
+    clustered = [ok and s >= threshold for ok, s in zip(keep, smooth)]
+    if not any(clustered):
+        clustered = keep
+    votes: dict[str, float] = {}
+    groups = [("neither", "marked", "marked", "named")[kind] for kind in kinds]
+    for group, s, c in zip(groups, smooth, clustered):
+        if c:
+            votes[group] = votes.get(group, 0.0) + float(s)
+    chosen = max(votes, key=votes.get)
+    if chosen == "marked":
+        return [ok and group == chosen for ok, group in zip(keep, groups)]
+    keep = [ok and group == chosen for ok, group in zip(keep, groups)]
+    if chosen == "named":
+        region = list(range(len(page.parent)))  # the outermost named container around each container
+        for c, above in enumerate(page.parent):
+            if c and page.kind[above] == 3:
+                region[c] = region[above]
+        found = {region[row[3]] for row, ok, c in zip(rows, keep, clustered) if ok and c}
+        return [ok and region[row[3]] in found for ok, row in zip(keep, rows)]
+    at = [i for i, ok in enumerate(keep) if ok and clustered[i]]
+    first, last = at[0], at[-1]
+    while first and keep[first - 1] and rows[first - 1][4]:
+        first -= 1
+    return [ok and (first <= i <= last or rows[i][5]) for i, ok in enumerate(keep)]
+
+
 def main_text(html: str | None, sigma: float = SIGMA) -> str:
     """The article of one page."""
     if not html:
@@ -184,34 +251,15 @@ def main_text(html: str | None, sigma: float = SIGMA) -> str:
         html = html[:cut]  # cut off inside a tag
     lifted: frozenset[int] = frozenset()
     while True:
-        parser = Lines(lifted)
-        parser.feed(html)
-        parser.close()
-        parser.end_line()
-        rows = parser.rows
-        keep = [bool(row[0]) and not row[2] for row in rows]
-        most = [k for k, size in parser.held.items() if 2 * size > parser.total]
-        if not most or any(ok and row[3] and row[3][0] < 3 for row, ok in zip(rows, keep)):
+        page = Lines(lifted)
+        page.feed(html)
+        page.close()
+        page.end_line()
+        more = page.to_lift()
+        if not more or any(row[0] and not row[2] and page.kind[row[3]] in (1, 2) for row in page.rows):
             break
-        lifted |= set(most)
-    if not any(keep):
-        return ""
-    ratio = np.array([len(text) / max(1, tags) if ok else 0.0 for (text, tags, *_), ok in zip(rows, keep)])
-    smooth = smoothed(ratio, sigma)
-    threshold = min(smooth.std(), smooth.mean())
-    chosen = [bool(ok) and s >= threshold for ok, s in zip(keep, smooth)]
-    ranks = [row[3][0] for row, ok in zip(rows, keep) if ok and row[3]]
-    if ranks:
-        best = min(ranks)
-        last = 2 if best == 1 else best  # what main holds besides its articles is text of the page
-        picked = [ok and row[3] is not None and row[3][0] <= last for row, ok in zip(rows, keep)]
-    else:
-        at = [i for i, c in enumerate(chosen) if c] or [i for i, ok in enumerate(keep) if ok]
-        first, last = at[0], at[-1]
-        while first and keep[first - 1] and rows[first - 1][4]:
-            first -= 1
-        picked = [ok and (first <= i <= last or rows[i][5]) for i, ok in enumerate(keep)]
-    return " ".join(row[0] for row, ok in zip(rows, picked) if ok)
+        lifted |= frozenset(more)
+    return " ".join(row[0] for row, ok in zip(page.rows, content(page, sigma)) if ok)
 
 
 def text_udf():
