@@ -223,3 +223,36 @@ def test_decontamination_against_brute_force(sp, block_chars):
     assert decontaminate.report(cut, bench).where("contaminated").where("doc_id <> 103").count() == 0
     assert decontaminate.report(docs, bench.limit(0)).where("contaminated").count() == 0
     assert decontaminate.report(docs.limit(0), bench).count() == 0
+
+
+def test_decontamination_blocks_run_one_after_the_other(sp, monkeypatch):
+    held, most = set(), []
+
+    class Block:
+        def __init__(self, inner):
+            self.inner = inner
+            held.add(id(self))
+            most.append(len(held))
+
+        def __getattr__(self, name):
+            return getattr(self.inner, name)
+
+        def __reduce__(self):
+            return self.inner.__reduce__()
+
+        def destroy(self):
+            held.discard(id(self))
+            self.inner.destroy()
+
+    found = decontaminate.blocks
+
+    def watched(*args):
+        n, parts = found(*args)
+        return n, (Block(p) for p in parts)
+
+    monkeypatch.setattr(decontaminate, "blocks", watched)
+    bench = sp.createDataFrame([(i, words(500 + i, 40)) for i in range(20)], "item_id long, text string")
+    docs = documents(sp, [(i, words(500 + i, 40)) for i in range(10)] + [(99, words(1, 40))])
+    out = decontaminate.report(docs, bench, block_chars=300)
+    assert {r.doc_id for r in out.where("contaminated").collect()} == set(range(10))
+    assert len(most) > 3 and max(most) == 1 and not held

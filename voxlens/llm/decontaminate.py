@@ -8,10 +8,12 @@ hit. A window that the hash set reports is compared word by word with the item
 before it counts.
 
 Scale: the documents are scanned where they lie, with no shuffle. The benchmark
-is read in blocks of at most ``block_chars`` characters (dealt by the items'
-hash, after one aggregate that gives its size), so what is broadcast stays
-bounded whatever its size; with more than one block the per-document hits of
-the blocks are merged by one aggregate on the row's own key.
+is read in blocks of about ``block_chars`` characters (dealt by the items'
+hash, after one aggregate that gives its size; an item stays whole). With more
+than one block they run one after the other: a block is broadcast, the rows that
+it hits are written, and it is given back, so driver and workers hold one block
+whatever the size of the benchmark. One aggregate on the row's own key merges
+the hits.
 
 Defined cases: NULL text has no words (n_words 0, not contaminated); an item
 with NULL text has no window; an item with a NULL id marks words but is not
@@ -35,8 +37,8 @@ from voxlens.llm.common import fresh, materialize
 
 #: Words of a window.
 WINDOW = 10
-#: Characters of benchmark text that one broadcast block holds at most (plus one item).
-BLOCK_CHARS = 16_000_000
+#: Characters of benchmark text that one broadcast block holds on average (about 50 MB in a worker).
+BLOCK_CHARS = 1_000_000
 
 HITS = T.StructType([
     T.StructField("n_words", T.LongType()),
@@ -126,19 +128,20 @@ def hits_udf(windows):
     return hits
 
 
-def blocks(benchmark: DataFrame, id_col: str, text_col: str, size: int, block_chars: int) -> list:
-    """Broadcast WindowSets that together hold the whole benchmark."""
+def blocks(benchmark: DataFrame, id_col: str, text_col: str, size: int, block_chars: int) -> tuple[int, Iterator]:
+    """The number of blocks, and broadcast WindowSets, made one at a time, that together hold the whole benchmark."""
     spark = benchmark.sparkSession
     items = benchmark.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).alias("t")) \
         .where(F.col("t").isNotNull())
     total = items.agg(F.sum(F.length("t"))).first()[0] or 0
     n = max(1, -(-total // block_chars))
-    out = []
-    for b in range(n):
-        part = items if n == 1 else items.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == b)
-        found = WindowSet(((r.i, r.t) for r in part.toLocalIterator()), size)
-        out.append(spark.sparkContext.broadcast(found))
-    return out
+
+    def make() -> Iterator:
+        for b in range(n):
+            part = items if n == 1 else items.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == b)
+            yield spark.sparkContext.broadcast(WindowSet(((r.i, r.t) for r in part.toLocalIterator()), size))
+
+    return n, make()
 
 
 def _merge(spans: pd.Series) -> pd.Series:
@@ -162,23 +165,29 @@ def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str
     spans (flattened word positions [a, b)), chars (the same in characters)
     and items (sorted ids as strings)."""
     name = name or "hits"
-    parts = blocks(benchmark, item_id, item_text, size, block_chars)
-    if len(parts) == 1:
-        return docs.select("*", hits_udf(parts[0])(F.col(text)).alias(name))
-    # several blocks: rows get a key of their own (kept by writing them), one aggregate merges
-    key = fresh("row")
-    kept = materialize(docs.withColumn(key, F.monotonically_increasing_id()), "decontaminate")
-    found = None
+    n, parts = blocks(benchmark, item_id, item_text, size, block_chars)
+    if n == 1:
+        return docs.select("*", hits_udf(next(parts))(F.col(text)).alias(name))
+    # several blocks: rows get a key of their own (kept by writing them) and the hits of the first block
+    key, more = fresh("row"), fresh("more")
+    kept, others = None, None
     for part in parts:
-        one = kept.select(key, hits_udf(part)(F.col(text)).alias("h"))
-        found = one if found is None else found.unionByName(one)
-    merged = found.groupBy(key).agg(F.first("h.n_words").alias("n"), F.collect_list("h.spans").alias("s"),
-                                    F.collect_list("h.chars").alias("c"),
-                                    F.array_sort(F.array_distinct(F.flatten(F.collect_list("h.items")))).alias("i"))
+        if kept is None:
+            kept = materialize(docs.select("*", F.monotonically_increasing_id().alias(key),
+                                           hits_udf(part)(F.col(text)).alias(name)), "decontaminate")
+        else:
+            hit = kept.select(key, hits_udf(part)(F.col(text)).alias("h")).where(F.size("h.spans") > 0)
+            hit = materialize(hit, "decontaminate")
+            others = hit if others is None else others.unionByName(hit)
+        part.destroy()
+    merged = others.groupBy(key).agg(F.collect_list("h").alias(more))
+    every = F.concat(F.array(F.col(name)), F.coalesce(F.col(more), F.expr(f"CAST(array() AS ARRAY<{HITS.simpleString()}>)")))
     merge = F.pandas_udf(_merge, T.ArrayType(T.IntegerType()))
-    merged = merged.select(key, F.struct(F.col("n").alias("n_words"), merge("s").alias("spans"),
-                                         merge("c").alias("chars"), F.col("i").alias("items")).alias(name))
-    return kept.join(merged, key).drop(key)
+    joined = kept.join(merged, key, "left").withColumn(more, every)
+    hits = F.struct(F.col(name)["n_words"].alias("n_words"), merge(F.col(more)["spans"]).alias("spans"),
+                    merge(F.col(more)["chars"]).alias("chars"),
+                    F.array_sort(F.array_distinct(F.flatten(F.col(more)["items"]))).alias("items"))
+    return joined.select(*docs.columns, hits.alias(name))
 
 
 def report(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
