@@ -22,8 +22,8 @@ parameters) and the sample's features (bounded by MAX_PER_CLASS).
 
 Defined cases: NULL and empty texts have the features of no word and still get
 a score; a NULL label does not train; labels of only one class, or none, give
-the share of that class (0.5 where there is none) to all; repeated documents are
-scored row by row; other columns are not looked at.
+the share of that class (0.5 where there is none) to all; of a training row's
+texts (a repeated doc_id) the smallest teaches; repeated documents are scored row by row; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -239,8 +239,8 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "
             yield pd.Series([features(t, shared.value).astype(np.float32) for t in batch])
 
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
-    sample = own.join(F.broadcast(chosen), "doc_id").select("doc_id", "y", pooled("text").alias("x"))
-    sample = sample.dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id")  # at most the sample's size
+    one = own.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))
+    sample = one.select("doc_id", "y", pooled("text").alias("x")).toPandas().sort_values("doc_id")  # bounded by the sample
     if not len(sample):
         return Classifier(vectors, Constant(0.5))
     x, y = np.stack(sample["x"].to_numpy()).astype(np.float64), sample["y"].to_numpy()
