@@ -48,6 +48,20 @@ def test_language_cases(sp):
     assert language_id.report(docs.limit(0)).count() == 0
 
 
+def test_number_signs_are_no_letters(sp):
+    known = [(i, w, lang) for i in range(40) for w, lang in ((words(i, 30), "aa"), (words(i, 30).upper(), "bb"))]
+    docs = documents(sp, known + [(900 + i, t) for i, t in enumerate(["²", "½ ①", "Ⅷ 12", "x²", "ª", "é"])])
+    got = {r.doc_id: r.lang_pred for r in language_id.report(docs).where("doc_id >= 900").collect()}
+    assert [got[900 + i] == "und" for i in range(6)] == [True, True, True, False, False, False]
+
+
+def test_equal_language_scores_go_to_the_first():
+    rows = np.zeros((2, language_id.PLACES), np.uint8)
+    language_id.presence("the same text", rows[:1])
+    rows[1] = rows[0]
+    assert language_id.fit(["b", "a"], rows).scores(["the same text"])[0] == ["a"]
+
+
 def test_language_windows_cover_the_whole_text():
     a, b = "ab ab " * 400, "xy xy " * 400
     rows = np.zeros((2 * language_id.n_windows(a), language_id.PLACES), np.uint8)
@@ -202,6 +216,14 @@ def test_quality_cases(sp):
     assert quality_net.filter_documents(docs, labels).columns == docs.columns
 
 
+def test_a_repeated_id_teaches_the_same_in_any_order(sp):
+    rows = [(i % 30, words(i, 40) if i % 2 else words(i, 5) * 9) for i in range(90)]
+    labels = sp.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, quality int")
+    one, two = (quality_net.train(documents(sp, r).repartition(n), labels) for r, n in ((rows, 1), (rows[::-1], 5)))
+    texts = [t for _, t in rows[:10]]
+    assert np.allclose(one.score(texts), two.score(texts), atol=1e-3)
+
+
 def test_fit_separates_and_calibrates():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(3000, 5))

@@ -19,7 +19,7 @@ Scale: one pass over the texts, no shuffle; the driver sees the sample's presenc
 bits (PLACES / 8 bytes a window), the broadcast holds the landmarks. Both are
 bounded by the parameters.
 
-Defined cases: NULL texts and texts without a letter give ``und`` and score 0; no
+Defined cases: NULL texts and texts without a letter (category L) give ``und`` and score 0; no
 training row gives ``und`` to all; equal scores go to the language that sorts
 first; repeated documents are scored row by row; lang, source and doc_id are never
 looked at in a prediction.
@@ -27,7 +27,6 @@ looked at in a prediction.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,10 +44,14 @@ MAX_PER_LANG, MAX_ROWS, SAMPLE_WINDOWS, SEED = 500, 8000, 3, 3
 UNKNOWN = "und"
 _BATCH = 256  # presence rows of one product
 
-_LETTER = re.compile(r"[^\W\d_]")
 _MULTIPLIERS = (X._splitmix(LONGEST, 41) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 
 
+def has_letter(text: str) -> bool:
+    """Whether a character is of category L; number signs such as ² or Ⅷ are not."""
+    return any(map(str.isalpha, text))
+
+
 def places(text: str) -> list[np.ndarray]:
     """For each n, the place of the n-gram that starts at each character."""
     cp = X.code_points(text.lower())
@@ -89,7 +92,7 @@ class Languages:
         return rows @ self.landmarks / np.sqrt(np.maximum(1, rows.sum(axis=1, keepdims=True)))
 
     def scores(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        known = [i for i, t in enumerate(texts) if self.langs and t and _LETTER.search(t)]
+        known = [i for i, t in enumerate(texts) if self.langs and t and has_letter(t)]
         total = np.zeros((len(texts), max(1, len(self.langs))))
         rows = np.zeros((_BATCH, PLACES), np.float32)
         owner, weight = np.zeros(_BATCH, np.int64), np.zeros(_BATCH)
@@ -144,7 +147,8 @@ def fit(langs: list[str], rows: np.ndarray, landmarks: int = LANDMARKS, ridge: f
     share = max(1, landmarks // len(names))
     chosen = np.concatenate([rng.permutation(np.flatnonzero(y == k))[:share] for k in range(len(names))])
     model = Languages(names, rows[chosen], np.zeros((len(chosen), len(names))), np.zeros(len(names)))
-    k_all = model.kernel(rows.astype(np.float32)).astype(np.float64)
+    k_all = np.concatenate([model.kernel(rows[a:a + _BATCH].astype(np.float32))  # a batch as floats at a time
+                            for a in range(0, len(rows), _BATCH)]).astype(np.float64)
     value, vector = np.linalg.eigh(k_all[chosen])
     root = vector / np.sqrt(np.maximum(value, 1e-6)) @ vector.T
     phi = k_all @ root
@@ -178,7 +182,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", training: Col
         for batch in texts:
             out = []
             for t in batch:
-                if not _LETTER.search(t):
+                if not has_letter(t):
                     out.append([])
                     continue
                 rows = np.zeros((n_windows(t), PLACES), np.uint8)
@@ -189,7 +193,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", training: Col
 
     sample = chosen.select("id", "lang", F.posexplode(bits("text")).alias("w", "bits")).toPandas()
     sample = sample.sort_values(["id", "w", "bits"])
-    rows = np.array([np.unpackbits(np.frombuffer(b, np.uint8)) for b in sample["bits"]]).reshape(-1, PLACES)
+    rows = np.unpackbits(np.frombuffer(b"".join(sample["bits"]), np.uint8)).reshape(-1, PLACES)
     return fit(sample["lang"].tolist(), rows)
 
 
