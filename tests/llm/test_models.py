@@ -313,6 +313,39 @@ def test_near_duplicates_against_brute_force(sp):
     assert all(r.kept == (r.doc_id == r.component_id) for r in out)
 
 
+def test_parities_never_drop_an_alike_pair(sp):
+    rng = np.random.default_rng(5)
+    limits, rows = near_dup.Limits(0.8), []
+    for k in range(300):
+        n = int(rng.integers(1, 300))
+        base = rng.integers(0, 2 ** 64, n, dtype=np.uint64)
+        lost, own = rng.integers(0, max(1, n // 4)), rng.integers(0, max(1, n // 5) + 1)
+        other = np.concatenate([base[lost:], rng.integers(0, 2 ** 64, own, dtype=np.uint64)])
+        x, y = set(base.tolist()), set(other.tolist())
+        rows.append((near_dup.parity(base).tolist(), near_dup.parity(other).tolist(), len(x), len(y), len(x & y) / len(x | y)))
+    df = sp.createDataFrame(rows, "p array<long>, q array<long>, p_n long, q_n long, alike double")
+    out = df.select("alike", near_dup._parities_allow("p", "q", "p_n", "q_n", limits).alias("may")).collect()
+    assert all(r.may for r in out if r.alike >= 0.8) and sum(r.alike >= 0.8 for r in out) > 50
+    assert {len(r[0]) - len(r[1]) for r in rows} > {0}  # of unequal numbers of bits, too
+    assert sum(not r.may for r in out if r.alike < 0.75) > 0.8 * sum(r.alike < 0.75 for r in out) > 20
+
+
+def test_a_large_group_of_near_copies_makes_few_pairs(sp, monkeypatch):
+    """Copies changed by up to a tenth, most pairs of which are not alike: the pairs tested on full sets stay few."""
+    base = words(4000, 150)
+    rows = [(i, changed(base, 100 + i, 0.001 * (10 + i % 90))) for i in range(250)]
+    tested, confirmed = [], near_dup._confirmed
+
+    def counted(pairs, sets, limits):
+        tested.append(pairs.count())
+        return confirmed(pairs, sets, limits)
+
+    monkeypatch.setattr(near_dup, "_confirmed", counted)
+    out = near_dup.report(documents(sp, rows)).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in out) == brute_components(rows)
+    assert sum(tested) < 2 * len(rows)
+
+
 def test_deduplicate_keeps_one_of_each_group(sp):
     rows = [(i + 1000, t) for i, t in near_rows()] + [(i, t) for i, t in CASES if i != 10]  # an id has one text here
     docs = documents(sp, rows, extra=True)
