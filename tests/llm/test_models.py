@@ -425,6 +425,17 @@ def test_pipeline_stage_cases(sp, name):
     assert stage(sp, docs.limit(0), SMALL).count() == 0
 
 
+def test_only_repeated_texts_are_shuffled_for_the_model(sp):
+    """Before, every text travelled to meet the short list of repeated ones."""
+    rows = [(k, words(100 + k, 90)) for k in range(200)] + [(1000 + k, words(100 + k, 90)) for k in range(5)] + [
+        (1010 + k, words(110 + k, 90) + " more") for k in range(5)] + [(None, words(100, 90)), (3000, ""), (3001, None)]
+    docs = documents(sp, rows).repartition(4)
+    kept = perplexity.distinct_texts(docs, "text")
+    assert len({r.text for r in kept.collect()}) == 200 and kept.count() == 201  # rows without an id stay
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan and "LeftSemi" in plan
+
+
 def test_texts_that_share_a_footer_all_teach_the_model(sp):
     footer = words(1, 60)
     rows = [(k, words(100 + k, 90) + " " + footer) for k in range(300)]

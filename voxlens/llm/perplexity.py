@@ -30,7 +30,8 @@ one of the near copies only (texts of 4-word shingles with a common key of
 MinHash values); the others are scored without their help likewise, as its count of
 an n-gram is then the text's own.
 
-Scale: three passes over the texts; the model is what grows and it is summed with
+Scale: four passes over the texts, of which only those that repeat another (and the few whose hash
+begins like that of one) are shuffled; the model is what grows and it is summed with
 partial aggregates. Base rules and entropy are made in one pass per document.
 
 Defined cases: NULL and empty texts have no word, fail the base rules and have
@@ -62,6 +63,8 @@ MAX_ENTRIES = 8_000_000
 LOW_WIDTH, HIGH_WIDTH, MIN_SCALE, ODD_BITS, FLOOR = 4.0, 4.0, 1.2, 200.0, 0.1
 #: MinHash keys by which near copies are found, values of a key, and values in which a copy agrees.
 KEYS, KEY_VALUES, COPY = 6, 2, 34
+#: Leading bits of a text's hash by which the texts without copies are told apart from the rest.
+PREFIX_BITS = 22
 #: Base rules.
 MIN_WORDS, MAX_REPEATED_PERCENT, WINDOW = 10, 20, 5
 
@@ -147,10 +150,17 @@ def distinct_texts(docs: DataFrame, text: str) -> DataFrame:
     tops = known.select(F.col("h").alias("top"), F.col("sig").alias("top_sig"))
     copies = pairs.join(known.select("h", "sig"), "h").join(tops, "top") \
         .where(near_dup.agree("sig", "top_sig", near_dup.COORDINATES, COPY)).select("h").distinct().withColumn("copy", F.lit(True))
-    again = known.select("h", "n", "first").join(copies, "h", "left").where("n > 1 OR copy").select("h", "first", "copy")
+    again = materialize(known.select("h", "n", "first").join(copies, "h", "left").where("n > 1 OR copy")
+                        .select("h", "first", "copy"), "again")
+    # only texts whose hash begins like that of a repeated text travel; what is sent has 2 ** PREFIX_BITS rows at most
+    prefix = F.shiftrightunsigned("h", 64 - PREFIX_BITS).cast("int").alias("prefix")
+    begins = F.broadcast(again.select(prefix).distinct())
+    rows = rows.select("*", prefix)
+    lone = rows.join(begins, "prefix", "left_anti").select("text")
     # the same plan at every size: the planner would send a short list and deal a long one out
-    return rows.join(again.hint("merge"), "h", "left").where(
+    rest = rows.join(begins, "prefix", "left_semi").join(again.hint("merge"), "h", "left").where(
         "copy IS NULL AND (first IS NULL OR id IS NULL OR id = first)").select("text")
+    return lone.unionByName(rest)
 
 
 def kneser_ney(counts: DataFrame, order: int = ORDER) -> list[tuple[DataFrame, DataFrame]]:
