@@ -44,6 +44,18 @@ def test_word_ids_equal_the_library(library):
             [library_ids(library, t)[:-1] for t in part]
 
 
+def test_pieces_met_as_words_are_not_merged_again(library):
+    class Refusing:
+        def tokenize(self, piece):
+            raise AssertionError(f"merged again: {piece}")
+
+    own = WordIds(public_tokenizers.path("word_bpe_49k.json"))
+    own.encode(["inserate . , 7 été"])
+    own.model = Refusing()
+    for text in ("INSERATE. Inserate, 7inserate.", "Été, ÉTÉ."):
+        assert np.frombuffer(own.encode([text])[0], "<u2").tolist() == library_ids(library, text)[:-1]
+
+
 @pytest.mark.parametrize("n", [0, 1, 5, 511, 513, 70_000])
 def test_rans_round_trip(n):
     rng = np.random.default_rng(n)
