@@ -346,6 +346,35 @@ def test_a_large_group_of_near_copies_makes_few_pairs(sp, monkeypatch):
     assert sum(tested) < 2 * len(rows)
 
 
+def test_links_of_a_large_group_are_not_followed_pair_by_pair(sp, monkeypatch):
+    """Copies most of which the star leaves apart though each is alike to many others: pairs tested on full sets and
+    links followed grow with the copies, not with their pairs."""
+    base, rng = words(4100, 150).split(), random.Random(41)
+    rows = []
+    for i in range(900):
+        own = list(base)
+        for k in rng.sample(range(150), rng.randint(2, 6)):
+            own[k] = f"own{i}x{k}"
+        rows.append((i, " ".join(own)))
+    tested, followed, confirmed, components = [], [], near_dup._confirmed, near_dup.components
+
+    def counted(pairs, sets, limits):
+        tested.append(pairs.count())
+        return confirmed(pairs, sets, limits)
+
+    def counted_edges(edges):
+        followed.append(edges.count())
+        return components(edges)
+
+    monkeypatch.setattr(near_dup, "_confirmed", counted)
+    monkeypatch.setattr(near_dup, "components", counted_edges)
+    monkeypatch.setattr(near_dup, "FEW", 64)
+    out = near_dup.report(documents(sp, rows)).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in out) == brute_components(rows)
+    assert len({r.component_id for r in out}) < 800
+    assert sum(tested) + sum(followed) < 2 * len(rows)
+
+
 def test_deduplicate_keeps_one_of_each_group(sp):
     rows = [(i + 1000, t) for i, t in near_rows()] + [(i, t) for i, t in CASES if i != 10]  # an id has one text here
     docs = documents(sp, rows, extra=True)

@@ -14,7 +14,11 @@ so that together they miss a link of just that similarity with a probability bel
 * Large groups: a node is first compared with one other, the central node (the one that shares
   most) of most of its postings, then with the central nodes of its other postings that are in another
   component by then (linear in the postings), which joins copies of one text into components. The inverted join
-  pairs only nodes of different components, so a group of copies of any size never pairs with itself.
+  pairs only nodes of different components, so a group of copies of any size never pairs with itself. Postings of
+  at most ``FEW`` nodes go first (linear in the postings); the others pair what is still apart then.
+* Nearest first: of the pairs made between components each component tests the one whose parities differ least; of
+  the rest only pairs whose components are apart then are left (``_linked``). So a node that is alike to many
+  members of a large group is mostly tested once, and links are followed between components, not between nodes.
 * Once: a posting carries the node's rarer keys, and a pair is made only under the
   first key that both have.
 * Sets: two sets of n and m members are alike only if they have at least
@@ -66,6 +70,10 @@ COORDINATES = 64
 FINE = 128
 #: Least bits of parity for a member of a set (a power of two in all).
 PARITY = 4
+#: Nodes of a posting that is paired in the first turn.
+FEW = 256
+#: Turns of nearest pairs go on while one of so many components links.
+TURN = 8
 #: The chance to miss a link of just the similarity asked for, all tests together.
 MISS = 1e-6
 
@@ -211,39 +219,93 @@ def _least_common(p: str, q: str, limits: Limits) -> F.Column:
     return F.ceil((F.col(p) + F.col(q)) * percent / (100 + percent))
 
 
-def _parities_allow(p: str, q: str, p_n: str, q_n: str, limits: Limits) -> F.Column:
-    """Whether the parities differ in no more bits than alike sets may have members alone. Of two sizes the
-    longer is folded in half; sets whose sizes lie further apart are let pass."""
+def _parities_differ(p: str, q: str) -> F.Column:
+    """The number of parities that differ. Of two sizes the longer is folded in half; NULL for sets whose sizes lie
+    further apart."""
 
     def folded(x: str, y: str) -> F.Column:
         half = (F.size(x) / 2).cast("int")
         fold = F.zip_with(F.slice(x, F.lit(1), half), F.slice(x, half + 1, half), lambda u, v: u.bitwiseXOR(v))
         return F.when(F.size(x) > F.size(y), fold).otherwise(F.col(x))
 
-    differ = F.aggregate(F.zip_with(folded(p, q), folded(q, p), lambda u, v: F.bit_count(u.bitwiseXOR(v))), F.lit(0),
-                         lambda total, n: total + n)
-    return F.coalesce(differ <= F.col(p_n) + F.col(q_n) - 2 * _least_common(p_n, q_n, limits), F.lit(True))
+    return F.aggregate(F.zip_with(folded(p, q), folded(q, p), lambda u, v: F.bit_count(u.bitwiseXOR(v))), F.lit(0),
+                       lambda total, n: total + n)
+
+
+def _parities_allow(p: str, q: str, p_n: str, q_n: str, limits: Limits) -> F.Column:
+    """Whether the parities differ in no more bits than alike sets may have members alone; sets whose sizes lie too
+    far apart are let pass."""
+    alone = F.col(p_n) + F.col(q_n) - 2 * _least_common(p_n, q_n, limits)
+    return F.coalesce(_parities_differ(p, q) <= alone, F.lit(True))
+
+
+def _distance(p: str, q: str, p_n: str, q_n: str) -> F.Column:
+    """How far two sets are apart by their parities, for an order of tests only."""
+    return F.coalesce(_parities_differ(p, q) / (F.col(p_n) + F.col(q_n)), F.lit(2.0))
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, limits: Limits) -> DataFrame:
-    """The pairs (a, b) whose full sets are alike."""
+    """The pairs (a, b, further columns) whose full sets are alike."""
     set_a = sets.select(F.col("node").alias("a"), F.col("members").alias("set_a"))
     set_b = sets.select(F.col("node").alias("b"), F.col("members").alias("set_b"))
     full = pairs.join(set_a, "a").join(set_b, "b")
-    return materialize(full.where(_similar(limits.similarity)("set_a", "set_b")).select("a", "b"), "links")
+    return materialize(full.where(_similar(limits.similarity)("set_a", "set_b")).select(*pairs.columns), "links")
 
 
-def links(pairs: DataFrame, sets: DataFrame, limits: Limits) -> DataFrame:
-    """The pairs (a, b) that agree in their fine coordinates and parities and whose full sets are alike."""
+def _near(pairs: DataFrame, sets: DataFrame, limits: Limits) -> DataFrame:
+    """The pairs (a, b, further columns) that agree in their fine coordinates and parities, with their distance."""
     n = F.size("members")
     fine_a = sets.select(F.col("node").alias("a"), F.col("fine").alias("fine_a"),
                         F.col("parity").alias("parity_a"), n.alias("n_a"))
     fine_b = sets.select(F.col("node").alias("b"), F.col("fine").alias("fine_b"),
                         F.col("parity").alias("parity_b"), n.alias("n_b"))
-    near = pairs.join(fine_a, "a").join(fine_b, "b").where(
+    return pairs.join(fine_a, "a").join(fine_b, "b").where(
         _sizes_allow("n_a", "n_b", limits) & agree("fine_a", "fine_b", FINE, limits.fine)
-        & _parities_allow("parity_a", "parity_b", "n_a", "n_b", limits)).select("a", "b")
-    return _confirmed(near, sets, limits)
+        & _parities_allow("parity_a", "parity_b", "n_a", "n_b", limits)).select(
+        *pairs.columns, _distance("parity_a", "parity_b", "n_a", "n_b").alias("distance"))
+
+
+def _part(df: DataFrame, labels: DataFrame, node: str, part: str) -> DataFrame:
+    """``df`` with the component of the node in column ``node``; a node without a link is its own."""
+    own = labels.select(F.col("node").alias(node), F.col("label").alias("own"))
+    return df.join(own, node, "left").withColumn(part, F.coalesce("own", node)).drop("own")
+
+
+def _merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """(node, label) after components a and b of ``edges`` have become one."""
+    parts = components(edges)
+    into = parts.select(F.col("node").alias("label"), F.col("label").alias("into"))
+    old = labels.join(into, "label", "left").select("node", F.coalesce("into", "label").alias("label"))
+    return materialize(old.unionByName(parts.join(labels, "node", "left_anti").select("node", "label")), "labels")
+
+
+def _linked(pairs: DataFrame, labels: DataFrame, sets: DataFrame, limits: Limits) -> DataFrame:
+    """(node, label) after the pairs (a, b, a_part, b_part, distance), all between components of ``labels``, are tested.
+
+    In each turn every component tests its nearest pair, and the other pairs within the components made so leave.
+    Once few components link, or if no more pairs are left than twice the components at first, all are tested that are left."""
+    pairs, thorough, most = materialize(pairs, "pairs"), False, 0
+    while True:
+        pair = F.struct("distance", "a", "b", "a_part", "b_part").alias("pair")
+        ends = [pairs.select(F.col(x).alias("part"), pair) for x in ("a_part", "b_part")]
+        nearest = materialize(ends[0].unionByName(ends[1]).groupBy("part").agg(F.min("pair").alias("pair"))
+                              .select("pair.*").distinct(), "nearest")
+        n = nearest.count()
+        if not n:
+            return labels
+        most = most or 2 * n
+        last = thorough or pairs.count() <= most
+        found = _confirmed(pairs if last else nearest, sets, limits)
+        n_found = found.count()
+        if n_found:
+            labels = _merged(labels, found.select(F.col("a_part").alias("a"), F.col("b_part").alias("b")).distinct())
+        if last:
+            return labels
+        thorough = n_found * TURN < n
+        left = pairs.join(nearest.select("a", "b"), ["a", "b"], "left_anti")
+        for x in ("a_part", "b_part"):  # a component's name is one of its nodes
+            left = _part(left.withColumnRenamed(x, "was"), labels, "was", x).drop("was")
+        pairs = materialize(left.where("a_part <> b_part"), "pairs")
 
 
 def _sharing(reps: DataFrame, limits: Limits) -> DataFrame:
@@ -271,20 +333,19 @@ def _grouped(shared: DataFrame, sets: DataFrame, limits: Limits) -> DataFrame:
     shares most, which copies of one text have in common. A node meets the one of most of its postings
     first, and of the others those that are not in its component then."""
 
-    def pairs(star: DataFrame) -> DataFrame:
-        return star.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+    def pairs(star: DataFrame, *more: F.Column) -> DataFrame:
+        return star.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"), *more).distinct()
 
     central = F.col("shared") * F.lit(1 << 48) + F.shiftrightunsigned(F.xxhash64("node"), 16)
     hubs = shared.groupBy("key").agg(F.max_by("node", central).alias("hub"))
     spokes = shared.select("key", "node").join(hubs, "key").where("node <> hub")
     star = materialize(spokes.groupBy("node", "hub").agg(F.count("*").alias("keys")), "star")
     nearest = star.groupBy("node").agg(F.max_by("hub", F.struct("keys", "hub")).alias("hub"))
-    first = components(links(pairs(nearest), sets, limits))
-    parts = [first.select(F.col("node").alias(x), F.col("label").alias(f"{x}_part")) for x in ("node", "hub")]
-    apart = star.join(parts[0], "node", "left").join(parts[1], "hub", "left").where(
-        F.coalesce("node_part", "node") != F.coalesce("hub_part", "hub"))
-    more = links(pairs(apart), sets, limits)
-    return components(first.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more))
+    first = components(_confirmed(_near(pairs(nearest), sets, limits), sets, limits))
+    apart = _part(_part(star, first, "node", "node_part"), first, "hub", "hub_part").where("node_part <> hub_part")
+    ends = [F.when((F.col("node") < F.col("hub")) == least, F.col("node_part")).otherwise(F.col("hub_part")).alias(x)
+            for x, least in (("a_part", True), ("b_part", False))]
+    return _linked(_near(pairs(apart, *ends), sets, limits), first, sets, limits)
 
 
 def _rarest(sets: DataFrame, limits: Limits) -> DataFrame:
@@ -311,17 +372,26 @@ def _may_be_alike(limits: Limits) -> F.Column:
 
 
 def _across(shared: DataFrame, labels: DataFrame, sets: DataFrame, limits: Limits) -> DataFrame:
-    """Links between nodes of different components, by the inverted join over the prefixes."""
+    """(node, label) after links between nodes of different components, by the inverted join over the prefixes."""
     rarer = Window.partitionBy("node").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
-    prefix = shared.where(f"rank <= shared - {limits.matches} + 1").select(
-        "node", "key", F.collect_list("key").over(rarer).alias("rarer")) \
-        .join(labels, "node", "left").withColumn("part", F.coalesce("label", "node")).drop("label")
-    prefix = materialize(prefix, "prefix")
+    prefix = materialize(shared.where(f"rank <= shared - {limits.matches} + 1").select(
+        "node", "key", "n", F.collect_list("key").over(rarer).alias("rarer")), "prefix")
+    rarest = materialize(_rarest(sets, limits), "rarest").join(sets.select("node", "parity"), "node")
+    for turn in (f"n <= {FEW}", f"n > {FEW}"):
+        own = prefix.where(turn).drop("n")
+        if not own.isEmpty():
+            labels = _linked(_pairs(own, labels, rarest, limits), labels, sets, limits)
+    return labels
+
+
+def _pairs(prefix: DataFrame, labels: DataFrame, rarest: DataFrame, limits: Limits) -> DataFrame:
+    """The pairs (a, b, a_part, b_part, distance) of nodes of different components that may be alike and have their
+    first common key among the postings ``prefix``."""
+    prefix = materialize(_part(prefix, labels, "node", "part"), "postings")
     parts = prefix.groupBy("key", "part").agg(F.count("*").alias("n_nodes"))
     mixed = parts.groupBy("key").agg(F.count("*").alias("n_parts")).where("n_parts > 1").select("key")
     parts = materialize(parts.join(mixed, "key"), "parts")
     posted = prefix.join(parts, ["key", "part"])
-    rarest = _rarest(sets, limits).join(sets.select("node", "parity"), "node")
     posted = materialize(posted.join(rarest, "node"), "posted")
 
     def side(df: DataFrame, x: str) -> DataFrame:
@@ -340,8 +410,10 @@ def _across(shared: DataFrame, labels: DataFrame, sets: DataFrame, limits: Limit
         side(single, "p").join(side(single, "q"), "key").where((F.col("p_node") < F.col("q_node")) & can),
         side(single, "p").join(side(several, "q"), "key").where(can),
         meet.join(side(several, "p"), ["key", "p_part"]).join(side(several, "q"), ["key", "q_part"]).where(can)]
-    pairs = [df.select(F.least("p_node", "q_node").alias("a"), F.greatest("p_node", "q_node").alias("b")) for df in across]
-    return _confirmed(pairs[0].unionByName(pairs[1]).unionByName(pairs[2]).distinct(), sets, limits)
+    pairs = [df.select(F.col("p_node").alias("a"), F.col("q_node").alias("b"), F.col("p_part").alias("a_part"),
+                       F.col("q_part").alias("b_part"), _distance("p_parity", "q_parity", "p_n", "q_n").alias("distance"))
+             for df in across]
+    return pairs[0].unionByName(pairs[1]).unionByName(pairs[2])
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", size: int = SHINGLE,
@@ -362,8 +434,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", size: int = SHINGLE,
     texts = texts.join(best.hint("merge"), F.col("doc_id").eqNullSafe(F.col("doc")) & (F.col("text_hash") == F.col("hash")))
     sets = materialize(_sets(texts, size).dropDuplicates(["node"]), "sets")
     labels = _grouped(shared, sets, limits)
-    more = _across(shared, labels, sets, limits)
-    final = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more))
+    final = _across(shared, labels, sets, limits)
 
     ordered = reps.select("node", "best").join(final, "node", "left").withColumn(
         "label", F.coalesce("label", "node"))
