@@ -248,3 +248,18 @@ def test_sharding_cases(sp):
     assert sorted((r.size, r.text_crc32) for r in out) == sorted(
         (len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for _, t in CASES)
     assert sharding.shard(documents(sp, [])).count() == 0
+
+
+def test_segments_decode_side_by_side(monkeypatch):
+    """Segments of a block are decoded several at a time, with the ids that each gives alone."""
+    rng = np.random.default_rng(8)
+    for n in (16 * 3 * 20, 16 * 3 * 20 + 5, 16 * 3 * 8 - 1, 7):
+        ids = np.minimum(rng.zipf(1.3, n), 400).astype("<u2")
+        tables = rans.Tables(rans.scaled(np.bincount(ids, minlength=500)))
+        block, runs, steps = rans.encode(ids, tables, lanes=16, stride=3), [], rans._steps
+        segments = rans.header(block)["segments"]
+        alone = [rans.segment(block, tables, k) for k in range(segments)]
+        monkeypatch.setattr(rans, "_steps", lambda block, tables, h, ks: runs.append(ks) or steps(block, tables, h, ks))
+        assert (rans.decode(block, tables) == ids).all() and (np.concatenate(alone) == ids).all()
+        monkeypatch.setattr(rans, "_steps", steps)
+        assert sorted(k for ks in runs for k in ks) == list(range(segments)) and len(runs) <= segments // 8 + 2

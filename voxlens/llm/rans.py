@@ -23,10 +23,13 @@ import numpy as np
 BITS = 20
 LANES = 512
 STRIDE = 128
+#: Segments of a block that are decoded side by side.
+TOGETHER = 8
 MAGIC = b"vxr1"
 _HEAD = struct.Struct("<4s7I")
 _LOW = 1 << 31  # states lie in [2 ** 31, 2 ** 63)
 U64 = np.uint64
+_UP = U64(32)
 
 
 def scaled(counts: np.ndarray) -> np.ndarray:
@@ -72,21 +75,25 @@ def encode(ids: np.ndarray, tables: Tables, lanes: int = LANES, stride: int = ST
     grid = np.full(steps * lanes, tables.filler, dtype=np.int64)
     grid[:n] = ids
     grid = grid.reshape(steps, lanes)
+    # a step in one multiplication: (q << BITS) + (state - q * f) + first = state + q * (2 ** BITS - f) + first
+    freq, first = tables.freq[grid], tables.first[grid]
+    limit, rest = freq << U64(63 - BITS), U64(1 << BITS) - freq
     state = np.full(lanes, _LOW, dtype=U64)
+    q, full = np.empty(lanes, U64), np.empty(lanes, bool)
     out: list[np.ndarray] = []
     words = 0
     marks: list[tuple[int, np.ndarray]] = []
-    bits, low32, up = U64(BITS), U64(0xFFFFFFFF), U64(32)
     for t in range(steps - 1, -1, -1):
-        f = tables.freq[grid[t]]
-        full = state >= (f << U64(63 - BITS))
-        if full.any():
-            part = state[full]
-            out.append((part & low32).astype("<u4"))
+        at = np.greater_equal(state, limit[t], out=full).nonzero()[0]
+        if len(at):
+            part = state[at]
+            out.append(part.astype("<u4"))  # the low half
             words += len(part)
-            state[full] = part >> up
-        q = state // f
-        state = (q << bits) + (state - q * f) + tables.first[grid[t]]
+            state[at] = part >> _UP
+        np.floor_divide(state, freq[t], out=q)
+        np.multiply(q, rest[t], out=q)
+        state += q
+        state += first[t]
         if t % stride == 0:
             marks.append((words, state.copy()))
     stream = np.concatenate(out[::-1]) if out else np.empty(0, "<u4")
@@ -104,31 +111,41 @@ def header(block: bytes) -> dict[str, int]:
             "body_crc": body_crc}
 
 
-def segment(block: bytes, tables: Tables, k: int) -> np.ndarray:
-    """The ids of segment ``k`` of a block, from its own checkpoint."""
-    h = header(block)
+def _steps(block: bytes, tables: Tables, h: dict[str, int], ks: list[int]) -> list[np.ndarray]:
+    """The ids of segments of equally many steps, decoded side by side."""
     lanes, n = h["lanes"], h["n"]
     mark = 4 + 8 * lanes
-    at = _HEAD.size + k * mark
-    place = struct.unpack_from("<I", block, at)[0]
-    state = np.frombuffer(block, "<u8", lanes, at + 4).astype(U64)
+    ats = [_HEAD.size + k * mark for k in ks]
+    places = [struct.unpack_from("<I", block, at)[0] for at in ats]
+    state = np.concatenate([np.frombuffer(block, "<u8", lanes, at + 4) for at in ats]).astype(U64)
     stream = np.frombuffer(block, "<u4", h["words"], _HEAD.size + h["segments"] * mark)
-    first = k * h["stride"]
-    steps = min(h["stride"], -(-n // lanes) - first)
-    out = np.empty((steps, lanes), np.uint16)
-    bits, up, mask = U64(BITS), U64(32), U64((1 << BITS) - 1)
-    low = U64(_LOW)
+    steps = min(h["stride"], -(-n // lanes) - ks[0] * h["stride"])
+    out = np.empty((steps, len(state)), np.uint16)
+    bits, mask, low = U64(BITS), U64((1 << BITS) - 1), U64(_LOW)
+    slot, short = np.empty(len(state), U64), np.empty(len(state), bool)
+    ends = [lanes * (i + 1) for i in range(len(ks))]
     for t in range(steps):
-        slot = state & mask
-        got = tables.at[slot]
-        out[t] = got
-        state = tables.freq[got] * (state >> bits) + slot - tables.first[got]
-        short = state < low
-        k_short = int(np.count_nonzero(short))
-        if k_short:
-            state[short] = (state[short] << up) | stream[place:place + k_short].astype(U64)
-            place += k_short
-    return out.ravel()[:max(0, n - first * lanes)]
+        np.bitwise_and(state, mask, out=slot)
+        out[t] = tables.at.take(slot.view(np.int64))
+        got = out[t].astype(np.int64)
+        state >>= bits
+        state *= tables.freq.take(got)
+        state += slot
+        state -= tables.first.take(got)
+        at = np.less(state, low, out=short).nonzero()[0]
+        if len(at):
+            refill, before = [], 0
+            for i, behind in enumerate(np.searchsorted(at, ends).tolist()):
+                refill.append(stream[places[i]:places[i] + behind - before])
+                places[i] += behind - before
+                before = behind
+            state[at] = (state[at] << _UP) | (np.concatenate(refill) if len(refill) > 1 else refill[0])
+    return [out[:, e - lanes:e].ravel()[:max(0, n - k * h["stride"] * lanes)] for k, e in zip(ks, ends)]
+
+
+def segment(block: bytes, tables: Tables, k: int) -> np.ndarray:
+    """The ids of segment ``k`` of a block, from its own checkpoint."""
+    return _steps(block, tables, header(block), [k])[0]
 
 
 def decode(block: bytes, tables: Tables) -> np.ndarray:
@@ -136,7 +153,10 @@ def decode(block: bytes, tables: Tables) -> np.ndarray:
     h = header(block)
     if zlib.crc32(memoryview(block)[_HEAD.size:]) != h["body_crc"]:
         raise ValueError("the block's stream is damaged")
-    parts = [segment(block, tables, k) for k in range(h["segments"])]
+    whole = min(h["segments"], -(-h["n"] // h["lanes"]) // h["stride"])  # the others have fewer steps
+    parts = [ids for first in range(0, whole, TOGETHER)
+             for ids in _steps(block, tables, h, list(range(first, min(whole, first + TOGETHER))))]
+    parts += [segment(block, tables, k) for k in range(whole, h["segments"])]
     ids = np.concatenate(parts) if parts else np.empty(0, np.uint16)
     if zlib.crc32(ids.astype("<u4")) != h["ids_crc"]:
         raise ValueError("the block's ids do not match their checksum")

@@ -30,8 +30,6 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _SIMPLE = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+")
 _PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u017f]+|[0-9]|[^0-9a-z\u00df-\u00f6\u00f8-\u017f]+")
 
-_ODD = ("\x1c", "\x1d", "\x1e", "\x1f")
-
 
 class WordIds:
     """Encoder of one vocabulary; ids are unsigned 16-bit integers in bytes."""
@@ -64,6 +62,8 @@ class WordIds:
         """The ids of a word that only has to be lower-cased and split."""
         known, marks = self.known.get, self.marks.get
         low = word.lower()
+        if (head := low[:-1]).isalpha() and not (tail := low[-1]).isalpha():  # a word and its comma
+            return (known(head) or self._merged(head)) + (known(tail) or marks(tail) or self._merged(tail))
         return b"".join([known(p) or marks(p) or self._merged(p)
                          for p in ((low,) if low.isalpha() else _PIECES.findall(low))])
 
@@ -85,7 +85,7 @@ class WordIds:
                 low = word.lower()
                 ids = known(low) if low != word else None
                 found[word] = ids or array("H", [t.id for t in self.model.tokenize(low)]).tobytes()
-            elif self.model is not None and _SIMPLE.fullmatch(word) and not (
+            elif plain and (word.isprintable() if word.isascii() else _SIMPLE.fullmatch(word)) and not (
                     "<" in word and any(s in word for s in self.special)):
                 found[word] = self._simple(word)
             else:
@@ -101,23 +101,26 @@ class WordIds:
         """The ids of each text."""
         known = self.known.get
         out: list[bytes] = []
-        partial: list[tuple[int, list[str], list[bytes | None]]] = []  # texts with words not met before
+        partial: list[tuple[int, list[bytes | None], list[int], list[str]]] = []  # texts with words not met before
         for i, text in enumerate(texts):
             if not text:
                 out.append(b"")
-            elif any(c in text for c in _ODD):
+            elif "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text:
                 out.append(self._ids([text])[0])
             else:
                 words = text.split()
                 ids = list(map(known, words))
-                if None in ids:
-                    partial.append((i, words, ids))
+                if None in ids:  # of the words only the new ones are held
+                    at = [k for k, x in enumerate(ids) if x is None]
+                    partial.append((i, ids, at, [words[k] for k in at]))
                     out.append(b"")
                 else:
                     out.append(b"".join(ids))
-        found = self._learn(list({w for _, words, ids in partial for w, x in zip(words, ids) if x is None}))
-        for i, words, ids in partial:
-            out[i] = b"".join([found[w] if x is None else x for w, x in zip(words, ids)])
+        found = self._learn(list({w for _, _, _, new in partial for w in new}))
+        for i, ids, at, new in partial:
+            for k, w in zip(at, new):
+                ids[k] = found[w]
+            out[i] = b"".join(ids)
         return out
 
 
