@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from conftest import MEDIUM, SMALL
 from llm.helpers import CASES, cases, documents, words
-from voxlens.llm import catalog, language_id, near_dup, perplexity, quality_net
+from voxlens.llm import catalog, graph, language_id, near_dup, perplexity, quality_net
 from voxlens.llm.common import ready, table
 from voxlens.llm.graph import components
 
@@ -375,6 +375,34 @@ def test_links_of_a_large_group_are_not_followed_pair_by_pair(sp, monkeypatch):
     assert sum(tested) + sum(followed) < 2 * len(rows)
 
 
+def test_steps_on_few_rows_write_few_files(sp, monkeypatch):
+    """Where shuffle partitions stay apart, a step on some hundred rows still doesn't take a task of each."""
+    rows = [(i, changed(words(4200 + i // 6, 120), 100 + i, 0.015)) for i in range(300)]
+    written, write = [], near_dup.materialize
+
+    def counted(df, name="stage"):
+        out = write(df, name)
+        written.append((name, len(out.inputFiles())))
+        return out
+
+    for module in (near_dup, graph):
+        monkeypatch.setattr(module, "materialize", counted)
+    own = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: sp.conf.get(k) for k in own}
+    docs = documents(sp, rows).repartition(6)
+    try:
+        for k, v in own.items():
+            sp.conf.set(k, v)
+        out = near_dup.report(docs).collect()
+    finally:
+        for k, v in before.items():
+            sp.conf.set(k, v)
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in out) == brute_components(rows)
+    narrow = {"nodes", "star", "edges", "links", "labels", "nearest", "pairs", "prefix", "places"}
+    assert narrow - {"nearest"} <= {name for name, n in written}
+    assert max(n for name, n in written if name in narrow) <= 6
+
+
 def test_deduplicate_keeps_one_of_each_group(sp):
     rows = [(i + 1000, t) for i, t in near_rows()] + [(i, t) for i, t in CASES if i != 10]  # an id has one text here
     docs = documents(sp, rows, extra=True)

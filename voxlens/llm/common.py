@@ -55,6 +55,16 @@ def crc_mod(column: Column, mod: int) -> Column:
     return F.crc32(column.cast("string").cast("binary")) % F.lit(mod)
 
 
+def few(df: DataFrame, rows: int, each: int, joined: bool = False) -> DataFrame:
+    """``df`` in a partition for each ``each`` of ``rows`` rows at most: a step on few rows does not pay for a task
+    and a file of every shuffle partition. Many rows keep their partitions. ``joined`` rows are dealt anew, since
+    the sorted sides of several joined partitions would stay in one task's memory until it ends."""
+    n = max(1, -(-rows // each))
+    if not joined:
+        return df.coalesce(n)
+    return df.repartition(n) if 2 * n <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
+
+
 def with_struct(df: DataFrame, fn, column: str, name: str) -> DataFrame:
     """All columns of ``df`` and the struct that ``fn`` makes from ``column``.
 
@@ -64,4 +74,4 @@ def with_struct(df: DataFrame, fn, column: str, name: str) -> DataFrame:
     return df.select("*", fn(F.col(column)).alias(name))
 
 
-__all__ = ["BATCH_ROWS", "crc_mod", "fresh", "materialize", "ready", "table", "with_struct"]
+__all__ = ["BATCH_ROWS", "crc_mod", "few", "fresh", "materialize", "ready", "table", "with_struct"]

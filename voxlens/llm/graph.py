@@ -1,26 +1,29 @@
 """Connected components by Spark joins: smallest neighbouring label, then a jump
 to the label's own label, until nothing changes. Labels and links stay
-distributed; the driver sees one number per round."""
+distributed; the driver sees the number of links and one number per round."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxlens.llm.common import materialize
+from voxlens.llm.common import few, materialize
+
+#: Links of one task.
+LINKS = 5000
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) for every node of ``edges`` (columns a, b): label is the
     smallest node of its component. Loops, repeated and reversed edges do no harm."""
-    both = materialize(
-        edges.select("a", "b").where("a <> b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))
-                                                           .where("a <> b")).distinct(), "edges")
-    labels = materialize(both.groupBy("a").agg(F.min("b").alias("m"))
-                         .select(F.col("a").alias("node"), F.least("a", "m").alias("label")), "labels")
+    ends = F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("end")
+    both = materialize(edges.where("a <> b").select(ends).select("end.a", "end.b"), "edges")
+    n = both.count()
+    labels = materialize(few(both.groupBy("a").agg(F.min("b").alias("m"))
+                             .select(F.col("a").alias("node"), F.least("a", "m").alias("label")), n, LINKS), "labels")
     while True:
-        near = both.join(labels.select(F.col("node").alias("b"), "label"), "b") \
-            .groupBy("a").agg(F.min("label").alias("m"))
+        near = few(both.join(labels.select(F.col("node").alias("b"), "label"), "b")
+                   .groupBy("a").agg(F.min("label").alias("m")), n, LINKS)
         spread = labels.join(near.withColumnRenamed("a", "node"), "node") \
             .select("node", F.col("label").alias("old"), F.least("label", "m").alias("label"))
         jump = labels.select(F.col("node").alias("label"), F.col("label").alias("far"))

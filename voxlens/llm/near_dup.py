@@ -59,7 +59,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voxlens.llm import textops as X
-from voxlens.llm.common import fresh, materialize
+from voxlens.llm.common import few, fresh, materialize
 from voxlens.llm.graph import components
 
 SHINGLE = 4
@@ -74,6 +74,8 @@ PARITY = 4
 FEW = 256
 #: Turns of nearest pairs go on while one of so many components links.
 TURN = 8
+#: Rows of one task where rows are few: of ids and labels, of nodes with their coordinates, of sets.
+NARROW, NODES, SETS = 10_000, 4000, 500
 #: The chance to miss a link of just the similarity asked for, all tests together.
 MISS = 1e-6
 
@@ -248,21 +250,23 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, limits: Limits) -> DataFrame:
     """The pairs (a, b, further columns) whose full sets are alike."""
     set_a = sets.select(F.col("node").alias("a"), F.col("members").alias("set_a"))
     set_b = sets.select(F.col("node").alias("b"), F.col("members").alias("set_b"))
-    full = pairs.join(set_a, "a").join(set_b, "b")
-    return materialize(full.where(_similar(limits.similarity)("set_a", "set_b")).select(*pairs.columns), "links")
+    alike = pairs.join(set_a, "a").join(set_b, "b").where(_similar(limits.similarity)("set_a", "set_b")).select(*pairs.columns)
+    return materialize(few(alike, pairs.count(), NARROW, joined=True), "links")
 
 
-def _near(pairs: DataFrame, sets: DataFrame, limits: Limits) -> DataFrame:
-    """The pairs (a, b, further columns) that agree in their fine coordinates and parities, with their distance."""
+def _near(pairs: DataFrame, rows: int, sets: DataFrame, limits: Limits) -> DataFrame:
+    """The pairs (a, b, further columns; ``rows`` at most) that agree in their fine coordinates and parities, with
+    their distance."""
     n = F.size("members")
     fine_a = sets.select(F.col("node").alias("a"), F.col("fine").alias("fine_a"),
                         F.col("parity").alias("parity_a"), n.alias("n_a"))
     fine_b = sets.select(F.col("node").alias("b"), F.col("fine").alias("fine_b"),
                         F.col("parity").alias("parity_b"), n.alias("n_b"))
-    return pairs.join(fine_a, "a").join(fine_b, "b").where(
+    near = pairs.join(fine_a, "a").join(fine_b, "b").where(
         _sizes_allow("n_a", "n_b", limits) & agree("fine_a", "fine_b", FINE, limits.fine)
         & _parities_allow("parity_a", "parity_b", "n_a", "n_b", limits)).select(
         *pairs.columns, _distance("parity_a", "parity_b", "n_a", "n_b").alias("distance"))
+    return materialize(few(near, rows, NARROW, joined=True), "pairs")
 
 
 def _part(df: DataFrame, labels: DataFrame, node: str, part: str) -> DataFrame:
@@ -280,32 +284,32 @@ def _merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def _linked(pairs: DataFrame, labels: DataFrame, sets: DataFrame, limits: Limits) -> DataFrame:
-    """(node, label) after the pairs (a, b, a_part, b_part, distance), all between components of ``labels``, are tested.
+    """(node, label) after the written pairs (a, b, a_part, b_part, distance), all between components of ``labels``, are tested.
 
     In each turn every component tests its nearest pair, and the other pairs within the components made so leave.
     Once few components link, or if no more pairs are left than twice the components at first, all are tested that are left."""
-    pairs, thorough, most = materialize(pairs, "pairs"), False, 0
-    while True:
+    thorough, most = False, 0
+    while rows := pairs.count():
         pair = F.struct("distance", "a", "b", "a_part", "b_part").alias("pair")
         ends = [pairs.select(F.col(x).alias("part"), pair) for x in ("a_part", "b_part")]
-        nearest = materialize(ends[0].unionByName(ends[1]).groupBy("part").agg(F.min("pair").alias("pair"))
-                              .select("pair.*").distinct(), "nearest")
+        of_part = few(ends[0].unionByName(ends[1]).groupBy("part").agg(F.min("pair").alias("pair")), rows, NARROW)
+        nearest = materialize(few(of_part.select("pair.*").distinct(), rows, NARROW), "nearest")
         n = nearest.count()
-        if not n:
-            return labels
         most = most or 2 * n
-        last = thorough or pairs.count() <= most
+        last = thorough or rows <= most
         found = _confirmed(pairs if last else nearest, sets, limits)
         n_found = found.count()
         if n_found:
-            labels = _merged(labels, found.select(F.col("a_part").alias("a"), F.col("b_part").alias("b")).distinct())
+            labels = _merged(labels, few(found.select(F.col("a_part").alias("a"), F.col("b_part").alias("b")).distinct(),
+                                         n_found, NARROW))
         if last:
             return labels
         thorough = n_found * TURN < n
         left = pairs.join(nearest.select("a", "b"), ["a", "b"], "left_anti")
         for x in ("a_part", "b_part"):  # a component's name is one of its nodes
             left = _part(left.withColumnRenamed(x, "was"), labels, "was", x).drop("was")
-        pairs = materialize(left.where("a_part <> b_part"), "pairs")
+        pairs = materialize(few(left.where("a_part <> b_part"), rows, NARROW, joined=True), "pairs")
+    return labels
 
 
 def _sharing(reps: DataFrame, limits: Limits) -> DataFrame:
@@ -325,7 +329,7 @@ def _postings(reps: DataFrame, limits: Limits) -> DataFrame:
     by_rarity = Window.partitionBy("node").orderBy("n", "key")
     shared = postings.join(often, "key").withColumn("rank", F.row_number().over(by_rarity)) \
         .withColumn("shared", F.count("*").over(Window.partitionBy("node"))).where(f"shared >= {limits.matches}")
-    return materialize(shared, "postings")
+    return materialize(few(shared, reps.count(), NODES), "postings")
 
 
 def _grouped(shared: DataFrame, sets: DataFrame, limits: Limits) -> DataFrame:
@@ -334,18 +338,20 @@ def _grouped(shared: DataFrame, sets: DataFrame, limits: Limits) -> DataFrame:
     first, and of the others those that are not in its component then."""
 
     def pairs(star: DataFrame, *more: F.Column) -> DataFrame:
-        return star.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"), *more).distinct()
+        # a hub is more central than its nodes, so no pair comes in both directions
+        return star.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"), *more)
 
     central = F.col("shared") * F.lit(1 << 48) + F.shiftrightunsigned(F.xxhash64("node"), 16)
     hubs = shared.groupBy("key").agg(F.max_by("node", central).alias("hub"))
     spokes = shared.select("key", "node").join(hubs, "key").where("node <> hub")
-    star = materialize(spokes.groupBy("node", "hub").agg(F.count("*").alias("keys")), "star")
-    nearest = star.groupBy("node").agg(F.max_by("hub", F.struct("keys", "hub")).alias("hub"))
-    first = components(_confirmed(_near(pairs(nearest), sets, limits), sets, limits))
+    star = materialize(few(spokes.groupBy("node", "hub").agg(F.count("*").alias("keys")), shared.count(), NARROW), "star")
+    n = star.count()
+    nearest = few(star.groupBy("node").agg(F.max_by("hub", F.struct("keys", "hub")).alias("hub")), n, NARROW)
+    first = components(_confirmed(_near(pairs(nearest), min(n, sets.count()), sets, limits), sets, limits))
     apart = _part(_part(star, first, "node", "node_part"), first, "hub", "hub_part").where("node_part <> hub_part")
     ends = [F.when((F.col("node") < F.col("hub")) == least, F.col("node_part")).otherwise(F.col("hub_part")).alias(x)
             for x, least in (("a_part", True), ("b_part", False))]
-    return _linked(_near(pairs(apart, *ends), sets, limits), first, sets, limits)
+    return _linked(_near(pairs(apart, *ends), n, sets, limits), first, sets, limits)
 
 
 def _rarest(sets: DataFrame, limits: Limits) -> DataFrame:
@@ -374,9 +380,9 @@ def _may_be_alike(limits: Limits) -> F.Column:
 def _across(shared: DataFrame, labels: DataFrame, sets: DataFrame, limits: Limits) -> DataFrame:
     """(node, label) after links between nodes of different components, by the inverted join over the prefixes."""
     rarer = Window.partitionBy("node").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
-    prefix = materialize(shared.where(f"rank <= shared - {limits.matches} + 1").select(
-        "node", "key", "n", F.collect_list("key").over(rarer).alias("rarer")), "prefix")
-    rarest = materialize(_rarest(sets, limits), "rarest").join(sets.select("node", "parity"), "node")
+    prefix = materialize(few(shared.where(f"rank <= shared - {limits.matches} + 1").select(
+        "node", "key", "n", F.collect_list("key").over(rarer).alias("rarer")), shared.count(), NARROW), "prefix")
+    rarest = materialize(few(_rarest(sets, limits), sets.count(), SETS), "rarest").join(sets.select("node", "parity"), "node")
     for turn in (f"n <= {FEW}", f"n > {FEW}"):
         own = prefix.where(turn).drop("n")
         if not own.isEmpty():
@@ -385,12 +391,13 @@ def _across(shared: DataFrame, labels: DataFrame, sets: DataFrame, limits: Limit
 
 
 def _pairs(prefix: DataFrame, labels: DataFrame, rarest: DataFrame, limits: Limits) -> DataFrame:
-    """The pairs (a, b, a_part, b_part, distance) of nodes of different components that may be alike and have their
-    first common key among the postings ``prefix``."""
+    """The pairs (a, b, a_part, b_part, distance), written, of nodes of different components that may be alike and have
+    their first common key among the postings ``prefix``."""
     prefix = materialize(_part(prefix, labels, "node", "part"), "postings")
-    parts = prefix.groupBy("key", "part").agg(F.count("*").alias("n_nodes"))
-    mixed = parts.groupBy("key").agg(F.count("*").alias("n_parts")).where("n_parts > 1").select("key")
-    parts = materialize(parts.join(mixed, "key"), "parts")
+    n = prefix.count()
+    parts = few(prefix.groupBy("key", "part").agg(F.count("*").alias("n_nodes")), n, NARROW)
+    mixed = few(parts.groupBy("key").agg(F.count("*").alias("n_parts")).where("n_parts > 1").select("key"), n, NARROW)
+    parts = materialize(few(parts.join(mixed, "key"), n, NARROW, joined=True), "parts")
     posted = prefix.join(parts, ["key", "part"])
     posted = materialize(posted.join(rarest, "node"), "posted")
 
@@ -413,7 +420,7 @@ def _pairs(prefix: DataFrame, labels: DataFrame, rarest: DataFrame, limits: Limi
     pairs = [df.select(F.col("p_node").alias("a"), F.col("q_node").alias("b"), F.col("p_part").alias("a_part"),
                        F.col("q_part").alias("b_part"), _distance("p_parity", "q_parity", "p_n", "q_n").alias("distance"))
              for df in across]
-    return pairs[0].unionByName(pairs[1]).unionByName(pairs[2])
+    return materialize(few(pairs[0].unionByName(pairs[1]).unionByName(pairs[2]), n, NARROW, joined=True), "pairs")
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", size: int = SHINGLE,
@@ -424,23 +431,24 @@ def near_duplicates(docs: DataFrame, text: str = "text", size: int = SHINGLE,
     limits = Limits(similarity)
     rows = materialize(signed(docs, text, size), "signed")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
-    reps = materialize(rows.where("node IS NOT NULL").groupBy("node").agg(
-        F.min(order).alias("best"), F.first("sig").alias("sig")), "nodes")
+    n_rows = rows.count()
+    reps = materialize(few(rows.where("node IS NOT NULL").groupBy("node").agg(
+        F.min(order).alias("best"), F.first("sig").alias("sig")), n_rows, NODES), "nodes")
     shared = _postings(reps, limits)
     best = reps.select("node", "best").join(shared.where("rank = 1").select("node"), "node", "left_semi").select(
         "node", F.col("best.doc_id").alias("doc"), F.col("best.text_hash").alias("hash"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"),
                         F.col(text).alias("text"))
     texts = texts.join(best.hint("merge"), F.col("doc_id").eqNullSafe(F.col("doc")) & (F.col("text_hash") == F.col("hash")))
-    sets = materialize(_sets(texts, size).dropDuplicates(["node"]), "sets")
+    sets = materialize(few(_sets(texts, size).dropDuplicates(["node"]), shared.where("rank = 1").count(), SETS), "sets")
     labels = _grouped(shared, sets, limits)
     final = _across(shared, labels, sets, limits)
 
-    ordered = reps.select("node", "best").join(final, "node", "left").withColumn(
-        "label", F.coalesce("label", "node"))
-    tops = ordered.groupBy("label").agg(F.min("best").alias("top"))
-    place = ordered.join(tops, "label").select("node", "top")
-    out = rows.select("doc_id", "text_hash", "n_shingles", "node").join(place, "node", "left")
+    n, best = final.count(), reps.select("node", "best")
+    tops = few(final.join(best, "node").groupBy("label").agg(F.min("best").alias("top")), n, NARROW)
+    place = materialize(few(final.join(tops, "label").select("node", "top"), n, NARROW, joined=True), "places")  # a node without a link is its own
+    out = few(rows.select("doc_id", "text_hash", "n_shingles", "node").join(best, "node", "left").join(place, "node", "left")
+              .withColumn("top", F.coalesce("top", "best")), n_rows, NARROW, joined=True)
     alone = F.col("node").isNull()
     return out.select(
         "doc_id", "text_hash", "n_shingles",
