@@ -6,13 +6,15 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import weakref
 import zipfile
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 import voxlens
-from voxlens.session import materialize, prepare
+from voxlens import session
+from voxlens.session import prepare
 
 #: Rows and bytes of one Arrow batch: bound a Python worker's memory when texts are long.
 BATCH_ROWS = 512
@@ -45,6 +47,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_SEEN: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """``session.materialize``; the rows are counted as they are written (``n_rows``)."""
+    seen = Observation()
+    out = session.materialize(df.observe(seen, F.count(F.lit(1)).alias("n")), name)
+    _SEEN[out] = seen
+    return out
+
+
+def n_rows(df: DataFrame) -> int:
+    """The rows of ``df``; of a materialised stage as counted when it was written. A query for each such number
+    would cost the driver memory: its plan, its jobs and the threads of its exchanges."""
+    seen = _SEEN.get(df)
+    return df.count() if seen is None else seen.get["n"]
+
+
 def fresh(prefix: str = "vx") -> str:
     """A column name that no input column has."""
     return f"__{prefix}_{uuid.uuid4().hex[:12]}"
@@ -74,4 +94,4 @@ def with_struct(df: DataFrame, fn, column: str, name: str) -> DataFrame:
     return df.select("*", fn(F.col(column)).alias(name))
 
 
-__all__ = ["BATCH_ROWS", "crc_mod", "few", "fresh", "materialize", "ready", "table", "with_struct"]
+__all__ = ["BATCH_ROWS", "crc_mod", "few", "fresh", "materialize", "n_rows", "ready", "table", "with_struct"]

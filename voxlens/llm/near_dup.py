@@ -59,7 +59,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voxlens.llm import textops as X
-from voxlens.llm.common import few, fresh, materialize
+from voxlens.llm.common import few, fresh, materialize, n_rows
 from voxlens.llm.graph import components
 
 SHINGLE = 4
@@ -251,7 +251,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, limits: Limits) -> DataFrame:
     set_a = sets.select(F.col("node").alias("a"), F.col("members").alias("set_a"))
     set_b = sets.select(F.col("node").alias("b"), F.col("members").alias("set_b"))
     alike = pairs.join(set_a, "a").join(set_b, "b").where(_similar(limits.similarity)("set_a", "set_b")).select(*pairs.columns)
-    return materialize(few(alike, pairs.count(), NARROW, joined=True), "links")
+    return materialize(few(alike, n_rows(pairs), NARROW, joined=True), "links")
 
 
 def _near(pairs: DataFrame, rows: int, sets: DataFrame, limits: Limits) -> DataFrame:
@@ -289,16 +289,16 @@ def _linked(pairs: DataFrame, labels: DataFrame, sets: DataFrame, limits: Limits
     In each turn every component tests its nearest pair, and the other pairs within the components made so leave.
     Once few components link, or if no more pairs are left than twice the components at first, all are tested that are left."""
     thorough, most = False, 0
-    while rows := pairs.count():
+    while rows := n_rows(pairs):
         pair = F.struct("distance", "a", "b", "a_part", "b_part").alias("pair")
         ends = [pairs.select(F.col(x).alias("part"), pair) for x in ("a_part", "b_part")]
         of_part = few(ends[0].unionByName(ends[1]).groupBy("part").agg(F.min("pair").alias("pair")), rows, NARROW)
         nearest = materialize(few(of_part.select("pair.*").distinct(), rows, NARROW), "nearest")
-        n = nearest.count()
+        n = n_rows(nearest)
         most = most or 2 * n
         last = thorough or rows <= most
         found = _confirmed(pairs if last else nearest, sets, limits)
-        n_found = found.count()
+        n_found = n_rows(found)
         if n_found:
             labels = _merged(labels, few(found.select(F.col("a_part").alias("a"), F.col("b_part").alias("b")).distinct(),
                                          n_found, NARROW))
@@ -329,7 +329,7 @@ def _postings(reps: DataFrame, limits: Limits) -> DataFrame:
     by_rarity = Window.partitionBy("node").orderBy("n", "key")
     shared = postings.join(often, "key").withColumn("rank", F.row_number().over(by_rarity)) \
         .withColumn("shared", F.count("*").over(Window.partitionBy("node"))).where(f"shared >= {limits.matches}")
-    return materialize(few(shared, reps.count(), NODES), "postings")
+    return materialize(few(shared, n_rows(reps), NODES), "postings")
 
 
 def _grouped(shared: DataFrame, sets: DataFrame, limits: Limits) -> DataFrame:
@@ -344,10 +344,10 @@ def _grouped(shared: DataFrame, sets: DataFrame, limits: Limits) -> DataFrame:
     central = F.col("shared") * F.lit(1 << 48) + F.shiftrightunsigned(F.xxhash64("node"), 16)
     hubs = shared.groupBy("key").agg(F.max_by("node", central).alias("hub"))
     spokes = shared.select("key", "node").join(hubs, "key").where("node <> hub")
-    star = materialize(few(spokes.groupBy("node", "hub").agg(F.count("*").alias("keys")), shared.count(), NARROW), "star")
-    n = star.count()
+    star = materialize(few(spokes.groupBy("node", "hub").agg(F.count("*").alias("keys")), n_rows(shared), NARROW), "star")
+    n = n_rows(star)
     nearest = few(star.groupBy("node").agg(F.max_by("hub", F.struct("keys", "hub")).alias("hub")), n, NARROW)
-    first = components(_confirmed(_near(pairs(nearest), min(n, sets.count()), sets, limits), sets, limits))
+    first = components(_confirmed(_near(pairs(nearest), min(n, n_rows(sets)), sets, limits), sets, limits))
     apart = _part(_part(star, first, "node", "node_part"), first, "hub", "hub_part").where("node_part <> hub_part")
     ends = [F.when((F.col("node") < F.col("hub")) == least, F.col("node_part")).otherwise(F.col("hub_part")).alias(x)
             for x, least in (("a_part", True), ("b_part", False))]
@@ -381,8 +381,8 @@ def _across(shared: DataFrame, labels: DataFrame, sets: DataFrame, limits: Limit
     """(node, label) after links between nodes of different components, by the inverted join over the prefixes."""
     rarer = Window.partitionBy("node").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
     prefix = materialize(few(shared.where(f"rank <= shared - {limits.matches} + 1").select(
-        "node", "key", "n", F.collect_list("key").over(rarer).alias("rarer")), shared.count(), NARROW), "prefix")
-    rarest = materialize(few(_rarest(sets, limits), sets.count(), SETS), "rarest").join(sets.select("node", "parity"), "node")
+        "node", "key", "n", F.collect_list("key").over(rarer).alias("rarer")), n_rows(shared), NARROW), "prefix")
+    rarest = materialize(few(_rarest(sets, limits), n_rows(sets), SETS), "rarest").join(sets.select("node", "parity"), "node")
     for turn in (f"n <= {FEW}", f"n > {FEW}"):
         own = prefix.where(turn).drop("n")
         if not own.isEmpty():
@@ -394,7 +394,7 @@ def _pairs(prefix: DataFrame, labels: DataFrame, rarest: DataFrame, limits: Limi
     """The pairs (a, b, a_part, b_part, distance), written, of nodes of different components that may be alike and have
     their first common key among the postings ``prefix``."""
     prefix = materialize(_part(prefix, labels, "node", "part"), "postings")
-    n = prefix.count()
+    n = n_rows(prefix)
     parts = few(prefix.groupBy("key", "part").agg(F.count("*").alias("n_nodes")), n, NARROW)
     mixed = few(parts.groupBy("key").agg(F.count("*").alias("n_parts")).where("n_parts > 1").select("key"), n, NARROW)
     parts = materialize(few(parts.join(mixed, "key"), n, NARROW, joined=True), "parts")
@@ -431,24 +431,25 @@ def near_duplicates(docs: DataFrame, text: str = "text", size: int = SHINGLE,
     limits = Limits(similarity)
     rows = materialize(signed(docs, text, size), "signed")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
-    n_rows = rows.count()
+    n_all = n_rows(rows)
     reps = materialize(few(rows.where("node IS NOT NULL").groupBy("node").agg(
-        F.min(order).alias("best"), F.first("sig").alias("sig")), n_rows, NODES), "nodes")
+        F.min(order).alias("best"), F.first("sig").alias("sig")), n_all, NODES), "nodes")
     shared = _postings(reps, limits)
     best = reps.select("node", "best").join(shared.where("rank = 1").select("node"), "node", "left_semi").select(
         "node", F.col("best.doc_id").alias("doc"), F.col("best.text_hash").alias("hash"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"),
                         F.col(text).alias("text"))
     texts = texts.join(best.hint("merge"), F.col("doc_id").eqNullSafe(F.col("doc")) & (F.col("text_hash") == F.col("hash")))
-    sets = materialize(few(_sets(texts, size).dropDuplicates(["node"]), shared.where("rank = 1").count(), SETS), "sets")
+    posted = min(n_rows(reps), n_rows(shared) // limits.matches)  # nodes at most
+    sets = materialize(few(_sets(texts, size).dropDuplicates(["node"]), posted, SETS), "sets")
     labels = _grouped(shared, sets, limits)
     final = _across(shared, labels, sets, limits)
 
-    n, best = final.count(), reps.select("node", "best")
+    n, best = n_rows(sets), reps.select("node", "best")
     tops = few(final.join(best, "node").groupBy("label").agg(F.min("best").alias("top")), n, NARROW)
     place = materialize(few(final.join(tops, "label").select("node", "top"), n, NARROW, joined=True), "places")  # a node without a link is its own
     out = few(rows.select("doc_id", "text_hash", "n_shingles", "node").join(best, "node", "left").join(place, "node", "left")
-              .withColumn("top", F.coalesce("top", "best")), n_rows, NARROW, joined=True)
+              .withColumn("top", F.coalesce("top", "best")), n_all, NARROW, joined=True)
     alone = F.col("node").isNull()
     return out.select(
         "doc_id", "text_hash", "n_shingles",

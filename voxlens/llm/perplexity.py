@@ -46,13 +46,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voxlens.llm import near_dup
 from voxlens.llm import textops as X
-from voxlens.llm.common import fresh, materialize
+from voxlens.llm.common import fresh, materialize, n_rows
 
 #: Characters of an n-gram.
 ORDER = 5
@@ -166,17 +166,28 @@ def distinct_texts(docs: DataFrame, text: str) -> DataFrame:
 def kneser_ney(counts: DataFrame, order: int = ORDER) -> list[tuple[DataFrame, DataFrame]]:
     """For each order from 1: (gram, lp, n) with log2 of the interpolated probability
     and the raw count, and (context, left) with log2 of the mass left to the next lower order."""
-    orders = {order: materialize(counts.select("gram", "n", F.col("n").alias("c")), f"grams{order}")}
+    return _kneser_ney(counts, order)[0]
+
+
+def _kneser_ney(counts: DataFrame, order: int = ORDER) -> tuple[list[tuple[DataFrame, DataFrame]], int]:
+    """The model and the number of its rows."""
+    seen = {k: Observation() for k in range(1, order + 1)}  # how many n-grams have the counts 1 to 4
+
+    def written(grams: DataFrame, k: int) -> DataFrame:
+        numbers = [F.count_if(F.col("c") == j).alias(f"n{j}") for j in (1, 2, 3, 4)]
+        return materialize(grams.observe(seen[k], *numbers), f"grams{k}")
+
+    orders = {order: written(counts.select("gram", "n", F.col("n").alias("c")), order)}
     for k in range(order - 1, 0, -1):  # c: continuation counts, distinct characters before an n-gram
         mask = (1 << (_BITS * k)) - 1
         lower = orders[k + 1].groupBy(F.col("gram").bitwiseAND(F.lit(mask)).alias("gram")).agg(
             F.sum("n").alias("n"), F.count("*").alias("c"))
-        orders[k] = materialize(lower, f"grams{k}")
-    out, below = [], None
+        orders[k] = written(lower, k)
+    out, below, entries = [], None, 0
     for k in range(1, order + 1):
         grams = orders[k]
-        row = grams.agg(*[F.sum((F.col("c") == j).cast("long")).alias(f"n{j}") for j in (1, 2, 3, 4)]).first()
-        n1, n2, n3, n4 = (max(1, row[f"n{j}"] or 0) for j in (1, 2, 3, 4))
+        row = seen[k].get
+        n1, n2, n3, n4 = (max(1, row[f"n{j}"]) for j in (1, 2, 3, 4))
         y = n1 / (n1 + 2 * n2)
         d = [min(max(j - (j + 1) * y * b / a, 0.05), j - 0.05) for j, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
         discount = F.when(F.col("c") == 1, d[0]).when(F.col("c") == 2, d[1]).otherwise(d[2])
@@ -194,7 +205,8 @@ def kneser_ney(counts: DataFrame, order: int = ORDER) -> list[tuple[DataFrame, D
                 below.select(F.col("gram").alias("suffix"), F.col("p").alias("q")), "suffix")
         below = materialize(joined.select("gram", "n", (own + left * F.col("q")).alias("p")), f"model{k}")
         out.append((below.select("gram", F.log2("p").alias("lp"), "n"), context.select("context", F.log2(left).alias("left"))))
-    return out
+        entries += n_rows(below) + n_rows(context)
+    return out, entries
 
 
 def base_counts(text: str | None) -> tuple[int, int, int, int, int]:
@@ -324,8 +336,7 @@ def with_stats(docs: DataFrame, text: str = "text", name: str = "stats", max_ent
     ``name`` of STATS, written once; ``lazy``: not written, if the model is sent."""
     gone = [] if keep_text else [text]
     spark = docs.sparkSession
-    model = kneser_ney(ngram_counts(distinct_texts(docs, text)))
-    entries = sum(df.count() for pair in model for df in pair)
+    model, entries = _kneser_ney(ngram_counts(distinct_texts(docs, text)))
     if entries <= max_entries:
         held = Model(model) if entries else None
         shared = spark.sparkContext.broadcast(held)
